@@ -74,5 +74,8 @@ def gap_below(later: str | Column, earlier: str | Column, limit: _dt.timedelta)
 
 
 def micros_since_day_start(ts: str | Column) -> Column:
+    """Microseconds since midnight, from the wall-clock fields, so that the
+    value never depends on the session time zone."""
     c = col(ts)
-    return F.timestamp_diff("MICROSECOND", F.to_date(c).cast("timestamp_ntz"), c)
+    whole = (F.hour(c).cast("bigint") * 3600 + F.minute(c).cast("bigint") * 60) * 1_000_000
+    return whole + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
