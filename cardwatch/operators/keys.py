@@ -31,9 +31,13 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str | No
         return kept
     if null_keys != "reference":
         raise ValueError(f"unknown null_keys {null_keys!r}")
-    right_has_null = keys.select(F.max(F.col("_nin_key").isNull())).scalar()
-    return kept.where(~F.coalesce(right_has_null, F.lit(False))
-                      & (F.col(left_key).isNotNull() | ~keys.exists()))
+    # One aggregate over the right keys answers both questions; the two
+    # references are the same subquery, which Spark runs once.
+    stats = keys.select(F.struct(
+        F.coalesce(F.max(F.col("_nin_key").isNull()), F.lit(False)).alias("has_null"),
+        (F.count(F.lit(1)) == 0).alias("empty"))).scalar()
+    return kept.where(~stats.getField("has_null")
+                      & (F.col(left_key).isNotNull() | stats.getField("empty")))
 
 
 def insert_if_absent(feed: DataFrame, target: DataFrame, key: str = "passport_num",

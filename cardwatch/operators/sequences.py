@@ -67,11 +67,15 @@ def with_time_buckets(df: DataFrame, ts: str, max_gap: _dt.timedelta,
     own = F.floor(rel / F.lit(w_us)).cast("bigint")
     reach = F.least(F.floor((rel + F.lit(_us(max_gap))) / F.lit(w_us)).cast("bigint"),
                     F.lit(last_bucket).cast("bigint"))
-    halo = F.when(reach > own, F.sequence(own + 1, reach)).otherwise(F.array().cast("array<bigint>"))
-    copies = F.concat(
-        F.array(F.struct(own.alias(_BUCKET), F.lit(False).alias(_CONTEXT))),
-        F.transform(halo, lambda b: F.struct(b.alias(_BUCKET), F.lit(True).alias(_CONTEXT))),
-    )
+    own_copy = F.struct(own.alias(_BUCKET), F.lit(False).alias(_CONTEXT))
+    if max_gap <= width:
+        # The halo reaches at most the next bucket: a fixed-shape array.
+        next_copy = F.struct((own + 1).alias(_BUCKET), F.lit(True).alias(_CONTEXT))
+        copies = F.when(reach > own, F.array(own_copy, next_copy)).otherwise(F.array(own_copy))
+    else:
+        halo = F.when(reach > own, F.sequence(own + 1, reach)).otherwise(F.array().cast("array<bigint>"))
+        copies = F.concat(F.array(own_copy),
+                          F.transform(halo, lambda b: F.struct(b.alias(_BUCKET), F.lit(True).alias(_CONTEXT))))
     return out.select("*", F.inline(copies))
 
 

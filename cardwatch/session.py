@@ -15,6 +15,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -40,7 +41,7 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        if not k.startswith("spark.ui."):
+        if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
