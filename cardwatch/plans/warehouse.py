@@ -75,6 +75,16 @@ class Warehouse:
                 return False
             raise
 
+    def register_views(self, prefix: str = "") -> None:
+        """Expose every table (and the current history) to ``spark.sql`` as
+        temporary views named like the reference's tables."""
+        names = {"transactions": "dwh_fact_transactions", "blacklist": "dwh_fact_passport_blacklist",
+                 "clients": "dwh_dim_clients", "accounts": "dwh_dim_accounts", "cards": "dwh_dim_cards",
+                 "report": "rep_fraud"}
+        for name, view in names.items():
+            self.table(name).createOrReplaceTempView(prefix + view)
+        self.history().createOrReplaceTempView(prefix + "dwh_dim_terminals_hist")
+
     def table(self, name: str) -> DataFrame:
         schema, _ = TABLES[name]
         return self.spark.read.schema(schema).parquet(self.path(name))
@@ -114,14 +124,25 @@ class Warehouse:
          .parquet(f"{self.path(HISTORY)}/version={version}"))
 
     # -- loads -----------------------------------------------------------------
-    def append_transactions(self, feed: DataFrame, key_policy: str = "fail") -> None:
+    def append_transactions(self, feed: DataFrame, key_policy: str = "fail", key_scope: str = "all") -> None:
         """T2 + K1: rename feed columns, type them, guard ``trans_id`` against
-        the batch and the loaded fact (only that column is read), append into
-        day partitions."""
+        the batch and the loaded fact, append into day partitions.
+
+        ``key_scope='all'`` checks the whole fact, as a primary key does (only
+        the ``trans_id`` column is read; a runtime bloom filter built from the
+        batch prunes it before the shuffle).  ``'same_days'`` checks only the
+        day partitions the batch writes to: the semi join on ``trans_day``
+        lets dynamic partition pruning skip every other day."""
         facts = transactions_from_feed(feed).withColumn("trans_day", day_of("trans_date"))
         facts = conform(facts, schemas.TRANSACTIONS)
-        target = self.table("transactions").select("trans_id")
-        facts = guard_unique(facts, target, ["trans_id"], key_policy)
+        target = self.table("transactions").select("trans_id", "trans_day")
+        if key_scope == "same_days":
+            # Null-safe: rows with an unparsable time sit in the NULL day partition.
+            days = facts.select(F.col("trans_day").alias("_day")).distinct()
+            target = target.join(days, target["trans_day"].eqNullSafe(days["_day"]), "left_semi")
+        elif key_scope != "all":
+            raise ValueError(f"unknown key_scope {key_scope!r}")
+        facts = guard_unique(facts, target.select("trans_id"), ["trans_id"], key_policy)
         facts.write.mode("append").partitionBy("trans_day").parquet(self.path("transactions"))
 
     def load_blacklist(self, feed: DataFrame, null_keys: str = "reference") -> None:

@@ -14,6 +14,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
