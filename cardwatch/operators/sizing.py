@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# One million history rows of (id, city, two timestamps, flag) is about
+# 100 MB on every executor: the largest side this library broadcasts.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
