@@ -26,7 +26,7 @@ from cardwatch.functions.expressions import (
     day_of,
 )
 from cardwatch.operators.chain import cards_of_clients, owner_columns, ownership_chain, to_report
-from cardwatch.operators.sequences import attribute_switch, declining_attempts
+from cardwatch.operators.sequences import HOT_BUCKET, HOT_ROWS, attribute_switch, declining_attempts
 from cardwatch.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
 
 DayLike = _dt.date | str | None
@@ -115,7 +115,7 @@ def city_switch_ops(transactions: DataFrame, history: DataFrame, clients: DataFr
                     accounts: DataFrame, cards: DataFrame, day: DayLike = None,
                     terminal_join: str = "as_of", max_gap: _dt.timedelta = CITY_GAP,
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    bucket_width: _dt.timedelta | None = None) -> DataFrame:
+                    hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
     """A successful operation in another city than the card's previous
     successful operation of the same day, less than ``max_gap`` later.
 
@@ -124,7 +124,8 @@ def city_switch_ops(transactions: DataFrame, history: DataFrame, clients: DataFr
     its operations); ``'as_of'`` joins the version valid at the operation
     time.  Operations at unknown terminals drop out before the sequence is
     formed.  The history is broadcast after a row-count check, so the
-    window's shuffle by card is the rule's only large exchange."""
+    window's shuffle by card is the rule's only large exchange; hot
+    (card, day) groups are split as described in ``sequences``."""
     hist = history.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
     hist = broadcast_if_bounded(hist, max_broadcast_rows)
     ops = _successful(transactions, day).select("trans_id", "trans_date", "card_num", "terminal")
@@ -135,7 +136,8 @@ def city_switch_ops(transactions: DataFrame, history: DataFrame, clients: DataFr
         raise ValueError(f"unknown terminal_join {terminal_join!r}")
     located = ops.join(hist, on).select("trans_id", "trans_date", "card_num", "terminal_city", "effective_from")
     switched = attribute_switch(located, "card_num", "trans_date", "terminal_city", max_gap,
-                                order_extra=("effective_from", "terminal_city"), bucket_width=bucket_width)
+                                order_extra=("effective_from", "terminal_city"), hot_rows=hot_rows,
+                                hot_bucket=hot_bucket)
     return to_report(ownership_chain(switched, cards, accounts, clients), TAG_DIFF_CITY)
 
 
@@ -144,12 +146,12 @@ def city_switch_ops(transactions: DataFrame, history: DataFrame, clients: DataFr
 def amount_guessing_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
                         cards: DataFrame, day: DayLike = None, k: int = GUESS_ATTEMPTS,
                         max_gap: _dt.timedelta = GUESS_GAP,
-                        bucket_width: _dt.timedelta | None = None) -> DataFrame:
+                        hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
     """A successful operation after ``k`` refused ones of the same card
     and day with strictly falling whole-unit amounts, all within ``max_gap``."""
     ops = day_slice(transactions, day).select("trans_id", "trans_date", "card_num", "amt", "oper_result")
     found = declining_attempts(ops, "card_num", "trans_date", "oper_result", "amt", k=k,
-                               max_gap=max_gap, bucket_width=bucket_width)
+                               max_gap=max_gap, hot_rows=hot_rows, hot_bucket=hot_bucket)
     return to_report(ownership_chain(found, cards, accounts, clients), TAG_SUM_GUESSING)
 
 

@@ -1,32 +1,37 @@
 """Ordered-sequence patterns over keyed event tables.
 
 Both patterns look back a fixed number of rows (``lag``) inside one key and
-one calendar day, and both require the looked-back row to lie within
-``max_gap`` of the current one.  That time bound is what makes hot keys
-splittable:
-
-* each (key, day) group is cut into time buckets of ``bucket_width``;
-* every row is also copied, flagged as context, into the following buckets
-  whose start lies within ``max_gap`` after it (the halo);
-* ``lag`` runs over (key, day, bucket), then context rows are dropped.
-
-Bucket plus halo is a contiguous stretch of the group's sorted rows, so a
-lag computed inside it is either the true lag or NULL, and it is NULL only
-when the true looked-back row is at least ``max_gap`` older, in which case
-the pattern fails the gap test anyway.  Results are therefore identical to
-an unsplit window, while the largest window task holds one key's rows of a
-``bucket_width + max_gap`` stretch instead of a whole day.  With
-``bucket_width = 4 * max_gap`` (the default) the halo adds at most a quarter
-of the rows to the shuffle.  A ``bucket_width`` of a day or more disables
-the split.
-
-All lags of one pattern share one ``Window`` (one exchange, one sort).
+one calendar day.  A plain window would put each (key, day) group in one
+task, so one hot key (a third of all rows, say) would sort in one task.
+:func:`previous_rows` therefore splits hot groups and stitches the seams:
+
+1. Groups are counted with a map-side combined aggregate (key and day
+   columns only).  Groups above ``hot_rows`` are hot; there are at most
+   ``rows / hot_rows`` of them.  Their number is checked first: with none
+   the plan is one plain window; up to ``max_hot_groups`` the set is
+   broadcast, beyond that it is joined by shuffle.
+2. Hot groups are cut into time buckets of ``hot_bucket`` (default one
+   second); light groups stay whole.  ``lag`` runs per (key, day, bucket):
+   exact for every row except the first ``k`` rows of a hot bucket after the
+   first one (the *heads*), whose predecessors lie in earlier buckets.
+3. Heads and the last ``k`` rows of every hot bucket (the *tails*) form a
+   small table, at most ``2k`` rows per bucket.  A second window over it,
+   per (key, day), gives the heads their exact lags: every true predecessor
+   of a head is either an earlier head of its bucket or among the last ``k``
+   rows of its own bucket.
+
+The result equals an unsplit window for any data; no row is copied; the
+largest task holds one bucket of a hot key, or ``2k`` rows per bucket of one
+hot key-day in the stitch window.  Ties in ``ts`` are ordered by
+``order_extra``; the patterns need ``(key, ts, order_extra)`` to be unique
+for a deterministic answer, as any ``lag`` does.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,81 +44,113 @@ from cardwatch.functions.expressions import (
     micros_since_day_start,
     whole_units,
 )
+from cardwatch.operators.sizing import bounded_count
+
+HOT_ROWS = 1_000_000
+HOT_BUCKET = _dt.timedelta(seconds=1)
+MAX_HOT_GROUPS = 1_000_000
 
-_DAY_US = 86_400_000_000
-_BUCKET = "_seq_bucket"
-_CONTEXT = "_seq_context"
 _DAY = "_seq_day"
+_HOT = "_seq_hot"
+_BUCKET = "_seq_bucket"
+_RN = "_seq_rn"
+_CNT = "_seq_cnt"
+_HEAD = "_seq_head"
 
 
 def _us(t: _dt.timedelta) -> int:
     return (t.days * 86_400 + t.seconds) * 1_000_000 + t.microseconds
 
 
-def default_bucket_width(max_gap: _dt.timedelta) -> _dt.timedelta:
-    return min(max_gap * 4, _dt.timedelta(days=1))
+def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame:
+    """(key, day) groups holding more than ``hot_rows`` rows."""
+    return (df.groupBy(*group).agg(F.count(F.lit(1)).alias("_seq_n"))
+            .where(F.col("_seq_n") > hot_rows).select(*group))
 
 
-def with_time_buckets(df: DataFrame, ts: str, max_gap: _dt.timedelta,
-                      bucket_width: _dt.timedelta | None) -> DataFrame:
-    """Add ``_seq_day``, ``_seq_bucket`` and ``_seq_context``, copying halo rows."""
-    width = bucket_width if bucket_width is not None else default_bucket_width(max_gap)
-    out = df.withColumn(_DAY, day_of(ts))
-    w_us = _us(width)
-    if w_us >= _DAY_US or w_us <= 0:
-        return out.withColumn(_BUCKET, F.lit(0).cast("bigint")).withColumn(_CONTEXT, F.lit(False))
-    last_bucket = (_DAY_US - 1) // w_us
-    rel = micros_since_day_start(ts)
-    own = F.floor(rel / F.lit(w_us)).cast("bigint")
-    reach = F.least(F.floor((rel + F.lit(_us(max_gap))) / F.lit(w_us)).cast("bigint"),
-                    F.lit(last_bucket).cast("bigint"))
-    own_copy = F.struct(own.alias(_BUCKET), F.lit(False).alias(_CONTEXT))
-    if max_gap <= width:
-        # The halo reaches at most the next bucket: a fixed-shape array.
-        next_copy = F.struct((own + 1).alias(_BUCKET), F.lit(True).alias(_CONTEXT))
-        copies = F.when(reach > own, F.array(own_copy, next_copy)).otherwise(F.array(own_copy))
-    else:
-        halo = F.when(reach > own, F.sequence(own + 1, reach)).otherwise(F.array().cast("array<bigint>"))
-        copies = F.concat(F.array(own_copy),
-                          F.transform(halo, lambda b: F.struct(b.alias(_BUCKET), F.lit(True).alias(_CONTEXT))))
-    return out.select("*", F.inline(copies))
+def _mark_hot(d: DataFrame, group: Sequence[str], hot: DataFrame, n_hot: int, max_hot_groups: int,
+              ts: str, hot_bucket: _dt.timedelta) -> DataFrame:
+    flagged = hot.select(*[F.col(c).alias(f"_h_{c}") for c in group], F.lit(True).alias(_HOT))
+    if n_hot <= max_hot_groups:
+        flagged = F.broadcast(flagged)
+    on = reduce(lambda a, b: a & b, [d[c].eqNullSafe(flagged[f"_h_{c}"]) for c in group])
+    d = d.join(flagged, on, "left").drop(*[f"_h_{c}" for c in group])
+    is_hot = F.coalesce(F.col(_HOT), F.lit(False))
+    w_us = max(_us(hot_bucket), 1)
+    bucket = F.when(is_hot, F.floor(micros_since_day_start(ts) / F.lit(w_us))).otherwise(F.lit(0))
+    return d.withColumn(_HOT, is_hot).withColumn(_BUCKET, bucket.cast("bigint"))
 
 
-def _drop_helpers(df: DataFrame) -> DataFrame:
-    return df.where(~F.col(_CONTEXT)).drop(_BUCKET, _CONTEXT, _DAY)
+def with_buckets(df: DataFrame, keys: Sequence[str], ts: str, hot_rows: int = HOT_ROWS,
+                 hot_bucket: _dt.timedelta = HOT_BUCKET, max_hot_groups: int = MAX_HOT_GROUPS) -> DataFrame:
+    """Add ``_seq_day``, ``_seq_hot`` and ``_seq_bucket`` (0 for light groups)."""
+    group = [*keys, _DAY]
+    d = df.withColumn(_DAY, day_of(ts))
+    hot = hot_groups(d, group, hot_rows)
+    return _mark_hot(d, group, hot, bounded_count(hot, max_hot_groups), max_hot_groups, ts, hot_bucket)
 
 
 def previous_rows(df: DataFrame, key: str | Sequence[str], ts: str, lags: dict[str, tuple[str, int]],
-                  max_gap: _dt.timedelta, order_extra: Sequence[str] = (),
-                  bucket_width: _dt.timedelta | None = None) -> DataFrame:
-    """Add ``lags`` (``name -> (column, offset)``) computed per key and day in
-    ``ts`` order, exact for every row whose looked-back row is within
-    ``max_gap``.  Output keeps the input columns plus the lag columns."""
+                  order_extra: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+                  hot_bucket: _dt.timedelta = HOT_BUCKET, max_hot_groups: int = MAX_HOT_GROUPS) -> DataFrame:
+    """Add ``lags`` (``name -> (column, offset)``) computed per key and
+    calendar day in ``(ts, *order_extra)`` order.  Output: the input columns
+    plus the lag columns.
+
+    The hot-group count runs first (one narrow pass); when no group is hot,
+    which is the usual case, the plan is a single window per (key, day)."""
     keys = [key] if isinstance(key, str) else list(key)
-    staged = with_time_buckets(df, ts, max_gap, bucket_width)
-    w = Window.partitionBy(*keys, _DAY, _BUCKET).orderBy(ts, *order_extra)
-    lagged = staged.select("*", *[F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()])
-    return _drop_helpers(lagged)
+    k = max(n for _, n in lags.values())
+    out_cols = [*df.columns, *lags]
+    group = [*keys, _DAY]
+    d = df.withColumn(_DAY, day_of(ts))
+    hot = hot_groups(d, group, hot_rows)
+    n_hot = bounded_count(hot, max_hot_groups)
+    if n_hot == 0:
+        w = Window.partitionBy(*group).orderBy(ts, *order_extra)
+        return d.select("*", *[F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()]).select(*out_cols)
+
+    staged = _mark_hot(d, group, hot, n_hot, max_hot_groups, ts, hot_bucket)
+    # ``_seq_hot`` is a function of (key, day), so adding it to the window
+    # keys changes no partition; it lets the seam branch's ``hot`` filter be
+    # pushed below its exchange, so only hot rows are shuffled a second time.
+    w_bucket = Window.partitionBy(*group, _HOT, _BUCKET).orderBy(ts, *order_extra)
+    w_whole_bucket = Window.partitionBy(*group, _HOT, _BUCKET)
+    a = staged.select(
+        "*",
+        F.row_number().over(w_bucket).alias(_RN),
+        F.count(F.lit(1)).over(w_whole_bucket).alias(_CNT),
+        *[F.lag(c, n).over(w_bucket).alias(name) for name, (c, n) in lags.items()],
+    )
+    head = F.col(_HOT) & (F.col(_BUCKET) > 0) & (F.col(_RN) <= k)
+    tail = F.col(_HOT) & (F.col(_RN) > F.col(_CNT) - k)
+    settled = a.where(~head).select(*out_cols)
+
+    seams = a.where(head | tail).select(*df.columns, _DAY, head.alias(_HEAD))
+    w_seam = Window.partitionBy(*group).orderBy(ts, *order_extra)
+    stitched = (seams.select("*", *[F.lag(c, n).over(w_seam).alias(name) for name, (c, n) in lags.items()])
+                .where(F.col(_HEAD)).select(*out_cols))
+    return settled.unionByName(stitched)
 
 
 def attribute_switch(df: DataFrame, key: str | Sequence[str], ts: str, attr: str,
                      max_gap: _dt.timedelta = _dt.timedelta(minutes=60),
-                     order_extra: Sequence[str] = (),
-                     bucket_width: _dt.timedelta | None = None) -> DataFrame:
+                     order_extra: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+                     hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
     """Rows whose ``attr`` differs from the previous row of the same key and
     day, less than ``max_gap`` after it (strict).  The later row is returned
-    with ``prev_<ts>`` and ``prev_<attr>``.  Rows sharing a timestamp are
-    ordered by ``order_extra``; a NULL on either side is no switch."""
+    with ``prev_<ts>`` and ``prev_<attr>``; a NULL on either side is no
+    switch."""
     prev_ts, prev_attr = f"prev_{ts}", f"prev_{attr}"
-    out = previous_rows(df, key, ts, {prev_ts: (ts, 1), prev_attr: (attr, 1)}, max_gap,
-                        order_extra, bucket_width)
+    out = previous_rows(df, key, ts, {prev_ts: (ts, 1), prev_attr: (attr, 1)}, order_extra,
+                        hot_rows, hot_bucket)
     return out.where((F.col(attr) != F.col(prev_attr)) & gap_below(ts, prev_ts, max_gap))
 
 
 def declining_attempts(df: DataFrame, key: str | Sequence[str], ts: str, status: str, amount: str,
                        k: int = 3, max_gap: _dt.timedelta = _dt.timedelta(minutes=20),
-                       success: str = SUCCESS, reject: str = REJECT,
-                       bucket_width: _dt.timedelta | None = None) -> DataFrame:
+                       success: str = SUCCESS, reject: str = REJECT, hot_rows: int = HOT_ROWS,
+                       hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
     """Successful rows preceded (same key and day) by exactly ``k`` refused
     rows whose whole-unit amounts fall strictly towards it, the ``k``-th
     previous row lying less than ``max_gap`` before (strict).
@@ -128,7 +165,7 @@ def declining_attempts(df: DataFrame, key: str | Sequence[str], ts: str, status:
         lags[f"prev_{amount}_{i}"] = (amount, i)
     prev_ts_k = f"prev_{ts}_{k}"
     lags[prev_ts_k] = (ts, k)
-    out = previous_rows(df, key, ts, lags, max_gap, (), bucket_width)
+    out = previous_rows(df, key, ts, lags, (), hot_rows, hot_bucket)
     cond: Column = F.col(status) == F.lit(success)
     for i in range(1, k + 1):
         cond = cond & (F.col(f"prev_{status}_{i}") == F.lit(reject))

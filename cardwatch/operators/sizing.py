@@ -18,8 +18,13 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+def bounded_count(df: DataFrame, max_rows: int) -> int:
+    """``min(rows of df, max_rows + 1)``, reading at most that many rows per task."""
+    return df.limit(max_rows + 1).count()
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return bounded_count(df, max_rows) <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Time-bucket splitting of sequence windows gives exactly the unsplit result.
+"""Hot-group splitting of sequence windows gives exactly the unsplit result.
 
 Checked against a brute-force pandas evaluation on random data with one
-hot key holding most rows, for bucket widths smaller than, equal to and
-larger than the gap (halo rows spanning several buckets included).
+hot key holding most rows.  A low ``hot_rows`` threshold forces the split
+(and the seam stitching) for that key, with buckets from seconds (most
+buckets hold fewer than k rows) to hours (many rows per bucket).
 """
 
 import datetime as dt
@@ -10,6 +11,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cardwatch.operators.sequences import attribute_switch, declining_attempts
 
@@ -64,28 +66,38 @@ def _spark_pairs(df):
     return sorted((r.key, pd.Timestamp(r.ts)) for r in df.select("key", "ts").collect())
 
 
-@pytest.mark.parametrize("width_min", [7, 60, 240, 24 * 60])
-def test_attribute_switch_split_equals_brute_force(spark, width_min):
+WIDTHS = [dt.timedelta(seconds=30), dt.timedelta(minutes=7), dt.timedelta(hours=1), dt.timedelta(hours=5)]
+
+
+@pytest.mark.parametrize("width", WIDTHS)
+def test_attribute_switch_split_equals_brute_force(spark, width):
     pdf, df = _random_events(spark)
-    got = attribute_switch(df, "key", "ts", "city", GAP, bucket_width=dt.timedelta(minutes=width_min))
+    got = attribute_switch(df, "key", "ts", "city", GAP, hot_rows=100, hot_bucket=width)
     assert _spark_pairs(got) == [(k, pd.Timestamp(t)) for k, t in _brute_switch(pdf, pd.Timedelta(GAP))]
 
 
-@pytest.mark.parametrize("width_min", [5, 20, 80])
-def test_declining_attempts_split_equals_brute_force(spark, width_min):
+@pytest.mark.parametrize("width", WIDTHS)
+@pytest.mark.parametrize("k", [2, 3])
+def test_declining_attempts_split_equals_brute_force(spark, width, k):
     pdf, df = _random_events(spark, n=6000, seed=11)
-    gap = dt.timedelta(minutes=20)
-    got = declining_attempts(df, "key", "ts", "status", "amt", k=2, max_gap=gap,
-                             bucket_width=dt.timedelta(minutes=width_min))
-    expect = _brute_decline(pdf, 2, pd.Timedelta(gap))
+    gap = dt.timedelta(hours=3)
+    got = declining_attempts(df, "key", "ts", "status", "amt", k=k, max_gap=gap, hot_rows=100, hot_bucket=width)
+    expect = _brute_decline(pdf, k, pd.Timedelta(gap))
     assert len(expect) > 0
-    assert _spark_pairs(got) == [(k, pd.Timestamp(t)) for k, t in expect]
+    assert _spark_pairs(got) == [(k_, pd.Timestamp(t)) for k_, t in expect]
+
+
+def test_unsplit_default_equals_brute_force(spark):
+    pdf, df = _random_events(spark)
+    got = attribute_switch(df, "key", "ts", "city", GAP)
+    assert _spark_pairs(got) == [(k, pd.Timestamp(t)) for k, t in _brute_switch(pdf, pd.Timedelta(GAP))]
 
 
-def test_hot_key_is_spread_over_buckets(spark):
+def test_only_hot_groups_are_split(spark):
     _, df = _random_events(spark)
-    from cardwatch.operators.sequences import with_time_buckets
-    staged = with_time_buckets(df, "ts", GAP, dt.timedelta(hours=4))
-    per_group = staged.groupBy("key", "_seq_day", "_seq_bucket").count()
-    hot_groups = per_group.where("key = 'hot'").count()
-    assert hot_groups == 3 * 6  # 3 days x 6 buckets of 4 hours
+    from cardwatch.operators.sequences import with_buckets
+    staged = with_buckets(df, ["key"], "ts", hot_rows=300, hot_bucket=dt.timedelta(hours=4))
+    per_key = {r.key: r.n for r in staged.groupBy("key").agg(
+        F.countDistinct("_seq_day", "_seq_bucket").alias("n")).collect()}
+    assert per_key["hot"] == 3 * 6  # 3 days x 6 buckets of 4 hours
+    assert all(n == 3 for k, n in per_key.items() if k != "hot")  # one bucket per day
