@@ -1,0 +1,77 @@
+"""Whole-table properties on the driver tables (sf0.001)."""
+
+import datetime as dt
+import os
+
+import pytest
+
+from cardwatch.operators import history as H
+from cardwatch.operators import rules as R
+from cardwatch.sources.driver_tables import SNAPSHOT_AS_OF, DriverTables
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
+
+
+def _bag(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return DriverTables(spark, SF)
+
+
+@pytest.mark.parametrize("mode", ["all_versions", "as_of"])
+def test_forced_split_equals_default_city_switch(t, mode):
+    args = (t.transactions(), t.terminal_history(), t.clients(), t.accounts(), t.cards(), None, mode)
+    plain = R.city_switch_ops(*args)
+    split = R.city_switch_ops(*args, hot_rows=3, hot_bucket=dt.timedelta(minutes=90))
+    assert _bag(plain) == _bag(split) and len(_bag(plain)) > 0
+
+
+def test_forced_split_equals_default_guessing(t):
+    args = (t.transactions(strict=True), t.clients(), t.accounts(), t.cards(), None)
+    gap = dt.timedelta(hours=24)
+    plain = R.amount_guessing_ops(*args, k=2, max_gap=gap)
+    split = R.amount_guessing_ops(*args, k=2, max_gap=gap, hot_rows=3, hot_bucket=dt.timedelta(minutes=45))
+    assert _bag(plain) == _bag(split) and len(_bag(plain)) > 0
+
+
+def test_days_united_equal_all_days(t, spark):
+    days = [r.d for r in t.transactions().selectExpr("to_date(trans_date) AS d").distinct().collect()]
+    per_day = []
+    for d in sorted(days)[:6]:
+        per_day += _bag(R.fraud_report(t.transactions(), t.terminal_history(), t.clients(), t.accounts(),
+                                       t.cards(), t.blacklist(), d))
+    first6 = sorted(days)[:6]
+    everything = R.fraud_report(t.transactions(), t.terminal_history(), t.clients(), t.accounts(), t.cards(),
+                                t.blacklist(), None)
+    in_days = everything.where(everything.event_dt.cast("date").isin(first6))
+    assert sorted(per_day, key=str) == sorted(_bag(in_days), key=str) and per_day
+
+
+def test_row_order_does_not_matter(t, spark):
+    txn = t.transactions()
+    shuffled = txn.orderBy((txn.trans_id * 7919) % 1009)  # a different physical order
+    a = R.city_switch_ops(txn, t.terminal_history(), t.clients(), t.accounts(), t.cards(), None, "as_of")
+    b = R.city_switch_ops(shuffled.repartition(5), t.terminal_history(), t.clients(), t.accounts(), t.cards(),
+                          None, "as_of")
+    assert _bag(a) == _bag(b)
+
+
+def test_snapshot_applied_twice_is_stable(t):
+    once = H.scd2_apply(t.snapshot_old_history(), t.snapshot_new(), SNAPSHOT_AS_OF)
+    twice = H.scd2_apply(once, t.snapshot_new(), "2024-02-02 00:00:00")
+    assert _bag(once) == _bag(twice)
+
+
+def test_clean_mode_keeps_one_open_row_per_terminal(t, spark):
+    hist = t.snapshot_old_history()
+    snaps = [t.snapshot_new(), t.snapshot_old_history().select(*H.ATTRS, H.KEY), t.snapshot_new()]
+    as_of = dt.datetime(2024, 2, 1)
+    for i, snap in enumerate(snaps):
+        hist = H.scd2_apply(hist, snap, as_of + dt.timedelta(days=i), mode="clean")
+    open_rows = hist.where(hist.effective_to == dt.datetime(2999, 12, 31, 23, 59, 59))
+    per_key = open_rows.groupBy(H.KEY).count()
+    assert per_key.where("count > 1").count() == 0
