@@ -88,3 +88,28 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     parents = parent.select(F.col(parent_key).alias("_parent_key"))
     return (child.where(F.col(child_key).isNotNull())
             .join(parents, F.col(child_key) == parents["_parent_key"], "left_anti"))
+
+
+def orphan_report(transactions: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                  terminals: DataFrame) -> DataFrame:
+    """K2 for every foreign key the warehouse declares: card -> account,
+    account -> client, transaction -> card, transaction -> terminal.
+
+    Returns ``(relation, row_key, reference)`` for each orphan row; each
+    relation is one anti join (broadcast or shuffled by AQE)."""
+    checks = [
+        ("cards.account_num -> accounts", cards, "card_num", "account_num", accounts, "account_num"),
+        ("accounts.client -> clients", accounts, "account_num", "client", clients, "client_id"),
+        ("transactions.card_num -> cards", transactions, "trans_id", "card_num", cards, "card_num"),
+        ("transactions.terminal -> terminals", transactions, "trans_id", "terminal", terminals, "terminal_id"),
+    ]
+    parts = []
+    for relation, child, row_key, ref, parent, parent_key in checks:
+        found = orphans(child.select(row_key, ref), parent.select(parent_key), ref, parent_key)
+        parts.append(found.select(F.lit(relation).alias("relation"),
+                                  F.col(row_key).cast("string").alias("row_key"),
+                                  F.col(ref).cast("string").alias("reference")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -158,9 +158,16 @@ class Warehouse:
         fresh.write.mode("append").parquet(self.path(name))
 
     def load_terminals(self, snapshot: DataFrame, as_of, mode: str = "reference",
-                       null_keys: str = "reference", null_safe: bool = False) -> int:
-        """Apply a full snapshot at ``as_of``; returns the new version."""
+                       null_keys: str = "reference", null_safe: bool = False,
+                       initial_start: str = "1900-01-01 00:00:00") -> int:
+        """Apply a full snapshot at ``as_of``; returns the new version.
+
+        In ``clean`` mode the first snapshot (empty history) opens its
+        versions at ``initial_start`` rather than at the load time, so that
+        as-of joins can place operations made before the first load."""
         current = self.history_version() or 0
+        if mode == "clean" and current == 0:
+            as_of = initial_start
         new_hist = H.scd2_apply(conform(self.history(), schemas.TERMINALS_HIST),
                                 conform(snapshot, schemas.TERMINALS_HIST).select(H.KEY, *H.ATTRS),
                                 as_of, mode=mode, null_keys=null_keys, null_safe=null_safe)

@@ -114,3 +114,16 @@ def test_orphans(spark):
     child = spark.createDataFrame([("a", "c1"), ("b", "c9"), ("c", None)], "id string, card string")
     parent = spark.createDataFrame([("c1",)], "card_num string")
     assert _rows(K.orphans(child, parent, "card", "card_num")) == [("b", "c9")]
+
+
+def test_orphan_report_covers_every_foreign_key(spark):
+    txn = spark.createDataFrame([("t1", "C1", "T1"), ("t2", "C9", "T9")], "trans_id string, card_num string, terminal string")
+    cards = spark.createDataFrame([("C1", "A1"), ("C2", "A9")], "card_num string, account_num string")
+    accounts = spark.createDataFrame([("A1", "K1"), ("A2", "K9")], "account_num string, client string")
+    clients = spark.createDataFrame([("K1",)], "client_id string")
+    terms = _hist(spark, [("T1", "POS", "A", "a", T0, FAR, False)])
+    got = _rows(K.orphan_report(txn, cards, accounts, clients, terms))
+    assert got == [("accounts.client -> clients", "A2", "K9"),
+                   ("cards.account_num -> accounts", "C2", "A9"),
+                   ("transactions.card_num -> cards", "t2", "C9"),
+                   ("transactions.terminal -> terminals", "t2", "T9")]
