@@ -159,7 +159,7 @@ FROM old_hist
 
 SQL: dict[str, str] = {
     "day_slice": f"SELECT trans_id, trans_date, amt, card_num, oper_type, oper_result, terminal FROM txn t WHERE true {_DAY}",
-    "ownership_chain": """SELECT t.trans_id, t.card_num, o.account_num, o.account_valid_to, o.client_id,
+    "ownership_chain": """SELECT t.trans_id, t.card_num, o.account_num, o.client_id,
         o.passport_num, o.fio, o.phone FROM txn t JOIN owners o ON t.card_num = o.card_num""",
     "full_name": "SELECT client_id, last_name || ' ' || first_name || ' ' || patronymic AS fio FROM clients",
     "expired_documents": """SELECT client_id, passport_num, last_name || ' ' || first_name || ' ' || patronymic AS fio,
@@ -191,11 +191,11 @@ SQL: dict[str, str] = {
         _R1.format(day=_DAY), _R2.format(day=_DAY), _R3.format(asof=_ASOF, day=_DAY, gap_min=60),
         _r4(3, 20, "oper_result").replace("FROM txn t\n", f"FROM txn t WHERE true {_DAY}\n")]),
     "rename_transactions": "SELECT trans_id, trans_date, amt, card_num, oper_type, oper_result, terminal FROM txn",
-    "insert_if_absent": """SELECT passport_num, entry_dt FROM blacklist_feed
+    "insert_if_absent": """SELECT passport_num FROM blacklist_feed
         WHERE passport_num NOT IN (SELECT passport_num FROM blacklist)""",
-    "insert_if_absent_null_list": """SELECT passport_num, entry_dt FROM blacklist_feed
+    "insert_if_absent_null_list": """SELECT passport_num FROM blacklist_feed
         WHERE passport_num NOT IN (SELECT passport_num FROM blacklist_with_null)""",
-    "insert_if_absent_ignore_nulls": """SELECT f.passport_num, f.entry_dt FROM blacklist_feed f
+    "insert_if_absent_ignore_nulls": """SELECT f.passport_num FROM blacklist_feed f
         WHERE NOT EXISTS (SELECT 1 FROM blacklist_with_null b WHERE b.passport_num = f.passport_num)""",
     "active_versions": f"""SELECT {_HIST_COLS} FROM hist
         WHERE TIMESTAMP '2024-01-20 12:00:00' BETWEEN effective_from AND effective_to AND NOT deleted_flg""",

@@ -37,9 +37,12 @@ def q_day_slice(spark, sf_dir):
     return R.day_slice(_t(spark, sf_dir).transactions(), REPORT_DAY)
 
 
+# Registered outputs carry no DATE column: pass-through dates are projected
+# away (DATE converts differently in the engines' pandas bridges).
 def q_ownership_chain(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return ownership_chain(t.transactions().select("trans_id", "card_num"), t.cards(), t.accounts(), t.clients())
+    chained = ownership_chain(t.transactions().select("trans_id", "card_num"), t.cards(), t.accounts(), t.clients())
+    return chained.drop("account_valid_to")
 
 
 def q_full_name(spark, sf_dir):
@@ -104,17 +107,17 @@ def q_rename_transactions(spark, sf_dir):
 
 def q_insert_if_absent(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return K.insert_if_absent(t.blacklist_feed(), t.blacklist())
+    return K.insert_if_absent(t.blacklist_feed(), t.blacklist()).select("passport_num")
 
 
 def q_insert_if_absent_null_list(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return K.insert_if_absent(t.blacklist_feed(), t.blacklist_with_null())
+    return K.insert_if_absent(t.blacklist_feed(), t.blacklist_with_null()).select("passport_num")
 
 
 def q_insert_if_absent_ignore_nulls(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return K.insert_if_absent(t.blacklist_feed(), t.blacklist_with_null(), null_keys="ignore")
+    return K.insert_if_absent(t.blacklist_feed(), t.blacklist_with_null(), null_keys="ignore").select("passport_num")
 
 
 def q_active_versions(spark, sf_dir):

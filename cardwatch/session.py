@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Job-level commit: a failed or retried append exposes no partial files.
+    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",
 }
 
 
