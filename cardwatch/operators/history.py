@@ -106,6 +106,10 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, as_of: TimeLike, key: st
     change.  ``mode='reference'`` closes only deleted and changed keys (a
     key that returns after deletion then has its open tombstone beside a new
     live row); ``mode='clean'`` also closes the open rows of returning keys.
+
+    The plan reads ``history`` several times, so when applying a series of
+    snapshots write (or ``checkpoint()``) each version before the next
+    apply, as ``plans.warehouse.Warehouse.load_terminals`` does.
     """
     cols = [key, *attrs, FROM, TO, DELETED]
     history = history.select(*cols)

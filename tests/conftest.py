@@ -22,7 +22,7 @@ SNAP_SCHEMA = "terminal_id string, terminal_type string, terminal_city string, t
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", 4, app_name="cardwatch-tests")
+    s = build_session("local[4]", 4, app_name="cardwatch-tests", extra={"spark.driver.memory": "4g"})
     checkpoint_dir(s, tempfile.mkdtemp(prefix="cw-ckpt-", dir="/tmp"))
     yield s
     s.stop()

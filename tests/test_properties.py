@@ -71,7 +71,10 @@ def test_clean_mode_keeps_one_open_row_per_terminal(t, spark):
     snaps = [t.snapshot_new(), t.snapshot_old_history().select(*H.ATTRS, H.KEY), t.snapshot_new()]
     as_of = dt.datetime(2024, 2, 1)
     for i, snap in enumerate(snaps):
-        hist = H.scd2_apply(hist, snap, as_of + dt.timedelta(days=i), mode="clean")
+        # Each apply reads its input several times: cut the lineage between
+        # versions (reliable checkpoint in spark.checkpoint.dir), as the
+        # warehouse does by writing every version.
+        hist = H.scd2_apply(hist, snap, as_of + dt.timedelta(days=i), mode="clean").checkpoint()
     open_rows = hist.where(hist.effective_to == dt.datetime(2999, 12, 31, 23, 59, 59))
     per_key = open_rows.groupBy(H.KEY).count()
     assert per_key.where("count > 1").count() == 0
