@@ -72,41 +72,70 @@ def bad_document_union(clients: DataFrame, blacklist: DataFrame, day: _dt.date |
     return expired_documents(clients, day).unionByName(listed_documents(clients, blacklist)).distinct()
 
 
-def bad_document_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
-                     cards: DataFrame, blacklist: DataFrame, day: DayLike = None) -> DataFrame:
-    """Successful operations of ``day`` under an expired or listed document.
+_SUSPECT_COLUMNS = ["card_num", "passport_num", "fio", "phone", "event_type", "_cutoff"]
 
-    Both document sets are united first (with their expiry date, NULL for
-    listed ones), extended to cards, and joined to the operations once, so
-    the fact side is read and shuffled a single time."""
+
+def _document_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame, blacklist: DataFrame,
+                       day: DayLike) -> DataFrame:
+    """Cards whose owner has an expired or listed document (R1c extended to
+    cards), with ``_cutoff``: the expiry date (an operation counts only after
+    it) or NULL for listed documents."""
     exp = clients.where(F.col("passport_valid_to").isNotNull())
     if day is not None:
         exp = exp.where(date_lit(day) > F.col("passport_valid_to"))
     exp = (owner_columns(exp, "passport_valid_to")
            .select("*", F.lit(TAG_OVERDUE_PASSPORT).alias("event_type"))
-           .withColumnRenamed("passport_valid_to", "_expired_before"))
+           .withColumnRenamed("passport_valid_to", "_cutoff"))
     listed = (owner_columns(clients.join(blacklist.select("passport_num"), "passport_num", "left_semi"))
               .select("*", F.lit(TAG_BLOCKED_PASSPORT).alias("event_type"),
-                      F.lit(None).cast("date").alias("_expired_before")))
+                      F.lit(None).cast("date").alias("_cutoff")))
     bad = exp.unionByName(listed).distinct()
-    bad_cards = cards_of_clients(bad, accounts, cards)
-    ops = _successful(transactions, day)
-    joined = ops.join(bad_cards, "card_num").where(
-        F.col("_expired_before").isNull() | (day_of("trans_date") > F.col("_expired_before")))
+    return cards_of_clients(bad, accounts, cards).select(*_SUSPECT_COLUMNS)
+
+
+def _contract_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame, day: DayLike) -> DataFrame:
+    """Cards on accounts whose contract ended, ``_cutoff`` = its end date."""
+    acc = accounts if day is None else accounts.where(date_lit(day) > F.col("valid_to"))
+    owners = cards_of_clients(owner_columns(clients), acc, cards)
+    return (owners.select("*", F.lit(TAG_OVERDUE_ACCOUNT).alias("event_type"),
+                          F.col("account_valid_to").alias("_cutoff"))
+            .select(*_SUSPECT_COLUMNS))
+
+
+def _ops_on_suspect_cards(transactions: DataFrame, suspects: DataFrame, day: DayLike) -> DataFrame:
+    """Successful operations of ``day`` on suspect cards, after the cutoff."""
+    joined = _successful(transactions, day).join(suspects, "card_num").where(
+        F.col("_cutoff").isNull() | (day_of("trans_date") > F.col("_cutoff")))
     return to_report(joined)
 
 
+def bad_document_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
+                     cards: DataFrame, blacklist: DataFrame, day: DayLike = None) -> DataFrame:
+    """Successful operations of ``day`` under an expired or listed document.
+
+    Both document sets are united first (with their expiry date, NULL for
+    listed ones), extended to cards, and joined to the operations once, so
+    the fact side is read and shuffled a single time."""
+    return _ops_on_suspect_cards(transactions, _document_suspects(clients, accounts, cards, blacklist, day), day)
+
+
 # -- R2: operations under a lapsed contract ----------------------------------
 
 def lapsed_contract_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
                         cards: DataFrame, day: DayLike = None) -> DataFrame:
     """R2: successful operations of ``day`` on an account whose contract
     ended before that day."""
-    acc = accounts if day is None else accounts.where(date_lit(day) > F.col("valid_to"))
-    owners = cards_of_clients(owner_columns(clients), acc, cards)
-    joined = _successful(transactions, day).join(owners, "card_num").where(
-        day_of("trans_date") > F.col("account_valid_to"))
-    return to_report(joined, TAG_OVERDUE_ACCOUNT)
+    return _ops_on_suspect_cards(transactions, _contract_suspects(clients, accounts, cards, day), day)
+
+
+def document_and_contract_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
+                              cards: DataFrame, blacklist: DataFrame, day: DayLike = None) -> DataFrame:
+    """R1 and R2 together (all rows of both): the two suspect-card sets are
+    united and joined to the day's operations once, so the report shuffles
+    the fact side for both rules a single time."""
+    suspects = (_document_suspects(clients, accounts, cards, blacklist, day)
+                .unionByName(_contract_suspects(clients, accounts, cards, day)))
+    return _ops_on_suspect_cards(transactions, suspects, day)
 
 
 # -- R3: operations in two cities within an hour -----------------------------
@@ -162,10 +191,12 @@ def fraud_report(transactions: DataFrame, history: DataFrame, clients: DataFrame
                  terminal_join: str = "as_of", guess_k: int = GUESS_ATTEMPTS,
                  guess_gap: _dt.timedelta = GUESS_GAP,
                  guess_transactions: DataFrame | None = None) -> DataFrame:
-    """R1, R2, R3 and R4 in this order, all kept (no dedupe between rules)."""
+    """R1, R2, R3 and R4, all rows kept (no dedupe between rules).
+
+    R1 and R2 share one join with the operations (see
+    :func:`document_and_contract_ops`)."""
     parts = [
-        bad_document_ops(transactions, clients, accounts, cards, blacklist, day),
-        lapsed_contract_ops(transactions, clients, accounts, cards, day),
+        document_and_contract_ops(transactions, clients, accounts, cards, blacklist, day),
         city_switch_ops(transactions, history, clients, accounts, cards, day, terminal_join),
         amount_guessing_ops(guess_transactions if guess_transactions is not None else transactions,
                             clients, accounts, cards, day, guess_k, guess_gap),
