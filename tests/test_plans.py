@@ -1,0 +1,58 @@
+"""Physical-plan shape of the main rules (static plans, AQE off)."""
+
+import os
+import re
+
+import pytest
+
+import __spark_entry__ as E
+
+SF = "/root/testdata/sf0.01"
+pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
+
+
+@pytest.fixture
+def static_plans(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield lambda name: E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _hash_exchanges(plan):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+
+
+def test_city_switch_has_one_window_exchange_and_broadcast_history(static_plans):
+    plan = static_plans("city_switch_as_of")
+    window_exchanges = [e for e in _hash_exchanges(plan) if "_seq_day" in e]
+    # one for the window; the hot-group count runs as its own small job
+    assert len(window_exchanges) == 1
+    assert "BroadcastHashJoin [terminal" in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
+
+
+def test_guessing_reads_only_needed_columns(static_plans):
+    plan = static_plans("declining_attempts_k3")
+    assert "props" not in plan.split("ReadSchema")[1].split("\n")[0]
+    assert len([e for e in _hash_exchanges(plan) if "_seq_day" in e]) == 1
+
+
+def test_day_filter_reaches_the_scan(static_plans):
+    plan = static_plans("lapsed_contract_ops_day")
+    scan = [line for line in plan.split("\n") if "FileScan parquet" in line and "events" in line][0]
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in scan and "LessThan(ts," in scan
+
+
+def test_not_in_is_a_hash_join_not_a_nested_loop(static_plans):
+    plan = static_plans("insert_if_absent")
+    assert "NestedLoopJoin" not in plan
+    assert "LeftAnti" in plan
+
+
+def test_fraud_report_scans_events_once_per_rule_family(static_plans):
+    plan = static_plans("fraud_report")
+    scans = [line for line in plan.split("\n") if "FileScan parquet" in line and "events.parquet" in line]
+    # R1 and R2 share one join with the operations; R3 and R4 one window
+    # each; with no hot group the split machinery adds nothing to the plan.
+    assert len(scans) == 3
+    assert "NestedLoopJoin" not in plan
