@@ -10,7 +10,6 @@ partition pruning on a day-partitioned fact table).
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -140,6 +139,26 @@ def document_and_contract_ops(transactions: DataFrame, clients: DataFrame, accou
 
 # -- R3: operations in two cities within an hour -----------------------------
 
+def city_switch_findings(transactions: DataFrame, history: DataFrame, day: DayLike = None,
+                         terminal_join: str = "as_of", max_gap: _dt.timedelta = CITY_GAP,
+                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                         hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
+    """R3 before the owner lookup: ``(trans_date, card_num, event_type)``."""
+    hist = history.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
+    hist = broadcast_if_bounded(hist, max_broadcast_rows)
+    ops = _successful(transactions, day).select("trans_id", "trans_date", "card_num", "terminal")
+    on = ops["terminal"] == hist["terminal_id"]
+    if terminal_join == "as_of":
+        on = on & ops["trans_date"].between(hist["effective_from"], hist["effective_to"]) & ~hist["deleted_flg"]
+    elif terminal_join != "all_versions":
+        raise ValueError(f"unknown terminal_join {terminal_join!r}")
+    located = ops.join(hist, on).select("trans_id", "trans_date", "card_num", "terminal_city", "effective_from")
+    switched = attribute_switch(located, "card_num", "trans_date", "terminal_city", max_gap,
+                                order_extra=("effective_from", "terminal_city"), hot_rows=hot_rows,
+                                hot_bucket=hot_bucket)
+    return switched.select("trans_date", "card_num", F.lit(TAG_DIFF_CITY).alias("event_type"))
+
+
 def city_switch_ops(transactions: DataFrame, history: DataFrame, clients: DataFrame,
                     accounts: DataFrame, cards: DataFrame, day: DayLike = None,
                     terminal_join: str = "as_of", max_gap: _dt.timedelta = CITY_GAP,
@@ -155,33 +174,31 @@ def city_switch_ops(transactions: DataFrame, history: DataFrame, clients: DataFr
     formed.  The history is broadcast after a row-count check, so the
     window's shuffle by card is the rule's only large exchange; hot
     (card, day) groups are split as described in ``sequences``."""
-    hist = history.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
-    hist = broadcast_if_bounded(hist, max_broadcast_rows)
-    ops = _successful(transactions, day).select("trans_id", "trans_date", "card_num", "terminal")
-    on = ops["terminal"] == hist["terminal_id"]
-    if terminal_join == "as_of":
-        on = on & ops["trans_date"].between(hist["effective_from"], hist["effective_to"]) & ~hist["deleted_flg"]
-    elif terminal_join != "all_versions":
-        raise ValueError(f"unknown terminal_join {terminal_join!r}")
-    located = ops.join(hist, on).select("trans_id", "trans_date", "card_num", "terminal_city", "effective_from")
-    switched = attribute_switch(located, "card_num", "trans_date", "terminal_city", max_gap,
-                                order_extra=("effective_from", "terminal_city"), hot_rows=hot_rows,
-                                hot_bucket=hot_bucket)
-    return to_report(ownership_chain(switched, cards, accounts, clients), TAG_DIFF_CITY)
+    found = city_switch_findings(transactions, history, day, terminal_join, max_gap, max_broadcast_rows,
+                                 hot_rows, hot_bucket)
+    return to_report(ownership_chain(found, cards, accounts, clients))
 
 
 # -- R4: amount guessing -----------------------------------------------------
 
+def amount_guessing_findings(transactions: DataFrame, day: DayLike = None, k: int = GUESS_ATTEMPTS,
+                             max_gap: _dt.timedelta = GUESS_GAP, hot_rows: int = HOT_ROWS,
+                             hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
+    """R4 before the owner lookup: ``(trans_date, card_num, event_type)``."""
+    ops = day_slice(transactions, day).select("trans_id", "trans_date", "card_num", "amt", "oper_result")
+    found = declining_attempts(ops, "card_num", "trans_date", "oper_result", "amt", k=k,
+                               max_gap=max_gap, hot_rows=hot_rows, hot_bucket=hot_bucket)
+    return found.select("trans_date", "card_num", F.lit(TAG_SUM_GUESSING).alias("event_type"))
+
+
 def amount_guessing_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
                         cards: DataFrame, day: DayLike = None, k: int = GUESS_ATTEMPTS,
                         max_gap: _dt.timedelta = GUESS_GAP,
                         hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
     """A successful operation after ``k`` refused ones of the same card
     and day with strictly falling whole-unit amounts, all within ``max_gap``."""
-    ops = day_slice(transactions, day).select("trans_id", "trans_date", "card_num", "amt", "oper_result")
-    found = declining_attempts(ops, "card_num", "trans_date", "oper_result", "amt", k=k,
-                               max_gap=max_gap, hot_rows=hot_rows, hot_bucket=hot_bucket)
-    return to_report(ownership_chain(found, cards, accounts, clients), TAG_SUM_GUESSING)
+    found = amount_guessing_findings(transactions, day, k, max_gap, hot_rows, hot_bucket)
+    return to_report(ownership_chain(found, cards, accounts, clients))
 
 
 # -- R5: all rules -------------------------------------------------------------
@@ -194,11 +211,10 @@ def fraud_report(transactions: DataFrame, history: DataFrame, clients: DataFrame
     """R1, R2, R3 and R4, all rows kept (no dedupe between rules).
 
     R1 and R2 share one join with the operations (see
-    :func:`document_and_contract_ops`)."""
-    parts = [
-        document_and_contract_ops(transactions, clients, accounts, cards, blacklist, day),
-        city_switch_ops(transactions, history, clients, accounts, cards, day, terminal_join),
-        amount_guessing_ops(guess_transactions if guess_transactions is not None else transactions,
-                            clients, accounts, cards, day, guess_k, guess_gap),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    :func:`document_and_contract_ops`); the R3 and R4 findings are united
+    and looked up in the ownership chain once."""
+    sequences = city_switch_findings(transactions, history, day, terminal_join).unionByName(
+        amount_guessing_findings(guess_transactions if guess_transactions is not None else transactions,
+                                 day, guess_k, guess_gap))
+    return (document_and_contract_ops(transactions, clients, accounts, cards, blacklist, day)
+            .unionByName(to_report(ownership_chain(sequences, cards, accounts, clients))))
