@@ -35,6 +35,12 @@ def as_date(day: _dt.date | str) -> _dt.date:
     return parse_run_date(text) if len(text) == 8 and text.isdigit() else _dt.date.fromisoformat(text)
 
 
+# Feed file name prefixes (``<prefix>_DDMMYYYY.<ext>``).
+TRANSACTIONS_PREFIX = "transactions"
+BLACKLIST_PREFIX = "passport_blacklist"
+TERMINALS_PREFIX = "terminals"
+
+
 @dataclass
 class FeedFolder:
     """Feeds named ``<kind>_DDMMYYYY.<ext>`` in one folder."""
@@ -48,13 +54,13 @@ class FeedFolder:
         return f"{self.folder.rstrip('/')}/{kind}_{day.strftime('%d%m%Y')}.{ext}"
 
     def transactions(self, day: _dt.date) -> str:
-        return self._p("transactions", day, self.transactions_ext)
+        return self._p(TRANSACTIONS_PREFIX, day, self.transactions_ext)
 
     def blacklist(self, day: _dt.date) -> str:
-        return self._p("passport_blacklist", day, self.blacklist_ext)
+        return self._p(BLACKLIST_PREFIX, day, self.blacklist_ext)
 
     def terminals(self, day: _dt.date) -> str:
-        return self._p("terminals", day, self.terminals_ext)
+        return self._p(TERMINALS_PREFIX, day, self.terminals_ext)
 
 
 def load_feeds(wh: Warehouse, day: _dt.date, feeds: FeedFolder, as_of=None, key_policy: str = "fail",

@@ -37,6 +37,17 @@ TABLES: dict[str, tuple[StructType, list[str]]] = {
     "report": (schemas.REPORT, ["event_day"]),
 }
 HISTORY = "terminals_hist"
+
+# SQL view names, as users of the reference's tables know them.
+SQL_VIEW_NAMES = {
+    "transactions": "dwh_fact_transactions",
+    "blacklist": "dwh_fact_passport_blacklist",
+    "clients": "dwh_dim_clients",
+    "accounts": "dwh_dim_accounts",
+    "cards": "dwh_dim_cards",
+    "report": "rep_fraud",
+}
+HISTORY_VIEW_NAME = "dwh_dim_terminals_hist"
 _VERSION = re.compile(r"/version=(\d+)/")
 
 
@@ -78,12 +89,9 @@ class Warehouse:
     def register_views(self, prefix: str = "") -> None:
         """Expose every table (and the current history) to ``spark.sql`` as
         temporary views named like the reference's tables."""
-        names = {"transactions": "dwh_fact_transactions", "blacklist": "dwh_fact_passport_blacklist",
-                 "clients": "dwh_dim_clients", "accounts": "dwh_dim_accounts", "cards": "dwh_dim_cards",
-                 "report": "rep_fraud"}
-        for name, view in names.items():
+        for name, view in SQL_VIEW_NAMES.items():
             self.table(name).createOrReplaceTempView(prefix + view)
-        self.history().createOrReplaceTempView(prefix + "dwh_dim_terminals_hist")
+        self.history().createOrReplaceTempView(prefix + HISTORY_VIEW_NAME)
 
     def table(self, name: str) -> DataFrame:
         schema, _ = TABLES[name]
