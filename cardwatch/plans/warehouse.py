@@ -127,6 +127,13 @@ class Warehouse:
             return self.spark.createDataFrame([], schemas.TERMINALS_HIST)
         return self.spark.read.schema(schemas.TERMINALS_HIST).parquet(f"{self.path(HISTORY)}/version={v}")
 
+    def replace_history(self, history: DataFrame) -> int:
+        """Write an existing type-2 history (e.g. migrated from another
+        store) as the next version; returns that version."""
+        version = (self.history_version() or 0) + 1
+        self._write_history(history, version)
+        return version
+
     def _write_history(self, df: DataFrame, version: int) -> None:
         (conform(df, schemas.TERMINALS_HIST).write.mode("overwrite")
          .parquet(f"{self.path(HISTORY)}/version={version}"))
