@@ -75,10 +75,14 @@ _SUSPECT_COLUMNS = ["card_num", "passport_num", "fio", "phone", "event_type", "_
 
 
 def _document_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame, blacklist: DataFrame,
-                       day: DayLike) -> DataFrame:
+                       day: DayLike, clients_unique: bool = False) -> DataFrame:
     """Cards whose owner has an expired or listed document (R1c extended to
     cards), with ``_cutoff``: the expiry date (an operation counts only after
-    it) or NULL for listed documents."""
+    it) or NULL for listed documents.
+
+    R1c's ``UNION`` removes repeated client rows; when ``clients`` is known
+    to hold one row per client (the warehouse enforces it, K1) that shuffle
+    is skipped."""
     exp = clients.where(F.col("passport_valid_to").isNotNull())
     if day is not None:
         exp = exp.where(date_lit(day) > F.col("passport_valid_to"))
@@ -88,7 +92,9 @@ def _document_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame
     listed = (owner_columns(clients.join(blacklist.select("passport_num"), "passport_num", "left_semi"))
               .select("*", F.lit(TAG_BLOCKED_PASSPORT).alias("event_type"),
                       F.lit(None).cast("date").alias("_cutoff")))
-    bad = exp.unionByName(listed).distinct()
+    bad = exp.unionByName(listed)
+    if not clients_unique:
+        bad = bad.distinct()
     return cards_of_clients(bad, accounts, cards).select(*_SUSPECT_COLUMNS)
 
 
@@ -109,13 +115,15 @@ def _ops_on_suspect_cards(transactions: DataFrame, suspects: DataFrame, day: Day
 
 
 def bad_document_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
-                     cards: DataFrame, blacklist: DataFrame, day: DayLike = None) -> DataFrame:
+                     cards: DataFrame, blacklist: DataFrame, day: DayLike = None,
+                     clients_unique: bool = False) -> DataFrame:
     """Successful operations of ``day`` under an expired or listed document.
 
     Both document sets are united first (with their expiry date, NULL for
     listed ones), extended to cards, and joined to the operations once, so
     the fact side is read and shuffled a single time."""
-    return _ops_on_suspect_cards(transactions, _document_suspects(clients, accounts, cards, blacklist, day), day)
+    suspects = _document_suspects(clients, accounts, cards, blacklist, day, clients_unique)
+    return _ops_on_suspect_cards(transactions, suspects, day)
 
 
 # -- R2: operations under a lapsed contract ----------------------------------
@@ -128,11 +136,12 @@ def lapsed_contract_ops(transactions: DataFrame, clients: DataFrame, accounts: D
 
 
 def document_and_contract_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
-                              cards: DataFrame, blacklist: DataFrame, day: DayLike = None) -> DataFrame:
+                              cards: DataFrame, blacklist: DataFrame, day: DayLike = None,
+                              clients_unique: bool = False) -> DataFrame:
     """R1 and R2 together (all rows of both): the two suspect-card sets are
     united and joined to the day's operations once, so the report shuffles
     the fact side for both rules a single time."""
-    suspects = (_document_suspects(clients, accounts, cards, blacklist, day)
+    suspects = (_document_suspects(clients, accounts, cards, blacklist, day, clients_unique)
                 .unionByName(_contract_suspects(clients, accounts, cards, day)))
     return _ops_on_suspect_cards(transactions, suspects, day)
 
@@ -207,7 +216,7 @@ def fraud_report(transactions: DataFrame, history: DataFrame, clients: DataFrame
                  cards: DataFrame, blacklist: DataFrame, day: DayLike = None,
                  terminal_join: str = "as_of", guess_k: int = GUESS_ATTEMPTS,
                  guess_gap: _dt.timedelta = GUESS_GAP,
-                 guess_transactions: DataFrame | None = None) -> DataFrame:
+                 guess_transactions: DataFrame | None = None, clients_unique: bool = False) -> DataFrame:
     """R1, R2, R3 and R4, all rows kept (no dedupe between rules).
 
     R1 and R2 share one join with the operations (see
@@ -216,5 +225,5 @@ def fraud_report(transactions: DataFrame, history: DataFrame, clients: DataFrame
     sequences = city_switch_findings(transactions, history, day, terminal_join).unionByName(
         amount_guessing_findings(guess_transactions if guess_transactions is not None else transactions,
                                  day, guess_k, guess_gap))
-    return (document_and_contract_ops(transactions, clients, accounts, cards, blacklist, day)
+    return (document_and_contract_ops(transactions, clients, accounts, cards, blacklist, day, clients_unique)
             .unionByName(to_report(ownership_chain(sequences, cards, accounts, clients))))

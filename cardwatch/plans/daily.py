@@ -95,8 +95,10 @@ def day_report(wh: Warehouse, day: _dt.date | str | None, terminal_join: str = "
             txn = txn.where(F.col("trans_day") <= date_lit(as_date(end)))
     elif day is not None:
         txn = txn.where(F.col("trans_day") == date_lit(as_date(day)))
+    # Clients are loaded through the key guard (K1): one row per client.
     return fraud_report(txn, wh.history(), wh.table("clients"), wh.table("accounts"), wh.table("cards"),
-                        wh.table("blacklist"), None if day is None else as_date(day), terminal_join)
+                        wh.table("blacklist"), None if day is None else as_date(day), terminal_join,
+                        clients_unique=True)
 
 
 def run_day(wh: Warehouse, day: _dt.date | str, feeds: FeedFolder | None = None, as_of=None,

@@ -167,3 +167,13 @@ def test_guessing_k2(spark):
     rows = _seq("C1", f"{DAY} 10:00:00", [300, 200, 100], ["REJECT", "REJECT", "SUCCESS"], 60)
     assert _guess(b, rows, k=2) == [(f"{DAY} 10:02:00", "DOC1", "sum_guessing")]
     assert _guess(b, rows, k=3) == []
+
+
+def test_repeated_client_row_reported_once(spark):
+    b = Bank(spark, 1, passport_valid_to={1: dt.date(2024, 1, 1)})
+    clients = b.clients.unionByName(b.clients)  # the same client row twice
+    t = b.txns([("t1", f"{DAY} 10:00:00", 10, "C1", "SUCCESS", "T")])
+    bl = spark.createDataFrame([], "passport_num string")
+    assert R.bad_document_ops(t, clients, b.accounts, b.cards, bl, DAY).count() == 1
+    # with the uniqueness promise (warehouse, K1) the dedupe is skipped
+    assert R.bad_document_ops(t, b.clients, b.accounts, b.cards, bl, DAY, clients_unique=True).count() == 1
