@@ -51,8 +51,8 @@ def _successful(transactions: DataFrame, day: DayLike) -> DataFrame:
 def expired_documents(clients: DataFrame, day: DayLike) -> DataFrame:
     """Clients whose document expired before ``day``.
 
-    With ``day=None`` every client with an expiry date is returned together
-    with ``passport_valid_to``; the comparison then happens per operation."""
+    With ``day=None`` every client with an expiry date is returned (the
+    all-days rules compare the expiry with each operation's own day)."""
     base = clients.where(F.col("passport_valid_to").isNotNull())
     if day is not None:
         base = base.where(date_lit(day) > F.col("passport_valid_to"))
