@@ -25,7 +25,14 @@ from cardwatch.functions.expressions import (
     day_of,
 )
 from cardwatch.operators.chain import cards_of_clients, owner_columns, ownership_chain, to_report
-from cardwatch.operators.sequences import HOT_BUCKET, HOT_ROWS, attribute_switch, declining_attempts
+from cardwatch.operators.sequences import (
+    HOT_BUCKET,
+    HOT_ROWS,
+    HotGroups,
+    attribute_switch,
+    declining_attempts,
+    find_hot_groups,
+)
 from cardwatch.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
 
 DayLike = _dt.date | str | None
@@ -151,7 +158,8 @@ def document_and_contract_ops(transactions: DataFrame, clients: DataFrame, accou
 def city_switch_findings(transactions: DataFrame, history: DataFrame, day: DayLike = None,
                          terminal_join: str = "as_of", max_gap: _dt.timedelta = CITY_GAP,
                          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                         hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
+                         hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET,
+                         hot: HotGroups | None = None) -> DataFrame:
     """R3 before the owner lookup: ``(trans_date, card_num, event_type)``."""
     hist = history.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
     hist = broadcast_if_bounded(hist, max_broadcast_rows)
@@ -164,7 +172,7 @@ def city_switch_findings(transactions: DataFrame, history: DataFrame, day: DayLi
     located = ops.join(hist, on).select("trans_id", "trans_date", "card_num", "terminal_city", "effective_from")
     switched = attribute_switch(located, "card_num", "trans_date", "terminal_city", max_gap,
                                 order_extra=("effective_from", "terminal_city"), hot_rows=hot_rows,
-                                hot_bucket=hot_bucket)
+                                hot_bucket=hot_bucket, hot=hot)
     return switched.select("trans_date", "card_num", F.lit(TAG_DIFF_CITY).alias("event_type"))
 
 
@@ -192,11 +200,11 @@ def city_switch_ops(transactions: DataFrame, history: DataFrame, clients: DataFr
 
 def amount_guessing_findings(transactions: DataFrame, day: DayLike = None, k: int = GUESS_ATTEMPTS,
                              max_gap: _dt.timedelta = GUESS_GAP, hot_rows: int = HOT_ROWS,
-                             hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
+                             hot_bucket: _dt.timedelta = HOT_BUCKET, hot: HotGroups | None = None) -> DataFrame:
     """R4 before the owner lookup: ``(trans_date, card_num, event_type)``."""
     ops = day_slice(transactions, day).select("trans_id", "trans_date", "card_num", "amt", "oper_result")
     found = declining_attempts(ops, "card_num", "trans_date", "oper_result", "amt", k=k,
-                               max_gap=max_gap, hot_rows=hot_rows, hot_bucket=hot_bucket)
+                               max_gap=max_gap, hot_rows=hot_rows, hot_bucket=hot_bucket, hot=hot)
     return found.select("trans_date", "card_num", F.lit(TAG_SUM_GUESSING).alias("event_type"))
 
 
@@ -216,14 +224,18 @@ def fraud_report(transactions: DataFrame, history: DataFrame, clients: DataFrame
                  cards: DataFrame, blacklist: DataFrame, day: DayLike = None,
                  terminal_join: str = "as_of", guess_k: int = GUESS_ATTEMPTS,
                  guess_gap: _dt.timedelta = GUESS_GAP,
-                 guess_transactions: DataFrame | None = None, clients_unique: bool = False) -> DataFrame:
+                 guess_transactions: DataFrame | None = None, clients_unique: bool = False,
+                 hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
     """R1, R2, R3 and R4, all rows kept (no dedupe between rules).
 
     R1 and R2 share one join with the operations (see
-    :func:`document_and_contract_ops`); the R3 and R4 findings are united
-    and looked up in the ownership chain once."""
-    sequences = city_switch_findings(transactions, history, day, terminal_join).unionByName(
+    :func:`document_and_contract_ops`); R3 and R4 share one hot-group count
+    over the day's operations; their findings are united and looked up in
+    the ownership chain once."""
+    hot = find_hot_groups(day_slice(transactions, day), "card_num", "trans_date", hot_rows)
+    sequences = city_switch_findings(transactions, history, day, terminal_join, hot_rows=hot_rows,
+                                     hot_bucket=hot_bucket, hot=hot).unionByName(
         amount_guessing_findings(guess_transactions if guess_transactions is not None else transactions,
-                                 day, guess_k, guess_gap))
+                                 day, guess_k, guess_gap, hot_rows=hot_rows, hot_bucket=hot_bucket, hot=hot))
     return (document_and_contract_ops(transactions, clients, accounts, cards, blacklist, day, clients_unique)
             .unionByName(to_report(ownership_chain(sequences, cards, accounts, clients))))

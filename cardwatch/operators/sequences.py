@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,6 +69,25 @@ def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame:
             .where(F.col("_seq_n") > hot_rows).select(*group))
 
 
+@dataclass(frozen=True)
+class HotGroups:
+    """Hot (key, day) groups found once and shared by several patterns over
+    the same keys.  Which groups are split never changes a result (the seam
+    stitching is exact for any split), so one count can serve rules whose
+    inputs differ slightly (a filtered or joined copy of the same rows)."""
+
+    frame: DataFrame  # columns: *keys, _seq_day
+    count: int  # min(number of hot groups, max_hot_groups + 1)
+
+
+def find_hot_groups(df: DataFrame, key: str | Sequence[str], ts: str, hot_rows: int = HOT_ROWS,
+                    max_hot_groups: int = MAX_HOT_GROUPS) -> HotGroups:
+    keys = [key] if isinstance(key, str) else list(key)
+    group = [*keys, _DAY]
+    hot = hot_groups(df.select(*keys, day_of(ts).alias(_DAY)), group, hot_rows)
+    return HotGroups(hot, bounded_count(hot, max_hot_groups))
+
+
 def _mark_hot(d: DataFrame, group: Sequence[str], hot: DataFrame, n_hot: int, max_hot_groups: int,
               ts: str, hot_bucket: _dt.timedelta) -> DataFrame:
     flagged = hot.select(*[F.col(c).alias(f"_h_{c}") for c in group], F.lit(True).alias(_HOT))
@@ -86,13 +106,14 @@ def with_buckets(df: DataFrame, keys: Sequence[str], ts: str, hot_rows: int = HO
     """Add ``_seq_day``, ``_seq_hot`` and ``_seq_bucket`` (0 for light groups)."""
     group = [*keys, _DAY]
     d = df.withColumn(_DAY, day_of(ts))
-    hot = hot_groups(d, group, hot_rows)
-    return _mark_hot(d, group, hot, bounded_count(hot, max_hot_groups), max_hot_groups, ts, hot_bucket)
+    hot = find_hot_groups(df, keys, ts, hot_rows, max_hot_groups)
+    return _mark_hot(d, group, hot.frame, hot.count, max_hot_groups, ts, hot_bucket)
 
 
 def previous_rows(df: DataFrame, key: str | Sequence[str], ts: str, lags: dict[str, tuple[str, int]],
                   order_extra: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-                  hot_bucket: _dt.timedelta = HOT_BUCKET, max_hot_groups: int = MAX_HOT_GROUPS) -> DataFrame:
+                  hot_bucket: _dt.timedelta = HOT_BUCKET, max_hot_groups: int = MAX_HOT_GROUPS,
+                  hot: HotGroups | None = None) -> DataFrame:
     """Add ``lags`` (``name -> (column, offset)``) computed per key and
     calendar day in ``(ts, *order_extra)`` order.  Output: the input columns
     plus the lag columns.
@@ -104,13 +125,13 @@ def previous_rows(df: DataFrame, key: str | Sequence[str], ts: str, lags: dict[s
     out_cols = [*df.columns, *lags]
     group = [*keys, _DAY]
     d = df.withColumn(_DAY, day_of(ts))
-    hot = hot_groups(d, group, hot_rows)
-    n_hot = bounded_count(hot, max_hot_groups)
-    if n_hot == 0:
+    if hot is None:
+        hot = find_hot_groups(df, keys, ts, hot_rows, max_hot_groups)
+    if hot.count == 0:
         w = Window.partitionBy(*group).orderBy(ts, *order_extra)
         return d.select("*", *[F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()]).select(*out_cols)
 
-    staged = _mark_hot(d, group, hot, n_hot, max_hot_groups, ts, hot_bucket)
+    staged = _mark_hot(d, group, hot.frame, hot.count, max_hot_groups, ts, hot_bucket)
     # ``_seq_hot`` is a function of (key, day), so adding it to the window
     # keys changes no partition; it lets the seam branch's ``hot`` filter be
     # pushed below its exchange, so only hot rows are shuffled a second time.
@@ -136,21 +157,21 @@ def previous_rows(df: DataFrame, key: str | Sequence[str], ts: str, lags: dict[s
 def attribute_switch(df: DataFrame, key: str | Sequence[str], ts: str, attr: str,
                      max_gap: _dt.timedelta = _dt.timedelta(minutes=60),
                      order_extra: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-                     hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
+                     hot_bucket: _dt.timedelta = HOT_BUCKET, hot: HotGroups | None = None) -> DataFrame:
     """Rows whose ``attr`` differs from the previous row of the same key and
     day, less than ``max_gap`` after it (strict).  The later row is returned
     with ``prev_<ts>`` and ``prev_<attr>``; a NULL on either side is no
     switch."""
     prev_ts, prev_attr = f"prev_{ts}", f"prev_{attr}"
     out = previous_rows(df, key, ts, {prev_ts: (ts, 1), prev_attr: (attr, 1)}, order_extra,
-                        hot_rows, hot_bucket)
+                        hot_rows, hot_bucket, hot=hot)
     return out.where((F.col(attr) != F.col(prev_attr)) & gap_below(ts, prev_ts, max_gap))
 
 
 def declining_attempts(df: DataFrame, key: str | Sequence[str], ts: str, status: str, amount: str,
                        k: int = 3, max_gap: _dt.timedelta = _dt.timedelta(minutes=20),
                        success: str = SUCCESS, reject: str = REJECT, hot_rows: int = HOT_ROWS,
-                       hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
+                       hot_bucket: _dt.timedelta = HOT_BUCKET, hot: HotGroups | None = None) -> DataFrame:
     """Successful rows preceded (same key and day) by exactly ``k`` refused
     rows whose whole-unit amounts fall strictly towards it, the ``k``-th
     previous row lying less than ``max_gap`` before (strict).
@@ -165,7 +186,7 @@ def declining_attempts(df: DataFrame, key: str | Sequence[str], ts: str, status:
         lags[f"prev_{amount}_{i}"] = (amount, i)
     prev_ts_k = f"prev_{ts}_{k}"
     lags[prev_ts_k] = (ts, k)
-    out = previous_rows(df, key, ts, lags, (), hot_rows, hot_bucket)
+    out = previous_rows(df, key, ts, lags, (), hot_rows, hot_bucket, hot=hot)
     cond: Column = F.col(status) == F.lit(success)
     for i in range(1, k + 1):
         cond = cond & (F.col(f"prev_{status}_{i}") == F.lit(reject))

@@ -101,3 +101,10 @@ def test_warehouse_range_run_equals_registered_report(t, spark, scratch):
     cols = ["event_dt", "passport", "fio", "phone", "event_type"]
     assert _bag(stored.select(*cols)) == _bag(expected.select(*cols))
     assert stored.count() > 0
+
+
+def test_forced_split_equals_default_report(t):
+    args = (t.transactions(), t.terminal_history(), t.clients(), t.accounts(), t.cards(), t.blacklist(), None)
+    plain = R.fraud_report(*args)
+    split = R.fraud_report(*args, hot_rows=3, hot_bucket=dt.timedelta(minutes=30))
+    assert _bag(plain) == _bag(split) and len(_bag(plain)) > 0
