@@ -23,6 +23,13 @@ BASE_CONF = {
 }
 
 
+# Cluster default when nothing else sets it: one day of a 100 TB fact is
+# about 300 GB of shuffle, i.e. ~75 MB per partition at 4000.  AQE merges
+# small partitions (towards spark.sql.adaptive.advisoryPartitionSizeInBytes)
+# but never splits large ones, so over-provisioning is the safe side.
+CLUSTER_SHUFFLE_PARTITIONS = 4000
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -31,15 +38,21 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
-    On a cluster leave ``master`` unset so spark-submit decides, and size
-    ``shuffle_partitions`` to the data (AQE coalesces downwards at runtime).
+    On a cluster leave ``master`` unset so spark-submit decides.  Shuffle
+    partitions: ``shuffle_partitions`` if given, else the cluster's own
+    setting, else :data:`CLUSTER_SHUFFLE_PARTITIONS` (local masters keep
+    Spark's default unless given).
     """
+    from pyspark import SparkConf
+
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not (master or "").startswith("local") and not SparkConf().contains("spark.sql.shuffle.partitions"):
+        conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
