@@ -97,7 +97,9 @@ def _mark_hot(d: DataFrame, group: Sequence[str], hot: DataFrame, n_hot: int, ma
     d = d.join(flagged, on, "left").drop(*[f"_h_{c}" for c in group])
     is_hot = F.coalesce(F.col(_HOT), F.lit(False))
     w_us = max(_us(hot_bucket), 1)
-    bucket = F.when(is_hot, F.floor(micros_since_day_start(ts) / F.lit(w_us))).otherwise(F.lit(0))
+    # Rows without a timestamp (their day is NULL too) stay in bucket 0.
+    bucket = F.when(is_hot & F.col(ts).isNotNull(),
+                    F.floor(micros_since_day_start(ts) / F.lit(w_us))).otherwise(F.lit(0))
     return d.withColumn(_HOT, is_hot).withColumn(_BUCKET, bucket.cast("bigint"))
 
 

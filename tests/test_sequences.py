@@ -101,3 +101,17 @@ def test_only_hot_groups_are_split(spark):
         F.countDistinct("_seq_day", "_seq_bucket").alias("n")).collect()}
     assert per_key["hot"] == 3 * 6  # 3 days x 6 buckets of 4 hours
     assert all(n == 3 for k, n in per_key.items() if k != "hot")  # one bucket per day
+
+
+def test_split_keeps_every_row_including_null_times(spark):
+    from cardwatch.operators.sequences import previous_rows
+    rows = [("hot", None, 1.0)] * 5 + [("hot", dt.datetime(2024, 1, 1, 0, 0, i), float(i)) for i in range(50)]
+    rows += [("cold", dt.datetime(2024, 1, 1, 1, 0, 0), 1.0), (None, dt.datetime(2024, 1, 1, 2, 0, 0), 2.0)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, v double")
+    plain = previous_rows(df, "key", "ts", {"p1": ("v", 1), "p2": ("v", 2)})
+    split = previous_rows(df, "key", "ts", {"p1": ("v", 1), "p2": ("v", 2)}, hot_rows=3,
+                          hot_bucket=dt.timedelta(seconds=7))
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert split.count() == len(rows)
+    assert sorted(map(tuple, plain.where("ts IS NOT NULL").collect()), key=key) == \
+        sorted(map(tuple, split.where("ts IS NOT NULL").collect()), key=key)
