@@ -106,8 +106,11 @@ def _document_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame
 
 
 def _contract_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame, day: DayLike) -> DataFrame:
-    """Cards on accounts whose contract ended, ``_cutoff`` = its end date."""
-    acc = accounts if day is None else accounts.where(date_lit(day) > F.col("valid_to"))
+    """Cards on accounts whose contract ended, ``_cutoff`` = its end date.
+    An account without an end date never lapses (``day > NULL`` is NULL)."""
+    acc = accounts.where(F.col("valid_to").isNotNull())
+    if day is not None:
+        acc = acc.where(date_lit(day) > F.col("valid_to"))
     owners = cards_of_clients(owner_columns(clients), acc, cards)
     return (owners.select("*", F.lit(TAG_OVERDUE_ACCOUNT).alias("event_type"),
                           F.col("account_valid_to").alias("_cutoff"))

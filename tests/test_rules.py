@@ -177,3 +177,15 @@ def test_repeated_client_row_reported_once(spark):
     assert R.bad_document_ops(t, clients, b.accounts, b.cards, bl, DAY).count() == 1
     # with the uniqueness promise (warehouse, K1) the dedupe is skipped
     assert R.bad_document_ops(t, b.clients, b.accounts, b.cards, bl, DAY, clients_unique=True).count() == 1
+
+
+def test_account_without_end_date_never_lapses(spark):
+    b = Bank(spark, 2, account_valid_to={1: None, 2: dt.date(2024, 1, 1)})
+    t = b.txns([("t1", f"{DAY} 10:00:00", 10, "C1", "SUCCESS", "T"),
+                ("t2", f"{DAY} 10:00:00", 10, "C2", "SUCCESS", "T")])
+    bl = spark.createDataFrame([], "passport_num string")
+    expect = [(f"{DAY} 10:00:00", "DOC2", "overdue_account")]
+    assert _events(R.lapsed_contract_ops(t, b.clients, b.accounts, b.cards, DAY)) == expect
+    assert _events(R.lapsed_contract_ops(t, b.clients, b.accounts, b.cards, None)) == expect
+    both = R.document_and_contract_ops(t, b.clients, b.accounts, b.cards, bl, None)
+    assert _events(both) == expect
