@@ -5,10 +5,11 @@ Layout under ``root`` (all parquet, explicit schemas on read):
 * ``transactions/trans_day=YYYY-MM-DD/`` fact, partitioned by day so that a
   day's rules read one partition;
 * ``blacklist/``, ``clients/``, ``accounts/``, ``cards/``;
-* ``terminals_hist/version=N/`` the type-2 history.  Parquet has no UPDATE
-  and a table cannot be overwritten while it is read, so each snapshot
-  writes the next version and readers take the highest one.  A failed write
-  never commits its version, so a rerun is safe.
+* ``terminals_hist/version=N/state=open|closed|base/`` the type-2 history.
+  Parquet has no UPDATE and a table cannot be overwritten while it is
+  read, so each snapshot writes the next version: its open rows and the
+  rows it closed; readers take the highest version.  A failed write never
+  commits its version, so a rerun is safe.
 * ``report/event_day=YYYY-MM-DD/`` the fraud report (see ``report.py``).
 """
 
@@ -20,10 +21,10 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from cardwatch import schemas
-from cardwatch.functions.expressions import day_of
+from cardwatch.functions.expressions import day_of, open_end
 from cardwatch.operators import history as H
 from cardwatch.operators.keys import guard_unique, insert_if_absent
 from cardwatch.sources.feeds import transactions_from_feed
@@ -48,7 +49,8 @@ SQL_VIEW_NAMES = {
     "report": "rep_fraud",
 }
 HISTORY_VIEW_NAME = "dwh_dim_terminals_hist"
-_VERSION = re.compile(r"/version=(\d+)/")
+_PART = re.compile(r"/version=(\d+)/state=(open|closed|base)/")
+OPEN, CLOSED, BASE = "open", "closed", "base"
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -74,8 +76,8 @@ class Warehouse:
                 w = self.spark.createDataFrame([], schema).write.mode("overwrite")
                 (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
         if self.history_version() is None:
-            empty = self.spark.createDataFrame([], schemas.TERMINALS_HIST)
-            self._write_history(empty, 0)
+            empty = self.spark.createDataFrame([], self._history_schema())
+            empty.write.mode("overwrite").partitionBy("version", "state").parquet(self.path(HISTORY))
 
     def _exists(self, name: str) -> bool:
         try:
@@ -98,45 +100,72 @@ class Warehouse:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     # -- history versions ----------------------------------------------------
+    # terminals_hist/version=N/state=open    every row still open after N
+    # terminals_hist/version=N/state=closed  rows that snapshot N closed
+    # terminals_hist/version=N/state=base    closed rows of a replaced history
+    # Closed rows never change again, so a snapshot writes its open rows and
+    # its closures only.  History at N = open rows of N, plus the closed rows
+    # of every version after the last base, plus that base.
     def _history_schema(self) -> StructType:
-        return StructType(schemas.TERMINALS_HIST.fields + [StructField("version", IntegerType(), True)])
+        return StructType(schemas.TERMINALS_HIST.fields + [StructField("version", IntegerType(), True),
+                                                           StructField("state", StringType(), True)])
 
-    def history_version(self) -> int | None:
-        """Highest committed history version (file listing only, no job)."""
+    def _history_layout(self) -> dict[int, set[str]] | None:
+        """``{version: states}`` from the file listing (no job); None when
+        the history table does not exist."""
         try:
             files = self.spark.read.schema(self._history_schema()).parquet(self.path(HISTORY)).inputFiles()
         except AnalysisException as exc:
             if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
                 return None
             raise
-        versions = [int(m.group(1)) for f in files if (m := _VERSION.search(f))]
-        if versions:
-            return max(versions)
-        return 0 if self._version_dir_exists(0) else None
+        layout: dict[int, set[str]] = {}
+        for f in files:
+            if m := _PART.search(f):
+                layout.setdefault(int(m.group(1)), set()).add(m.group(2))
+        return layout
 
-    def _version_dir_exists(self, version: int) -> bool:
-        try:
-            self.spark.read.schema(schemas.TERMINALS_HIST).parquet(f"{self.path(HISTORY)}/version={version}")
-            return True
-        except AnalysisException:
-            return False
+    def history_version(self) -> int | None:
+        """Highest committed history version (0 for a new, empty history)."""
+        layout = self._history_layout()
+        if layout is None:
+            return None
+        return max(layout) if layout else 0
+
+    def _history_parts(self) -> DataFrame:
+        return self.spark.read.schema(self._history_schema()).parquet(self.path(HISTORY))
 
     def history(self) -> DataFrame:
-        v = self.history_version()
-        if v is None:
+        """The full type-2 history at the current version (partition-pruned)."""
+        layout = self._history_layout()
+        if not layout:
+            return self.spark.createDataFrame([], schemas.TERMINALS_HIST)
+        v = max(layout)
+        base = max((n for n, states in layout.items() if BASE in states), default=-1)
+        version, state = F.col("version"), F.col("state")
+        keep = (((version == v) & (state == OPEN)) | ((version > base) & (state == CLOSED))
+                | ((version == base) & (state == BASE)))
+        return self._history_parts().where(keep).select(*schemas.TERMINALS_HIST.fieldNames())
+
+    def open_history(self) -> DataFrame:
+        """Rows still open at the current version (what a snapshot can change)."""
+        layout = self._history_layout()
+        if not layout:
             return self.spark.createDataFrame([], schemas.TERMINALS_HIST)
-        return self.spark.read.schema(schemas.TERMINALS_HIST).parquet(f"{self.path(HISTORY)}/version={v}")
+        return (self._history_parts().where((F.col("version") == max(layout)) & (F.col("state") == OPEN))
+                .select(*schemas.TERMINALS_HIST.fieldNames()))
 
     def replace_history(self, history: DataFrame) -> int:
         """Write an existing type-2 history (e.g. migrated from another
         store) as the next version; returns that version."""
         version = (self.history_version() or 0) + 1
-        self._write_history(history, version)
+        self._write_version(history, version, closed_state=BASE)
         return version
 
-    def _write_history(self, df: DataFrame, version: int) -> None:
-        (conform(df, schemas.TERMINALS_HIST).write.mode("overwrite")
-         .parquet(f"{self.path(HISTORY)}/version={version}"))
+    def _write_version(self, df: DataFrame, version: int, closed_state: str = CLOSED) -> None:
+        state = F.when(F.col(H.TO) == open_end(), F.lit(OPEN)).otherwise(F.lit(closed_state))
+        (conform(df, schemas.TERMINALS_HIST).withColumn("state", state)
+         .write.mode("overwrite").partitionBy("state").parquet(f"{self.path(HISTORY)}/version={version}"))
 
     # -- loads -----------------------------------------------------------------
     def append_transactions(self, feed: DataFrame, key_policy: str = "fail", key_scope: str = "all") -> None:
@@ -177,14 +206,19 @@ class Warehouse:
                        initial_start: str = "1900-01-01 00:00:00") -> int:
         """Apply a full snapshot at ``as_of``; returns the new version.
 
+        Only the open rows are read and rewritten: a snapshot cannot change a
+        closed row, and with snapshots applied in ``as_of`` order (as the
+        reference's wall clock guarantees) no closed row is active at
+        ``as_of``.  The version's closures are written beside its open rows.
+
         In ``clean`` mode the first snapshot (empty history) opens its
         versions at ``initial_start`` rather than at the load time, so that
         as-of joins can place operations made before the first load."""
         current = self.history_version() or 0
         if mode == "clean" and current == 0:
             as_of = initial_start
-        new_hist = H.scd2_apply(conform(self.history(), schemas.TERMINALS_HIST),
-                                conform(snapshot, schemas.TERMINALS_HIST).select(H.KEY, *H.ATTRS),
-                                as_of, mode=mode, null_keys=null_keys, null_safe=null_safe)
-        self._write_history(new_hist, current + 1)
+        applied = H.scd2_apply(conform(self.open_history(), schemas.TERMINALS_HIST),
+                               conform(snapshot, schemas.TERMINALS_HIST).select(H.KEY, *H.ATTRS),
+                               as_of, mode=mode, null_keys=null_keys, null_safe=null_safe)
+        self._write_version(applied, current + 1)
         return current + 1
