@@ -15,7 +15,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as ``df.explain()`` prints it."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def summarize(df) -> dict:

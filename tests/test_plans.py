@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from plan_report import plan_text
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
@@ -14,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data
 @pytest.fixture
 def static_plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    yield lambda name: E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    yield lambda name: plan_text(E.queries()[name](spark, SF))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
