@@ -1,36 +1,64 @@
-"""T5: continuous feed ingest with archiving, as a Structured Streaming job.
-
-The file source picks up new ``transactions_*.txt`` files, every micro-batch
-is appended to the fact table through the same T2 + K1 path as the batch
-load, and consumed files are moved below ``archive_dir`` by the source
-(``cleanSource=archive``).  Progress lives in ``checkpoint`` on the shared
-file system, so a restarted driver continues where it stopped; a replayed
-batch is harmless because the ``skip`` key policy drops rows already loaded.
-Run it with ``Trigger.AvailableNow`` for a daily backlog, or a processing-
-time trigger for continuous arrival.
-
-Note: the source moves the files of a batch only when a later batch runs.
+"""T5: continuous feed ingest with archiving, as Structured Streaming jobs.
+
+A file source picks up new feed files, every micro-batch goes through the
+same load path as the batch loads, and consumed files are moved below
+``archive_dir`` by the source (``cleanSource=archive``).  Progress lives in
+``checkpoint`` on the shared file system, so a restarted driver continues
+where it stopped, and every load is safe to replay:
+
+* transactions: T2 + K1 with the ``skip`` policy drops rows already loaded;
+* blacklist: one file per micro-batch, insert-if-absent (L1) adds nothing
+  the second time;
+* terminal snapshots: one file per micro-batch, each applied as its own
+  history version (L10); applying the same snapshot again changes nothing.
+  Files are taken in modification-time order, so daily snapshots must
+  arrive in day order, as they do when dropped daily.
+
+Run with ``Trigger.AvailableNow`` for a backlog, or a processing-time
+trigger for continuous arrival.  The source moves the files of a batch only
+when a later batch runs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cardwatch import schemas
 from cardwatch.plans.warehouse import Warehouse
-from cardwatch.sources.feeds import CSV_SEPARATOR, parse_amount, parse_time
+from cardwatch.sources.feeds import CSV_SEPARATOR, parse_amount, parse_date, parse_time
 
+# Feed file patterns picked up by the streams.
+TRANSACTIONS_PATTERN = "transactions_*.txt"
+BLACKLIST_PATTERN = "passport_blacklist_*.csv"
+TERMINALS_PATTERN = "terminals_*.csv"
 
-def transactions_stream(wh: Warehouse, feed_dir: str, archive_dir: str | None = None,
-                        pattern: str = "transactions_*.txt", max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (wh.spark.readStream.schema(schemas.TRANSACTIONS_FEED)
+
+def _feed_stream(wh: Warehouse, feed_dir: str, schema, pattern: str, archive_dir: str | None,
+                 max_files_per_trigger: int | None) -> DataFrame:
+    reader = (wh.spark.readStream.schema(schema)
               .option("sep", CSV_SEPARATOR).option("header", True).option("pathGlobFilter", pattern))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(feed_dir)
+    return reader.csv(feed_dir)
+
+
+def _start(stream: DataFrame, load, checkpoint: str, available_now: bool,
+           processing_time: str | None) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
+def transactions_stream(wh: Warehouse, feed_dir: str, archive_dir: str | None = None,
+                        pattern: str = TRANSACTIONS_PATTERN, max_files_per_trigger: int | None = None) -> DataFrame:
+    raw = _feed_stream(wh, feed_dir, schemas.TRANSACTIONS_FEED, pattern, archive_dir, max_files_per_trigger)
     return raw.select(
         "transaction_id",
         parse_time("transaction_date").alias("transaction_date"),
@@ -42,16 +70,44 @@ def transactions_stream(wh: Warehouse, feed_dir: str, archive_dir: str | None =
 def ingest_transactions(wh: Warehouse, feed_dir: str, checkpoint: str, archive_dir: str | None = None,
                         available_now: bool = True, processing_time: str | None = None,
                         key_policy: str = "skip") -> StreamingQuery:
-    """Start the ingest; with ``available_now`` it stops after the backlog."""
+    """Start the transactions ingest; with ``available_now`` it stops after
+    the backlog."""
     wh.ensure_tables()
 
     def load(batch: DataFrame, _epoch: int) -> None:
         wh.append_transactions(batch, key_policy)
 
-    writer = (transactions_stream(wh, feed_dir, archive_dir).writeStream
-              .foreachBatch(load).option("checkpointLocation", checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    return _start(transactions_stream(wh, feed_dir, archive_dir), load, checkpoint, available_now, processing_time)
+
+
+def ingest_blacklist(wh: Warehouse, feed_dir: str, checkpoint: str, archive_dir: str | None = None,
+                     available_now: bool = True, processing_time: str | None = None,
+                     pattern: str = BLACKLIST_PATTERN) -> StreamingQuery:
+    """Start the document-blacklist ingest: one feed file per micro-batch,
+    each loaded with L1 as a daily run would (a passport repeated inside
+    one file is kept twice; one repeated on a later day is not)."""
+    wh.ensure_tables()
+    raw = _feed_stream(wh, feed_dir, schemas.BLACKLIST_FEED, pattern, archive_dir, 1)
+    parsed = raw.select(F.col("passport").alias("passport_num"), parse_date("date").alias("entry_dt"))
+
+    def load(batch: DataFrame, _epoch: int) -> None:
+        wh.load_blacklist(batch)
+
+    return _start(parsed, load, checkpoint, available_now, processing_time)
+
+
+def ingest_terminals(wh: Warehouse, feed_dir: str, checkpoint: str, archive_dir: str | None = None,
+                     available_now: bool = True, processing_time: str | None = None,
+                     pattern: str = TERMINALS_PATTERN, mode: str = "reference", as_of=None) -> StreamingQuery:
+    """Start the terminal-snapshot ingest: one snapshot file per micro-batch,
+    applied at ``as_of`` (default: the batch's load time, as the reference
+    does).  A file with only a header deletes every terminal, as an empty
+    snapshot must."""
+    wh.ensure_tables()
+    raw = _feed_stream(wh, feed_dir, schemas.TERMINALS_FEED, pattern, archive_dir, 1)
+
+    def load(batch: DataFrame, _epoch: int) -> None:
+        when = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
+        wh.load_terminals(batch, when, mode=mode)
+
+    return _start(raw, load, checkpoint, available_now, processing_time)
