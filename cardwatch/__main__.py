@@ -1,11 +1,12 @@
 """Command line: one daily run, as the reference's driver does.
 
-    python -m cardwatch --warehouse PATH --feeds PATH --date DDMMYYYY [--seed DIR]
+    python -m cardwatch --warehouse PATH --feeds PATH --date DDMMYYYY [--seed DIR] [--archive DIR]
 
 Creates missing tables, loads seed dimensions once (``clients``,
 ``accounts``, ``cards`` as ``.csv`` or ``.parquet`` in ``--seed``; replays
-are skipped by key), loads the day's feeds that are present, runs the four
-rules and prints that day's report.
+are skipped by key), loads the day's feeds that are present (or, with
+``--archive``, every new feed through the streaming ingest, moving consumed
+files to the archive), runs the four rules and prints that day's report.
 """
 
 from __future__ import annotations
@@ -34,12 +35,26 @@ def load_seeds(wh: Warehouse, folder: str) -> list[str]:
     return loaded
 
 
+def ingest_with_archive(wh: Warehouse, feed_dir: str, archive_dir: str, as_of=None,
+                        history_mode: str = "reference") -> None:
+    """Load every new feed file (blacklist, terminals, transactions) and
+    archive it, each stream stopping after its backlog."""
+    from cardwatch.streaming.ingest import ingest_blacklist, ingest_terminals, ingest_transactions
+    ckpt = wh.path("_ingest")
+    ingest_blacklist(wh, feed_dir, f"{ckpt}/blacklist", archive_dir).awaitTermination()
+    ingest_terminals(wh, feed_dir, f"{ckpt}/terminals", archive_dir, mode=history_mode,
+                     as_of=as_of).awaitTermination()
+    ingest_transactions(wh, feed_dir, f"{ckpt}/transactions", archive_dir).awaitTermination()
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cardwatch", description=__doc__.splitlines()[0])
     ap.add_argument("--warehouse", required=True, help="warehouse root on a shared file system")
     ap.add_argument("--feeds", help="folder with <kind>_DDMMYYYY feeds")
     ap.add_argument("--date", required=True, help="run day, DDMMYYYY or YYYY-MM-DD")
     ap.add_argument("--seed", help="folder with clients/accounts/cards seed files")
+    ap.add_argument("--archive", help="ingest every new feed in --feeds through the streaming jobs and "
+                                      "move consumed files here (checkpoints under the warehouse)")
     ap.add_argument("--as-of", help="load time for terminal versions (default: now)")
     ap.add_argument("--terminal-join", default="as_of", choices=["as_of", "all_versions"])
     ap.add_argument("--history-mode", default="reference", choices=["reference", "clean"])
@@ -53,6 +68,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.seed:
         load_seeds(wh, args.seed)
     feeds = daily.FeedFolder(args.feeds) if args.feeds else None
+    if feeds is not None and args.archive:
+        ingest_with_archive(wh, args.feeds, args.archive, args.as_of, args.history_mode)
+        feeds = None
     report = daily.run_day(wh, args.date, feeds, as_of=args.as_of, terminal_join=args.terminal_join,
                            history_mode=args.history_mode)
     report.orderBy("event_dt", "event_type", "passport").show(args.rows, truncate=False)
