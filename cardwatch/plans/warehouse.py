@@ -162,6 +162,13 @@ class Warehouse:
         self._write_version(history, version, closed_state=BASE)
         return version
 
+    def compact_history(self) -> int:
+        """Rewrite the current history as one new base version, so readers
+        no longer gather the closed rows of every earlier version (run now
+        and then, e.g. monthly); earlier version folders can then be removed
+        by retention.  Returns the new version."""
+        return self.replace_history(self.history())
+
     def _write_version(self, df: DataFrame, version: int, closed_state: str = CLOSED) -> None:
         state = F.when(F.col(H.TO) == open_end(), F.lit(OPEN)).otherwise(F.lit(closed_state))
         (conform(df, schemas.TERMINALS_HIST).withColumn("state", state)
