@@ -173,8 +173,9 @@ def city_switch_findings(transactions: DataFrame, history: DataFrame, day: DayLi
     elif terminal_join != "all_versions":
         raise ValueError(f"unknown terminal_join {terminal_join!r}")
     located = ops.join(hist, on).select("trans_id", "trans_date", "card_num", "terminal_city", "effective_from")
+    # Ties in time: versions by start, then city, then the operation id.
     switched = attribute_switch(located, "card_num", "trans_date", "terminal_city", max_gap,
-                                order_extra=("effective_from", "terminal_city"), hot_rows=hot_rows,
+                                order_extra=("effective_from", "terminal_city", "trans_id"), hot_rows=hot_rows,
                                 hot_bucket=hot_bucket, hot=hot)
     return switched.select("trans_date", "card_num", F.lit(TAG_DIFF_CITY).alias("event_type"))
 
@@ -207,7 +208,8 @@ def amount_guessing_findings(transactions: DataFrame, day: DayLike = None, k: in
     """R4 before the owner lookup: ``(trans_date, card_num, event_type)``."""
     ops = day_slice(transactions, day).select("trans_id", "trans_date", "card_num", "amt", "oper_result")
     found = declining_attempts(ops, "card_num", "trans_date", "oper_result", "amt", k=k,
-                               max_gap=max_gap, hot_rows=hot_rows, hot_bucket=hot_bucket, hot=hot)
+                               max_gap=max_gap, order_extra=("trans_id",), hot_rows=hot_rows,
+                               hot_bucket=hot_bucket, hot=hot)
     return found.select("trans_date", "card_num", F.lit(TAG_SUM_GUESSING).alias("event_type"))
 
 

@@ -172,8 +172,9 @@ def attribute_switch(df: DataFrame, key: str | Sequence[str], ts: str, attr: str
 
 def declining_attempts(df: DataFrame, key: str | Sequence[str], ts: str, status: str, amount: str,
                        k: int = 3, max_gap: _dt.timedelta = _dt.timedelta(minutes=20),
-                       success: str = SUCCESS, reject: str = REJECT, hot_rows: int = HOT_ROWS,
-                       hot_bucket: _dt.timedelta = HOT_BUCKET, hot: HotGroups | None = None) -> DataFrame:
+                       success: str = SUCCESS, reject: str = REJECT, order_extra: Sequence[str] = (),
+                       hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET,
+                       hot: HotGroups | None = None) -> DataFrame:
     """Successful rows preceded (same key and day) by exactly ``k`` refused
     rows whose whole-unit amounts fall strictly towards it, the ``k``-th
     previous row lying less than ``max_gap`` before (strict).
@@ -188,7 +189,7 @@ def declining_attempts(df: DataFrame, key: str | Sequence[str], ts: str, status:
         lags[f"prev_{amount}_{i}"] = (amount, i)
     prev_ts_k = f"prev_{ts}_{k}"
     lags[prev_ts_k] = (ts, k)
-    out = previous_rows(df, key, ts, lags, (), hot_rows, hot_bucket, hot=hot)
+    out = previous_rows(df, key, ts, lags, order_extra, hot_rows, hot_bucket, hot=hot)
     cond: Column = F.col(status) == F.lit(success)
     for i in range(1, k + 1):
         cond = cond & (F.col(f"prev_{status}_{i}") == F.lit(reject))

@@ -105,7 +105,7 @@ FROM (
   FROM txn t JOIN hist h ON t.terminal = h.terminal_id {asof}
   WHERE t.oper_result = 'SUCCESS' {day}
   WINDOW w AS (PARTITION BY t.card_num, CAST(t.trans_date AS DATE)
-               ORDER BY t.trans_date, h.effective_from, h.terminal_city)) s
+               ORDER BY t.trans_date, h.effective_from, h.terminal_city, t.trans_id)) s
 JOIN owners o ON s.card_num = o.card_num
 WHERE s.terminal_city <> s.prev_city
   AND epoch_us(s.trans_date) - epoch_us(s.prev_ts) < CAST({gap_min} AS BIGINT) * 60 * 1000000
@@ -128,7 +128,7 @@ FROM (
   SELECT t.*, {lags},
          lag(trans_date, {k}) OVER w AS t{k}
   FROM txn t
-  WINDOW w AS (PARTITION BY card_num, CAST(trans_date AS DATE) ORDER BY trans_date)) s
+  WINDOW w AS (PARTITION BY card_num, CAST(trans_date AS DATE) ORDER BY trans_date, trans_id)) s
 JOIN owners o ON s.card_num = o.card_num
 WHERE {where}
 """
