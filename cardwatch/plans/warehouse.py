@@ -54,9 +54,12 @@ OPEN, CLOSED, BASE = "open", "closed", "base"
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select and cast ``df`` to ``schema`` (missing columns become NULL)."""
+    """Select and cast ``df`` to ``schema`` (missing columns become NULL).
+
+    ``try_cast``: a value that does not fit (an amount beyond decimal(10,2),
+    say) becomes NULL, as in the feed parsers, instead of failing the load."""
     have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).try_cast(f.dataType).alias(f.name)
                        for f in schema.fields])
 
 
