@@ -115,8 +115,16 @@ def run_day(wh: Warehouse, day: _dt.date | str, feeds: FeedFolder | None = None,
 
 def run_range(wh: Warehouse, start: _dt.date | str, end: _dt.date | str, terminal_join: str = "as_of",
               report_dt=None) -> DataFrame:
-    """Rules for every day of ``[start, end]`` in one job (no feed loading)."""
+    """Rules for every day of ``[start, end]`` in one job (no feed loading).
+
+    Every day of the range that has operations or earlier findings is
+    replaced, so a rerun after a data fix also clears findings that no
+    longer hold."""
     wh.ensure_tables()
-    write_days(wh, day_report(wh, None, terminal_join, start, end), report_dt)
-    rep = read_report(wh)
-    return rep.where(F.col("event_day").between(date_lit(as_date(start)), date_lit(as_date(end))))
+    lo, hi = date_lit(as_date(start)), date_lit(as_date(end))
+    fact_days = (wh.table("transactions").where(F.col("trans_day").between(lo, hi))
+                 .select(F.col("trans_day").alias("event_day")))
+    report_days = wh.table("report").where(F.col("event_day").between(lo, hi)).select("event_day")
+    write_days(wh, day_report(wh, None, terminal_join, start, end), fact_days.unionByName(report_days),
+               report_dt)
+    return read_report(wh).where(F.col("event_day").between(lo, hi))

@@ -2,8 +2,10 @@
 
 Rows are written into ``event_day`` partitions.  A day run replaces its own
 partition, so rerunning a day never duplicates findings (the reference
-appends again); a range run uses dynamic partition overwrite, replacing
-exactly the days it produced rows for.
+appends again).  A range run uses dynamic partition overwrite in one job;
+it adds one placeholder row for every day of the range that has
+operations or earlier findings, so those days are replaced even when they
+no longer have findings.  Readers never see placeholder rows.
 """
 
 from __future__ import annotations
@@ -27,14 +29,17 @@ def stamp(report: DataFrame, report_dt=None) -> DataFrame:
 
 def write_day(wh: Warehouse, report: DataFrame, day: _dt.date | str, report_dt=None) -> None:
     """T3 for one day: replace that day's partition (also when empty)."""
-    rows = conform(stamp(report, report_dt), schemas.REPORT).drop("event_day")
+    rows = conform(stamp(report, report_dt).withColumn("placeholder", F.lit(False)), schemas.REPORT)
+    rows = rows.drop("event_day")
     rows.write.mode("overwrite").parquet(f"{wh.path('report')}/event_day={_dt.date.fromisoformat(str(day))}")
 
 
-def write_days(wh: Warehouse, report: DataFrame, report_dt=None) -> None:
-    """T3 for a range: dynamic overwrite of the produced day partitions."""
-    rows = conform(stamp(report, report_dt), schemas.REPORT)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_days(wh: Warehouse, report: DataFrame, days: DataFrame, report_dt=None) -> None:
+    """T3 for a range: one dynamic-overwrite job replacing every day listed
+    in ``days`` (column ``event_day``) and every day with findings."""
+    rows = conform(stamp(report, report_dt).withColumn("placeholder", F.lit(False)), schemas.REPORT)
+    markers = conform(days.select("event_day").distinct().withColumn("placeholder", F.lit(True)), schemas.REPORT)
+    (rows.unionByName(markers).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_day").parquet(wh.path("report")))
 
 

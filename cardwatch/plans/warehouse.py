@@ -100,7 +100,10 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         schema, _ = TABLES[name]
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        df = self.spark.read.schema(schema).parquet(self.path(name))
+        if name == "report":
+            df = df.where(~F.coalesce(F.col("placeholder"), F.lit(False))).drop("placeholder")
+        return df
 
     # -- history versions ----------------------------------------------------
     # terminals_hist/version=N/state=open    every row still open after N

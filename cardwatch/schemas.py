@@ -83,5 +83,8 @@ REPORT = StructType([
     StructField("phone", StringType(), True),
     StructField("event_type", StringType(), True),
     StructField("report_dt", TimestampNTZType(), True),
+    # True only on one marker row per day written by a range run, so that
+    # dynamic overwrite replaces days that no longer have findings too.
+    StructField("placeholder", BooleanType(), True),
     StructField("event_day", DateType(), True),
 ])
