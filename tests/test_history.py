@@ -133,5 +133,5 @@ def test_key_twice_in_snapshot_is_inserted_twice(spark):
     hist = _hist(spark, [("1", "POS", "A", "a", T0, FAR, False)])
     snap = _snap(spark, [("1", "POS", "B", "a"), ("1", "POS", "B", "a"), ("2", "ATM", "C", "c"), ("2", "ATM", "C", "c")])
     out = H.scd2_apply(hist, snap, "2024-01-10 00:00:00")
-    assert sorted(r.terminal_id for r in _rows(out) if r[5] == FAR) == ["1", "1", "2", "2"]
+    assert sorted(r[0] for r in _rows(out) if r[5] == FAR) == ["1", "1", "2", "2"]
     assert len(_rows(H.snapshot_new(snap, H.active_versions(hist, "2024-01-10 00:00:00")))) == 2
