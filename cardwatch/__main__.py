@@ -1,6 +1,7 @@
 """Command line: one daily run, as the reference's driver does.
 
     python -m cardwatch --warehouse PATH --feeds PATH --date DDMMYYYY [--seed DIR] [--archive DIR]
+    python -m cardwatch --warehouse PATH --start 2021-03-01 --end 2021-03-31
 
 Creates missing tables, loads seed dimensions once (``clients``,
 ``accounts``, ``cards`` as ``.csv`` or ``.parquet`` in ``--seed``; replays
@@ -51,7 +52,11 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cardwatch", description=__doc__.splitlines()[0])
     ap.add_argument("--warehouse", required=True, help="warehouse root on a shared file system")
     ap.add_argument("--feeds", help="folder with <kind>_DDMMYYYY feeds")
-    ap.add_argument("--date", required=True, help="run day, DDMMYYYY or YYYY-MM-DD")
+    ap.add_argument("--date", help="run day, DDMMYYYY or YYYY-MM-DD")
+    ap.add_argument("--start", help="first day of a backfill range (rules only, with --end)")
+    ap.add_argument("--end", help="last day of a backfill range")
+    ap.add_argument("--key-policy", default="fail", choices=["fail", "skip"],
+                    help="repeated transaction ids: fail (primary key) or skip (safe rerun)")
     ap.add_argument("--seed", help="folder with clients/accounts/cards seed files")
     ap.add_argument("--archive", help="ingest every new feed in --feeds through the streaming jobs and "
                                       "move consumed files here (checkpoints under the warehouse)")
@@ -61,6 +66,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
     ap.add_argument("--rows", type=int, default=50, help="report rows to print")
     args = ap.parse_args(argv)
+    if not args.date and not (args.start and args.end):
+        ap.error("give --date, or --start and --end")
 
     spark = build_session(args.master)
     wh = Warehouse(spark, args.warehouse)
@@ -71,8 +78,11 @@ def main(argv: list[str] | None = None) -> int:
     if feeds is not None and args.archive:
         ingest_with_archive(wh, args.feeds, args.archive, args.as_of, args.history_mode)
         feeds = None
-    report = daily.run_day(wh, args.date, feeds, as_of=args.as_of, terminal_join=args.terminal_join,
-                           history_mode=args.history_mode)
+    if args.date:
+        report = daily.run_day(wh, args.date, feeds, as_of=args.as_of, terminal_join=args.terminal_join,
+                               key_policy=args.key_policy, history_mode=args.history_mode)
+    else:
+        report = daily.run_range(wh, args.start, args.end, terminal_join=args.terminal_join)
     report.orderBy("event_dt", "event_type", "passport").show(args.rows, truncate=False)
     return 0
 
