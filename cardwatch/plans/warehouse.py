@@ -99,8 +99,15 @@ class Warehouse:
         self.history().createOrReplaceTempView(prefix + HISTORY_VIEW_NAME)
 
     def table(self, name: str) -> DataFrame:
+        """A warehouse table; an empty typed frame if it was never written
+        (tables also appear on their first write)."""
         schema, _ = TABLES[name]
-        df = self.spark.read.schema(schema).parquet(self.path(name))
+        try:
+            df = self.spark.read.schema(schema).parquet(self.path(name))
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
+                raise
+            df = self.spark.createDataFrame([], schema)
         if name == "report":
             df = df.where(~F.coalesce(F.col("placeholder"), F.lit(False))).drop("placeholder")
         return df
