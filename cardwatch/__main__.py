@@ -65,6 +65,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--history-mode", default="reference", choices=["reference", "clean"])
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
     ap.add_argument("--rows", type=int, default=50, help="report rows to print")
+    ap.add_argument("--all", action="store_true", help="print the whole report table, not only this run's days")
     args = ap.parse_args(argv)
     if not args.date and not (args.start and args.end):
         ap.error("give --date, or --start and --end")
@@ -83,6 +84,9 @@ def main(argv: list[str] | None = None) -> int:
                                key_policy=args.key_policy, history_mode=args.history_mode)
     else:
         report = daily.run_range(wh, args.start, args.end, terminal_join=args.terminal_join)
+    if args.all:
+        from cardwatch.plans.report import read_report
+        report = read_report(wh)
     report.orderBy("event_dt", "event_type", "passport").show(args.rows, truncate=False)
     return 0
 
