@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from cardwatch import schemas
-from cardwatch.functions.expressions import day_of, open_end
+from cardwatch.functions.expressions import day_of, open_end, ts_ntz
 from cardwatch.operators import history as H
 from cardwatch.operators.keys import guard_unique, insert_if_absent
 from cardwatch.sources.feeds import transactions_from_feed
@@ -224,7 +224,8 @@ class Warehouse:
     def load_terminals(self, snapshot: DataFrame, as_of, mode: str = "reference",
                        null_keys: str = "reference", null_safe: bool = False,
                        initial_start: str = "1900-01-01 00:00:00") -> int:
-        """Apply a full snapshot at ``as_of``; returns the new version.
+        """Apply a full snapshot at ``as_of``; returns the current version
+        (unchanged when the snapshot changes nothing).
 
         Only the open rows are read and rewritten: a snapshot cannot change a
         closed row, and with snapshots applied in ``as_of`` order (as the
@@ -240,5 +241,11 @@ class Warehouse:
         applied = H.scd2_apply(conform(self.open_history(), schemas.TERMINALS_HIST),
                                conform(snapshot, schemas.TERMINALS_HIST).select(H.KEY, *H.ATTRS),
                                as_of, mode=mode, null_keys=null_keys, null_safe=null_safe)
+        # Every change opens or closes a row exactly at as_of; an unchanged
+        # snapshot (the usual day, or a replayed file) writes no version.
+        at = ts_ntz(as_of)
+        touched = applied.where((F.col(H.FROM) == at) | (F.col(H.TO) == at - F.expr("INTERVAL 1 SECOND")))
+        if current > 0 and touched.isEmpty():
+            return current
         self._write_version(applied, current + 1)
         return current + 1
