@@ -3,8 +3,9 @@
 ``run_day``: load the day's feeds that are present (each may be absent),
 run the four rules for that day, replace the day's report partition.
 ``run_range``: run the rules for many days in one job (windows keyed by
-card and day, so the result equals one run per day) and replace the
-produced day partitions.
+card and day, so the result equals one run per day) and replace the report
+of every day in the range.  Both read the operations once and keep the
+pruned slice cached while the four rules run.
 """
 
 from __future__ import annotations
