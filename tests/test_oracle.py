@@ -16,6 +16,7 @@ EXPECTED = {
     "city_switch_as_of": 58, "city_switch_all_versions_day": 12, "declining_attempts_k2": 6,
     "declining_attempts_k3": 2, "snapshot_new": 1, "snapshot_deleted": 1, "snapshot_changed": 3,
     "scd2_apply": 13, "close_versions": 4, "insert_if_absent": 11, "duplicate_keys": 1161, "orphans": 223,
+    "bad_document_ops_day": 19 + 4, "tombstones": 1, "open_versions": 1 + 3, "insert_if_absent_null_list": 0,
 }
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
