@@ -61,8 +61,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--archive", help="ingest every new feed in --feeds through the streaming jobs and "
                                       "move consumed files here (checkpoints under the warehouse)")
     ap.add_argument("--as-of", help="load time for terminal versions (default: now)")
-    ap.add_argument("--terminal-join", default="as_of", choices=["as_of", "all_versions"])
-    ap.add_argument("--history-mode", default="reference", choices=["reference", "clean"])
+    ap.add_argument("--terminal-join", default="as_of", choices=["as_of", "all_versions"],
+                    help="R3: join the terminal version valid at the operation time, or every version")
+    ap.add_argument("--history-mode", default="reference", choices=["reference", "clean"],
+                    help="L10: keep the reference's open tombstone on return, or close it")
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
     ap.add_argument("--rows", type=int, default=50, help="report rows to print")
     ap.add_argument("--all", action="store_true", help="print the whole report table, not only this run's days")
