@@ -5,17 +5,22 @@
 
 Creates missing tables, loads seed dimensions once (``clients``,
 ``accounts``, ``cards`` as ``.csv`` or ``.parquet`` in ``--seed``; replays
-are skipped by key), loads the day's feeds that are present (or, with
-``--archive``, every new feed through the streaming ingest, moving consumed
-files to the archive), runs the four rules and prints that day's report.
+are skipped by key), loads the day's feeds that are present, runs the four
+rules and prints that day's report.  With ``--archive`` every new feed in the
+folder is ingested and moved to the archive, and every day among them is
+reported.  The whole report is printed; ``--rows`` limits it and says how many
+rows were left out.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from cardwatch import schemas
 from cardwatch.plans import daily
+from cardwatch.plans.report import read_report
 from cardwatch.plans.warehouse import Warehouse
 from cardwatch.session import build_session
 from cardwatch.sources.feeds import feed_present, read_dimension
@@ -37,15 +42,31 @@ def load_seeds(wh: Warehouse, folder: str) -> list[str]:
 
 
 def ingest_with_archive(wh: Warehouse, feed_dir: str, archive_dir: str, as_of=None,
-                        history_mode: str = "reference") -> None:
+                        history_mode: str = "reference") -> list:
     """Load every new feed file (blacklist, terminals, transactions) and
-    archive it, each stream stopping after its backlog."""
+    archive it, each stream stopping after its backlog; returns the days of
+    the feeds found."""
+    days = daily.FeedFolder(feed_dir).days(wh.spark)
     from cardwatch.streaming.ingest import ingest_blacklist, ingest_terminals, ingest_transactions
     ckpt = wh.path("_ingest")
     ingest_blacklist(wh, feed_dir, f"{ckpt}/blacklist", archive_dir).awaitTermination()
     ingest_terminals(wh, feed_dir, f"{ckpt}/terminals", archive_dir, mode=history_mode,
                      as_of=as_of).awaitTermination()
     ingest_transactions(wh, feed_dir, f"{ckpt}/transactions", archive_dir).awaitTermination()
+    return days
+
+
+def print_report(report, rows: int | None = None) -> None:
+    """Print the report in order, streamed to the driver partition by
+    partition; with ``rows`` only that many, and how many were left out."""
+    ordered = report.orderBy("event_dt", "event_type", "passport")
+    print(" | ".join(report.columns))
+    shown = 0
+    for r in (ordered if rows is None else ordered.limit(rows)).toLocalIterator():
+        print(" | ".join("" if v is None else str(v) for v in r))
+        shown += 1
+    left = 0 if rows is None else report.count() - shown
+    print(f"({shown} rows" + (f", {left} more not shown)" if left else ")"))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -60,13 +81,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--seed", help="folder with clients/accounts/cards seed files")
     ap.add_argument("--archive", help="ingest every new feed in --feeds through the streaming jobs and "
                                       "move consumed files here (checkpoints under the warehouse)")
-    ap.add_argument("--as-of", help="load time for terminal versions (default: now)")
+    ap.add_argument("--as-of", help="load time for terminal versions (default: the start of each feed's day)")
     ap.add_argument("--terminal-join", default="as_of", choices=["as_of", "all_versions"],
                     help="R3: join the terminal version valid at the operation time, or every version")
     ap.add_argument("--history-mode", default="reference", choices=["reference", "clean"],
                     help="L10: keep the reference's open tombstone on return, or close it")
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
-    ap.add_argument("--rows", type=int, default=50, help="report rows to print")
+    ap.add_argument("--rows", type=int, help="print at most this many report rows (default: all)")
     ap.add_argument("--all", action="store_true", help="print the whole report table, not only this run's days")
     args = ap.parse_args(argv)
     if not args.date and not (args.start and args.end):
@@ -78,18 +99,23 @@ def main(argv: list[str] | None = None) -> int:
     if args.seed:
         load_seeds(wh, args.seed)
     feeds = daily.FeedFolder(args.feeds) if args.feeds else None
+    ingested = []
     if feeds is not None and args.archive:
-        ingest_with_archive(wh, args.feeds, args.archive, args.as_of, args.history_mode)
+        ingested = ingest_with_archive(wh, args.feeds, args.archive, args.as_of, args.history_mode)
         feeds = None
-    if args.date:
+    if args.date and ingested:
+        days = sorted({*ingested, daily.as_date(args.date)})
+        for day in days:
+            daily.run_day(wh, day, terminal_join=args.terminal_join)
+        report = read_report(wh).where(F.col("event_day").isin(days))
+    elif args.date:
         report = daily.run_day(wh, args.date, feeds, as_of=args.as_of, terminal_join=args.terminal_join,
                                key_policy=args.key_policy, history_mode=args.history_mode)
     else:
         report = daily.run_range(wh, args.start, args.end, terminal_join=args.terminal_join)
     if args.all:
-        from cardwatch.plans.report import read_report
         report = read_report(wh)
-    report.orderBy("event_dt", "event_type", "passport").show(args.rows, truncate=False)
+    print_report(report, args.rows)
     return 0
 
 

@@ -7,8 +7,8 @@ and ``deleted_flg``; an open version ends at ``OPEN_END``.
 Parquet has no UPDATE, so :func:`scd2_apply` returns the whole new history as
 one lazy plan (kept rows, closed rows, new versions, tombstones).  The only
 large input is the history itself, joined once to the small set of keys
-that change; the three diffs are anti/inner joins between the snapshot and
-the active versions.  ``as_of`` replaces the reference's wall clock so that
+that change; the diffs come from one full outer join between the snapshot
+and the active versions.  ``as_of`` replaces the reference's wall clock so that
 reruns give identical rows.
 """
 
@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,7 +105,7 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, as_of: TimeLike, key: st
     """The full history after applying ``snapshot`` at ``as_of``.
 
     Diffs are computed against the versions active at ``as_of`` before any
-    change.  ``mode='reference'`` closes only deleted and changed keys (a
+    change, by one full outer join of snapshot and active versions.  ``mode='reference'`` closes only deleted and changed keys (a
     key that returns after deletion then has its open tombstone beside a new
     live row); ``mode='clean'`` also closes the open rows of returning keys.
 
@@ -112,24 +114,53 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, as_of: TimeLike, key: st
     apply, as ``plans.warehouse.Warehouse.load_terminals`` does.
     """
     cols = [key, *attrs, FROM, TO, DELETED]
-    history = history.select(*cols)
-    snap = snapshot.select(key, *attrs)
-    active = active_versions(history, as_of)
-    new = snapshot_new(snap, active, key, null_keys)
-    deleted = snapshot_deleted(active, snap, key, null_keys)
-    changed = snapshot_changed(snap, active, key, attrs, null_safe)
-    closing = deleted.select(key).unionByName(changed.select(key))
-    if mode == "clean":
-        closing = closing.unionByName(new.select(key))
-    elif mode != "reference":
+    if mode not in ("reference", "clean"):
         raise ValueError(f"unknown mode {mode!r}")
-    marked = _mark_closing(history, closing, key)
+    history = history.select(*cols)
+    diff = snapshot_diff(snapshot.select(key, *attrs), active_versions(history, as_of), key, attrs, null_keys, null_safe)
+    closing = diff if mode == "clean" else diff.where(F.col("kind") != NEW)
+    marked = _mark_closing(history, closing.select(key), key)
     kept = marked.select(*[F.when(F.col("_closing"), _one_second_before(as_of)).otherwise(F.col(TO)).alias(TO)
                            if c == TO else F.col(c) for c in cols])
-    return (kept
-            .unionByName(open_versions(new, as_of, key, attrs))
-            .unionByName(tombstones(deleted, as_of, key, attrs))
-            .unionByName(open_versions(changed, as_of, key, attrs)))
+    opened = diff.select(key, *attrs, _as_of(as_of).alias(FROM), open_end().alias(TO),
+                         (F.col("kind") == GONE).alias(DELETED))
+    return kept.unionByName(opened)
+
+
+NEW, GONE, CHANGED = "new", "deleted", "changed"
+
+
+def snapshot_diff(snapshot: DataFrame, active: DataFrame, key: str = KEY, attrs: Sequence[str] = ATTRS,
+                  null_keys: str = "reference", null_safe: bool = False) -> DataFrame:
+    """L3, L4 and L5 together, from one full outer join: ``kind`` (new,
+    deleted or changed), the key and the attributes (a deleted key's last
+    ones).  ``NOT IN`` semantics as in :func:`keys.not_in`: a NULL key on the
+    other side empties new or deleted rows, and a NULL key of one's own counts
+    only against an empty other side."""
+    def stats(side: DataFrame) -> Column:
+        return side.select(F.struct(F.coalesce(F.max(F.col(key).isNull()), F.lit(False)).alias("has_null"),
+                                    (F.count(F.lit(1)) == 0).alias("empty"))).scalar()
+
+    def absent(other: DataFrame, own_key: str) -> Column:
+        if null_keys == "ignore":
+            return F.lit(True)
+        if null_keys != "reference":
+            raise ValueError(f"unknown null_keys {null_keys!r}")
+        found = stats(other)
+        return ~found.getField("has_null") & (F.col(own_key).isNotNull() | found.getField("empty"))
+
+    s = snapshot.select(F.lit(True).alias("_s"), F.col(key).alias("_sk"), *[F.col(c).alias(f"_s_{c}") for c in attrs])
+    a = active.select(F.lit(True).alias("_a"), F.col(key).alias("_ak"), *[F.col(c).alias(f"_a_{c}") for c in attrs])
+    both = s.join(a, F.col("_sk") == F.col("_ak"), "full_outer")
+    differs = [(~F.col(f"_s_{c}").eqNullSafe(F.col(f"_a_{c}"))) if null_safe
+               else F.coalesce(F.col(f"_s_{c}") != F.col(f"_a_{c}"), F.lit(False)) for c in attrs]
+    kind = (F.when(F.col("_a").isNull(), F.when(absent(active, "_sk"), NEW))
+            .when(F.col("_s").isNull(), F.when(absent(snapshot, "_ak"), GONE))
+            .when(reduce(or_, differs), CHANGED))
+    gone = F.col("kind") == GONE
+    return (both.withColumn("kind", kind).where(F.col("kind").isNotNull())
+            .select("kind", F.when(gone, F.col("_ak")).otherwise(F.col("_sk")).alias(key),
+                    *[F.when(gone, F.col(f"_a_{c}")).otherwise(F.col(f"_s_{c}")).alias(c) for c in attrs]))
 
 
 def initial_history(snapshot: DataFrame, start: TimeLike = "1900-01-01 00:00:00", key: str = KEY,

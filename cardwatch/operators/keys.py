@@ -4,6 +4,8 @@ orphan report (K2) and insert-if-absent (L1)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,18 +64,29 @@ def guard_unique(batch: DataFrame, target: DataFrame | None, keys: Sequence[str]
                  policy: str = "fail") -> DataFrame:
     """K1: enforce a primary key when appending ``batch`` to ``target``.
 
+    Rows with a NULL key pass under either policy, as a text primary key
+    admits any number of NULLs.
+
     ``fail`` raises :class:`DuplicateKeyError` if a key repeats inside the
     batch or already exists in the target (this check runs a job).
-    ``skip`` keeps one row per new key (lazy: dedupe + anti join)."""
+    ``skip`` keeps one row per new key, lazily: the one whose other columns,
+    in their order, are smallest (NULLs first), combined map-side."""
     keys = list(keys)
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
     if policy == "skip":
-        fresh = batch.dropDuplicates(keys)
+        rest = [c for c in batch.columns if c not in keys]
+        fresh = batch.where(keyed)
+        if rest:
+            fresh = (fresh.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+                     .select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in batch.columns]))
+        else:
+            fresh = fresh.distinct()
         if target is not None:
-            fresh = fresh.join(target.select(*keys), keys, "left_anti")
-        return fresh
+            fresh = fresh.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
+        return fresh.unionByName(batch.where(~keyed))
     if policy != "fail":
         raise ValueError(f"unknown policy {policy!r}")
-    clash = duplicate_keys(batch, keys).select(*keys)
+    clash = duplicate_keys(batch.where(keyed), keys).select(*keys)
     if target is not None:
         clash = clash.unionByName(batch.select(*keys).join(target.select(*keys), keys, "left_semi"))
     if not clash.isEmpty():

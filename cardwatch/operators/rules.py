@@ -156,6 +156,11 @@ def document_and_contract_ops(transactions: DataFrame, clients: DataFrame, accou
     return _ops_on_suspect_cards(transactions, suspects, day)
 
 
+# An operation without a time or a card is in no sequence: it can be neither a
+# finding nor the row before one (its own group would hold it alone).
+_PLACED = "trans_date IS NOT NULL AND card_num IS NOT NULL"
+
+
 # -- R3: operations in two cities within an hour -----------------------------
 
 def city_switch_findings(transactions: DataFrame, history: DataFrame, day: DayLike = None,
@@ -166,7 +171,8 @@ def city_switch_findings(transactions: DataFrame, history: DataFrame, day: DayLi
     """R3 before the owner lookup: ``(trans_date, card_num, event_type)``."""
     hist = history.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
     hist = broadcast_if_bounded(hist, max_broadcast_rows)
-    ops = _successful(transactions, day).select("trans_id", "trans_date", "card_num", "terminal")
+    ops = (_successful(transactions, day).where(_PLACED)
+           .select("trans_id", "trans_date", "card_num", "terminal"))
     on = ops["terminal"] == hist["terminal_id"]
     if terminal_join == "as_of":
         on = on & ops["trans_date"].between(hist["effective_from"], hist["effective_to"]) & ~hist["deleted_flg"]
@@ -206,7 +212,8 @@ def amount_guessing_findings(transactions: DataFrame, day: DayLike = None, k: in
                              max_gap: _dt.timedelta = GUESS_GAP, hot_rows: int = HOT_ROWS,
                              hot_bucket: _dt.timedelta = HOT_BUCKET, hot: HotGroups | None = None) -> DataFrame:
     """R4 before the owner lookup: ``(trans_date, card_num, event_type)``."""
-    ops = day_slice(transactions, day).select("trans_id", "trans_date", "card_num", "amt", "oper_result")
+    ops = (day_slice(transactions, day).where(_PLACED)
+           .select("trans_id", "trans_date", "card_num", "amt", "oper_result"))
     found = declining_attempts(ops, "card_num", "trans_date", "oper_result", "amt", k=k,
                                max_gap=max_gap, order_extra=("trans_id",), hot_rows=hot_rows,
                                hot_bucket=hot_bucket, hot=hot)
@@ -230,16 +237,24 @@ def fraud_report(transactions: DataFrame, history: DataFrame, clients: DataFrame
                  terminal_join: str = "as_of", guess_k: int = GUESS_ATTEMPTS,
                  guess_gap: _dt.timedelta = GUESS_GAP,
                  guess_transactions: DataFrame | None = None, clients_unique: bool = False,
-                 hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, hot_bucket: _dt.timedelta = HOT_BUCKET,
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hot: HotGroups | None = None) -> DataFrame:
     """R1, R2, R3 and R4, all rows kept (no dedupe between rules).
 
     R1 and R2 share one join with the operations (see
-    :func:`document_and_contract_ops`); R3 and R4 share one hot-group count
-    over the day's operations; their findings are united and looked up in
-    the ownership chain once."""
-    hot = find_hot_groups(day_slice(transactions, day), "card_num", "trans_date", hot_rows)
-    sequences = city_switch_findings(transactions, history, day, terminal_join, hot_rows=hot_rows,
-                                     hot_bucket=hot_bucket, hot=hot).unionByName(
+    :func:`document_and_contract_ops`); R3 and R4 share one search for hot
+    groups over the day's operations (with ``all_versions`` R3 searches again
+    after its join, which multiplies rows); their findings are united and
+    looked up in the ownership chain once.
+
+    Operations that are already partitioned by ``card_num`` (a cached
+    ``repartition("card_num")``, as the daily runs keep) need no further
+    exchange of the fact for either window."""
+    if hot is None:
+        hot = find_hot_groups(day_slice(transactions, day).where(_PLACED), "card_num", "trans_date", hot_rows)
+    sequences = city_switch_findings(transactions, history, day, terminal_join, max_broadcast_rows=max_broadcast_rows,
+                                     hot_rows=hot_rows, hot_bucket=hot_bucket,
+                                     hot=hot if terminal_join == "as_of" else None).unionByName(
         amount_guessing_findings(guess_transactions if guess_transactions is not None else transactions,
                                  day, guess_k, guess_gap, hot_rows=hot_rows, hot_bucket=hot_bucket, hot=hot))
     return (document_and_contract_ops(transactions, clients, accounts, cards, blacklist, day, clients_unique)

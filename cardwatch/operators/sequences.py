@@ -5,11 +5,11 @@ one calendar day.  A plain window would put each (key, day) group in one
 task, so one hot key (a third of all rows, say) would sort in one task.
 :func:`previous_rows` therefore splits hot groups and stitches the seams:
 
-1. Groups are counted with a map-side combined aggregate (key and day
-   columns only).  Groups above ``hot_rows`` are hot; there are at most
-   ``rows / hot_rows`` of them.  Their number is checked first: with none
-   the plan is one plain window; up to ``max_hot_groups`` the set is
-   broadcast, beyond that it is joined by shuffle.
+1. The heaviest (key, day) groups are found in one pass over two columns by
+   an approximate top-k sketch (``approx_top_k``): each task sends a sketch
+   of bounded size, nothing else moves.  Those of about ``hot_rows`` rows or
+   more are hot; with none the plan is one plain window.  Which groups are
+   split never changes a result, so an approximate answer serves.
 2. Hot groups are cut into time buckets of ``hot_bucket`` (default one
    second); light groups stay whole.  ``lag`` runs per (key, day, bucket):
    exact for every row except the first ``k`` rows of a hot bucket after the
@@ -22,7 +22,8 @@ task, so one hot key (a third of all rows, say) would sort in one task.
 
 The result equals an unsplit window for any data; no row is copied; the
 largest task holds one bucket of a hot key, or ``2k`` rows per bucket of one
-hot key-day in the stitch window.  Ties in ``ts`` are ordered by
+hot key-day in the stitch window (rows of one key with one and the same
+time are never cut).  Ties in ``ts`` are ordered by
 ``order_extra``; the patterns need ``(key, ts, order_extra)`` to be unique
 for a deterministic answer, as any ``lag`` does.
 """
@@ -32,7 +33,6 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,11 +45,10 @@ from cardwatch.functions.expressions import (
     micros_since_day_start,
     whole_units,
 )
-from cardwatch.operators.sizing import bounded_count
-
 HOT_ROWS = 1_000_000
 HOT_BUCKET = _dt.timedelta(seconds=1)
-MAX_HOT_GROUPS = 1_000_000
+#: Heaviest groups looked for, and groups that a task's sketch tracks.
+TOP_GROUPS, TRACKED_GROUPS = 1_000, 10_000
 
 _DAY = "_seq_day"
 _HOT = "_seq_hot"
@@ -63,39 +62,30 @@ def _us(t: _dt.timedelta) -> int:
     return (t.days * 86_400 + t.seconds) * 1_000_000 + t.microseconds
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame:
-    """(key, day) groups holding more than ``hot_rows`` rows."""
-    return (df.groupBy(*group).agg(F.count(F.lit(1)).alias("_seq_n"))
-            .where(F.col("_seq_n") > hot_rows).select(*group))
-
-
 @dataclass(frozen=True)
 class HotGroups:
     """Hot (key, day) groups found once and shared by several patterns over
     the same keys.  Which groups are split never changes a result (the seam
-    stitching is exact for any split), so one count can serve rules whose
-    inputs differ slightly (a filtered or joined copy of the same rows)."""
+    stitching is exact for any split), so one search can serve rules whose
+    inputs differ slightly (a filtered copy of the same rows), and a group
+    that shares a hot group's hash is merely split too."""
+
+    hashes: tuple[int, ...]  # at most TOP_GROUPS
 
-    frame: DataFrame  # columns: *keys, _seq_day
-    count: int  # min(number of hot groups, max_hot_groups + 1)
 
+def _group_hash(group: Sequence[str | Column]) -> Column:
+    return F.xxhash64(*group)
 
-def find_hot_groups(df: DataFrame, key: str | Sequence[str], ts: str, hot_rows: int = HOT_ROWS,
-                    max_hot_groups: int = MAX_HOT_GROUPS) -> HotGroups:
+
+def find_hot_groups(df: DataFrame, key: str | Sequence[str], ts: str, hot_rows: int = HOT_ROWS) -> HotGroups:
     keys = [key] if isinstance(key, str) else list(key)
-    group = [*keys, _DAY]
-    hot = hot_groups(df.select(*keys, day_of(ts).alias(_DAY)), group, hot_rows)
-    return HotGroups(hot, bounded_count(hot, max_hot_groups))
-
-
-def _mark_hot(d: DataFrame, group: Sequence[str], hot: DataFrame, n_hot: int, max_hot_groups: int,
-              ts: str, hot_bucket: _dt.timedelta) -> DataFrame:
-    flagged = hot.select(*[F.col(c).alias(f"_h_{c}") for c in group], F.lit(True).alias(_HOT))
-    if n_hot <= max_hot_groups:
-        flagged = F.broadcast(flagged)
-    on = reduce(lambda a, b: a & b, [d[c].eqNullSafe(flagged[f"_h_{c}"]) for c in group])
-    d = d.join(flagged, on, "left").drop(*[f"_h_{c}" for c in group])
-    is_hot = F.coalesce(F.col(_HOT), F.lit(False))
+    top = (df.select(_group_hash([*keys, day_of(ts)]).alias("_seq_hash"))
+           .agg(F.expr(f"approx_top_k(_seq_hash, {TOP_GROUPS}, {TRACKED_GROUPS})")).first()[0])
+    return HotGroups(tuple(t["item"] for t in top or [] if t["count"] > hot_rows))
+
+
+def _mark_hot(d: DataFrame, group: Sequence[str], hot: HotGroups, ts: str, hot_bucket: _dt.timedelta) -> DataFrame:
+    is_hot = _group_hash(group).isin(*hot.hashes) if hot.hashes else F.lit(False)
     w_us = max(_us(hot_bucket), 1)
     # Rows without a timestamp (their day is NULL too) stay in bucket 0.
     bucket = F.when(is_hot & F.col(ts).isNotNull(),
@@ -104,23 +94,22 @@ def _mark_hot(d: DataFrame, group: Sequence[str], hot: DataFrame, n_hot: int, ma
 
 
 def with_buckets(df: DataFrame, keys: Sequence[str], ts: str, hot_rows: int = HOT_ROWS,
-                 hot_bucket: _dt.timedelta = HOT_BUCKET, max_hot_groups: int = MAX_HOT_GROUPS) -> DataFrame:
+                 hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
     """Add ``_seq_day``, ``_seq_hot`` and ``_seq_bucket`` (0 for light groups)."""
     group = [*keys, _DAY]
     d = df.withColumn(_DAY, day_of(ts))
-    hot = find_hot_groups(df, keys, ts, hot_rows, max_hot_groups)
-    return _mark_hot(d, group, hot.frame, hot.count, max_hot_groups, ts, hot_bucket)
+    hot = find_hot_groups(df, keys, ts, hot_rows)
+    return _mark_hot(d, group, hot, ts, hot_bucket)
 
 
 def previous_rows(df: DataFrame, key: str | Sequence[str], ts: str, lags: dict[str, tuple[str, int]],
                   order_extra: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-                  hot_bucket: _dt.timedelta = HOT_BUCKET, max_hot_groups: int = MAX_HOT_GROUPS,
-                  hot: HotGroups | None = None) -> DataFrame:
+                  hot_bucket: _dt.timedelta = HOT_BUCKET, hot: HotGroups | None = None) -> DataFrame:
     """Add ``lags`` (``name -> (column, offset)``) computed per key and
     calendar day in ``(ts, *order_extra)`` order.  Output: the input columns
     plus the lag columns.
 
-    The hot-group count runs first (one narrow pass); when no group is hot,
+    The search for hot groups runs first (one narrow pass); when none is hot,
     which is the usual case, the plan is a single window per (key, day)."""
     keys = [key] if isinstance(key, str) else list(key)
     k = max(n for _, n in lags.values())
@@ -128,12 +117,12 @@ def previous_rows(df: DataFrame, key: str | Sequence[str], ts: str, lags: dict[s
     group = [*keys, _DAY]
     d = df.withColumn(_DAY, day_of(ts))
     if hot is None:
-        hot = find_hot_groups(df, keys, ts, hot_rows, max_hot_groups)
-    if hot.count == 0:
+        hot = find_hot_groups(df, keys, ts, hot_rows)
+    if not hot.hashes:
         w = Window.partitionBy(*group).orderBy(ts, *order_extra)
         return d.select("*", *[F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()]).select(*out_cols)
 
-    staged = _mark_hot(d, group, hot.frame, hot.count, max_hot_groups, ts, hot_bucket)
+    staged = _mark_hot(d, group, hot, ts, hot_bucket)
     # ``_seq_hot`` is a function of (key, day), so adding it to the window
     # keys changes no partition; it lets the seam branch's ``hot`` filter be
     # pushed below its exchange, so only hot rows are shuffled a second time.

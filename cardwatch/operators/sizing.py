@@ -1,11 +1,11 @@
 """Size-checked broadcast.
 
 A side is broadcast only after proving it has at most ``max_rows`` rows.
-The proof is ``limit(max_rows + 1).count()``: with no columns needed the
-scan is pruned to row counting and stops early, so the check is cheap even
-when the side turns out to be large.  Beyond the bound the frame is returned
-unhinted and Spark plans a shuffle join (AQE may still broadcast it if the
-runtime size is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+The proof is a plain ``count()``: no column is needed, every task sends one
+number, and a parquet scan is answered from the footers.  Beyond the bound
+the frame is returned unhinted and Spark plans a shuffle join (AQE may still
+broadcast it if the runtime size is below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``).
 """
 
 from __future__ import annotations
@@ -18,16 +18,7 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_count(df: DataFrame, max_rows: int) -> int:
-    """``min(rows of df, max_rows + 1)``, reading at most that many rows per task."""
-    return df.limit(max_rows + 1).count()
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return bounded_count(df, max_rows) <= max_rows
-
-
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    if max_rows > 0 and row_count_at_most(df, max_rows):
+    if max_rows > 0 and df.count() <= max_rows:
         return F.broadcast(df)
     return df

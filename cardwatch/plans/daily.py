@@ -2,10 +2,10 @@
 
 ``run_day``: load the day's feeds that are present (each may be absent),
 run the four rules for that day, replace the day's report partition.
-``run_range``: run the rules for many days in one job (windows keyed by
+``run_range``: run the rules for many days together (windows keyed by
 card and day, so the result equals one run per day) and replace the report
-of every day in the range.  Both read the operations once and keep the
-pruned slice cached while the four rules run.
+of every day in the range.  Both shuffle the operations once, by card, and
+keep that slice while the four rules run.
 """
 
 from __future__ import annotations
@@ -15,20 +15,23 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expressions import date_lit
 from cardwatch.operators.rules import fraud_report
+from cardwatch.operators.sequences import HotGroups, find_hot_groups
 from cardwatch.plans.report import read_report, write_day, write_days
 from cardwatch.plans.warehouse import Warehouse
 from cardwatch.sources.feeds import (
+    feed_day_of,
     feed_present,
     parse_run_date,
     read_blacklist_feed,
     read_terminal_snapshot,
     read_transactions_feed,
 )
+from cardwatch.sources.files import move, names
 
 
 def as_date(day: _dt.date | str) -> _dt.date:
@@ -66,24 +69,45 @@ class FeedFolder:
         return self._p(TERMINALS_PREFIX, day, self.terminals_ext)
 
 
+    def days(self, spark: SparkSession) -> list[_dt.date]:
+        """Days that have a feed of any kind in the folder."""
+        kinds = (TRANSACTIONS_PREFIX, BLACKLIST_PREFIX, TERMINALS_PREFIX)
+        found = {feed_day_of(n) for n in names(spark, self.folder) if n.startswith(kinds)}
+        return sorted(d for d in found if d is not None)
+
+
+#: Suffix of archived feeds (fixed value).
+ARCHIVED = ".backup"
+
+
+def day_start(day: _dt.date) -> _dt.datetime:
+    """When a day's terminal snapshot takes effect: the day's first moment,
+    so that the as-of join places that day's operations."""
+    return _dt.datetime.combine(day, _dt.time())
+
+
 def load_feeds(wh: Warehouse, day: _dt.date, feeds: FeedFolder, as_of=None, key_policy: str = "fail",
-               history_mode: str = "reference") -> dict[str, bool]:
-    """Load each present feed of ``day``; report which were loaded."""
+               history_mode: str = "reference", archive: str | None = None) -> dict[str, bool]:
+    """Load each present feed of ``day``; report which were loaded.
+
+    Terminal versions start at ``as_of``, by default the start of ``day``.
+    With ``archive`` each feed is moved there once its load is committed."""
     spark = wh.spark
+    steps = {
+        "transactions": (feeds.transactions(day),
+                         lambda p: wh.append_transactions(read_transactions_feed(spark, p, "csv"), key_policy)),
+        "blacklist": (feeds.blacklist(day), lambda p: wh.load_blacklist(read_blacklist_feed(spark, p))),
+        "terminals": (feeds.terminals(day),
+                      lambda p: wh.load_terminals(read_terminal_snapshot(spark, p),
+                                                  as_of if as_of is not None else day_start(day), mode=history_mode)),
+    }
     loaded = {}
-    p = feeds.transactions(day)
-    loaded["transactions"] = feed_present(spark, p)
-    if loaded["transactions"]:
-        wh.append_transactions(read_transactions_feed(spark, p, "csv"), key_policy)
-    p = feeds.blacklist(day)
-    loaded["blacklist"] = feed_present(spark, p)
-    if loaded["blacklist"]:
-        wh.load_blacklist(read_blacklist_feed(spark, p))
-    p = feeds.terminals(day)
-    loaded["terminals"] = feed_present(spark, p)
-    if loaded["terminals"]:
-        when = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
-        wh.load_terminals(read_terminal_snapshot(spark, p), when, mode=history_mode)
+    for kind, (path, load) in steps.items():
+        loaded[kind] = feed_present(spark, path)
+        if loaded[kind]:
+            load(path)
+            if archive:
+                move(spark, path, archive, ARCHIVED)
     return loaded
 
 
@@ -107,44 +131,55 @@ def operations(wh: Warehouse, day: _dt.date | str | None = None, start: _dt.date
 
 def day_report(wh: Warehouse, day: _dt.date | str | None, terminal_join: str = "as_of",
                start: _dt.date | str | None = None, end: _dt.date | str | None = None,
-               transactions: DataFrame | None = None) -> DataFrame:
+               transactions: DataFrame | None = None, hot: HotGroups | None = None) -> DataFrame:
     """R5 over the warehouse tables, for one day or for ``[start, end]``."""
     txn = transactions if transactions is not None else operations(wh, day, start, end)
     # Clients are loaded through the key guard (K1): one row per client.
     return fraud_report(txn, wh.history(), wh.table("clients"), wh.table("accounts"), wh.table("cards"),
                         wh.table("blacklist"), None if day is None else as_date(day), terminal_join,
-                        clients_unique=True)
+                        clients_unique=True, hot=hot)
 
 
 @contextmanager
 def cached_operations(wh: Warehouse, day=None, start=None, end=None):
-    """The rules read the operations four times (R1+R2 join, hot-group
-    count, R3, R4).  Keep the pruned slice in executor memory (spilling to
-    disk) for the duration of one report; lost blocks are recomputed from
-    the parquet files, and the cache is released afterwards."""
-    ops = operations(wh, day, start, end).persist(StorageLevel.MEMORY_AND_DISK)
+    """Yields the operations and their hot groups for one report.
+
+    The rules read the operations three times (R1+R2 join, R3, R4).  Without
+    a hot group they are repartitioned by card once and kept, so that both
+    windows run where the rows lie: the fact is shuffled a single time.  With
+    hot groups each window deals its own buckets out, so they are kept as
+    read.  The kept blocks lie in executor memory and on executors' disks;
+    lost ones are recomputed from the parquet files, and all are released
+    after the report."""
+    ops = operations(wh, day, start, end)
+    hot = find_hot_groups(ops.where("trans_date IS NOT NULL AND card_num IS NOT NULL"), "card_num", "trans_date")
+    if not hot.hashes:
+        ops = ops.repartition("card_num")
+    ops = ops.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield ops
+        yield ops, hot
     finally:
         ops.unpersist()
 
 
 def run_day(wh: Warehouse, day: _dt.date | str, feeds: FeedFolder | None = None, as_of=None,
             terminal_join: str = "as_of", key_policy: str = "fail", report_dt=None,
-            history_mode: str = "reference") -> DataFrame:
+            history_mode: str = "reference", archive: str | None = None) -> DataFrame:
     """One daily run; returns that day's report (lazy read of the table)."""
     d = as_date(day)
     wh.ensure_tables()
     if feeds is not None:
-        load_feeds(wh, d, feeds, as_of, key_policy, history_mode)
-    with cached_operations(wh, day=d) as ops:
-        write_day(wh, day_report(wh, d, terminal_join, transactions=ops), d, report_dt)
+        load_feeds(wh, d, feeds, as_of, key_policy, history_mode, archive)
+    with cached_operations(wh, day=d) as (ops, hot):
+        write_day(wh, day_report(wh, d, terminal_join, transactions=ops, hot=hot), d, report_dt)
     return read_report(wh, d)
 
 
 def run_range(wh: Warehouse, start: _dt.date | str, end: _dt.date | str, terminal_join: str = "as_of",
-              report_dt=None) -> DataFrame:
-    """Rules for every day of ``[start, end]`` in one job (no feed loading).
+              report_dt=None, days_per_job: int = 31) -> DataFrame:
+    """Rules for every day of ``[start, end]`` (no feed loading), in jobs of
+    at most ``days_per_job`` days, so that what is kept while the rules run is
+    bounded however long the range is.
 
     Every day of the range that has operations or earlier findings is
     replaced, so a rerun after a data fix also clears findings that no
@@ -154,7 +189,10 @@ def run_range(wh: Warehouse, start: _dt.date | str, end: _dt.date | str, termina
     fact_days = (wh.table("transactions").where(F.col("trans_day").between(lo, hi))
                  .select(F.col("trans_day").alias("event_day")))
     report_days = wh.table("report").where(F.col("event_day").between(lo, hi)).select("event_day")
-    with cached_operations(wh, start=start, end=end) as ops:
-        write_days(wh, day_report(wh, None, terminal_join, start, end, transactions=ops),
-                   fact_days.unionByName(report_days), report_dt)
+    days = sorted(r[0] for r in fact_days.unionByName(report_days).distinct().collect())
+    for at in range(0, len(days), days_per_job):
+        own = days[at:at + days_per_job]
+        with cached_operations(wh, start=own[0], end=own[-1]) as (ops, hot):
+            write_days(wh, day_report(wh, None, terminal_join, own[0], own[-1], transactions=ops, hot=hot),
+                       wh.spark.createDataFrame([(d,) for d in own], "event_day date"), report_dt)
     return read_report(wh).where(F.col("event_day").between(lo, hi))

@@ -5,29 +5,34 @@ Layout under ``root`` (all parquet, explicit schemas on read):
 * ``transactions/trans_day=YYYY-MM-DD/`` fact, partitioned by day so that a
   day's rules read one partition;
 * ``blacklist/``, ``clients/``, ``accounts/``, ``cards/``;
-* ``terminals_hist/version=N/state=open|closed|base/`` the type-2 history.
+* ``terminals_hist/version=N/state=open|closed/`` the type-2 history.
   Parquet has no UPDATE and a table cannot be overwritten while it is
   read, so each snapshot writes the next version: its open rows and the
-  rows it closed; readers take the highest version.  A failed write never
-  commits its version, so a rerun is safe.
+  rows it closed.  ``terminals_hist_log/`` has one row per finished version
+  (its load time, which version holds the last full history, and which
+  states it wrote), appended as one file after the version's data.  Readers
+  follow the log alone, so a half-written version is never seen and a rerun
+  writes it anew.
 * ``report/event_day=YYYY-MM-DD/`` the fraud report (see ``report.py``).
 """
 
 from __future__ import annotations
 
-import re
+import datetime as _dt
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from cardwatch import schemas
 from cardwatch.functions.expressions import day_of, open_end, ts_ntz
 from cardwatch.operators import history as H
 from cardwatch.operators.keys import guard_unique, insert_if_absent
 from cardwatch.sources.feeds import transactions_from_feed
+from cardwatch.sources.files import exists, names, remove
 
 TABLES: dict[str, tuple[StructType, list[str]]] = {
     "transactions": (schemas.TRANSACTIONS, ["trans_day"]),
@@ -49,15 +54,32 @@ SQL_VIEW_NAMES = {
     "report": "rep_fraud",
 }
 HISTORY_VIEW_NAME = "dwh_dim_terminals_hist"
-_PART = re.compile(r"/version=(\d+)/state=(open|closed|base)/")
-OPEN, CLOSED, BASE = "open", "closed", "base"
+HISTORY_LOG = "terminals_hist_log"
+HISTORY_LOG_SCHEMA = "version int, base int, as_of timestamp_ntz, states string"
+OPEN, CLOSED = "open", "closed"
+#: Day partitions a load spreads over so many tasks each.
+WRITERS_PER_DAY = 8
+
+
+class SnapshotOrderError(ValueError):
+    """A snapshot older than the last one applied."""
+
+
+@dataclass(frozen=True)
+class HistoryVersion:
+    """One finished version of the terminal history."""
+
+    version: int
+    base: int  # the last version that holds closed rows of a whole history
+    as_of: _dt.datetime | None
+    states: tuple[str, ...]
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select and cast ``df`` to ``schema`` (missing columns become NULL).
 
-    ``try_cast``: a value that does not fit (an amount beyond decimal(10,2),
-    say) becomes NULL, as in the feed parsers, instead of failing the load."""
+    ``try_cast``: a value that does not fit becomes NULL, as in the feed
+    parsers, instead of failing the load."""
     have = set(df.columns)
     return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).try_cast(f.dataType).alias(f.name)
                        for f in schema.fields])
@@ -78,9 +100,8 @@ class Warehouse:
             if not self._exists(name):
                 w = self.spark.createDataFrame([], schema).write.mode("overwrite")
                 (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
-        if self.history_version() is None:
-            empty = self.spark.createDataFrame([], self._history_schema())
-            empty.write.mode("overwrite").partitionBy("version", "state").parquet(self.path(HISTORY))
+        if not exists(self.spark, self.path(HISTORY_LOG)):
+            self.spark.createDataFrame([], HISTORY_LOG_SCHEMA).write.mode("append").parquet(self.path(HISTORY_LOG))
 
     def _exists(self, name: str) -> bool:
         try:
@@ -114,91 +135,99 @@ class Warehouse:
 
     # -- history versions ----------------------------------------------------
     # terminals_hist/version=N/state=open    every row still open after N
-    # terminals_hist/version=N/state=closed  rows that snapshot N closed
-    # terminals_hist/version=N/state=base    closed rows of a replaced history
+    # terminals_hist/version=N/state=closed  rows that snapshot N closed; of a
+    #                                        base version, all its closed rows
     # Closed rows never change again, so a snapshot writes its open rows and
     # its closures only.  History at N = open rows of N, plus the closed rows
-    # of every version after the last base, plus that base.
-    def _history_schema(self) -> StructType:
-        return StructType(schemas.TERMINALS_HIST.fields + [StructField("version", IntegerType(), True),
-                                                           StructField("state", StringType(), True)])
-
-    def _history_layout(self) -> dict[int, set[str]] | None:
-        """``{version: states}`` from the file listing (no job); None when
-        the history table does not exist."""
-        try:
-            files = self.spark.read.schema(self._history_schema()).parquet(self.path(HISTORY)).inputFiles()
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-                return None
-            raise
-        layout: dict[int, set[str]] = {}
-        for f in files:
-            if m := _PART.search(f):
-                layout.setdefault(int(m.group(1)), set()).add(m.group(2))
-        return layout
-
-    def history_version(self) -> int | None:
-        """Highest committed history version (0 for a new, empty history)."""
-        layout = self._history_layout()
-        if layout is None:
-            return None
-        return max(layout) if layout else 0
-
-    def _history_parts(self) -> DataFrame:
-        return self.spark.read.schema(self._history_schema()).parquet(self.path(HISTORY))
+    # of every version from the last base on.
+    def history_log(self) -> list[HistoryVersion]:
+        """The finished versions in order (one short row each)."""
+        if not exists(self.spark, self.path(HISTORY_LOG)):
+            return []
+        rows = self.spark.read.schema(HISTORY_LOG_SCHEMA).parquet(self.path(HISTORY_LOG)).collect()
+        return [HistoryVersion(r.version, r.base, r.as_of, tuple(r.states.split(",")) if r.states else ())
+                for r in sorted(rows, key=lambda r: r.version)]
+
+    def history_version(self) -> int:
+        """The last finished history version (0 for a new, empty history)."""
+        log = self.history_log()
+        return log[-1].version if log else 0
+
+    def _history_rows(self, folders: list[str]) -> DataFrame:
+        """Rows of the named version folders, and no listing of any other."""
+        if not folders:
+            return self.spark.createDataFrame([], schemas.TERMINALS_HIST)
+        return self.spark.read.schema(schemas.TERMINALS_HIST).parquet(*folders)
+
+    def _folder(self, version: int, state: str | None = None) -> str:
+        folder = f"{self.path(HISTORY)}/version={version}"
+        return folder if state is None else f"{folder}/state={state}"
 
     def history(self) -> DataFrame:
-        """The full type-2 history at the current version (partition-pruned)."""
-        layout = self._history_layout()
-        if not layout:
-            return self.spark.createDataFrame([], schemas.TERMINALS_HIST)
-        v = max(layout)
-        base = max((n for n, states in layout.items() if BASE in states), default=-1)
-        version, state = F.col("version"), F.col("state")
-        keep = (((version == v) & (state == OPEN)) | ((version > base) & (state == CLOSED))
-                | ((version == base) & (state == BASE)))
-        return self._history_parts().where(keep).select(*schemas.TERMINALS_HIST.fieldNames())
+        """The full type-2 history at the current version."""
+        log = self.history_log()
+        last = log[-1:]
+        folders = [self._folder(e.version, OPEN) for e in last if OPEN in e.states]
+        folders += [self._folder(e.version, CLOSED) for e in log if CLOSED in e.states and e.version >= last[0].base]
+        return self._history_rows(folders)
 
     def open_history(self) -> DataFrame:
         """Rows still open at the current version (what a snapshot can change)."""
-        layout = self._history_layout()
-        if not layout:
-            return self.spark.createDataFrame([], schemas.TERMINALS_HIST)
-        return (self._history_parts().where((F.col("version") == max(layout)) & (F.col("state") == OPEN))
-                .select(*schemas.TERMINALS_HIST.fieldNames()))
+        return self._history_rows([self._folder(e.version, OPEN) for e in self.history_log()[-1:] if OPEN in e.states])
 
-    def replace_history(self, history: DataFrame) -> int:
+    def replace_history(self, history: DataFrame, as_of=None) -> int:
         """Write an existing type-2 history (e.g. migrated from another
-        store) as the next version; returns that version."""
-        version = (self.history_version() or 0) + 1
-        self._write_version(history, version, closed_state=BASE)
+        store) as the next version and new base; returns that version."""
+        version = self.history_version() + 1
+        self._write_version(history, version, version, as_of)
         return version
 
     def compact_history(self) -> int:
         """Rewrite the current history as one new base version, so readers
         no longer gather the closed rows of every earlier version (run now
-        and then, e.g. monthly); earlier version folders can then be removed
-        by retention.  Returns the new version."""
-        return self.replace_history(self.history())
-
-    def _write_version(self, df: DataFrame, version: int, closed_state: str = CLOSED) -> None:
-        state = F.when(F.col(H.TO) == open_end(), F.lit(OPEN)).otherwise(F.lit(closed_state))
+        and then, e.g. monthly).  Returns the new version."""
+        log = self.history_log()
+        return self.replace_history(self.history(), log[-1].as_of if log else None)
+
+    def remove_old_versions(self) -> list[int]:
+        """Delete the data of versions before the current base; no reader of
+        the current version needs them.  Returns those deleted."""
+        log = self.history_log()
+        if not log:
+            return []
+        stored = [int(n.split("=")[1]) for n in names(self.spark, self.path(HISTORY)) if n.startswith("version=")]
+        old = [v for v in stored if v < log[-1].base]
+        for v in old:
+            remove(self.spark, self._folder(v))
+        return sorted(old)
+
+    def _write_version(self, df: DataFrame, version: int, base: int, as_of) -> None:
+        state = F.when(F.col(H.TO) == open_end(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
         (conform(df, schemas.TERMINALS_HIST).withColumn("state", state)
-         .write.mode("overwrite").partitionBy("state").parquet(f"{self.path(HISTORY)}/version={version}"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("state")
+         .parquet(self._folder(version)))
+        states = [s for s in (OPEN, CLOSED) if exists(self.spark, self._folder(version, s))]
+        # published last: one file in one commit
+        (self.spark.createDataFrame([(version, base, as_of, ",".join(states))], HISTORY_LOG_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(self.path(HISTORY_LOG)))
 
     # -- loads -----------------------------------------------------------------
-    def append_transactions(self, feed: DataFrame, key_policy: str = "fail", key_scope: str = "all") -> None:
+    def append_transactions(self, feed: DataFrame, key_policy: str = "fail", key_scope: str = "all") -> dict[str, int]:
         """T2 + K1: rename feed columns, type them, guard ``trans_id`` against
         the batch and the loaded fact, append into day partitions.
 
-        ``key_scope='all'`` checks the whole fact, as a primary key does (only
-        the ``trans_id`` column is read; a runtime bloom filter built from the
-        batch prunes it before the shuffle).  ``'same_days'`` checks only the
-        day partitions the batch writes to: the semi join on ``trans_day``
-        lets dynamic partition pruning skip every other day."""
-        facts = transactions_from_feed(feed).withColumn("trans_day", day_of("trans_date"))
-        facts = conform(facts, schemas.TRANSACTIONS)
+        Returns counts of the rows written and of the values among them that
+        could not be read: ``rows``, ``bad_times``, ``bad_amounts`` (taken
+        while writing; such values are NULL, their rows are kept).
+
+        ``key_scope='all'`` checks the whole fact, as a primary key does; it
+        reads the ``trans_id`` column of every day.  ``'same_days'`` checks
+        only the day partitions the batch writes to: the semi join on
+        ``trans_day`` lets dynamic partition pruning skip every other day, so
+        its cost follows the batch and not the fact."""
+        flags = [c for c in ("bad_time", "bad_amount") if c in feed.columns]
+        facts = transactions_from_feed(feed, *flags).withColumn("trans_day", day_of("trans_date"))
+        facts = conform(facts, StructType([f for f in facts.schema.fields if f.name in flags] + schemas.TRANSACTIONS.fields))
         target = self.table("transactions").select("trans_id", "trans_day")
         if key_scope == "same_days":
             # Null-safe: rows with an unparsable time sit in the NULL day partition.
@@ -207,7 +236,18 @@ class Warehouse:
         elif key_scope != "all":
             raise ValueError(f"unknown key_scope {key_scope!r}")
         facts = guard_unique(facts, target.select("trans_id"), ["trans_id"], key_policy)
-        facts.write.mode("append").partitionBy("trans_day").parquet(self.path("transactions"))
+        seen = Observation()
+        counted = [F.count(F.lit(1)).alias("rows")] + [F.count_if(f).alias(f"{f}s") for f in flags]
+        facts = facts.observe(seen, *counted).drop(*flags)
+        # a day's rows go to a few writers, not to every task of the load
+        spread = F.pmod(F.xxhash64("trans_id"), F.lit(WRITERS_PER_DAY))
+        (facts.repartition(F.col("trans_day"), spread).write.mode("append").partitionBy("trans_day")
+         .parquet(self.path("transactions")))
+        try:
+            found = seen.get
+        except Py4JJavaError:  # nothing to write: the optimizer dropped the plan and its counters
+            found = {"rows": 0}
+        return {"bad_times": 0, "bad_amounts": 0, **found}
 
     def load_blacklist(self, feed: DataFrame, null_keys: str = "reference") -> None:
         """L1: append feed documents not yet listed (``NOT IN`` semantics)."""
@@ -228,24 +268,33 @@ class Warehouse:
         (unchanged when the snapshot changes nothing).
 
         Only the open rows are read and rewritten: a snapshot cannot change a
-        closed row, and with snapshots applied in ``as_of`` order (as the
-        reference's wall clock guarantees) no closed row is active at
-        ``as_of``.  The version's closures are written beside its open rows.
+        closed row, and with snapshots applied in ``as_of`` order no closed
+        row is active at ``as_of``.  An ``as_of`` before the last one is
+        therefore refused.  The version's closures are written beside its
+        open rows.
 
         In ``clean`` mode the first snapshot (empty history) opens its
         versions at ``initial_start`` rather than at the load time, so that
         as-of joins can place operations made before the first load."""
-        current = self.history_version() or 0
+        log = self.history_log()
+        current = log[-1].version if log else 0
         if mode == "clean" and current == 0:
             as_of = initial_start
-        applied = H.scd2_apply(conform(self.open_history(), schemas.TERMINALS_HIST),
-                               conform(snapshot, schemas.TERMINALS_HIST).select(H.KEY, *H.ATTRS),
-                               as_of, mode=mode, null_keys=null_keys, null_safe=null_safe)
-        # Every change opens or closes a row exactly at as_of; an unchanged
-        # snapshot (the usual day, or a replayed file) writes no version.
-        at = ts_ntz(as_of)
-        touched = applied.where((F.col(H.FROM) == at) | (F.col(H.TO) == at - F.expr("INTERVAL 1 SECOND")))
-        if current > 0 and touched.isEmpty():
+        as_of = self._moment(as_of)
+        if log and log[-1].as_of is not None and as_of < log[-1].as_of:
+            raise SnapshotOrderError(f"snapshot of {as_of} after one of {log[-1].as_of}")
+        opened = conform(self.open_history(), schemas.TERMINALS_HIST)
+        snap = conform(snapshot, schemas.TERMINALS_HIST).select(H.KEY, *H.ATTRS)
+        # An unchanged snapshot (the usual day, or a replayed file) writes no version.
+        if current > 0 and H.snapshot_diff(snap, H.active_versions(opened, as_of), null_keys=null_keys,
+                                           null_safe=null_safe).isEmpty():
             return current
-        self._write_version(applied, current + 1)
+        applied = H.scd2_apply(opened, snap, as_of, mode=mode, null_keys=null_keys, null_safe=null_safe)
+        # the first version is its own base
+        self._write_version(applied, current + 1, log[-1].base if log else 1, as_of)
         return current + 1
+
+    def _moment(self, as_of) -> _dt.datetime:
+        if isinstance(as_of, _dt.datetime):
+            return as_of
+        return self.spark.range(1).select((as_of if isinstance(as_of, Column) else ts_ntz(as_of)).alias("t")).first().t

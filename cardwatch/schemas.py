@@ -68,7 +68,8 @@ TERMINALS_HIST = StructType([
 TRANSACTIONS = StructType([
     StructField("trans_id", StringType(), False),
     StructField("trans_date", TimestampNTZType(), True),
-    StructField("amt", DecimalType(10, 2), True),
+    # wide enough to hold any amount of a feed without rounding its digits
+    StructField("amt", DecimalType(38, 18), True),
     StructField("card_num", StringType(), True),
     StructField("oper_type", StringType(), True),
     StructField("oper_result", StringType(), True),

@@ -4,20 +4,23 @@ Feeds are delimited text (``;``, header row) named ``<kind>_DDMMYYYY.<ext>``;
 blacklist and terminal snapshots may also be parquet.  Every feed column is
 read as text with an explicit schema (no inference pass over the data) and
 parsed with ``try_*`` functions, so one bad value yields NULL instead of
-failing a 100 TB job.  The feed day is taken from the file name through the
-``_metadata`` column, which lets one read cover a whole backfill folder.
+failing a 100 TB job; the loads count such values.  Columns are bound by the
+names in the header, whatever their order.  The feed day is taken from the
+file name through the ``_metadata`` column, which lets one read cover a whole
+backfill folder.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cardwatch import schemas
+from cardwatch.sources.files import exists
 
 # Feed naming and formats.
 FEED_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -34,19 +37,36 @@ def parse_run_date(text: str) -> _dt.date:
 def feed_present(spark: SparkSession, path: str) -> bool:
     """Whether a feed exists.  Absent differs from empty: an empty
     terminal snapshot deletes every terminal, an absent one changes nothing."""
-    try:
-        spark.read.format("binaryFile").load(path).select("path")
-        return True
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return False
-        raise
+    return exists(spark, path)
+
+
+class FeedHeaderError(ValueError):
+    """A feed's header names a column that its table does not have."""
+
+
+# How the feeds are written: quotes inside quoted values are doubled.
+CSV_OPTIONS = {"sep": CSV_SEPARATOR, "header": True, "escape": '"', "mode": "PERMISSIVE"}
+
+
+def header_schema(spark: SparkSession, path: str, schema: StructType) -> StructType:
+    """All-text schema in the order of the header at ``path`` (only the first
+    line is read).  An unknown column, or a header without any known one, is
+    an error; a missing column is read as NULL."""
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    unknown = [n for n in names if n not in schema.fieldNames()]
+    if unknown or not names:
+        raise FeedHeaderError(f"{path}: header {names} does not fit {schema.fieldNames()}")
+    return StructType([StructField(n, StringType(), True) for n in names])
 
 
 def _read_text(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
     if fmt == "csv":
-        return (spark.read.schema(schema).option("sep", CSV_SEPARATOR).option("header", True)
-                .option("mode", "PERMISSIVE").csv(path))
+        found = header_schema(spark, path, schema)
+        # enforceSchema=false: of several files, one with another header fails
+        raw = spark.read.schema(found).options(**CSV_OPTIONS).option("enforceSchema", False).csv(path)
+        have = set(found.fieldNames())
+        return raw.select(*[(F.col(f.name) if f.name in have else F.lit(None).cast("string")).alias(f.name)
+                            for f in schema.fields], *_feed_metadata())
     if fmt == "parquet":
         raw = spark.read.parquet(path)
         return raw.select(*[F.col(f.name).cast("string").alias(f.name) for f in schema.fields])
@@ -59,16 +79,35 @@ def _fmt(path: str, fmt: str | None) -> str:
     return "parquet" if path.rstrip("/").endswith(".parquet") else "csv"
 
 
-def _feed_day() -> Column:
+FEED_DAY = "feed_day"
+
+
+def _feed_metadata() -> list[Column]:
     digits = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{8})", 1)
-    return F.when(digits != "", F.try_to_timestamp(digits, F.lit(FEED_DAY_FORMAT))).cast("date")
+    return [F.when(digits != "", F.try_to_timestamp(digits, F.lit(FEED_DAY_FORMAT))).cast("date").alias(FEED_DAY)]
+
+
+def feed_day_of(path: str) -> _dt.date | None:
+    """The day in a feed's file name (``<kind>_DDMMYYYY.<ext>``)."""
+    m = re.search(r"(\d{8})[^/]*$", path)
+    try:
+        return parse_run_date(m[1]) if m else None
+    except ValueError:
+        return None
 
 
 def parse_amount(text: str | Column) -> Column:
-    """Amount text -> decimal(10,2); a comma decimal separator is accepted
-    and unparsable text becomes NULL."""
+    """Amount text -> decimal(38,18), wide enough for any amount and all its
+    digits; a comma decimal separator is accepted and unparsable text becomes
+    NULL."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.translate(F.trim(c), ",", ".").try_cast("decimal(38,18)")
+
+
+def unparsed(text: str | Column, parsed: Column) -> Column:
+    """True where text stands but no value could be read from it."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.translate(F.trim(c), ",", ".").try_cast("decimal(10,2)")
+    return (F.trim(F.coalesce(c, F.lit(""))) != "") & parsed.isNull()
 
 
 def parse_time(text: str | Column, fmt: str = FEED_TIME_FORMAT) -> Column:
@@ -82,14 +121,22 @@ def parse_date(text: str | Column, fmt: str = FEED_DATE_FORMAT) -> Column:
 
 
 def read_transactions_feed(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Transactions feed with typed columns and ``feed_day``."""
+    """Transactions feed with typed columns, ``feed_day`` and the
+    flags ``bad_time`` and ``bad_amount`` (text that could not be read)."""
     raw = _read_text(spark, path, schemas.TRANSACTIONS_FEED, _fmt(path, fmt))
+    return typed_transactions(raw, *([FEED_DAY] if FEED_DAY in raw.columns else []))
+
+
+def typed_transactions(raw: DataFrame, *further: str) -> DataFrame:
+    """The transactions feed's text columns as typed ones."""
+    when, amount = parse_time("transaction_date"), parse_amount("amount")
     return raw.select(
         F.trim("transaction_id").alias("transaction_id"),
-        parse_time("transaction_date").alias("transaction_date"),
-        parse_amount("amount").alias("amount"),
-        "card_num", "oper_type", "oper_result", "terminal",
-        _feed_day().alias("feed_day"),
+        when.alias("transaction_date"),
+        amount.alias("amount"),
+        "card_num", "oper_type", "oper_result", "terminal", *further,
+        unparsed("transaction_date", when).alias("bad_time"),
+        unparsed("amount", amount).alias("bad_amount"),
     )
 
 
@@ -101,7 +148,8 @@ def read_blacklist_feed(spark: SparkSession, path: str, fmt: str | None = None)
 
 def read_terminal_snapshot(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Full terminal snapshot (absence of a key means deletion)."""
-    return _read_text(spark, path, schemas.TERMINALS_FEED, _fmt(path, fmt))
+    raw = _read_text(spark, path, schemas.TERMINALS_FEED, _fmt(path, fmt))
+    return raw.select(*schemas.TERMINALS_FEED.fieldNames())
 
 
 def read_dimension(spark: SparkSession, path: str, schema, fmt: str | None = None) -> DataFrame:
@@ -123,12 +171,12 @@ def _as_text(schema: StructType) -> StructType:
     return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
 
 
-def transactions_from_feed(feed: DataFrame) -> DataFrame:
+def transactions_from_feed(feed: DataFrame, *further: str) -> DataFrame:
     """Feed columns -> fact columns (``transaction_id -> trans_id``,
     ``transaction_date -> trans_date``, ``amount -> amt``, rest unchanged)."""
     return feed.select(
         F.col("transaction_id").alias("trans_id"),
         F.col("transaction_date").alias("trans_date"),
         F.col("amount").alias("amt"),
-        "card_num", "oper_type", "oper_result", "terminal",
+        "card_num", "oper_type", "oper_result", "terminal", *further,
     )

@@ -1,54 +1,74 @@
 """T5: continuous feed ingest with archiving, as Structured Streaming jobs.
 
-A file source picks up new feed files, every micro-batch goes through the
-same load path as the batch loads, and consumed files are moved below
-``archive_dir`` by the source (``cleanSource=archive``).  Progress lives in
-``checkpoint`` on the shared file system, so a restarted driver continues
-where it stopped, and every load is safe to replay:
+A file source watches the inbox for new feed files.  Only their paths stream
+(the files' content is not read by the source); each micro-batch loads its
+files through the same readers as the batch loads, so columns are bound by
+header name and a header-only file keeps its meaning.  A loaded file moves to
+``archive_dir`` as soon as its load is committed, the last one too.
+
+Progress lives in ``checkpoint`` on the shared file system, so a restarted
+driver continues where it stopped, and every load is safe to replay:
 
 * transactions: T2 + K1 with the ``skip`` policy drops rows already loaded;
-* blacklist: one file per micro-batch, insert-if-absent (L1) adds nothing
-  the second time;
-* terminal snapshots: one file per micro-batch, each applied as its own
-  history version (L10); applying the same snapshot again changes nothing.
-  Files are taken in modification-time order, so daily snapshots must
-  arrive in day order, as they do when dropped daily.
-
-Run with ``Trigger.AvailableNow`` for a backlog, or a processing-time
-trigger for continuous arrival.  The source moves the files of a batch only
-when a later batch runs.
+* blacklist: insert-if-absent (L1) adds nothing the second time;
+* terminal snapshots: one file per micro-batch, in day order within a
+  backlog of one batch; each is applied at the start of its file's day (or at
+  ``as_of``) as its own history version (L10).  Applying the same snapshot
+  again changes nothing, and one that arrives after a later day's is refused.
+
+A file that a replayed batch names but that is archived already was loaded
+before: it is skipped.  Run with ``Trigger.AvailableNow`` for a backlog, or a
+processing-time trigger for continuous arrival.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cardwatch import schemas
+from cardwatch.plans.daily import ARCHIVED, day_start
 from cardwatch.plans.warehouse import Warehouse
-from cardwatch.sources.feeds import CSV_SEPARATOR, parse_amount, parse_date, parse_time
+from cardwatch.sources.feeds import (
+    feed_day_of,
+    feed_present,
+    read_blacklist_feed,
+    read_terminal_snapshot,
+    read_transactions_feed,
+)
+from cardwatch.sources.files import move
 
 # Feed file patterns picked up by the streams.
 TRANSACTIONS_PATTERN = "transactions_*.txt"
 BLACKLIST_PATTERN = "passport_blacklist_*.csv"
 TERMINALS_PATTERN = "terminals_*.csv"
 
+_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-def _feed_stream(wh: Warehouse, feed_dir: str, schema, pattern: str, archive_dir: str | None,
-                 max_files_per_trigger: int | None) -> DataFrame:
-    reader = (wh.spark.readStream.schema(schema)
-              .option("sep", CSV_SEPARATOR).option("header", True).option("pathGlobFilter", pattern))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+
+def feed_files(spark: SparkSession, feed_dir: str, pattern: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the paths of new feed files."""
+    reader = (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("pathGlobFilter", pattern)
+              .option("ignoreMissingFiles", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(feed_dir)
+    return reader.load(feed_dir).select("path")
+
 
+def _ingest(wh: Warehouse, files: DataFrame, load: Callable[[str], None], checkpoint: str, archive_dir: str | None,
+            available_now: bool, processing_time: str | None) -> StreamingQuery:
+    def load_batch(batch: DataFrame, _epoch: int) -> None:
+        # a batch names as many files as the trigger admits, in day order
+        paths = sorted((r.path for r in batch.collect()), key=lambda p: (str(feed_day_of(p)), p))
+        for path in paths:
+            if feed_present(wh.spark, path):
+                load(path)
+                if archive_dir:
+                    move(wh.spark, path, archive_dir, ARCHIVED)
 
-def _start(stream: DataFrame, load, checkpoint: str, available_now: bool,
-           processing_time: str | None) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    wh.ensure_tables()
+    writer = files.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -56,58 +76,41 @@ def _start(stream: DataFrame, load, checkpoint: str, available_now: bool,
     return writer.start()
 
 
-def transactions_stream(wh: Warehouse, feed_dir: str, archive_dir: str | None = None,
-                        pattern: str = TRANSACTIONS_PATTERN, max_files_per_trigger: int | None = None) -> DataFrame:
-    raw = _feed_stream(wh, feed_dir, schemas.TRANSACTIONS_FEED, pattern, archive_dir, max_files_per_trigger)
-    return raw.select(
-        "transaction_id",
-        parse_time("transaction_date").alias("transaction_date"),
-        parse_amount("amount").alias("amount"),
-        "card_num", "oper_type", "oper_result", "terminal",
-    )
-
-
 def ingest_transactions(wh: Warehouse, feed_dir: str, checkpoint: str, archive_dir: str | None = None,
                         available_now: bool = True, processing_time: str | None = None,
-                        key_policy: str = "skip") -> StreamingQuery:
+                        key_policy: str = "skip", pattern: str = TRANSACTIONS_PATTERN) -> StreamingQuery:
     """Start the transactions ingest; with ``available_now`` it stops after
     the backlog."""
-    wh.ensure_tables()
+    def load(path: str) -> None:
+        wh.append_transactions(read_transactions_feed(wh.spark, path, "csv"), key_policy)
 
-    def load(batch: DataFrame, _epoch: int) -> None:
-        wh.append_transactions(batch, key_policy)
-
-    return _start(transactions_stream(wh, feed_dir, archive_dir), load, checkpoint, available_now, processing_time)
+    return _ingest(wh, feed_files(wh.spark, feed_dir, pattern), load, checkpoint, archive_dir, available_now,
+                   processing_time)
 
 
 def ingest_blacklist(wh: Warehouse, feed_dir: str, checkpoint: str, archive_dir: str | None = None,
                      available_now: bool = True, processing_time: str | None = None,
                      pattern: str = BLACKLIST_PATTERN) -> StreamingQuery:
-    """Start the document-blacklist ingest: one feed file per micro-batch,
-    each loaded with L1 as a daily run would (a passport repeated inside
-    one file is kept twice; one repeated on a later day is not)."""
-    wh.ensure_tables()
-    raw = _feed_stream(wh, feed_dir, schemas.BLACKLIST_FEED, pattern, archive_dir, 1)
-    parsed = raw.select(F.col("passport").alias("passport_num"), parse_date("date").alias("entry_dt"))
-
-    def load(batch: DataFrame, _epoch: int) -> None:
-        wh.load_blacklist(batch)
-
-    return _start(parsed, load, checkpoint, available_now, processing_time)
+    """Start the document-blacklist ingest: each file is loaded with L1 as a
+    daily run would (a passport repeated inside one file is kept twice; one
+    repeated on a later day is not)."""
+    return _ingest(wh, feed_files(wh.spark, feed_dir, pattern),
+                   lambda path: wh.load_blacklist(read_blacklist_feed(wh.spark, path, "csv")), checkpoint,
+                   archive_dir, available_now, processing_time)
 
 
 def ingest_terminals(wh: Warehouse, feed_dir: str, checkpoint: str, archive_dir: str | None = None,
                      available_now: bool = True, processing_time: str | None = None,
                      pattern: str = TERMINALS_PATTERN, mode: str = "reference", as_of=None) -> StreamingQuery:
-    """Start the terminal-snapshot ingest: one snapshot file per micro-batch,
-    applied at ``as_of`` (default: the batch's load time, as the reference
-    does).  A file with only a header deletes every terminal, as an empty
-    snapshot must."""
-    wh.ensure_tables()
-    raw = _feed_stream(wh, feed_dir, schemas.TERMINALS_FEED, pattern, archive_dir, 1)
-
-    def load(batch: DataFrame, _epoch: int) -> None:
-        when = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
-        wh.load_terminals(batch, when, mode=mode)
-
-    return _start(raw, load, checkpoint, available_now, processing_time)
+    """Start the terminal-snapshot ingest: each file is applied at ``as_of``,
+    by default the start of the day in its name.  A file with only a header
+    deletes every terminal, as an empty snapshot must."""
+    def load(path: str) -> None:
+        day = feed_day_of(path)
+        if as_of is None and day is None:
+            raise ValueError(f"no day in the name of {path}")
+        wh.load_terminals(read_terminal_snapshot(wh.spark, path, "csv"),
+                          as_of if as_of is not None else day_start(day), mode=mode)
+
+    return _ingest(wh, feed_files(wh.spark, feed_dir, pattern), load, checkpoint, archive_dir, available_now,
+                   processing_time)

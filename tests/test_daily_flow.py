@@ -4,6 +4,7 @@ daily and range runs, and the streaming ingest (T5), on temp folders."""
 import datetime as dt
 import os
 import time
+from decimal import Decimal
 
 import pytest
 
@@ -53,7 +54,7 @@ def test_feed_parsing(spark, scratch):
     _feeds(scratch)
     df = feeds.read_transactions_feed(spark, f"{scratch}/transactions_01032021.txt")
     rows = {r.transaction_id: r for r in df.collect()}
-    assert str(rows["1"].amount) == "6294.54"
+    assert rows["1"].amount == Decimal("6294.54")
     assert rows["3"].amount is None
     assert rows["4"].transaction_date is None
     assert rows["1"].feed_day == dt.date(2021, 3, 1)
@@ -68,9 +69,9 @@ def test_run_day_loads_reports_and_reruns_idempotently(spark, scratch):
     _dims(spark, wh)
     folder = f"{scratch}/feeds"
     _feeds(folder)
-    # Terminals open before the operations so that the as-of join finds them.
-    rep = daily.run_day(wh, "01032021", daily.FeedFolder(folder), as_of="2021-03-01 00:00:00",
-                        report_dt="2021-03-02 00:00:00")
+    # No as_of: the snapshot takes effect at the start of its day, so the
+    # as-of join places that day's operations.
+    rep = daily.run_day(wh, "01032021", daily.FeedFolder(folder), report_dt="2021-03-02 00:00:00")
     got = sorted((r.event_type, r.passport) for r in rep.collect())
     assert got == [("blocked_passport", "2222 222222"),
                    ("diff_city", "1111 111111"),
@@ -82,7 +83,7 @@ def test_run_day_loads_reports_and_reruns_idempotently(spark, scratch):
     assert wh.history_version() == 1 and wh.history().count() == 2
     # Rerun of the day: feeds already loaded -> K1 fails under 'fail' ...
     with pytest.raises(DuplicateKeyError):
-        daily.run_day(wh, "01032021", daily.FeedFolder(folder), as_of="2021-03-01 00:00:00")
+        daily.run_day(wh, "01032021", daily.FeedFolder(folder))
     # ... and without feeds the report partition is replaced, not appended.
     again = daily.run_day(wh, "2021-03-01", None, report_dt="2021-03-03 00:00:00")
     assert again.count() == 5
@@ -137,15 +138,16 @@ def test_streaming_ingest_archives_and_skips_replays(spark, scratch):
     q = ingest_transactions(wh, inbox, ckpt, archive)
     q.awaitTermination(120)
     assert sorted(r.trans_id for r in wh.table("transactions").collect()) == ["1", "2", "3"]
-    archived = [f for _, _, fs in os.walk(archive) for f in fs]
-    assert "transactions_01032021.txt" in archived
+    archived = {f for _, _, fs in os.walk(archive) for f in fs if not f.startswith(".")}
+    assert archived == {"transactions_01032021.txt.backup", "transactions_02032021.txt.backup"}
+    assert not [f for f in os.listdir(inbox) if f.endswith(".txt")]  # the last batch's file moved too
 
 
 def test_seed_dimension_csv_and_views(spark, scratch):
     from cardwatch import schemas
     _write(f"{scratch}/seed/cards.csv", "card_num;account_num;create_dt;update_dt\n"
-           "2714 8073 9433 4375;40817810000000000001;2001-01-01;\n"
-           "2714 8073 9433 4375;40817810000000000001;2001-01-01;\n")
+           "9000 0000 0000 0042;A42;2001-01-01;\n"
+           "9000 0000 0000 0042;A42;2001-01-01;\n")
     cards = feeds.read_dimension(spark, f"{scratch}/seed/cards.csv", schemas.CARDS)
     assert cards.schema["create_dt"].dataType.typeName() == "date"
     wh = Warehouse(spark, f"{scratch}/wh")
@@ -194,8 +196,7 @@ def test_command_line_daily_run(spark, scratch, capsys):
     _write(f"{seed}/cards.csv", "card_num;account_num;create_dt;update_dt\n1111 0000 0000 0001;A1;2001-01-01;\n")
     folder = f"{scratch}/feeds"
     _feeds(folder)
-    assert main(["--warehouse", f"{scratch}/wh", "--feeds", folder, "--date", "01032021", "--seed", seed,
-                 "--as-of", "2021-03-01 00:00:00"]) == 0
+    assert main(["--warehouse", f"{scratch}/wh", "--feeds", folder, "--date", "01032021", "--seed", seed]) == 0
     out = capsys.readouterr().out
     assert "overdue_passport" in out and "diff_city" in out
     wh = Warehouse(spark, f"{scratch}/wh")
@@ -203,7 +204,8 @@ def test_command_line_daily_run(spark, scratch, capsys):
     assert wh.table("clients").count() == 1
     # a rerun of the day with the skip policy loads nothing twice
     assert main(["--warehouse", f"{scratch}/wh", "--feeds", folder, "--date", "01032021",
-                 "--key-policy", "skip", "--as-of", "2021-03-01 00:00:00"]) == 0
+                 "--key-policy", "skip", "--rows", "1"]) == 0
+    assert "2 more not shown" in capsys.readouterr().out
     assert wh.table("transactions").count() == 4
     assert main(["--warehouse", f"{scratch}/wh", "--start", "2021-03-01", "--end", "2021-03-31"]) == 0
     assert "diff_city" in capsys.readouterr().out
@@ -258,7 +260,10 @@ def test_history_versions_store_open_rows_and_closures(spark, scratch):
     # T1's old city and T3; in reference mode T2's tombstone stays open
     # beside its new live row (the reference's double open row)
     assert closed_by_v3 == 2
-    assert parts.where("version = 1 AND state = 'base'").count() == 1
+    assert parts.where("version = 1 AND state = 'closed'").count() == 1
+    # versions before the base are not needed any more
+    assert wh.remove_old_versions() == [1, 2, 3, 4]
+    assert sorted(map(tuple, wh.history().collect()), key=key) == before
 
 
 def test_streaming_blacklist_and_terminal_snapshots(spark, scratch):
@@ -294,10 +299,20 @@ def test_command_line_with_archive(spark, scratch, capsys):
     folder = f"{scratch}/feeds"
     _feeds(folder)
     assert main(["--warehouse", f"{scratch}/wh", "--feeds", folder, "--date", "01032021", "--seed", seed,
-                 "--archive", f"{scratch}/archive", "--as-of", "2021-03-01 00:00:00"]) == 0
+                 "--archive", f"{scratch}/archive"]) == 0
     assert "blocked_passport" in capsys.readouterr().out
     wh = Warehouse(spark, f"{scratch}/wh")
     assert wh.table("transactions").count() == 4 and wh.history_version() == 1
+    # a backlog of two days: both are reported, whatever day is asked for
+    for day in ("02032021", "03032021"):
+        n = day[1]
+        _write(f"{folder}/transactions_{day}.txt", TXN_HEADER +
+               f"1{n};2021-03-0{n} 10:00:00;1;2222 0000 0000 0002;PAYMENT;SUCCESS;T1\n")
+    assert main(["--warehouse", f"{scratch}/wh", "--feeds", folder, "--date", "03032021",
+                 "--archive", f"{scratch}/archive"]) == 0
+    out = capsys.readouterr().out
+    assert "2021-03-02 10:00:00" in out and "2021-03-03 10:00:00" in out
+    assert sorted({r.event_day.day for r in read_report(wh).collect()}) == [1, 2, 3]
 
 
 def test_range_rerun_clears_findings_that_no_longer_hold(spark, scratch):
@@ -336,7 +351,8 @@ def test_operations_cache_is_released(spark, scratch):
     folder = f"{scratch}/feeds"
     _feeds(folder)
     daily.load_feeds(wh, dt.date(2021, 3, 1), daily.FeedFolder(folder), as_of="2021-03-01 00:00:00")
-    with daily.cached_operations(wh, day="2021-03-01") as ops:
+    with daily.cached_operations(wh, day="2021-03-01") as (ops, hot):
+        assert hot.hashes == ()
         assert ops.storageLevel == StorageLevel.MEMORY_AND_DISK
         assert ops.count() == 3  # the row with an unparsable time has no day
     assert ops.storageLevel == StorageLevel(False, False, False, False, 1)
