@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,7 +85,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches bounded in rows, so that a batch of long texts fits."""
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors (once a session), for
+    Python workers that do not have it on their path."""
+    sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if sc.applicationId in _shipped or not package.is_dir():  # not a folder: it came by --py-files
+        return
+    archive = Path(tempfile.mkdtemp(prefix="cardwatch-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
+def python_workers(spark: SparkSession) -> None:
+    """What operators with Python code need: the package on the executors and
+    Arrow batches bounded in rows and bytes, so that long texts fit."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))

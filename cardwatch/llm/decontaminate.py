@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import quoted, small_batches, written
+from cardwatch.llm.common import quoted, python_workers, written
 
 WORD = re.compile(r"[^\W_]+")
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -204,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document and test item that it contains: ``doc_id``,
     ``item_id``, ``score``, ``question_overlap``, ``answer_overlap``."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_workers(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     out = None
@@ -233,7 +233,7 @@ def _flagger(index, threshold: float, overlap: float):
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
                       overlap: float = OVERLAP, block_items: int = MAX_BLOCK_ITEMS) -> DataFrame:
     """The documents that contain no test item: a filter, nothing is shuffled."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     clean = docs
     for index in item_indexes(benchmark, block_items=block_items):
         flag = _flagger(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap)

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import held_out, small_batches
+from cardwatch.llm.common import held_out, python_workers
 
 DIMS_BITS = 14
 DIMS = 1 << DIMS_BITS
@@ -59,14 +59,13 @@ def gram_counts(text: str | None) -> np.ndarray:
     counts = np.zeros(DIMS, dtype=np.int64)
     points = _letters(f" {text or ''} ")
     shift = np.uint32(32 - DIMS_BITS)
-    for at in range(0, max(len(points) - 2, 1), _CHUNK):  # pieces overlap by two, each start counts once
+    for at in range(0, len(points), _CHUNK):  # pieces overlap by two, each start counts once
         p = points[at:at + _CHUNK + 2]
-        n = min(_CHUNK, len(p) if at + _CHUNK + 2 > len(points) else _CHUNK)
         h = p * _MIX[0]
-        grams = [h[:n]]
+        grams = [h[:_CHUNK]]
         for order in (1, 2):
-            h = (h[:-1] ^ (p[order:] + np.uint32(order))) * _MIX[order]
-            grams.append(h[:n])
+            h = (h[:len(p) - order] ^ (p[order:] + np.uint32(order))) * _MIX[order]
+            grams.append(h[:_CHUNK])
         for g in grams:
             counts += np.bincount((g ^ (g >> np.uint32(15))) * _MIX[0] >> shift, minlength=DIMS)
     return counts
@@ -216,13 +215,13 @@ def language_column(model: LanguageModel, text: Column) -> Column:
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``lang_pred``, ``score``.  The model
     (``DIMS`` by languages) travels with the task."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     return (docs.select(F.col(id_col).alias("doc_id"), language_column(model, F.col(text_col)).alias("p"))
             .select("doc_id", "p.lang_pred", "p.score"))
 
 
 def op9_langid(docs: DataFrame) -> DataFrame:
     """The digest columns of the registered query: learns outside the held-out fold."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     model = fit(docs.select("doc_id", "text", "lang").where(~held_out()))
     return predict_languages(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

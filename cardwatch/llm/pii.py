@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import all_but, fresh, small_batches
+from cardwatch.llm.common import all_but, fresh, python_workers
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "login", "iban", "account")
@@ -185,7 +185,7 @@ def _scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_email``, ``n_ip``, ``n_card``, ``n_phone``,
     ``base_sha256`` and ``spans``.  One narrow pass; nothing is shuffled."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     scan = F.pandas_udf(_scan, FOUND)
     outputs = [f.split()[0] for f in FOUND.split(", ")]
     kept, found = all_but(docs, *outputs), fresh(docs, "_pii_found")
@@ -196,7 +196,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def mask_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every found span of the text replaced by ``[kind]``
     (overlapping spans merge under the first one's kind)."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:

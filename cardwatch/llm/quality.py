@@ -3,8 +3,9 @@
 Each text becomes a short vector of transformed statistics (:func:`statistics`,
 one pass over its bytes and words).  Per class, a mean and a covariance are
 summed over all labelled rows (Spark aggregates; no sample), the covariance is
-shrunk towards the pooled one and then towards its own diagonal, and its
-Cholesky factor is cached in the model.  The score is the posterior of class 1:
+shrunk towards the pooled one (the more, the fewer rows the class has for its
+dimensions) and then towards its own diagonal, and its Cholesky factor is
+cached in the model.  The score is the posterior of class 1:
 the logistic of the difference of the two Gaussian log-densities, each from a
 Mahalanobis distance solved with the cached factor, plus the log prior ratio,
 divided by a temperature.
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import held_out, quoted, small_batches, written
+from cardwatch.llm.common import held_out, quoted, python_workers, written
 
 THRESHOLD = 0.3
 #: Statistics of a text, in order.
@@ -93,7 +94,7 @@ class Discriminant:
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Posterior of class 1 for rows of statistics."""
         if self.constant is not None or not len(x):
-            return np.full(len(x), 0.5 if self.constant is None else self.constant)
+            return np.full(len(x), self.constant or 0.0)
         odds = (self.log_density(x, 1) - self.log_density(x, 0)) / self.temperature
         odds += self.log_priors[1] - self.log_priors[0]
         return 1.0 / (1.0 + np.exp(-np.clip(odds, -500, 500)))
@@ -114,10 +115,11 @@ def _sums(dims: int):
     return sums
 
 
-def fit(labelled: DataFrame, pooled: float = 0.1, diagonal: float = 0.05, temperature: float = 3.0) -> Discriminant:
+def fit(labelled: DataFrame, pooled: float = 0.1, diagonal: float = 0.05, temperature: float = 5.0) -> Discriminant:
     """Fit from all rows of ``labelled`` (``stats``, ``label`` 0 or 1).
 
-    ``pooled`` is the share of the pooled covariance in each class's,
+    ``pooled`` is the least share of the pooled covariance in each class's
+    (with n rows in d dimensions, d / (n + d) of the remainder comes on top),
     ``diagonal`` then the share of its diagonal.  What reaches the driver is
     one product matrix per class."""
     dims = len(STATISTICS)
@@ -129,13 +131,14 @@ def fit(labelled: DataFrame, pooled: float = 0.1, diagonal: float = 0.05, temper
         m[k, i, j] = m[k, j, i] = v
     n = m[:, 0, 0]
     if not n.all():
-        return Discriminant(None if not n.any() else float(n[1] > 0))
+        return Discriminant(float(n[1] > 0) if n.any() else 0.5)
     means = [m[k, 0, 1:] / n[k] for k in (0, 1)]
     own = [m[k, 1:, 1:] / n[k] - np.outer(means[k], means[k]) for k in (0, 1)]
     both = (own[0] * n[0] + own[1] * n[1]) / n.sum()
     factors = []
-    for c in own:
-        c = (1 - pooled) * c + pooled * both
+    for c, rows_of_class in zip(own, n):
+        share = pooled + (1 - pooled) * dims / (rows_of_class + dims)
+        c = (1 - share) * c + share * both
         c = (1 - diagonal) * c + diagonal * np.diag(np.diag(c)) + 1e-3 * np.eye(dims)
         factors.append(np.linalg.cholesky(c))
     return Discriminant(None, tuple(np.log(n / n.sum())), tuple(means), tuple(factors), temperature)
@@ -171,7 +174,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """One row per document: ``doc_id``, ``held_out``, ``score``,
     ``predicted``.  Statistics are computed once and written (about a
     twentieth of the text); fitting and scoring read them."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     stats = written(docs.select(F.col(id_col).alias("doc_id"), statistics_column(text_col).alias("stats")), "quality")
     model = fit(_labelled(stats, labels, True))
     return (stats.select("doc_id", held_out().alias("held_out"), score_column(model, F.col("stats")).alias("score"))
@@ -182,7 +185,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject (their columns
     only).  Learns from the labelled rows outside the held-out fold."""
-    small_batches(docs.sparkSession)
+    python_workers(docs.sparkSession)
     chosen = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text")).where(~held_out("doc_id"))
     wanted = labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1))
     stats = chosen.select("doc_id", statistics_column("text").alias("stats"))

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cardwatch.llm.common import fresh, small_batches, written
+from cardwatch.llm.common import all_but, fresh, quoted, python_workers, written
 from cardwatch.llm.components import components
 from cardwatch.llm.golay import nearby_indices
 
@@ -135,9 +135,11 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, hot_key: int = HOT_KEY)
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS, hot_key: int = HOT_KEY) -> DataFrame:
-    """One row per input row: ``doc_id``, ``fp`` (signed long) and
-    ``component_id``, the smallest id reachable through links."""
-    small_batches(docs.sparkSession)
+    """One row per input row: ``doc_id``, ``fp`` (signed long),
+    ``component_id``, the smallest id reachable through links, and ``root``,
+    the component's smallest fingerprint (which names it where no row of it
+    has an id)."""
+    python_workers(docs.sparkSession)
     marked = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(text_col, shingle).alias("fp")),
                      "simhash")
     # copies combine inside each partition before the shuffle
@@ -145,27 +147,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = components(near_links(first, max_bits, hot_key), "a", "b").withColumnRenamed("node", "fp")
     members = first.join(linked, "fp")
     named = (members.join(members.groupBy("root").agg(F.min("first_id").alias("named")), "root")
-             .select("fp", "named"))
-    classes = first.join(named, "fp", "left").select("fp", F.coalesce("named", "first_id").alias("component_id"))
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+             .select("fp", "root", "named"))
+    classes = first.join(named, "fp", "left").select("fp", F.coalesce("named", "first_id").alias("component_id"),
+                                                     F.coalesce("root", "fp").alias("root"))
+    return marked.join(classes, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                          max_bits: int = MAX_BITS) -> DataFrame:
     """The documents, one of each component: the row with its smallest id.
     Of rows that repeat that id one stays; a component without any id keeps
-    one row.  Columns are those of ``docs``."""
+    one row.  Columns are those of ``docs``.
+
+    An id that stands in one row settles that row by itself.  Only rows with
+    a repeated id or none need their fingerprint again to be told apart."""
     verdicts = written(near_duplicates(docs, id_col, text_col, shingle, max_bits), "simhash-verdicts")
+    key, fp, root = fresh(docs, "_stay_id"), fresh(docs, "_stay_fp"), fresh(docs, "_stay_root")
+    ids = written(verdicts.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays")), "simhash-ids")
+    alone = ids.where("rows = 1 AND stays").select(F.col("doc_id").alias(key))
+    settled = docs.join(alone, docs[id_col] == F.col(key), "left_semi")
+    unclear = ids.where("rows > 1 OR doc_id IS NULL").select(F.col("doc_id").alias(key))
+    if unclear.isEmpty():
+        return settled
+    again = docs.join(unclear, docs[id_col].eqNullSafe(F.col(key)), "left_semi")
+    again = written(again.withColumn(fp, fingerprint_column(quoted(text_col), shingle)), "simhash-unclear")
     stay = (verdicts.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
-    key, rows = fresh(docs, "_stay_id"), fresh(docs, "_stay_rows")
-    stay = written(stay.select(F.col("doc_id").alias(key), F.col("rows").alias(rows)), "simhash-stay")
-    single = docs.join(stay.where(F.col(rows) == 1), docs[id_col].eqNullSafe(F.col(key)), "left_semi")
-    repeated = stay.where(F.col(rows) > 1)
-    if repeated.isEmpty():
-        return single
-    again = docs.join(repeated, docs[id_col].eqNullSafe(F.col(key)), "left_semi")
-    return single.unionByName(again.dropDuplicates([id_col]))
+            .select(F.col("doc_id").alias(key), F.col("fp").alias(f"{fp}_"), F.col("root").alias(root)).distinct())
+    again = again.join(stay, again[id_col].eqNullSafe(F.col(key)) & (F.col(fp) == F.col(f"{fp}_")))
+    return settled.unionByName(again.dropDuplicates([id_col, root]).select(all_but(again, key, fp, f"{fp}_", root)))
 
 
 def op6_simhash(docs: DataFrame) -> DataFrame:

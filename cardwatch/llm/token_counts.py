@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import new_folder, small_batches, text_of, utf8_bytes
+from cardwatch.llm.common import new_folder, python_workers, text_of, utf8_bytes
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
 TOKEN_LIMIT = 512
@@ -94,7 +94,7 @@ def _encoder(tokenizer):
 def fill_cache(docs: DataFrame, cache: CountCache, tokenizer: Tokenizer, text_col: str = "text") -> None:
     """Encode the distinct contents that the cache does not hold yet."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_workers(spark)
     contents = docs.select(content_digest(text_col).alias("digest"), text_of(text_col).alias("content"))
     misses = contents.distinct().join(cache.counts(tokenizer.version), "digest", "left_anti")
     shared = spark.sparkContext.broadcast(tokenizer)

@@ -1,0 +1,6 @@
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(__file__))
+
+from llm_cases import clashing_docs, edge_docs, no_docs, sf  # noqa: E402, F401

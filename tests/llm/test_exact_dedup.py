@@ -1,0 +1,50 @@
+import hashlib
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from cardwatch.llm.exact_dedup import exact_duplicates, op10_exact_dedup
+from llm_cases import EDGE_ROWS, rows_of
+
+
+def brute(rows):
+    texts = [(d, re.sub(r"[\x20\x09-\x0D]+", " ", t or "")) for d, t in rows]
+    least, size = {}, Counter(t for _, t in texts)
+    for d, t in texts:
+        if d is not None:
+            least[t] = min(d, least.get(t, d))
+    return sorted([(d, least.get(t), size[t], d == least.get(t), hashlib.sha256(t.encode()).hexdigest())
+                   for d, t in texts], key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def test_edges_equal_brute_force(edge_docs, clashing_docs):
+    want = brute([r[:2] for r in EDGE_ROWS])
+    assert rows_of(op10_exact_dedup(edge_docs)) == want
+    assert rows_of(op10_exact_dedup(clashing_docs)) == want
+
+
+def test_empty_table(no_docs):
+    assert op10_exact_dedup(no_docs).count() == 0
+
+
+def test_clashing_digests_are_told_apart_by_their_texts(spark):
+    rows = [(i, f"text {i % 7}" if i % 3 else f"alone {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    weak = exact_duplicates(docs, digest=lambda t: F.pmod(F.crc32(t), F.lit(5)))
+    strong = exact_duplicates(docs)
+    cols = ("doc_id", "keep_id", "group_size", "kept")
+    assert rows_of(weak, *cols) == rows_of(strong, *cols) == [r[:4] for r in brute(rows)]
+
+
+def test_a_third_of_all_rows_in_one_group(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.concat(F.lit("t"), F.col("id").cast("string"))).alias("text"))
+    out = exact_duplicates(docs)
+    assert out.where("group_size = 1000 AND keep_id = 0").count() == 1000
+    assert out.where("kept").count() == 2001
+
+
+def test_no_python_in_the_plan(edge_docs):
+    plan = op10_exact_dedup(edge_docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -1,0 +1,88 @@
+import sys
+
+import pytest
+
+import corpus_pipeline as CP
+from cardwatch.llm import decontaminate, mixing, quality, sharding, simhash
+from cardwatch.llm.common import written
+from test_mixing import _leaf, brute_mix
+from test_simhash import plain_fingerprint, reachable
+
+
+def test_stages_in_order():
+    assert [n for n, _ in CP.STAGES] == ["quality classifier", "simhash near-dedup", "benchmark decontamination",
+                                         "mixing to target weights", "sharding"]
+    assert CP.ORACLE_SQL is None
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf):
+    """The input and what each stage returns."""
+    docs = [spark.read.parquet(f"{sf}/documents.parquet")]
+    for name, stage in CP.STAGES:
+        docs.append(written(stage(spark, docs[-1], sf), "test-stage"))
+    return docs
+
+
+def _by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_every_stage_equals_brute_force(spark, sf, steps):
+    first, good, single, clean, mixed, sharded = steps
+    for df in (good, single, clean, mixed):
+        assert df.columns == first.columns
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rejected = {r.doc_id for r in quality.op2_quality(first, labels).where("predicted = 0").collect()}
+    assert rejected and set(_by_id(good)) == set(_by_id(first)) - rejected
+    rows = sorted(_by_id(good).values(), key=lambda r: r.doc_id)
+    fps = [(r.doc_id, plain_fingerprint(r.text) if len(r.text) < 3000 else simhash.fingerprint(r.text)) for r in rows]
+    stay = {d for (d, _), c in zip(fps, reachable(fps)) if d == c}
+    assert len(stay) < len(rows) and set(_by_id(single)) == stay
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    from test_decontaminate import brute
+    dirty = {d for d, _ in brute([(r.doc_id, r.text) for r in single.collect()], items)}
+    assert set(_by_id(clean)) == stay - dirty
+    want = brute_mix([(r.doc_id, _leaf(f"d{int(r.source[3:]) % 4}", r.lang, r.source), len(r.text.split())) for r in
+                      clean.collect()], mixing.MIXTURE)
+    assert sorted((str(r.doc_id) for r in mixed.collect())) == sorted(str(d) for d, _ in want)
+    out = sharded.collect()
+    assert sorted(r.doc_id for r in out) == sorted(r.doc_id for r in mixed.collect())
+    where = {}
+    for r in out:
+        where.setdefault(r.virtual_slot, set()).add(r.shard)
+    assert all(len(s) == 1 for s in where.values())
+    total = [sum(len(r.text.encode()) + 1 for r in out if r.shard == k) for k in range(8)]
+    assert max(total) - min(total) <= 2 * max(len(r.text.encode()) + 1 for r in out)
+    assert sharding.N_SLOTS == 4096 and decontaminate.OVERLAP == 0.8
+
+
+def test_run_equals_the_stages(spark, sf, steps):
+    a, b = (sorted(map(tuple, df.select("doc_id", "virtual_slot", "shard").collect())) for df in (CP.run(spark, sf), steps[-1]))
+    assert a == b
+
+
+def test_stages_stand_edges(spark, sf, edge_docs, clashing_docs, no_docs):
+    for docs in (edge_docs, clashing_docs, no_docs):
+        at = docs
+        for k, (_, stage) in enumerate(CP.STAGES):
+            out = stage(spark, at, sf)
+            if k < len(CP.STAGES) - 1:
+                assert [c.lower() for c in out.columns] == [c.lower() for c in docs.columns]
+            at = written(out, "test-edge")
+    assert at.count() == 0
+
+
+def test_registered_queries():
+    import __spark_entry__ as E
+    from cardwatch.llm.registry import QUERIES
+    names = E.queries()
+    assert {*QUERIES, "pipeline"} <= set(names)
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+
+
+def test_sql_oracles(spark, sf):
+    sys.path.insert(0, __file__.rsplit("/", 2)[0])
+    from oracle_compare import compare
+    for name, result in compare(spark, sf, ["op3_chat", "op4_mixing", "op10_exact_dedup"]).items():
+        assert result[0] == "ok", (name, result)
