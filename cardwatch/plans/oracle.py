@@ -17,6 +17,11 @@ txn AS (
          CASE WHEN event_type = 'purchase' THEN 'SUCCESS' ELSE 'REJECT' END AS strict_result,
          event_id % 10 AS terminal
   FROM events),
+busy AS (
+  SELECT trans_id, date_trunc('day', trans_date) + to_seconds(
+           (epoch_us(trans_date) - epoch_us(date_trunc('day', trans_date))) // 1000000 // 24) AS trans_date,
+         amt, card_num % 20 AS card_num, oper_type, strict_result AS oper_result, trans_id % 300 AS terminal
+  FROM txn),
 clients AS (
   SELECT c_custkey AS client_id, c_name AS last_name, c_mktsegment AS first_name,
          CASE WHEN c_custkey % 50 = 49 THEN NULL ELSE 'N' || c_nationkey END AS patronymic,
@@ -157,7 +162,39 @@ SELECT terminal_id, terminal_type, terminal_city, terminal_address, effective_fr
 FROM old_hist
 """
 
+def _busy(sql: str) -> str:
+    return sql.replace("FROM txn t", "FROM busy t")
+
+
+_CENTS = "CAST(floor(amt * 100) AS BIGINT)"
+
 SQL: dict[str, str] = {
+    "city_switch_as_of_day": _R3.format(asof=_ASOF, day=_DAY, gap_min=60),
+    "city_switch_split": _busy(_R3.format(asof="", day="", gap_min=60)),
+    "declining_attempts_k3_gap": _busy(_r4(3, 20, "oper_result")),
+    "declining_attempts_split": _busy(_r4(2, 20, "oper_result")),
+    "fraud_report_busy": _busy("\nUNION ALL\n".join([
+        _R1.format(day=""), _R2.format(day=""), _R3.format(asof=_ASOF, day="", gap_min=60),
+        _r4(3, 20, "oper_result")])),
+    "parse_feed_lines": f"""SELECT CAST(trans_id AS VARCHAR) AS transaction_id,
+        CASE WHEN trans_id % 89 <> 0 THEN date_trunc('second', trans_date) END AS transaction_date,
+        CASE WHEN trans_id % 97 <> 0 THEN {_CENTS} END AS amount_cents, CAST(card_num AS VARCHAR) AS card_num, oper_type,
+        oper_result, CAST(terminal AS VARCHAR) AS terminal, trans_id % 89 = 0 AS bad_time, trans_id % 97 = 0 AS bad_amount
+        FROM txn""",
+    "unique_keys_guarded": """SELECT trans_id, trans_date, card_num, event_id
+        FROM (SELECT *, row_number() OVER (PARTITION BY trans_id ORDER BY trans_date, card_num, event_id) AS n
+              FROM (SELECT CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 3000 END AS trans_id, ts AS trans_date,
+                           user_id AS card_num, event_id FROM events))
+        WHERE trans_id IS NULL OR (n = 1 AND trans_id NOT IN (SELECT event_id % 3000 FROM events WHERE event_id % 3000 < 100))""",
+    "orphan_report": """SELECT 'cards.account_num -> accounts' AS relation, CAST(card_num AS VARCHAR) AS row_key,
+        CAST(account_num AS VARCHAR) AS reference FROM cards WHERE card_num % 7 <> 0
+          AND account_num NOT IN (SELECT account_num FROM accounts WHERE account_num % 11 <> 0)
+        UNION ALL SELECT 'accounts.client -> clients', CAST(account_num AS VARCHAR), CAST(client AS VARCHAR) FROM accounts
+        WHERE account_num % 11 <> 0 AND client NOT IN (SELECT client_id FROM clients WHERE client_id % 13 <> 0)
+        UNION ALL SELECT 'transactions.card_num -> cards', CAST(trans_id AS VARCHAR), CAST(card_num AS VARCHAR) FROM busy
+        WHERE card_num NOT IN (SELECT card_num FROM cards WHERE card_num % 7 <> 0)
+        UNION ALL SELECT 'transactions.terminal -> terminals', CAST(trans_id AS VARCHAR), CAST(terminal AS VARCHAR) FROM busy
+        WHERE terminal NOT IN (SELECT terminal_id FROM hist)""",
     "day_slice": f"SELECT trans_id, trans_date, amt, card_num, oper_type, oper_result, terminal FROM txn t WHERE true {_DAY}",
     "ownership_chain": """SELECT t.trans_id, t.card_num, o.account_num, o.client_id,
         o.passport_num, o.fio, o.phone FROM txn t JOIN owners o ON t.card_num = o.card_num""",

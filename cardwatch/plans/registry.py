@@ -1,8 +1,9 @@
 """Registered queries: every operator run over the driver tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables; ``cardwatch.plans.oracle`` holds the DuckDB SQL for the same
-keys.  Parameters (report day, as-of time, gaps) are fixed values of the
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables; ``cardwatch.plans.oracle`` holds the DuckDB SQL for the same keys.
+Most are lazy; those with a sequence rule run two small jobs while they are
+built (the history's row count and the search for hot groups).  Parameters (report day, as-of time, gaps) are fixed values of the
 fixture, identical on both sides.
 """
 
@@ -19,8 +20,9 @@ from cardwatch.operators import history as H
 from cardwatch.operators import keys as K
 from cardwatch.operators import rules as R
 from cardwatch.operators.chain import ownership_chain
+from cardwatch.schemas import TRANSACTIONS_FEED
 from cardwatch.sources.driver_tables import REPORT_DAY, SNAPSHOT_AS_OF, DriverTables
-from cardwatch.sources.feeds import transactions_from_feed
+from cardwatch.sources.feeds import CSV_SEPARATOR, transactions_from_feed, typed_transactions
 
 # Fixed parameters of the registered queries.
 ACTIVE_AS_OF = "2024-01-20 12:00:00"
@@ -101,6 +103,53 @@ def _fraud_report(day):
     return q
 
 
+# The busy fixture: the rules at their real settings, and the paths that large
+# groups and large histories take (split windows, shuffled history join).
+def q_declining_attempts_k3_gap(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return R.amount_guessing_ops(t.busy_transactions(), t.clients(), t.accounts(), t.cards())
+
+
+def q_declining_attempts_split(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return R.amount_guessing_ops(t.busy_transactions(), t.clients(), t.accounts(), t.cards(), k=2,
+                                 hot_rows=8, hot_bucket=_dt.timedelta(minutes=5))
+
+
+def q_city_switch_split(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return R.city_switch_ops(t.busy_transactions(), t.terminal_history(), t.clients(), t.accounts(), t.cards(),
+                             terminal_join="all_versions", max_broadcast_rows=0, hot_rows=2,
+                             hot_bucket=_dt.timedelta(minutes=7))
+
+
+def q_fraud_report_busy(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return R.fraud_report(t.busy_transactions(), t.terminal_history(), t.clients(), t.accounts(), t.cards(),
+                          t.blacklist())
+
+
+def q_parse_feed_lines(spark, sf_dir):
+    lines = _t(spark, sf_dir).feed_lines()
+    ddl = ", ".join(f"{n} STRING" for n in TRANSACTIONS_FEED.fieldNames())
+    raw = lines.select(F.from_csv("line", ddl, {"sep": CSV_SEPARATOR, "escape": '"'}).alias("r")).select("r.*")
+    return typed_transactions(raw).select(
+        "transaction_id", "transaction_date", (F.col("amount") * 100).cast("long").alias("amount_cents"), "card_num",
+        "oper_type", "oper_result", "terminal", "bad_time", "bad_amount")
+
+
+def q_unique_keys_guarded(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return K.guard_unique(t.keyed_batch(), t.loaded_keys(), ["trans_id"], "skip")
+
+
+def q_orphan_report(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return K.orphan_report(t.busy_transactions(), t.cards().where(F.col("card_num") % 7 != 0),
+                           t.accounts().where(F.col("account_num") % 11 != 0),
+                           t.clients().where(F.col("client_id") % 13 != 0), t.terminal_history())
+
+
 def q_rename_transactions(spark, sf_dir):
     return transactions_from_feed(_t(spark, sf_dir).transactions_feed())
 
@@ -192,6 +241,14 @@ QUERIES: dict[str, Query] = {
     "city_switch_all_versions": _city_switch("all_versions"),
     "city_switch_as_of": _city_switch("as_of"),
     "city_switch_all_versions_day": _city_switch("all_versions", REPORT_DAY),
+    "city_switch_as_of_day": _city_switch("as_of", REPORT_DAY),
+    "city_switch_split": q_city_switch_split,
+    "declining_attempts_k3_gap": q_declining_attempts_k3_gap,
+    "declining_attempts_split": q_declining_attempts_split,
+    "fraud_report_busy": q_fraud_report_busy,
+    "parse_feed_lines": q_parse_feed_lines,
+    "unique_keys_guarded": q_unique_keys_guarded,
+    "orphan_report": q_orphan_report,
     "declining_attempts_k2": _declining(2),
     "declining_attempts_k3": _declining(3),
     "fraud_report": _fraud_report(None),

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.functions.expressions import OPEN_END, REJECT, SUCCESS, ts_ntz
+from cardwatch.functions.expressions import OPEN_END, REJECT, SUCCESS, micros_since_day_start, ts_ntz
 
 # Fixed values of the fixture (dates that define expiry and history).
 BASE_DAY = "2024-01-01"
@@ -59,6 +59,40 @@ class DriverTables:
             (F.col("event_id") % 10).alias("terminal"),
         )
 
+    def busy_transactions(self) -> DataFrame:
+        """``events`` pressed onto 20 cards and the first hour of each day, so
+        that cards have long dense sequences: some gaps below 20 minutes and
+        some above, whole-second ties, and terminals of which many are
+        unknown (300 numbers).  Only purchases succeed."""
+        e = self.transactions(strict=True)
+        second = (micros_since_day_start("trans_date") / 1_000_000).cast("long")
+        when = F.date_trunc("DAY", "trans_date").cast("timestamp_ntz") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), F.floor(second / 24).cast("decimal(18,6)"))
+        return e.select("trans_id", when.alias("trans_date"), "amt", (F.col("card_num") % 20).alias("card_num"),
+                        "oper_type", "oper_result", (F.col("trans_id") % 300).alias("terminal"))
+
+    def feed_lines(self) -> DataFrame:
+        """``events`` as lines of the transactions feed, with comma amounts;
+        some times and amounts cannot be read."""
+        e = self.transactions()
+        cents = F.floor(F.col("amt") * 100).cast("long")
+        amount = F.concat_ws(",", F.floor(cents / 100).cast("string"), F.lpad((cents % 100).cast("string"), 2, "0"))
+        return e.select(F.concat_ws(
+            ";", F.col("trans_id").cast("string"),
+            F.when(F.col("trans_id") % 89 == 0, "never").otherwise(F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss")),
+            F.when(F.col("trans_id") % 97 == 0, "n/a").otherwise(amount),
+            F.col("card_num").cast("string"), "oper_type", "oper_result", F.col("terminal").cast("string")).alias("line"))
+
+    def keyed_batch(self) -> DataFrame:
+        """``events`` with repeated and NULL ids, for the key guard."""
+        k = F.col("event_id")
+        return self.raw("events").select(F.when(k % 11 == 0, F.lit(None)).otherwise(k % 3000).alias("trans_id"),
+                                         F.col("ts").alias("trans_date"), F.col("user_id").alias("card_num"), "event_id")
+
+    def loaded_keys(self) -> DataFrame:
+        k = F.col("event_id") % 3000
+        return self.raw("events").where(k < 100).select(k.alias("trans_id")).distinct()
+
     def transactions_feed(self) -> DataFrame:
         """``events`` in the daily feed's column names (before T2)."""
         return self.transactions().select(

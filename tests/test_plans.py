@@ -26,7 +26,7 @@ def _hash_exchanges(plan):
 def test_city_switch_has_one_window_exchange_and_broadcast_history(static_plans):
     plan = static_plans("city_switch_as_of")
     window_exchanges = [e for e in _hash_exchanges(plan) if "_seq_day" in e]
-    # one for the window; the hot-group count runs as its own small job
+    # one for the window; the search for hot groups runs as its own small job
     assert len(window_exchanges) == 1
     assert "BroadcastHashJoin [terminal" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
@@ -57,3 +57,33 @@ def test_fraud_report_scans_events_once_per_rule_family(static_plans):
     # each; with no hot group the split machinery adds nothing to the plan.
     assert len(scans) == 3
     assert "NestedLoopJoin" not in plan
+
+
+def test_daily_run_shuffles_the_fact_once(spark, scratch):
+    """The kept slice is dealt out by card; neither window moves it again."""
+    from cardwatch.plans import daily
+    from cardwatch.plans.warehouse import Warehouse
+    from cardwatch.sources.driver_tables import DriverTables
+    t, wh = DriverTables(spark, SF), Warehouse(spark, f"{scratch}/wh")
+    wh.ensure_tables()
+    wh.append_transactions(t.transactions_feed())
+    wh.replace_history(t.terminal_history())
+    with daily.cached_operations(wh, day="2024-01-20") as (ops, hot):
+        assert hot.hashes == ()
+        ops.count()
+        plan = plan_text(daily.day_report(wh, "2024-01-20", transactions=ops, hot=hot))
+    above_cache = "\n".join(line for line in plan.split("\n") if "REPARTITION" not in line)
+    assert plan.count("Window [") == 2
+    assert not re.findall(r"Exchange hashpartitioning\(card_num#\d+, _seq_day", above_cache)
+
+
+def test_busy_report_shows_every_tag(spark):
+    tags = {r.event_type for r in E.queries()["fraud_report_busy"](spark, SF).select("event_type").distinct().collect()}
+    assert tags == {"overdue_passport", "blocked_passport", "overdue_account", "diff_city", "sum_guessing"}
+
+
+def test_split_queries_really_split(spark):
+    from cardwatch.operators.sequences import find_hot_groups
+    from cardwatch.sources.driver_tables import DriverTables
+    busy = DriverTables(spark, SF).busy_transactions()
+    assert len(find_hot_groups(busy, "card_num", "trans_date", 8).hashes) > 100
