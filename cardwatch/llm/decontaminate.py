@@ -6,7 +6,11 @@ item's own total, so a score is the share of the item that the passage covers
 and one threshold fits all items.  Retrieval is block-max WAND: postings lie
 sorted by item in blocks that know their largest impact; a pivot is skipped
 when the maxima of its terms, then those of their current blocks, cannot reach
-the threshold.  All items at or above it are candidates, none is cut.
+the threshold.  The most frequent terms, as many as stay below ``COMMON`` of
+every item, share one list: what they add to an item is bounded by what all of
+them together have in it, and summed exactly only when the rest of the item's
+terms makes the threshold possible.  All items at or above it are candidates,
+none is cut.
 
 A candidate is verified on the whole document: the item's question (all but
 its last sentence) and its answer (the last sentence) must each have at least
@@ -31,6 +35,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import log
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -44,6 +49,7 @@ SHINGLE, OVERLAP = 5, 0.8
 THRESHOLD = 0.5
 K1, B = 1.2, 0.75
 BLOCK = 32
+COMMON = 0.4
 MAX_BLOCK_ITEMS = 20_000
 
 
@@ -68,14 +74,19 @@ def shingles(words: list[str]) -> set[tuple[str, ...]]:
 
 @dataclass
 class ItemIndex:
-    """Postings of one block of items, by term: item numbers (ascending),
-    impacts, block maxima."""
+    """Postings of one block of items, by rare term: item numbers (ascending),
+    impacts, block maxima.  Of the frequent terms: the impacts by item, and
+    what all of them together have in each item, with block maxima."""
 
     ids: list[int]
     parts: list[tuple[set, set]]
     span: int  # words of the longest item
     postings: dict[str, tuple[list[int], list[float], list[float]]] = field(default_factory=dict)
     ceiling: dict[str, float] = field(default_factory=dict)
+    frequent: list[dict[str, float]] = field(default_factory=list)
+    share: list[float] = field(default_factory=list)
+    share_maxima: list[float] = field(default_factory=list)
+    share_ceiling: float = 0.0
 
     @classmethod
     def build(cls, items: list[tuple[int, str]], frequency: dict[str, int], n_items: int,
@@ -92,21 +103,33 @@ class ItemIndex:
             total = sum(impact.values())
             for t, x in impact.items():
                 lists[t].append((number, x / total))
+        index.frequent, index.share = [{} for _ in counted], [0.0] * len(counted)
+        for t in sorted(lists, key=lambda t: (-len(lists[t]), t)):
+            if any(index.share[i] + x >= COMMON for i, x in lists[t]):
+                continue
+            for i, x in lists.pop(t):
+                index.frequent[i][t] = x
+                index.share[i] += x
+        index.share_maxima = [max(index.share[i:i + BLOCK]) for i in range(0, len(counted), BLOCK)]
+        index.share_ceiling = max(index.share_maxima, default=0.0)
         for t, pairs in lists.items():
             numbers, impacts = [p[0] for p in pairs], [p[1] for p in pairs]
             maxima = [max(impacts[i:i + BLOCK]) for i in range(0, len(impacts), BLOCK)]
             index.postings[t], index.ceiling[t] = (numbers, impacts, maxima), max(maxima)
         return index
 
-    def search(self, terms: list[str], threshold: float) -> dict[int, float]:
-        """All items scoring at least ``threshold`` for distinct ``terms``
-        (which are in the index), by block-max WAND."""
+    def search(self, passage: set[str], threshold: float) -> dict[int, float]:
+        """All items scoring at least ``threshold`` for the distinct terms of
+        a passage, by block-max WAND."""
         threshold -= 1e-9  # sums may round down
-        cursors = [[self.postings[t][0][0], 0, self.ceiling[t], self.postings[t]] for t in terms]
+        terms = self.ceiling.keys() & passage
+        if self.share_ceiling + sum(map(self.ceiling.__getitem__, terms)) < threshold:
+            return {}
+        cursors = [[self.postings[t][0][0], 0, self.ceiling[t], self.postings[t]] for t in sorted(terms)]
         found = {}
         while cursors:
-            cursors.sort(key=lambda c: c[0])
-            reach, pivot = 0.0, None
+            cursors.sort(key=itemgetter(0))
+            reach, pivot = self.share_ceiling, None
             for k, c in enumerate(cursors):
                 reach += c[2]
                 if reach >= threshold:
@@ -120,10 +143,13 @@ class ItemIndex:
             ahead = cursors[: pivot + 1]
             for c in ahead:
                 self._seek(c, target)
-            if sum(c[3][2][c[1] // BLOCK] for c in ahead if c[0] == target) >= threshold:
+            most = self.share_maxima[target // BLOCK]
+            if most + sum(c[3][2][c[1] // BLOCK] for c in ahead if c[0] == target) >= threshold:
                 score = sum(c[3][1][c[1]] for c in ahead if c[0] == target)
-                if score >= threshold:
-                    found[target] = score
+                if score + self.share[target] >= threshold:
+                    score += sum(x for t, x in self.frequent[target].items() if t in passage)
+                    if score >= threshold:
+                        found[target] = score
             for c in ahead:
                 self._seek(c, target + 1)
             cursors = [c for c in cursors if c[1] < len(c[3][0])]
@@ -148,13 +174,9 @@ def matches(text: str | None, index: ItemIndex, threshold: float = THRESHOLD,
             overlap: float = OVERLAP) -> list[tuple[int, float, float, float]]:
     """(item, score, question overlap, answer overlap) of the verified items."""
     words = words_of(text)
-    ceiling = index.ceiling
     best: dict[int, float] = {}
     for passage in passages(words, index.span):
-        known = ceiling.keys() & set(passage)
-        if sum(map(ceiling.__getitem__, known)) < threshold - 1e-9:
-            continue  # no item can reach it
-        for number, score in index.search(sorted(known), threshold).items():
+        for number, score in index.search(set(passage), threshold).items():
             best[number] = max(best.get(number, 0.0), score)
     out = []
     said: dict[int, set] = {}  # shingles of the whole document by width
