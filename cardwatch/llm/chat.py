@@ -2,8 +2,8 @@
 
 Messages form trees (each names its parent).  Iterative self-joins by
 doubling enumerate the paths: after round k every message knows its ancestor
-2^k steps up and the score gathered on the way, so a path of n messages takes
-log2(n) joins.  Leaves are ranked by the mean score of their path, the best
+2^k steps up (or its root) and the score gathered on the way, so a path of n
+messages takes log2(n) joins.  Leaves are ranked by the mean score of their path, the best
 ``paths`` per tree are chosen, and only those are walked back to the root,
 again by doubling.  Each chosen path becomes one conversation.
 
@@ -81,9 +81,10 @@ def _up(pointers: DataFrame) -> DataFrame:
                            F.col("steps").alias("steps_"), F.col("gathered").alias("gathered_"))
 
 
-def _hop(low: DataFrame, high: DataFrame, kind: str) -> DataFrame:
+def _hop(low: DataFrame, high: DataFrame) -> DataFrame:
+    """Add the pointer of every row's ancestor (``anc_``, ``steps_``, ``gathered_``)."""
     return low.join(_up(high).withColumnRenamed("anc", "at"),
-                    F.col("tree").eqNullSafe(F.col("tree_")) & (F.col("anc") == F.col("at")), kind).drop("tree_", "at")
+                    F.col("tree").eqNullSafe(F.col("tree_")) & (F.col("anc") == F.col("at"))).drop("tree_", "at")
 
 
 def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
@@ -99,14 +100,16 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
         "tree", "node", F.col("node_").alias("anc"), F.when(F.col("node_").isNotNull(), 1).otherwise(0).alias("steps"),
         F.col("score").alias("gathered"))
     # gathered: scores of the steps messages from the node upwards, the ancestor's own not yet counted
-    levels = [written(pointers, "chat-up")]
-    total = levels[0].count()
-    while levels[-1].where(F.col("anc").isNotNull()).limit(1).count() and 1 << (len(levels) - 1) <= total:
-        hopped = _hop(levels[-1], levels[-1], "left").select(
-            "tree", "node", F.col("anc_").alias("anc"), (F.col("steps") + F.coalesce("steps_", F.lit(0))).alias("steps"),
-            (F.col("gathered") + F.coalesce("gathered_", F.lit(0.0))).alias("gathered"))
-        levels.append(written(hopped, "chat-up"))
-    rooted = levels[-1].where(F.col("anc").isNull())
+    pointers = written(pointers, "chat-up")
+    total = pointers.count()
+    rooted, levels = pointers.where(F.col("anc").isNull()), [pointers.where(F.col("anc").isNotNull())]
+    # only messages that have not reached their root hop on: a round costs what is left
+    while 1 << (len(levels) - 1) <= total and not levels[-1].isEmpty():
+        hopped = written(_hop(levels[-1], levels[-1].unionByName(rooted)).select(
+            "tree", "node", F.col("anc_").alias("anc"), (F.col("steps") + F.col("steps_")).alias("steps"),
+            (F.col("gathered") + F.col("gathered_")).alias("gathered")), "chat-up")
+        rooted = rooted.unionByName(hopped.where(F.col("anc").isNull()))
+        levels.append(hopped.where(F.col("anc").isNotNull()))
     parents = m.select(F.col("tree").alias("tree_"), F.col("parent").alias("node_")).where(F.col("node_").isNotNull())
     leaves = rooted.join(parents, same & (F.col("node") == F.col("node_")), "left_anti")
     rank = Window.partitionBy("tree").orderBy(F.desc(F.col("gathered") / (F.col("steps") + 1)), "node")
@@ -115,7 +118,7 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
                       F.col("steps").alias("depth")))
     # walk back: every distance is a sum of different powers of two
     for level in reversed(levels[:-1]):
-        chosen = written(chosen.unionByName(_hop(chosen, level.where(F.col("anc").isNotNull()), "inner").select(
+        chosen = written(chosen.unionByName(_hop(chosen, level).select(
             "tree", "leaf", "branch", F.col("anc_").alias("anc"), (F.col("depth") - F.col("steps_")).alias("depth"))),
             "chat-paths")
     return chosen.withColumnRenamed("anc", "node")
