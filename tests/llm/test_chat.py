@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cardwatch.llm import chat as C
-from llm_cases import rows_of
+from llm_cases import rows_of  # noqa: F401
 
 SCHEMA = "tree long, node long, parent long, role string, text string, score double"
 CONV = "conv_id long, turn long, role string, text string"

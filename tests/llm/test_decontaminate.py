@@ -4,7 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from cardwatch.llm import decontaminate as D
-from llm_cases import EDGE_ROWS, rows_of
+from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, rows_of, sf  # noqa: F401
 
 ITEMS = "item_id long, text string"
 

@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from cardwatch.llm.exact_dedup import exact_duplicates, op10_exact_dedup
-from llm_cases import EDGE_ROWS, rows_of
+from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, rows_of  # noqa: F401
 
 
 def brute(rows):

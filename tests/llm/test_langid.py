@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.llm import langid as L
 from cardwatch.llm.common import held_out
-from llm_cases import EDGE_ROWS
+from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, sf  # noqa: F401
 
 
 def plain_counts(text):

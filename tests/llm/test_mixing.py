@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cardwatch.llm import mixing as X
-from llm_cases import EDGE_ROWS, rows_of
+from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, rows_of, sf  # noqa: F401
 
 LEVELS = ("domain", "lang", "source")
 WEIGHTS = {"domain": {"a": 3, "b": 1, "z": 0}, "lang": {"en": 2}, "source": {"s2": 5}}

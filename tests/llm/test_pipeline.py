@@ -5,6 +5,7 @@ import pytest
 import corpus_pipeline as CP
 from cardwatch.llm import decontaminate, mixing, quality, sharding, simhash
 from cardwatch.llm.common import written
+from llm_cases import clashing_docs, edge_docs, no_docs, sf  # noqa: F401
 from test_mixing import _leaf, brute_mix
 from test_simhash import plain_fingerprint, reachable
 

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cardwatch.llm import sharding as S
-from llm_cases import EDGE_ROWS, rows_of
+from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, rows_of, sf  # noqa: F401
 
 
 def check_positions(rows):

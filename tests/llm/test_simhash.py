@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cardwatch.llm import golay
 from cardwatch.llm import simhash as M
 from cardwatch.llm.components import components
-from llm_cases import EDGE_ROWS, rows_of
+from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, rows_of, sf  # noqa: F401
 
 
 def plain_fingerprint(text):

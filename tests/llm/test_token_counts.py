@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
 from cardwatch.llm import token_counts as T
-from llm_cases import EDGE_ROWS, rows_of
+from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, rows_of  # noqa: F401
 
 NAME = public_tokenizers.path("byte_bpe_50k.json")
 
