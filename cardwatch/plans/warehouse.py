@@ -22,6 +22,7 @@ import datetime as _dt
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -228,6 +229,8 @@ class Warehouse:
         flags = [c for c in ("bad_time", "bad_amount") if c in feed.columns]
         facts = transactions_from_feed(feed, *flags).withColumn("trans_day", day_of("trans_date"))
         facts = conform(facts, StructType([f for f in facts.schema.fields if f.name in flags] + schemas.TRANSACTIONS.fields))
+        # the guard and the write read the batch several times; its text is parsed once
+        facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
         target = self.table("transactions").select("trans_id", "trans_day")
         if key_scope == "same_days":
             # Null-safe: rows with an unparsable time sit in the NULL day partition.
@@ -235,14 +238,16 @@ class Warehouse:
             target = target.join(days, target["trans_day"].eqNullSafe(days["_day"]), "left_semi")
         elif key_scope != "all":
             raise ValueError(f"unknown key_scope {key_scope!r}")
-        facts = guard_unique(facts, target.select("trans_id"), ["trans_id"], key_policy)
         seen = Observation()
         counted = [F.count(F.lit(1)).alias("rows")] + [F.count_if(f).alias(f"{f}s") for f in flags]
-        facts = facts.observe(seen, *counted).drop(*flags)
         # a day's rows go to a few writers, not to every task of the load
         spread = F.pmod(F.xxhash64("trans_id"), F.lit(WRITERS_PER_DAY))
-        (facts.repartition(F.col("trans_day"), spread).write.mode("append").partitionBy("trans_day")
-         .parquet(self.path("transactions")))
+        try:
+            (guard_unique(facts, target.select("trans_id"), ["trans_id"], key_policy)
+             .observe(seen, *counted).drop(*flags).repartition(F.col("trans_day"), spread)
+             .write.mode("append").partitionBy("trans_day").parquet(self.path("transactions")))
+        finally:
+            facts.unpersist()
         try:
             found = seen.get
         except Py4JJavaError:  # nothing to write: the optimizer dropped the plan and its counters
