@@ -35,6 +35,7 @@ from cardwatch.llm.common import new_folder, python_workers, text_of, utf8_bytes
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
 TOKEN_LIMIT = 512
+ENCODE_TEXTS = 16
 
 
 class Tokenizer:
@@ -55,7 +56,9 @@ class Tokenizer:
             t = Library.from_str(self.content.decode("utf-8"))
             t.no_truncation()
             t.no_padding()
-            return lambda texts: [len(e) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+            # few texts at a time: their encodings are dropped while still in the CPU's cache
+            return lambda texts: [len(e) for at in range(0, len(texts), ENCODE_TEXTS)
+                                  for e in t.encode_batch_fast(texts[at:at + ENCODE_TEXTS], add_special_tokens=False)]
         import sentencepiece
         p = sentencepiece.SentencePieceProcessor(model_proto=self.content)
         return lambda texts: [len(ids) for ids in p.encode(texts, num_threads=1)]
