@@ -1,4 +1,6 @@
 import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
@@ -6,6 +8,8 @@ from cardwatch.llm import token_counts as T
 from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, rows_of  # noqa: F401
 
 NAME = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Library.from_file(NAME)
+COUNT = T.Tokenizer(NAME).counter()
 
 
 def brute(rows):
@@ -27,6 +31,24 @@ def test_special_strings_are_as_the_library_has_them(spark):
     assert rows_of(T.op8_token_counts(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+ALPHABET = "abcXYZ éÉß²½¼ªµ×÷·'’strevml0123456789 \t\n\r\x0b\x0c\x1c\x85\xa0\xad!?.,<|>#_-\u0250\u0301漢\U0001f600 "
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=30) | st.sampled_from(["<|endoftext|>", "'s ", " 're", "  ", " \n ", "n't"]),
+                max_size=8))
+def test_word_counts_equal_the_library(parts):
+    texts = ["".join(parts), "".join(reversed(parts)), " ".join(parts)]
+    assert COUNT(texts) == [len(LIBRARY.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_forgotten_words_are_counted_again(monkeypatch):
+    monkeypatch.setattr(T, "KNOWN_WORDS", 7)
+    texts = [" ".join(f"word{i * j % 50}" for i in range(20)) for j in range(30)]
+    count = T.Tokenizer(NAME).counter()
+    assert count(texts) == count(texts[:]) == [len(LIBRARY.encode(t).ids) for t in texts]
+
+
 def test_empty_table(no_docs):
     assert T.op8_token_counts(no_docs).count() == 0
 
