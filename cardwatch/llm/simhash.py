@@ -166,11 +166,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ids = written(verdicts.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("stays")), "simhash-ids")
     alone = ids.where("rows = 1 AND stays").select(F.col("doc_id").alias(key))
-    settled = docs.join(alone, docs[id_col] == F.col(key), "left_semi")
+    # as many ids as documents that stay: never broadcast, so that the plan is one at every size
+    settled = docs.join(alone.hint("merge"), docs[id_col] == F.col(key), "left_semi")
     unclear = ids.where("rows > 1 OR doc_id IS NULL").select(F.col("doc_id").alias(key))
     if unclear.isEmpty():
         return settled
-    again = docs.join(unclear, docs[id_col].eqNullSafe(F.col(key)), "left_semi")
+    again = docs.join(unclear.hint("merge"), docs[id_col].eqNullSafe(F.col(key)), "left_semi")
     again = written(again.withColumn(fp, fingerprint_column(quoted(text_col), shingle)), "simhash-unclear")
     stay = (verdicts.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .select(F.col("doc_id").alias(key), F.col("fp").alias(f"{fp}_"), F.col("root").alias(root)).distinct())
