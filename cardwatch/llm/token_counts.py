@@ -9,6 +9,9 @@ counts; only distinct misses are encoded, and appended to the cache.
 * the cache is a parquet table partitioned by tokenizer digest; an append is
   one committed job, and a rerun finds what was appended, so lost executors
   or a restart cost at most the texts of the failed job;
+* of a byte-level tokenizer, the library encodes each different word of a
+  worker's texts once (:class:`WordCounts`); other texts and files it encodes
+  whole;
 * misses are made distinct by (digest, whole text), which combines copies in
   each partition before the shuffle; a text shared by a third of all rows is
   encoded once;
@@ -23,10 +26,13 @@ count; an empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +41,8 @@ from cardwatch.llm.common import new_folder, python_workers, text_of, utf8_bytes
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
 TOKEN_LIMIT = 512
-ENCODE_TEXTS = 16
+#: Words whose counts a worker remembers at a time.
+KNOWN_WORDS = 400_000
 
 
 class Tokenizer:
@@ -47,6 +54,11 @@ class Tokenizer:
             raise ValueError(f"no library for {path}")
         self.content = Path(path).read_bytes()
         self.version = hashlib.sha256(self.content).hexdigest()
+        file = json.loads(self.content) if self.kind == ".json" else {}
+        self.added = tuple(a["content"] for a in file.get("added_tokens", []))
+        # byte-level, cut by its own word pattern, and nothing done to the text before
+        self.cuts_words = file.get("normalizer", "") is None and file.get("pre_tokenizer") == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
     def counter(self):
         """A function from texts to token counts."""
@@ -56,14 +68,58 @@ class Tokenizer:
             t = Library.from_str(self.content.decode("utf-8"))
             t.no_truncation()
             t.no_padding()
-            # few texts at a time: their encodings are dropped while still in the CPU's cache
-            return lambda texts: [len(e) for at in range(0, len(texts), ENCODE_TEXTS)
-                                  for e in t.encode_batch_fast(texts[at:at + ENCODE_TEXTS], add_special_tokens=False)]
+
+            def whole(texts):
+                return [len(e) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+
+            def each(words):  # all at once: the library numbers the word of every token
+                numbers = t.encode(words, is_pretokenized=True, add_special_tokens=False).word_ids
+                return np.bincount(numbers, minlength=len(words)).tolist()
+
+            return WordCounts(whole, each, self.added).count if self.cuts_words else whole
         import sentencepiece
         p = sentencepiece.SentencePieceProcessor(model_proto=self.content)
         return lambda texts: [len(ids) for ids in p.encode(texts, num_threads=1)]
 
 
+# The byte-level word pattern, spelt out for characters below
+# U+0250 other than controls, whose classes no Unicode version changes.
+_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_SPACE = "\\t\\n\\r "
+_WORD = re.compile(rf" ?[{_LETTER}]+| ?[{_NUMBER}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
+                   rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_OTHER = re.compile("[^\\t\\n\\r\x20-\x7e\xa1-\u024f]")
+
+
+class WordCounts:
+    """Token counts by the words that the tokenizer itself cuts a text into.
+
+    The library merges bytes inside such words only, so a text's count is the
+    sum over its words; each word is encoded by the library once and its count
+    remembered (at most ``KNOWN_WORDS`` at a time).  Texts with a character
+    outside the pattern's range, or with the string of an added token, go to
+    the library whole."""
+
+    def __init__(self, whole, each, added: tuple[str, ...]):
+        self.whole, self.each, self.added = whole, each, added
+        self.known: dict[str, int] = {}
+
+    def count(self, texts: list[str]) -> list[int]:
+        plain = [not _OTHER.search(t) and not any(a in t for a in self.added) for t in texts]
+        rest = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
+        cut = [_WORD.findall(t) if p else None for t, p in zip(texts, plain)]
+        self._learn(set().union(*[words for words in cut if words]))
+        return [next(rest) if words is None else sum(map(self.known.__getitem__, words)) for words in cut]
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known = {w: n for w in words if (n := self.known.get(w))}
+        new = list(words.difference(self.known))
+        if new:
+            self.known.update(zip(new, self.each(new)))
+
+
 def content_digest(text: str) -> Column:
     return F.unhex(F.sha2(text_of(text), 256))
 
