@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schemas
 from cardwatch.functions.expressions import day_of, ts_ntz
-from cardwatch.plans.warehouse import WRITERS_PER_DAY, Warehouse, conform
+from cardwatch.plans.warehouse import Warehouse, conform
 
 
 def stamp(report: DataFrame, report_dt=None) -> DataFrame:
@@ -39,8 +39,7 @@ def write_days(wh: Warehouse, report: DataFrame, days: DataFrame, report_dt=None
     in ``days`` (column ``event_day``) and every day with findings."""
     rows = conform(stamp(report, report_dt).withColumn("placeholder", F.lit(False)), schemas.REPORT)
     markers = conform(days.select("event_day").distinct().withColumn("placeholder", F.lit(True)), schemas.REPORT)
-    spread = F.pmod(F.xxhash64("event_dt", "passport"), F.lit(WRITERS_PER_DAY))
-    (rows.unionByName(markers).repartition(F.col("event_day"), spread).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rows.unionByName(markers).hint("rebalance", "event_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_day").parquet(wh.path("report")))
 
 

@@ -58,8 +58,6 @@ HISTORY_VIEW_NAME = "dwh_dim_terminals_hist"
 HISTORY_LOG = "terminals_hist_log"
 HISTORY_LOG_SCHEMA = "version int, base int, as_of timestamp_ntz, states string"
 OPEN, CLOSED = "open", "closed"
-#: Day partitions a load spreads over so many tasks each.
-WRITERS_PER_DAY = 8
 
 
 class SnapshotOrderError(ValueError):
@@ -240,11 +238,10 @@ class Warehouse:
             raise ValueError(f"unknown key_scope {key_scope!r}")
         seen = Observation()
         counted = [F.count(F.lit(1)).alias("rows")] + [F.count_if(f).alias(f"{f}s") for f in flags]
-        # a day's rows go to a few writers, not to every task of the load
-        spread = F.pmod(F.xxhash64("trans_id"), F.lit(WRITERS_PER_DAY))
         try:
+            # a day's rows lie together before they are written; large days are split, small ones merged
             (guard_unique(facts, target.select("trans_id"), ["trans_id"], key_policy)
-             .observe(seen, *counted).drop(*flags).repartition(F.col("trans_day"), spread)
+             .observe(seen, *counted).drop(*flags).hint("rebalance", "trans_day")
              .write.mode("append").partitionBy("trans_day").parquet(self.path("transactions")))
         finally:
             facts.unpersist()
