@@ -15,7 +15,13 @@ none is cut.
 A candidate is verified on the whole document: the item's question (all but
 its last sentence) and its answer (the last sentence) must each have at least
 ``OVERLAP`` of their five-word shingles in it; parts shorter than five words
-must occur as they stand.
+must occur as they stand.  With ``whole_items`` (as the registered query and
+the pipeline have it) an item is also found when its whole text, undivided, has
+at least ``OVERLAP`` of its five-word shingles in the document, so an edit in
+a short last sentence does not hide it.  Candidates of that second check do
+not depend on the score: an item with n shingles that lacks fewer than
+``1 - OVERLAP`` of them has one of any ``n - needed + 1`` in the document, so
+that many of each item's rarest shingles are looked up (prefix filter).
 
 Items are processed in blocks of ``MAX_BLOCK_ITEMS``, so what is broadcast is
 bounded however many there are; document frequencies cover all items, so the
@@ -72,14 +78,22 @@ def shingles(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)} if words else set()
 
 
+def fewest(n: int, overlap: float) -> int:
+    """The smallest number of n shingles whose share reaches ``overlap``."""
+    return next((k for k in range(n + 1) if k / n >= overlap), n + 1)
+
+
 @dataclass
 class ItemIndex:
     """Postings of one block of items, by rare term: item numbers (ascending),
     impacts, block maxima.  Of the frequent terms: the impacts by item, and
-    what all of them together have in each item, with block maxima."""
+    what all of them together have in each item, with block maxima.  Of the
+    shingles of whole items: those looked up for ``overlap``, with the items
+    they are looked up for."""
 
     ids: list[int]
     parts: list[tuple[set, set]]
+    wholes: list[set]
     span: int  # words of the longest item
     postings: dict[str, tuple[list[int], list[float], list[float]]] = field(default_factory=dict)
     ceiling: dict[str, float] = field(default_factory=dict)
@@ -87,13 +101,15 @@ class ItemIndex:
     share: list[float] = field(default_factory=list)
     share_maxima: list[float] = field(default_factory=list)
     share_ceiling: float = 0.0
+    looked_up: dict[tuple[str, ...], list[int]] = field(default_factory=dict)
 
     @classmethod
     def build(cls, items: list[tuple[int, str]], frequency: dict[str, int], n_items: int,
               mean_length: float) -> ItemIndex:
         counted = [(i, text, Counter(words_of(text))) for i, text in items]
         counted = [c for c in counted if c[2]]
-        index = cls([c[0] for c in counted], [tuple(map(shingles, question_answer(c[1]))) for c in counted],
+        wholes = [shingles(words_of(text)) for _, text, _ in counted]
+        index = cls([c[0] for c in counted], [tuple(map(shingles, question_answer(c[1]))) for c in counted], wholes,
                     max((sum(c[2].values()) for c in counted), default=0))
         lists = defaultdict(list)
         for number, (_, _, tf) in enumerate(counted):
@@ -118,6 +134,24 @@ class ItemIndex:
             index.postings[t], index.ceiling[t] = (numbers, impacts, maxima), max(maxima)
         return index
 
+    def look_up(self, overlap: float) -> None:
+        """Fills ``looked_up``.  A whole item under five words needs none: where
+        it stands, its parts stand."""
+        held = Counter(s for whole in self.wholes for s in whole)
+        for number, whole in enumerate(self.wholes):
+            if len(next(iter(whole))) == SHINGLE:
+                rarest = sorted(whole, key=lambda s: (held[s], s))
+                for s in rarest[:len(whole) - max(fewest(len(whole), overlap), 1) + 1]:
+                    self.looked_up.setdefault(s, []).append(number)
+
+    def score(self, number: int, passage: set[str]) -> float:
+        """The score of one item for the distinct terms of a passage."""
+        total = sum(x for t, x in self.frequent[number].items() if t in passage)
+        for t in {w for s in self.wholes[number] for w in s} & self.postings.keys() & passage:
+            numbers, impacts, _ = self.postings[t]
+            total += impacts[bisect_left(numbers, number)]
+        return total
+
     def search(self, passage: set[str], threshold: float) -> dict[int, float]:
         """All items scoring at least ``threshold`` for the distinct terms of
         a passage, by block-max WAND."""
@@ -178,8 +212,18 @@ def matches(text: str | None, index: ItemIndex, threshold: float = THRESHOLD,
     for passage in passages(words, index.span):
         for number, score in index.search(set(passage), threshold).items():
             best[number] = max(best.get(number, 0.0), score)
-    out = []
     said: dict[int, set] = {}  # shingles of the whole document by width
+    whole = set()
+    if not index.looked_up.keys().isdisjoint(zip(*[words[i:] for i in range(SHINGLE)])):
+        said[SHINGLE] = set(zip(*[words[i:] for i in range(SHINGLE)]))
+        near = {n for s in index.looked_up.keys() & said[SHINGLE] for n in index.looked_up[s]}
+        whole = {n for n in near if len(index.wholes[n] & said[SHINGLE]) / len(index.wholes[n]) >= overlap}
+        lost = sorted(whole - best.keys())
+        if lost:
+            for passage in map(set, passages(words, index.span)):
+                for n in lost:
+                    best[n] = max(best.get(n, 0.0), index.score(n, passage))
+    out = []
 
     def share(part: set) -> float:
         width = len(next(iter(part)))
@@ -189,7 +233,7 @@ def matches(text: str | None, index: ItemIndex, threshold: float = THRESHOLD,
 
     for number in sorted(best):
         shares = [share(part) if part else 1.0 for part in index.parts[number]]
-        if min(shares) >= overlap:
+        if number in whole or min(shares) >= overlap:
             out.append((index.ids[number], best[number], *shares))
     return out
 
@@ -222,7 +266,7 @@ def item_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD, overlap: float = OVERLAP,
-                 block_items: int = MAX_BLOCK_ITEMS) -> DataFrame:
+                 block_items: int = MAX_BLOCK_ITEMS, whole_items: bool = False) -> DataFrame:
     """One row per document and test item that it contains: ``doc_id``,
     ``item_id``, ``score``, ``question_overlap``, ``answer_overlap``."""
     spark = docs.sparkSession
@@ -231,6 +275,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     out = None
     for index in item_indexes(benchmark, block_items=block_items):
+        if whole_items:
+            index.look_up(overlap)
         part = rows.mapInPandas(_matcher(spark.sparkContext.broadcast(index), threshold, overlap), schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
@@ -253,11 +299,14 @@ def _flagger(index, threshold: float, overlap: float):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
-                      overlap: float = OVERLAP, block_items: int = MAX_BLOCK_ITEMS) -> DataFrame:
+                      overlap: float = OVERLAP, block_items: int = MAX_BLOCK_ITEMS,
+                      whole_items: bool = False) -> DataFrame:
     """The documents that contain no test item: a filter, nothing is shuffled."""
     python_workers(docs.sparkSession)
     clean = docs
     for index in item_indexes(benchmark, block_items=block_items):
+        if whole_items:
+            index.look_up(overlap)
         flag = _flagger(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap)
         clean = clean.where(~flag(quoted(text_col)))
     return clean
@@ -265,4 +314,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
 def op7_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The registered query: all verified pairs of document and item."""
-    return contaminated(docs, benchmark)
+    return contaminated(docs, benchmark, whole_items=True)

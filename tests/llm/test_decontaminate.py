@@ -120,3 +120,47 @@ def test_edges(spark, edge_docs, clashing_docs, no_docs):
     assert D.op7_decontaminate(no_docs, b).count() == 0 and D.op7_decontaminate(edge_docs, empty).count() == 0
     assert D.drop_contaminated(edge_docs, empty).count() == len(EDGE_ROWS)
     assert D.op7_decontaminate(edge_docs, b.where("text IS NULL")).count() == 0
+
+
+def brute_whole(docs, items):
+    """Pairs by question and answer or by the whole item's shingles, all against all."""
+    out = set(brute(docs, items))
+    for d, text, *_ in docs:
+        for i, item in items:
+            whole, words = D.shingles(D.words_of(item)), D.words_of(text)
+            if whole and len(whole & set(zip(*[words[k:] for k in range(len(next(iter(whole))))]))) / len(whole) >= D.OVERLAP:
+                out.add((d, i))
+    return sorted(out, key=str)
+
+
+def test_one_changed_word_in_the_last_sentence_hides_no_item(spark):
+    rng, words, items = _corpus(11, 25)
+    items = [(i, t + ". " + " ".join(rng.choice(words) for _ in range(rng.randrange(1, 9))) + ".") for i, t in items]
+    docs = []
+    for _, text in items:
+        n = len(D.words_of(text.split(". ")[1]))
+        for k in range(n):
+            t = text.split()
+            t[len(t) - n + k] = "changed"
+            docs.append((len(docs), " ".join([rng.choice(words) for _ in range(50)] + t + ["after"])))
+    want = brute_whole(docs, items)
+    assert len(want) > len(brute(docs, items)) + 20
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    assert sorted(((r.doc_id, r.item_id) for r in D.op7_decontaminate(d, b).collect()), key=str) == want
+    for block in (D.MAX_BLOCK_ITEMS, 7):
+        kept = D.drop_contaminated(d, b, block_items=block, whole_items=True)
+        assert {r.doc_id for r in kept.collect()} == {x[0] for x in docs} - {p[0] for p in want}
+
+
+def test_whole_items_need_no_score():
+    # the words that every item has weigh next to nothing: the document has 84% of the item, but no score of 0.5
+    said = " ".join("abcdefghijklmnopqrstuvwxyz" * 2)
+    items = [(i, f"{said}. only{i} rare{i} words{i} here{i} today{i}") for i in range(30)]
+    index, df, lengths = build(items)
+    docs = [(0, "so " + said + " and no more")]
+    assert max(plain_scores(items, df, lengths, set(D.words_of(docs[0][1]))).values()) < D.THRESHOLD
+    index.look_up(D.OVERLAP)
+    got = D.matches(docs[0][1], index)
+    assert [(0, m[0]) for m in sorted(got)] == sorted(brute_whole(docs, items)) and got
+    scores = plain_scores(items, df, lengths, set(D.words_of(docs[0][1])))
+    assert all(abs(m[1] - scores[m[0]]) < 1e-9 for m in got)
