@@ -18,10 +18,12 @@ its last sentence) and its answer (the last sentence) must each have at least
 must occur as they stand.  With ``whole_items`` (as the registered query and
 the pipeline have it) an item is also found when its whole text, undivided, has
 at least ``OVERLAP`` of its five-word shingles in the document, so an edit in
-a short last sentence does not hide it.  Candidates of that second check do
-not depend on the score: an item with n shingles that lacks fewer than
-``1 - OVERLAP`` of them has one of any ``n - needed + 1`` in the document, so
-that many of each item's rarest shingles are looked up (prefix filter).
+a short last sentence does not hide it.  Candidates then do not depend on the
+score, nor on the item lying in one passage: a text of n shingles, of which
+``needed`` must occur, has one of any ``n - needed + 1`` in the document, so
+that many of the rarest shingles of the whole item and of its longer part are
+looked up in the whole document (prefix filter).  Without ``whole_items`` an
+item must reach the threshold in one passage.
 
 Items are processed in blocks of ``MAX_BLOCK_ITEMS``, so what is broadcast is
 bounded however many there are; document frequencies cover all items, so the
@@ -88,8 +90,8 @@ class ItemIndex:
     """Postings of one block of items, by rare term: item numbers (ascending),
     impacts, block maxima.  Of the frequent terms: the impacts by item, and
     what all of them together have in each item, with block maxima.  Of the
-    shingles of whole items: those looked up for ``overlap``, with the items
-    they are looked up for."""
+    shingles of items and of their longer parts: those looked up for
+    ``overlap``, with the items they are looked up for."""
 
     ids: list[int]
     parts: list[tuple[set, set]]
@@ -101,7 +103,8 @@ class ItemIndex:
     share: list[float] = field(default_factory=list)
     share_maxima: list[float] = field(default_factory=list)
     share_ceiling: float = 0.0
-    looked_up: dict[tuple[str, ...], list[int]] = field(default_factory=dict)
+    looked_up: dict[tuple[str, ...], set[int]] = field(default_factory=dict)
+    widths: list[int] = field(default_factory=list)  # of the shingles looked up
 
     @classmethod
     def build(cls, items: list[tuple[int, str]], frequency: dict[str, int], n_items: int,
@@ -135,14 +138,16 @@ class ItemIndex:
         return index
 
     def look_up(self, overlap: float) -> None:
-        """Fills ``looked_up``.  A whole item under five words needs none: where
-        it stands, its parts stand."""
-        held = Counter(s for whole in self.wholes for s in whole)
-        for number, whole in enumerate(self.wholes):
-            if len(next(iter(whole))) == SHINGLE:
-                rarest = sorted(whole, key=lambda s: (held[s], s))
-                for s in rarest[:len(whole) - max(fewest(len(whole), overlap), 1) + 1]:
-                    self.looked_up.setdefault(s, []).append(number)
+        """Fills ``looked_up``.  A whole item under five words needs no look-up
+        of its own: where it stands, its parts stand."""
+        sought = [(i, max(parts, key=lambda p: (len(next(iter(p), ())), len(p)))) for i, parts in enumerate(self.parts)]
+        sought += [(i, whole) for i, whole in enumerate(self.wholes) if len(next(iter(whole))) == SHINGLE]
+        held = Counter(s for _, text in sought for s in text)
+        for number, text in sought:
+            rarest = sorted(text, key=lambda s: (held[s], s))
+            for s in rarest[:len(text) - max(fewest(len(text), overlap), 1) + 1]:
+                self.looked_up.setdefault(s, set()).add(number)
+        self.widths = sorted({len(s) for s in self.looked_up})
 
     def score(self, number: int, passage: set[str]) -> float:
         """The score of one item for the distinct terms of a passage."""
@@ -212,18 +217,12 @@ def matches(text: str | None, index: ItemIndex, threshold: float = THRESHOLD,
     for passage in passages(words, index.span):
         for number, score in index.search(set(passage), threshold).items():
             best[number] = max(best.get(number, 0.0), score)
+    near: set[int] = set()
+    for width in index.widths:
+        if not index.looked_up.keys().isdisjoint(zip(*[words[i:] for i in range(width)])):
+            found = index.looked_up.keys() & set(zip(*[words[i:] for i in range(width)]))
+            near.update(*map(index.looked_up.__getitem__, found))
     said: dict[int, set] = {}  # shingles of the whole document by width
-    whole = set()
-    if not index.looked_up.keys().isdisjoint(zip(*[words[i:] for i in range(SHINGLE)])):
-        said[SHINGLE] = set(zip(*[words[i:] for i in range(SHINGLE)]))
-        near = {n for s in index.looked_up.keys() & said[SHINGLE] for n in index.looked_up[s]}
-        whole = {n for n in near if len(index.wholes[n] & said[SHINGLE]) / len(index.wholes[n]) >= overlap}
-        lost = sorted(whole - best.keys())
-        if lost:
-            for passage in map(set, passages(words, index.span)):
-                for n in lost:
-                    best[n] = max(best.get(n, 0.0), index.score(n, passage))
-    out = []
 
     def share(part: set) -> float:
         width = len(next(iter(part)))
@@ -231,11 +230,16 @@ def matches(text: str | None, index: ItemIndex, threshold: float = THRESHOLD,
             said[width] = set(zip(*[words[i:] for i in range(width)]))
         return len(part & said[width]) / len(part)
 
-    for number in sorted(best):
+    verified = {}
+    for number in sorted(best.keys() | near):
         shares = [share(part) if part else 1.0 for part in index.parts[number]]
-        if number in whole or min(shares) >= overlap:
-            out.append((index.ids[number], best[number], *shares))
-    return out
+        if min(shares) >= overlap or index.widths and share(index.wholes[number]) >= overlap:
+            verified[number] = shares
+    lost = verified.keys() - best.keys()
+    for passage in map(set, passages(words, index.span)) if lost else ():
+        for number in lost:
+            best[number] = max(best.get(number, 0.0), index.score(number, passage))
+    return [(index.ids[number], best[number], *shares) for number, shares in verified.items()]
 
 
 def _item_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

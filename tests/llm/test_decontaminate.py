@@ -164,3 +164,22 @@ def test_whole_items_need_no_score():
     assert [(0, m[0]) for m in sorted(got)] == sorted(brute_whole(docs, items)) and got
     scores = plain_scores(items, df, lengths, set(D.words_of(docs[0][1])))
     assert all(abs(m[1] - scores[m[0]]) < 1e-9 for m in got)
+
+
+def test_scattered_items_are_found(spark):
+    # sentences and parts further apart than a passage; short parts; one edit in the answer
+    items = [(1, ". ".join(" ".join(f"{s}{k}" for k in range(24)) for s in ("first", "second", "third"))),
+             (2, "Who wrote the long book about whales and men at sea? A clerk of the customs house of New York did, long ago now."),
+             (3, "Two words. Three more words."), (4, "Which one? The quick brown fox jumps over the lazy dog.")]
+    gap = " ".join(f"filler{i}" for i in range(500))
+    docs = [(i, f" {gap} ".join(s for s in text.replace("?", ".").split(". "))) for i, text in items]
+    docs += [(12, docs[1][1].replace("ago now", "ago then")), (14, docs[3][1].replace("one", "two")), (15, gap)]
+    docs.append((11, " ".join(f"{w} {gap}" for w in items[0][1].split())))
+    want = brute_whole(docs, items)
+    assert {(1, 1), (2, 2), (3, 3), (4, 4), (12, 2)} <= set(want) and not {p[0] for p in want} & {11, 15}
+    index, _, _ = build(items)
+    assert len({(d, m[0]) for d, t in docs for m in D.matches(t, index)}) < len(want)  # no passage reaches the threshold
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    assert sorted(((r.doc_id, r.item_id) for r in D.op7_decontaminate(d, b).collect()), key=str) == want
+    kept = D.drop_contaminated(d, b, whole_items=True)
+    assert {r.doc_id for r in kept.collect()} == {x[0] for x in docs} - {p[0] for p in want}
