@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardwatch.llm import (chat, decontaminate, exact_dedup, langid, mixing, pii, quality, sharding, simhash,
-                           token_counts)
+                           token_align, token_counts)
 from cardwatch.llm.common import documents
 
 
@@ -55,6 +55,10 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.op10_exact_dedup(documents(spark, sf_dir))
 
 
+def op11_token_align(spark, sf_dir):
+    return token_align.op11_token_align(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_quality, op3_chat, op4_mixing, op5_pii, op6_simhash, op7_decontaminate,
-                            op8_token_counts, op9_langid, op10_exact_dedup)}
+                            op8_token_counts, op9_langid, op10_exact_dedup, op11_token_align)}
