@@ -88,4 +88,42 @@ FROM (SELECT *, unnest(range(1, times + 1)) AS epoch FROM chosen)
 """
 
 
-ORACLE = {"op3_chat": OP3_CHAT, "op4_mixing": _mixing(), "op10_exact_dedup": OP10_EXACT_DEDUP}
+OP13_SPELLING = r"""
+WITH RECURSIVE
+crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+said AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+         FROM said GROUP BY ALL),
+marked AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+           string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+           lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+                          ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END))),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, crc),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+              ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM marked GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+         FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i WHERE a.word <> b.word
+  UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word),
+ranked AS (
+  SELECT p.word, p.other, o.n AS other_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY o.n DESC, p.other) AS place
+  FROM near p JOIN words o ON p.other = o.word),
+formed AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.other_n >= 2 * w.n THEN r.other END AS form,
+         CASE WHEN r.other_n >= 2 * w.n THEN r.other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1),
+rooted AS (SELECT word, word AS root FROM formed WHERE form IS NULL
+           UNION ALL SELECT f.word, r.root FROM formed f JOIN rooted r ON f.form = r.word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN rooted USING (word)
+"""
+
+ORACLE = {"op3_chat": OP3_CHAT, "op4_mixing": _mixing(), "op10_exact_dedup": OP10_EXACT_DEDUP,
+          "op13_spelling": OP13_SPELLING}
