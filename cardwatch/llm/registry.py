@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import (chat, decontaminate, exact_dedup, langid, mixing, pii, quality, sharding, simhash,
+from cardwatch.llm import (chat, decontaminate, exact_dedup, langid, mixing, pii, quality, repeats, sharding, simhash,
                            spelling, token_align, token_counts)
 from cardwatch.llm.common import documents
 
@@ -59,10 +59,14 @@ def op11_token_align(spark, sf_dir):
     return token_align.op11_token_align(documents(spark, sf_dir))
 
 
+def op12_repeats(spark, sf_dir):
+    return repeats.op12_repeats(documents(spark, sf_dir))
+
+
 def op13_spelling(spark, sf_dir):
     return spelling.op13_spelling(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_quality, op3_chat, op4_mixing, op5_pii, op6_simhash, op7_decontaminate,
-                            op8_token_counts, op9_langid, op10_exact_dedup, op11_token_align, op13_spelling)}
+                            op8_token_counts, op9_langid, op10_exact_dedup, op11_token_align, op12_repeats, op13_spelling)}

@@ -1,0 +1,120 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from cardwatch.llm import repeats as M
+from llm_cases import clashing_docs, edge_docs, EDGE_ROWS, no_docs, rows_of, sf  # noqa: F401
+
+COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def brute(rows, length=400):
+    """Every window of every text, counted by its bytes."""
+    texts = [(d, (t or "").encode()) for d, t in rows]
+    n = Counter(hash(t[p:p + length]) for _, t in texts for p in range(len(t) - length + 1))
+    out = []
+    for d, t in texts:
+        gone = np.zeros(len(t) + 1, dtype=np.int64)
+        for p in range(len(t) - length + 1):
+            if n[hash(t[p:p + length])] > 1:
+                gone[p] += 1
+                gone[p + length] -= 1
+        gone = np.cumsum(gone)[:-1] > 0
+        kept = np.frombuffer(t, dtype=np.uint8)[~gone].tobytes()
+        runs = int(np.sum(np.diff(np.r_[0, gone.astype(np.int8)]) == 1)) if len(t) else 0
+        out.append((d, len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def planted(seed, n=40):
+    """Texts with copies, near copies, a passage of many, runs and lines."""
+    r = random.Random(seed)
+
+    def words(k):
+        return " ".join("".join(r.choices("abcdeé", k=r.randint(1, 5))) for _ in range(k))
+    passage, line = words(30), words(4) + "\n"
+    texts = [words(r.randint(1, 60)) for _ in range(n)]
+    texts += [t for t in texts[:6]] + [t[:20] + "X" + t[20:] for t in texts[:8] if t]
+    texts += [words(r.randint(0, 20)) + passage + words(r.randint(0, 20)) for _ in range(30)]
+    texts += ["a" * 90, "ab" * 50, line * 12, words(3) + line * 5, "", None, "short"]
+    return list(enumerate(texts))
+
+
+def test_planted_cases_equal_brute_force(spark):
+    for seed, options in ((1, {}), (2, {"batches": 7, "bucket_windows": 50}), (3, {"crowd": 1}), (4, {"crowd": 6, "batches": 3})):
+        rows = planted(seed)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = M.remove_repeats(docs, length=40, gram=13, **options)
+        want = brute(rows, 40)
+        assert rows_of(got, *COLUMNS) == want, (seed, options)
+        assert sum(w[2] > 0 for w in want) > 30
+
+
+def test_the_table_equals_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    assert rows_of(M.op12_repeats(docs), *COLUMNS) == want
+    assert any(w[2] for w in want) and any(not w[2] for w in want)
+
+
+def test_edges(edge_docs, clashing_docs, no_docs):
+    want = {r[0]: (t.encode(), t) for r in EDGE_ROWS for t in [r[1] or ""]}
+    for docs in (edge_docs, clashing_docs):
+        out = M.op12_repeats(docs).collect()
+        assert len(out) == len(EDGE_ROWS)
+        for r in out:
+            assert r.n_removed == (r.n_bytes if r.doc_id == 6 else r.n_bytes - 3 if r.doc_id == 7 else 0)
+            assert r.n_spans == (r.doc_id in (6, 7))
+            if r.doc_id not in (None, 6, 7):
+                assert r.kept_sha256 == hashlib.sha256(want[r.doc_id][0]).hexdigest()
+    assert M.op12_repeats(no_docs).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(max_size=300), st.integers(1, 12))
+def test_cells_cut_all_windows_by_their_anchor(data, gram):
+    length = 20
+    found = list(M.cells(data, length, gram))
+    windows = [p for _, _, first, last in found for p in range(first, last + 1)]
+    assert windows == list(range(max(len(data) - length + 1, 0)))
+    places = {}
+    for _, place, first, last in found:
+        for p in range(first, last + 1):
+            assert p <= place <= p + length - gram
+            assert places.setdefault(data[p:p + length], place - p) == place - p  # equal windows, equal places
+
+
+def test_cells_across_pieces(monkeypatch):
+    data = random.Random(5).randbytes(5000) + b"z" * 700
+    whole = list(M.cells(data))
+    monkeypatch.setattr(M, "_PIECE", 512)
+    assert list(M.cells(data)) == whole
+
+
+def test_levels_merge_geometrically(spark):
+    family = M.IndexFamily(spark, 4)
+    rows = [(0, b"c%d" % i, b"abcd%d" % i) for i in range(7)]
+    held = []
+    for row in rows:
+        family.add(spark.createDataFrame([row], "bucket int, ctx binary, data binary"))
+        held.append(sorted(family.levels))
+    assert held == [[0], [1], [0, 1], [2], [0, 2], [1, 2], [0, 1, 2]]
+    sizes = {k: len(level.first().ctx) for k, level in family.levels.items()}
+    assert sizes == {0: 1, 1: 2, 2: 4}
+    order = np.frombuffer(family.levels[2].first().suffixes, dtype=np.int64)
+    data = family.levels[2].first().data
+    suffixes = [bytes(data[x // M._OFFSETS][x % M._OFFSETS:x % M._OFFSETS + 4]) for x in order]
+    assert len(suffixes) == 8 and suffixes == sorted(suffixes)
+
+
+def test_a_third_of_all_rows_alike(spark):
+    text = F.when(F.col("id") % 3 == 0, F.repeat(F.lit("same words again "), 40)).otherwise(
+        F.concat_ws(" ", *[F.md5(F.concat(F.lit(str(i)), F.col("id").cast("string"))) for i in range(20)]))
+    out = M.op12_repeats(spark.range(1500).select(F.col("id").alias("doc_id"), text.alias("text")))
+    assert out.where("n_removed = n_bytes AND n_spans = 1").count() == 500
+    assert out.where("n_removed = 0").count() == 1000
