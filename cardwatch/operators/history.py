@@ -163,6 +163,86 @@ def snapshot_diff(snapshot: DataFrame, active: DataFrame, key: str = KEY, attrs:
                     *[F.when(gone, F.col(f"_a_{c}")).otherwise(F.col(f"_s_{c}")).alias(c) for c in attrs]))
 
 
+def snapshot_events(history: DataFrame, snapshots: DataFrame, times: Sequence[TimeLike], at: str = "as_of", key: str = KEY,
+                    attrs: Sequence[str] = ATTRS, null_safe: bool = False) -> DataFrame:
+    """What a series of snapshots does to each key, from one pass: ``key`` and
+    ``events``, an array of ``(at, kind, attrs)`` in order, ``at`` being the
+    number of the snapshot (from 1) in ``times``.
+
+    A key's appearances are one array (an entry a snapshot at most); islands
+    of appearances and the gaps between them give new and deleted keys, and
+    the values of an island, compared with the last version that was opened,
+    give the changes."""
+    when = F.array(*[_as_of(t) for t in times])
+    row = F.struct(*attrs)
+    seen = (snapshots.where(F.col(key).isNotNull()).select(key, F.array_position(when, _as_of(F.col(at))).cast("int").alias("_at"), row.alias("_row"))
+            .where("_at > 0").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_at", "_row"))).alias("_seen")))
+    live = active_versions(history, times[0]).where(F.col(key).isNotNull()).select(key, row.alias("_live"))
+    both = seen.join(live, key, "full_outer")
+    event = f"struct<at:int,kind:string,row:{both.schema['_live'].dataType.simpleString()}>"
+    state = F.struct(F.col("_live").alias("row"), F.lit(0).alias("last"), F.array().cast(f"array<{event}>").alias("events"))
+
+    def made(number, kind, values):
+        return F.array(F.struct(number.alias("at"), F.lit(kind).alias("kind"), values.alias("row")).cast(event))
+
+    def differs(a, b):
+        pairs = [(~a[c].eqNullSafe(b[c])) if null_safe else F.coalesce(a[c] != b[c], F.lit(False)) for c in attrs]
+        return reduce(or_, pairs)
+
+    def step(s, entry):
+        number, values = entry["_at"], entry["_row"]
+        gap = s["row"].isNotNull() & (number > s["last"] + 1)
+        fresh = s["row"].isNull() | gap
+        changed = ~fresh & differs(s["row"], values)
+        none = F.array().cast(f"array<{event}>")
+        events = F.concat(s["events"], F.when(gap, made(s["last"] + 1, GONE, s["row"])).otherwise(none),
+                          F.when(fresh, made(number, NEW, values)).when(changed, made(number, CHANGED, values)).otherwise(none))
+        return F.struct(F.when(fresh | changed, values).otherwise(s["row"]).alias("row"), number.alias("last"), events.alias("events"))
+
+    def finish(s):
+        ended = s["row"].isNotNull() & (s["last"] < len(times))
+        return F.concat(s["events"], F.when(ended, made(s["last"] + 1, GONE, s["row"])).otherwise(F.array().cast(f"array<{event}>")))
+
+    nothing = F.array().cast(both.schema["_seen"].dataType)
+    return both.select(key, F.aggregate(F.coalesce("_seen", nothing), state, step, finish).alias("events")).where(F.size("events") > 0)
+
+
+def scd2_apply_series(history: DataFrame, snapshots: DataFrame, times: Sequence[TimeLike], at: str = "as_of",
+                      key: str = KEY, attrs: Sequence[str] = ATTRS, mode: str = "reference",
+                      null_safe: bool = False) -> DataFrame:
+    """L10 for a series: the history after applying the snapshot of each of
+    ``times`` (ascending, different) in turn, as one plan.  ``snapshots`` holds
+    the rows of all of them, told apart by the column ``at``; a time without
+    rows is an empty snapshot, which deletes every key.
+
+    Equals repeated :func:`scd2_apply` with ``null_keys='ignore'`` where a key
+    stands once in a snapshot; rows without a key are ignored.  No version of
+    ``history`` may start after the first of ``times``."""
+    if mode not in ("reference", "clean"):
+        raise ValueError(f"unknown mode {mode!r}")
+    cols = [key, *attrs, FROM, TO, DELETED]
+    history = history.select(*cols)
+    if not times:
+        return history
+    events = snapshot_events(history, snapshots, times, at, key, attrs, null_safe)
+    when = F.array(*[_as_of(t) for t in times])
+
+    def end_after(number: Column) -> Column:
+        """The end of a version that is open after event ``number``."""
+        closing = F.filter("events", lambda e: (e["at"] > number) & (F.lit(mode == "clean") | (e["kind"] != NEW)))
+        first = F.element_at(when, F.array_min(F.transform(closing, lambda e: e["at"])))
+        return F.when(F.size(closing) > 0, first - F.expr("INTERVAL 1 SECOND")).otherwise(open_end())
+
+    opened = events.select(key, "events", F.explode("events").alias("_e")).select(
+        key, *[F.col(f"_e.row.{c}").alias(c) for c in attrs], F.element_at(when, F.col("_e.at")).alias(FROM),
+        end_after(F.col("_e.at")).alias(TO), (F.col("_e.kind") == GONE).alias(DELETED))
+    ends = events.select(F.col(key).alias("_close_key"), end_after(F.lit(0)).alias("_end"))
+    closed = F.when((F.col(TO) == open_end()) & F.col("_end").isNotNull(), F.col("_end")).otherwise(F.col(TO))
+    kept = (history.join(ends, history[key] == ends["_close_key"], "left")
+            .select(*[closed.alias(TO) if c == TO else F.col(c) for c in cols]))
+    return kept.unionByName(opened)
+
+
 def initial_history(snapshot: DataFrame, start: TimeLike = "1900-01-01 00:00:00", key: str = KEY,
                     attrs: Sequence[str] = ATTRS) -> DataFrame:
     """History opened from a first snapshot.  A start far in the past lets
@@ -172,5 +252,6 @@ def initial_history(snapshot: DataFrame, start: TimeLike = "1900-01-01 00:00:00"
 
 __all__ = [
     "OPEN_END", "active_versions", "snapshot_new", "snapshot_deleted", "snapshot_changed",
-    "open_versions", "tombstones", "close_versions", "scd2_apply", "initial_history",
+    "open_versions", "tombstones", "close_versions", "scd2_apply", "scd2_apply_series", "snapshot_events",
+    "initial_history",
 ]

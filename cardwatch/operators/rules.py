@@ -24,6 +24,7 @@ from cardwatch.functions.expressions import (
     date_lit,
     day_of,
 )
+from cardwatch.operators.asof import as_of_lookup
 from cardwatch.operators.chain import cards_of_clients, owner_columns, ownership_chain, to_report
 from cardwatch.operators.sequences import (
     HOT_BUCKET,
@@ -33,7 +34,7 @@ from cardwatch.operators.sequences import (
     declining_attempts,
     find_hot_groups,
 )
-from cardwatch.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from cardwatch.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, bounded
 
 DayLike = _dt.date | str | None
 
@@ -170,15 +171,22 @@ def city_switch_findings(transactions: DataFrame, history: DataFrame, day: DayLi
                          hot: HotGroups | None = None) -> DataFrame:
     """R3 before the owner lookup: ``(trans_date, card_num, event_type)``."""
     hist = history.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
-    hist = broadcast_if_bounded(hist, max_broadcast_rows)
     ops = (_successful(transactions, day).where(_PLACED)
            .select("trans_id", "trans_date", "card_num", "terminal"))
-    on = ops["terminal"] == hist["terminal_id"]
     if terminal_join == "as_of":
-        on = on & ops["trans_date"].between(hist["effective_from"], hist["effective_to"]) & ~hist["deleted_flg"]
-    elif terminal_join != "all_versions":
+        hist = hist.where(~F.col("deleted_flg"))
+        if bounded(hist, max_broadcast_rows):
+            valid = ops["trans_date"].between(hist["effective_from"], hist["effective_to"])
+            located = ops.join(F.broadcast(hist), (ops["terminal"] == hist["terminal_id"]) & valid)
+        else:
+            located = as_of_lookup(ops.where("terminal IS NOT NULL"), hist, "terminal", "trans_date", "terminal_id",
+                                   "effective_from", "effective_to", ["terminal_city", "effective_from"], hot_rows)
+    elif terminal_join == "all_versions":
+        hist = broadcast_if_bounded(hist, max_broadcast_rows)
+        located = ops.join(hist, ops["terminal"] == hist["terminal_id"])
+    else:
         raise ValueError(f"unknown terminal_join {terminal_join!r}")
-    located = ops.join(hist, on).select("trans_id", "trans_date", "card_num", "terminal_city", "effective_from")
+    located = located.select("trans_id", "trans_date", "card_num", "terminal_city", "effective_from")
     # Ties in time: versions by start, then city, then the operation id.
     switched = attribute_switch(located, "card_num", "trans_date", "terminal_city", max_gap,
                                 order_extra=("effective_from", "terminal_city", "trans_id"), hot_rows=hot_rows,
@@ -199,7 +207,8 @@ def city_switch_ops(transactions: DataFrame, history: DataFrame, clients: DataFr
     its operations); ``'as_of'`` joins the version valid at the operation
     time.  Operations at unknown terminals drop out before the sequence is
     formed.  The history is broadcast after a row-count check, so the
-    window's shuffle by card is the rule's only large exchange; hot
+    window's shuffle by card is the rule's only large exchange; beyond the
+    bound the versions are carried forward to the operations (``asof``).  Hot
     (card, day) groups are split as described in ``sequences``."""
     found = city_switch_findings(transactions, history, day, terminal_join, max_gap, max_broadcast_rows,
                                  hot_rows, hot_bucket)

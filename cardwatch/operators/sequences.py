@@ -20,10 +20,14 @@ task, so one hot key (a third of all rows, say) would sort in one task.
    of a head is either an earlier head of its bucket or among the last ``k``
    rows of its own bucket.
 
+4. A bucket that is itself hot (a third of all rows on one card in one second)
+   is cut further by ranges of ``(ts, order_extra)``.  The bounds are a sample
+   of about ``RANGES`` such tuples, drawn by their hash, so the ranges keep the
+   order and seams between them are stitched like any other.
+
 The result equals an unsplit window for any data; no row is copied; the
-largest task holds one bucket of a hot key, or ``2k`` rows per bucket of one
-hot key-day in the stitch window (rows of one key with one and the same
-time are never cut).  Ties in ``ts`` are ordered by
+largest task holds one bucket or range of a hot key, or ``2k`` rows per bucket
+and range of one hot key-day in the stitch window.  Ties in ``ts`` are ordered by
 ``order_extra``; the patterns need ``(key, ts, order_extra)`` to be unique
 for a deterministic answer, as any ``lag`` does.
 """
@@ -49,10 +53,13 @@ HOT_ROWS = 1_000_000
 HOT_BUCKET = _dt.timedelta(seconds=1)
 #: Heaviest groups looked for, and groups that a task's sketch tracks.
 TOP_GROUPS, TRACKED_GROUPS = 1_000, 10_000
+#: Ranges that a hot bucket is cut into, about.
+RANGES = 64
 
 _DAY = "_seq_day"
 _HOT = "_seq_hot"
 _BUCKET = "_seq_bucket"
+_RANGE = "_seq_range"
 _RN = "_seq_rn"
 _CNT = "_seq_cnt"
 _HEAD = "_seq_head"
@@ -93,6 +100,28 @@ def _mark_hot(d: DataFrame, group: Sequence[str], hot: HotGroups, ts: str, hot_b
     return d.withColumn(_HOT, is_hot).withColumn(_BUCKET, bucket.cast("bigint"))
 
 
+def _mark_ranges(staged: DataFrame, group: Sequence[str], ts: str, order_extra: Sequence[str], hot_rows: int) -> DataFrame:
+    """Add ``_seq_range``: the place of a row of a hot bucket among the bounds
+    of its ranges; 0 elsewhere.  At most ``TOP_GROUPS`` buckets are looked for,
+    so the bounds are a small table."""
+    bucket = _group_hash([*group, _BUCKET])
+    split = staged.where(F.col(_HOT))
+    top = (split.select(bucket.alias("_seq_hash"))
+           .agg(F.expr(f"approx_top_k(_seq_hash, {TOP_GROUPS}, {TRACKED_GROUPS})")).first()[0])
+    crowded = {t["item"]: t["count"] for t in top or [] if t["count"] > hot_rows}
+    if not crowded:
+        return staged.withColumn(_RANGE, F.lit(0))
+    place = F.struct(ts, *order_extra)
+    rates = staged.sparkSession.createDataFrame([(h, max(n // RANGES, 1)) for h, n in crowded.items()], "_seq_hash long, _seq_rate long")
+    bounds = (split.select(bucket.alias("_seq_hash"), place.alias("_seq_place")).join(F.broadcast(rates), "_seq_hash")
+              .where(F.pmod(F.xxhash64("_seq_place"), F.col("_seq_rate")) == 0)
+              .groupBy("_seq_hash").agg(F.collect_set("_seq_place").alias("_seq_bounds")))
+    below = F.size(F.filter("_seq_bounds", lambda b: b <= place))
+    return (staged.withColumn("_seq_hash", F.when(F.col(_HOT), bucket)).join(F.broadcast(bounds), "_seq_hash", "left")
+            .withColumn(_RANGE, F.when(F.col("_seq_bounds").isNotNull(), below).otherwise(F.lit(0)))
+            .drop("_seq_hash", "_seq_bounds"))
+
+
 def with_buckets(df: DataFrame, keys: Sequence[str], ts: str, hot_rows: int = HOT_ROWS,
                  hot_bucket: _dt.timedelta = HOT_BUCKET) -> DataFrame:
     """Add ``_seq_day``, ``_seq_hot`` and ``_seq_bucket`` (0 for light groups)."""
@@ -122,19 +151,19 @@ def previous_rows(df: DataFrame, key: str | Sequence[str], ts: str, lags: dict[s
         w = Window.partitionBy(*group).orderBy(ts, *order_extra)
         return d.select("*", *[F.lag(c, n).over(w).alias(name) for name, (c, n) in lags.items()]).select(*out_cols)
 
-    staged = _mark_hot(d, group, hot, ts, hot_bucket)
+    staged = _mark_ranges(_mark_hot(d, group, hot, ts, hot_bucket), group, ts, order_extra, hot_rows)
     # ``_seq_hot`` is a function of (key, day), so adding it to the window
     # keys changes no partition; it lets the seam branch's ``hot`` filter be
     # pushed below its exchange, so only hot rows are shuffled a second time.
-    w_bucket = Window.partitionBy(*group, _HOT, _BUCKET).orderBy(ts, *order_extra)
-    w_whole_bucket = Window.partitionBy(*group, _HOT, _BUCKET)
+    w_bucket = Window.partitionBy(*group, _HOT, _BUCKET, _RANGE).orderBy(ts, *order_extra)
+    w_whole_bucket = Window.partitionBy(*group, _HOT, _BUCKET, _RANGE)
     a = staged.select(
         "*",
         F.row_number().over(w_bucket).alias(_RN),
         F.count(F.lit(1)).over(w_whole_bucket).alias(_CNT),
         *[F.lag(c, n).over(w_bucket).alias(name) for name, (c, n) in lags.items()],
     )
-    head = F.col(_HOT) & (F.col(_BUCKET) > 0) & (F.col(_RN) <= k)
+    head = F.col(_HOT) & ((F.col(_BUCKET) > 0) | (F.col(_RANGE) > 0)) & (F.col(_RN) <= k)
     tail = F.col(_HOT) & (F.col(_RN) > F.col(_CNT) - k)
     settled = a.where(~head).select(*out_cols)
 

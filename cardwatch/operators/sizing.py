@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    return max_rows > 0 and df.count() <= max_rows
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    if max_rows > 0 and df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if bounded(df, max_rows) else df

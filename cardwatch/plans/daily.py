@@ -151,8 +151,9 @@ def cached_operations(wh: Warehouse, day=None, start=None, end=None):
     read.  The kept blocks lie in executor memory and on executors' disks;
     lost ones are recomputed from the parquet files, and all are released
     after the report."""
-    ops = operations(wh, day, start, end)
-    hot = find_hot_groups(ops.where("trans_date IS NOT NULL AND card_num IS NOT NULL"), "card_num", "trans_date")
+    # an operation without a card or a time is no finding of any rule
+    ops = operations(wh, day, start, end).where("trans_date IS NOT NULL AND card_num IS NOT NULL")
+    hot = find_hot_groups(ops, "card_num", "trans_date")
     if not hot.hashes:
         ops = ops.repartition("card_num")
     ops = ops.persist(StorageLevel.MEMORY_AND_DISK)

@@ -166,6 +166,51 @@ def _busy(sql: str) -> str:
     return sql.replace("FROM txn t", "FROM busy t")
 
 
+def _one_second(sql: str) -> str:
+    return sql.replace("FROM txn t", "FROM (SELECT * REPLACE (date_trunc('day', trans_date) AS trans_date) FROM busy) t")
+
+
+# The series of snapshots: per key and day presence and values; islands and
+# changes from neighbouring days (no value of the fixture is NULL).
+_SERIES_RULES = ["(s_suppkey + 0) % 3 <> 0", "(s_suppkey + 1) % 4 <> 0", "s_suppkey % 2 = 0", "(s_suppkey + 3) % 6 <> 0"]
+_SERIES_TIMES = ["2024-02-01", "2024-02-02", "2024-02-03", "2024-02-05"]
+_SERIES_DAYS = " UNION ALL ".join(
+    f"""SELECT {i + 1} AS no, TIMESTAMP '{t} 00:00:00' AS as_of, s_suppkey AS terminal_id, n_name AS terminal_city, s_name AS terminal_address
+    FROM supplier JOIN nation ON CASE WHEN (s_suppkey + {i}) % 3 = 0 THEN (s_nationkey + 1) % 25 ELSE s_nationkey END = n_nationkey
+    WHERE {rule}""" for i, (rule, t) in enumerate(zip(_SERIES_RULES, _SERIES_TIMES)))
+_SERIES_STARTS = " UNION ALL ".join(f"SELECT {i + 1}, TIMESTAMP '{t} 00:00:00'" for i, t in enumerate(_SERIES_TIMES))
+
+
+def _series(clean: bool) -> str:
+    closing = "true" if clean else "kind <> 'new'"
+    return f""",
+days(no, as_of) AS ({_SERIES_STARTS}),
+seen AS ({_SERIES_DAYS} UNION ALL
+  SELECT 0, NULL, terminal_id, terminal_city, terminal_address FROM old_hist),
+grid AS (
+  SELECT k.terminal_id, d.no, d.as_of, s.terminal_city AS city, s.terminal_address AS address, s.terminal_id IS NOT NULL AS here
+  FROM (SELECT DISTINCT terminal_id FROM seen) k CROSS JOIN (SELECT * FROM days UNION ALL SELECT 0, NULL) d
+  LEFT JOIN seen s ON s.terminal_id = k.terminal_id AND s.no = d.no),
+steps AS (
+  SELECT *, lag(here) OVER w AS was, lag(city) OVER w AS old_city, lag(address) OVER w AS old_address
+  FROM grid WINDOW w AS (PARTITION BY terminal_id ORDER BY no)),
+events AS (
+  SELECT terminal_id, no, as_of,
+         CASE WHEN here AND NOT was THEN 'new' WHEN was AND NOT here THEN 'deleted' ELSE 'changed' END AS kind,
+         CASE WHEN here THEN city ELSE old_city END AS city, CASE WHEN here THEN address ELSE old_address END AS address
+  FROM steps WHERE no > 0 AND (here <> was OR (here AND (city <> old_city OR address <> old_address)))),
+ends AS (SELECT terminal_id, no, as_of FROM events WHERE {closing})
+SELECT terminal_id, CASE WHEN terminal_id % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type, city AS terminal_city,
+       address AS terminal_address, as_of AS effective_from,
+       coalesce((SELECT min(x.as_of) FROM ends x WHERE x.terminal_id = e.terminal_id AND x.no > e.no) - INTERVAL 1 SECOND,
+                TIMESTAMP '2999-12-31 23:59:59') AS effective_to, kind = 'deleted' AS deleted_flg
+FROM events e
+UNION ALL
+SELECT terminal_id, terminal_type, terminal_city, terminal_address, effective_from,
+       coalesce((SELECT min(x.as_of) FROM ends x WHERE x.terminal_id = o.terminal_id) - INTERVAL 1 SECOND, effective_to), deleted_flg
+FROM old_hist o"""
+
+
 _CENTS = "CAST(floor(amt * 100) AS BIGINT)"
 
 SQL: dict[str, str] = {
@@ -176,6 +221,10 @@ SQL: dict[str, str] = {
     "fraud_report_busy": _busy("\nUNION ALL\n".join([
         _R1.format(day=""), _R2.format(day=""), _R3.format(asof=_ASOF, day="", gap_min=60),
         _r4(3, 20, "oper_result")])),
+    "city_switch_carried": _busy(_R3.format(asof=_ASOF, day="", gap_min=60)),
+    "declining_attempts_one_second": _one_second(_r4(3, 20, "oper_result")),
+    "scd2_apply_series": _series(clean=False),
+    "scd2_apply_series_clean": _series(clean=True),
     "parse_feed_lines": f"""SELECT CAST(trans_id AS VARCHAR) AS transaction_id,
         CASE WHEN trans_id % 89 <> 0 THEN date_trunc('second', trans_date) END AS transaction_date,
         CASE WHEN trans_id % 97 <> 0 THEN {_CENTS} END AS amount_cents, CAST(card_num AS VARCHAR) AS card_num, oper_type,

@@ -21,7 +21,7 @@ from cardwatch.operators import keys as K
 from cardwatch.operators import rules as R
 from cardwatch.operators.chain import ownership_chain
 from cardwatch.schemas import TRANSACTIONS_FEED
-from cardwatch.sources.driver_tables import REPORT_DAY, SNAPSHOT_AS_OF, DriverTables
+from cardwatch.sources.driver_tables import REPORT_DAY, SERIES_TIMES, SNAPSHOT_AS_OF, DriverTables
 from cardwatch.sources.feeds import CSV_SEPARATOR, transactions_from_feed, typed_transactions
 
 # Fixed parameters of the registered queries.
@@ -123,6 +123,33 @@ def q_city_switch_split(spark, sf_dir):
                              hot_bucket=_dt.timedelta(minutes=7))
 
 
+def q_city_switch_carried(spark, sf_dir):
+    """The as-of lookup by carried versions, its crowded groups dealt out."""
+    t = _t(spark, sf_dir)
+    return R.city_switch_ops(t.busy_transactions(), t.terminal_history(), t.clients(), t.accounts(), t.cards(),
+                             max_broadcast_rows=0, hot_rows=2)
+
+
+def _one_second(t: DriverTables):
+    """The busy fixture with each day's operations in one whole second."""
+    return t.busy_transactions().withColumn("trans_date", F.date_trunc("DAY", "trans_date").cast("timestamp_ntz"))
+
+
+def q_declining_attempts_one_second(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return R.amount_guessing_ops(_one_second(t), t.clients(), t.accounts(), t.cards(), hot_rows=3)
+
+
+def q_scd2_apply_series(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return H.scd2_apply_series(t.snapshot_old_history(), t.snapshot_series(), SERIES_TIMES)
+
+
+def q_scd2_apply_series_clean(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return H.scd2_apply_series(t.snapshot_old_history(), t.snapshot_series(), SERIES_TIMES, mode="clean")
+
+
 def q_fraud_report_busy(spark, sf_dir):
     t = _t(spark, sf_dir)
     return R.fraud_report(t.busy_transactions(), t.terminal_history(), t.clients(), t.accounts(), t.cards(),
@@ -246,6 +273,10 @@ QUERIES: dict[str, Query] = {
     "declining_attempts_k3_gap": q_declining_attempts_k3_gap,
     "declining_attempts_split": q_declining_attempts_split,
     "fraud_report_busy": q_fraud_report_busy,
+    "city_switch_carried": q_city_switch_carried,
+    "declining_attempts_one_second": q_declining_attempts_one_second,
+    "scd2_apply_series": q_scd2_apply_series,
+    "scd2_apply_series_clean": q_scd2_apply_series_clean,
     "parse_feed_lines": q_parse_feed_lines,
     "unique_keys_guarded": q_unique_keys_guarded,
     "orphan_report": q_orphan_report,

@@ -11,6 +11,7 @@ pushdown reach the files.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ VERSION1_END = "2024-01-14 23:59:59"
 VERSION2_START = "2024-01-15 00:00:00"
 SNAPSHOT_AS_OF = "2024-02-01 00:00:00"
 REPORT_DAY = "2024-01-20"
+SERIES_TIMES = ("2024-02-01 00:00:00", "2024-02-02 00:00:00", "2024-02-03 00:00:00", "2024-02-05 00:00:00")
 
 
 def _plus_days(n: Column) -> Column:
@@ -200,3 +202,11 @@ class DriverTables:
         """Snapshot 2: suppliers with key % 5 <> 0; key % 3 = 0 moved city."""
         k = F.col("s_suppkey")
         return self._snapshot_rows(k % 5 != 0, k % 3 == 0)
+
+    def snapshot_series(self) -> DataFrame:
+        """Snapshots of four days (``as_of``): suppliers come, go, return and
+        move; the third day's is empty for every second supplier."""
+        k = F.col("s_suppkey")
+        parts = [self._snapshot_rows((k + i) % (3 + i) != 0 if i != 2 else k % 2 == 0, (k + i) % 3 == 0)
+                 .withColumn("as_of", ts_ntz(t)) for i, t in enumerate(SERIES_TIMES)]
+        return reduce(DataFrame.unionByName, parts)
