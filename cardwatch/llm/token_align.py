@@ -39,6 +39,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain
 from pathlib import Path
 
 import numpy as np
@@ -111,15 +112,20 @@ class Aligner:
         self.pair = pair
         self.a, self.b = pair.libraries()
         self.same_as = pair.identity.tolist()
+        # two generations: what is used again outlives what is met once
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def align(self, texts: list[str]) -> list[tuple | None]:
         """Per text (n_a, n_b, n_groups, digest, same ids, counts, pairs, counts)."""
         cut = [_CUT.split(t) if self.pair.cuts_at_spaces else [t] for t in texts]
         wanted = set().union(*cut)
         if len(self.known) + len(wanted) > KNOWN_STRETCHES:
-            self.known = {}
-        new = [w for w in wanted if w not in self.known]
+            self.known, self.older = {}, self.known
+        unknown = wanted.difference(self.known)
+        again = unknown & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        new = list(unknown - again)
         self.known.update(zip(new, self._encode(new)))
         out = [self._whole(t, parts) for t, parts in zip(texts, cut)]
         for w in new:
@@ -134,47 +140,49 @@ class Aligner:
 
     def _groups(self, said: str, a_ids: list[int], b_ids: list[int]) -> tuple | None:
         """Groups and links of one stretch; None if its bytes differ."""
-        a_parts = [self.pair.a_bytes[i] for i in a_ids]
-        b_parts = [self.pair.b_bytes[i] for i in b_ids]
-        if not b"".join(a_parts) == b"".join(b_parts) == said.encode("utf-8", "surrogatepass"):
+        a_parts, b_parts = [self.pair.a_bytes[i] for i in a_ids], [self.pair.b_bytes[i] for i in b_ids]
+        whole = said.encode("utf-8", "surrogatepass")
+        if b"".join(b_parts) != whole or b"".join(a_parts) != whole:
             return None
-        same, pairs, groups = [], [], []
+        same_as, same, pairs, groups = self.same_as, [], [], []
+        if a_parts == b_parts:  # one to one throughout
+            for x, y in zip(a_ids, b_ids):
+                if same_as[x] == y:
+                    same.append(x)
+                else:
+                    pairs.append(x << 32 | y)
+            return len(a_ids), len(a_ids), len(a_ids), ";".join([f"{x}|{y}" for x, y in zip(a_ids, b_ids)]), same, pairs
+        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
         i = j = first_a = first_b = 0
-        a_end, b_end = (len(a_parts[0]), len(b_parts[0])) if a_parts else (0, 0)
         while i < len(a_ids):
-            x, y = a_ids[i], b_ids[j]
-            if self.same_as[x] == y:
+            x, y, a_end, b_end = a_ids[i], b_ids[j], a_ends[i], b_ends[j]
+            if same_as[x] == y:
                 same.append(x)
             else:
                 pairs.append(x << 32 | y)
-            step_a, step_b = a_end <= b_end, b_end <= a_end
-            if step_a:
+            if a_end < b_end:
                 i += 1
-                if i < len(a_ids):
-                    a_end += len(a_parts[i])
-            if step_b:
+            elif b_end < a_end:
                 j += 1
-                if j < len(b_ids):
-                    b_end += len(b_parts[j])
-            if step_a and step_b:
-                groups.append(f"{','.join(map(str, a_ids[first_a:i]))}|{','.join(map(str, b_ids[first_b:j]))}")
+            else:
+                i, j = i + 1, j + 1
+                groups.append(f"{str(a_ids[first_a:i])[1:-1]}|{str(b_ids[first_b:j])[1:-1]}")
                 first_a, first_b = i, j
-        return (len(a_ids), len(b_ids), len(groups), ";".join(groups), np.array(same, dtype=np.int64),
-                np.array(pairs, dtype=np.int64))
+        return len(a_ids), len(b_ids), len(groups), ";".join(groups).replace(" ", ""), same, pairs
 
     def _whole(self, text: str, parts: list[str]) -> tuple | None:
         if not text:
             return None
-        found = [self.known[p] for p in parts]
+        found = list(map(self.known.__getitem__, parts))
         if None in found:  # a stretch differs, so the text is compared whole
             found = self._encode([text]) if len(parts) > 1 else found
             if found[0] is None:
                 return None
-        same, same_n = np.unique(np.concatenate([f[4] for f in found]), return_counts=True)
-        pairs, pair_n = np.unique(np.concatenate([f[5] for f in found]), return_counts=True)
-        digest = hashlib.sha256(";".join([f[3] for f in found]).encode()).hexdigest()
-        n_a, n_b, n_groups = (sum([f[k] for f in found]) for k in range(3))
-        return n_a, n_b, n_groups, digest, same, same_n, pairs, pair_n
+        n_a, n_b, n_groups, groups, same, pairs = zip(*found)
+        same, same_n = np.unique(np.fromiter(chain.from_iterable(same), dtype=np.int64), return_counts=True)
+        pairs, pair_n = np.unique(np.fromiter(chain.from_iterable(pairs), dtype=np.int64), return_counts=True)
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+        return sum(n_a), sum(n_b), sum(n_groups), digest, same, same_n, pairs, pair_n
 
 
 def _aligned(pair):
