@@ -336,7 +336,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
     spans = written(spans, "repeats-spans")
     shifted = F.transform("spans", lambda s: F.struct((s["low"] + F.col("first")).alias("low"), (s["high"] + F.col("first")).alias("high")))
     return (found.select("doc", "ctx", "first").join(spans, "ctx").select("doc", shifted.alias("spans"))
-            .groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))  # spans of one document
+            .groupBy("doc").agg(F.flatten(F.collect_list("spans")).alias("spans")))  # spans of one document
 
 
 def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
