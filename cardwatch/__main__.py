@@ -6,9 +6,10 @@
 Creates missing tables, loads seed dimensions once (``clients``,
 ``accounts``, ``cards`` as ``.csv`` or ``.parquet`` in ``--seed``; replays
 are skipped by key), loads the day's feeds that are present, runs the four
-rules and prints that day's report.  With ``--archive`` every new feed in the
-folder is ingested and moved to the archive, and every day among them is
-reported.  The whole report is printed; ``--rows`` limits it and says how many
+rules and prints that day's report, and that of every other day that a load
+wrote to and no report covers yet (late operations, a run that died).  With
+``--archive`` every new feed in the folder is ingested and moved to the
+archive.  What each load could not read is printed.  The whole report is printed; ``--rows`` limits it and says how many
 rows were left out.
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schemas
 from cardwatch.plans import daily
+from cardwatch.plans.ledger import COUNTS, LOADED
 from cardwatch.plans.report import read_report
 from cardwatch.plans.warehouse import Warehouse
 from cardwatch.session import build_session
@@ -42,18 +44,22 @@ def load_seeds(wh: Warehouse, folder: str) -> list[str]:
 
 
 def ingest_with_archive(wh: Warehouse, feed_dir: str, archive_dir: str, as_of=None,
-                        history_mode: str = "reference") -> list:
+                        history_mode: str = "reference") -> None:
     """Load every new feed file (blacklist, terminals, transactions) and
-    archive it, each stream stopping after its backlog; returns the days of
-    the feeds found."""
-    days = daily.FeedFolder(feed_dir).days(wh.spark)
+    archive it, each stream stopping after its backlog."""
     from cardwatch.streaming.ingest import ingest_blacklist, ingest_terminals, ingest_transactions
     ckpt = wh.path("_ingest")
     ingest_blacklist(wh, feed_dir, f"{ckpt}/blacklist", archive_dir).awaitTermination()
     ingest_terminals(wh, feed_dir, f"{ckpt}/terminals", archive_dir, mode=history_mode,
                      as_of=as_of).awaitTermination()
     ingest_transactions(wh, feed_dir, f"{ckpt}/transactions", archive_dir).awaitTermination()
-    return days
+
+
+def print_loads(events: list) -> None:
+    """One line per feed file loaded, with what could not be read."""
+    for e in events:
+        if e.state == LOADED:
+            print(f"{e.file}: " + ", ".join(f"{k} {e[k]}" for k in COUNTS if k == "rows" or e[k]))
 
 
 def print_report(report, rows: int | None = None) -> None:
@@ -99,20 +105,19 @@ def main(argv: list[str] | None = None) -> int:
     if args.seed:
         load_seeds(wh, args.seed)
     feeds = daily.FeedFolder(args.feeds) if args.feeds else None
-    ingested = []
+    before = len(wh.ledger.events())
     if feeds is not None and args.archive:
-        ingested = ingest_with_archive(wh, args.feeds, args.archive, args.as_of, args.history_mode)
+        ingest_with_archive(wh, args.feeds, args.archive, args.as_of, args.history_mode)
         feeds = None
-    if args.date and ingested:
-        days = sorted({*ingested, daily.as_date(args.date)})
-        for day in days:
-            daily.run_day(wh, day, terminal_join=args.terminal_join)
+    if args.date:
+        day = daily.as_date(args.date)
+        daily.run_day(wh, day, feeds, as_of=args.as_of, terminal_join=args.terminal_join, key_policy=args.key_policy,
+                      history_mode=args.history_mode)
+        days = sorted({day, *daily.report_touched(wh, args.terminal_join)})
         report = read_report(wh).where(F.col("event_day").isin(days))
-    elif args.date:
-        report = daily.run_day(wh, args.date, feeds, as_of=args.as_of, terminal_join=args.terminal_join,
-                               key_policy=args.key_policy, history_mode=args.history_mode)
     else:
         report = daily.run_range(wh, args.start, args.end, terminal_join=args.terminal_join)
+    print_loads(wh.ledger.events()[before:])
     if args.all:
         report = read_report(wh)
     print_report(report, args.rows)

@@ -2,6 +2,8 @@
 
 ``run_day``: load the day's feeds that are present (each may be absent),
 run the four rules for that day, replace the day's report partition.
+``report_touched``: the same rules for every day that loads wrote to since it
+was reported last.
 ``run_range``: run the rules for many days together (windows keyed by
 card and day, so the result equals one run per day) and replace the report
 of every day in the range.  Both shuffle the operations once, by card, and
@@ -13,14 +15,17 @@ from __future__ import annotations
 import datetime as _dt
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.functions.expressions import date_lit
+from cardwatch import schemas
+from cardwatch.functions.expressions import date_lit, ts_ntz
 from cardwatch.operators.rules import fraud_report
 from cardwatch.operators.sequences import HotGroups, find_hot_groups
+from cardwatch.plans.ledger import FeedLoad
 from cardwatch.plans.report import read_report, write_day, write_days
 from cardwatch.plans.warehouse import Warehouse
 from cardwatch.sources.feeds import (
@@ -30,6 +35,7 @@ from cardwatch.sources.feeds import (
     read_blacklist_feed,
     read_terminal_snapshot,
     read_transactions_feed,
+    rejected_lines,
 )
 from cardwatch.sources.files import move, names
 
@@ -86,40 +92,75 @@ def day_start(day: _dt.date) -> _dt.datetime:
     return _dt.datetime.combine(day, _dt.time())
 
 
+#: The feeds' columns, by kind.
+FEED_SCHEMAS = {"transactions": schemas.TRANSACTIONS_FEED, "blacklist": schemas.BLACKLIST_FEED, "terminals": schemas.TERMINALS_FEED}
+
+
+def load_feed(wh: Warehouse, kind: str, path: str, day: _dt.date | None, as_of=None, key_policy: str = "fail",
+              history_mode: str = "reference", fmt: str | None = None) -> FeedLoad:
+    """Load one feed file through the load ledger; its malformed lines go to
+    the quarantine.  A blacklist or terminal feed touches its own ``day``."""
+    spark = wh.spark
+
+    def load(torn: bool) -> dict:
+        rejected = wh.keep_rejects(kind, path.rsplit("/", 1)[-1], rejected_lines(spark, path, FEED_SCHEMAS[kind], fmt))
+        if kind == "transactions":
+            # after a try that died, rows that it did write are there already
+            found = wh.append_transactions(read_transactions_feed(spark, path, fmt or "csv"), "skip" if torn else key_policy,
+                                           "all" if torn else "ledger")
+        else:
+            if kind == "blacklist":
+                wh.load_blacklist(read_blacklist_feed(spark, path, fmt))
+            else:
+                wh.load_terminals(read_terminal_snapshot(spark, path, fmt), as_of if as_of is not None else day_start(day),
+                                  mode=history_mode)
+            found = {"days": [day] if day is not None else []}
+        return {**found, "rejected": rejected}
+
+    return wh.ledger.load(kind, path, load, parquet=path.rstrip("/").endswith(".parquet"))
+
+
 def load_feeds(wh: Warehouse, day: _dt.date, feeds: FeedFolder, as_of=None, key_policy: str = "fail",
-               history_mode: str = "reference", archive: str | None = None) -> dict[str, bool]:
-    """Load each present feed of ``day``; report which were loaded.
+               history_mode: str = "reference", archive: str | None = None) -> dict[str, FeedLoad | None]:
+    """Load each present feed of ``day``; what became of each (None: absent).
 
+    A feed that is loaded already is recognised and not loaded again.
     Terminal versions start at ``as_of``, by default the start of ``day``.
     With ``archive`` each feed is moved there once its load is committed."""
-    spark = wh.spark
-    steps = {
-        "transactions": (feeds.transactions(day),
-                         lambda p: wh.append_transactions(read_transactions_feed(spark, p, "csv"), key_policy)),
-        "blacklist": (feeds.blacklist(day), lambda p: wh.load_blacklist(read_blacklist_feed(spark, p))),
-        "terminals": (feeds.terminals(day),
-                      lambda p: wh.load_terminals(read_terminal_snapshot(spark, p),
-                                                  as_of if as_of is not None else day_start(day), mode=history_mode)),
-    }
-    loaded = {}
-    for kind, (path, load) in steps.items():
-        loaded[kind] = feed_present(spark, path)
-        if loaded[kind]:
-            load(path)
+    paths = {"transactions": feeds.transactions(day), "blacklist": feeds.blacklist(day), "terminals": feeds.terminals(day)}
+    loaded: dict[str, FeedLoad | None] = {}
+    for kind, path in paths.items():
+        loaded[kind] = None
+        if feed_present(wh.spark, path):
+            loaded[kind] = load_feed(wh, kind, path, day, as_of, key_policy, history_mode)
             if archive:
-                move(spark, path, archive, ARCHIVED)
+                move(wh.spark, path, archive, ARCHIVED)
     return loaded
 
 
+def load_terminal_backlog(wh: Warehouse, days: list[_dt.date], feeds: FeedFolder, mode: str = "reference") -> int:
+    """All present terminal snapshots of ``days`` as one version, each valid
+    from its day's start; a header-only file is an empty snapshot."""
+    paths = [(d, feeds.terminals(d)) for d in sorted(days) if feed_present(wh.spark, feeds.terminals(d))]
+    if not paths:
+        return wh.history_version()
+    rows = reduce(DataFrame.unionByName, [read_terminal_snapshot(wh.spark, p).withColumn("as_of", ts_ntz(day_start(d)))
+                                          for d, p in paths])
+    return wh.load_terminal_series(rows, [day_start(d) for d, _ in paths], mode=mode)
+
+
 # Columns of the fact that the four rules read.
 RULE_COLUMNS = ["trans_id", "trans_date", "amt", "card_num", "oper_result", "terminal"]
 
 
 def operations(wh: Warehouse, day: _dt.date | str | None = None, start: _dt.date | str | None = None,
-               end: _dt.date | str | None = None) -> DataFrame:
-    """The fact's rule columns for one day or ``[start, end]`` (partition-pruned)."""
+               end: _dt.date | str | None = None, days: list[_dt.date] | None = None) -> DataFrame:
+    """The fact's rule columns for one day, for ``[start, end]`` or for the
+    listed ``days`` (partition-pruned)."""
     txn = wh.table("transactions")
-    if day is not None:
+    if days is not None:
+        txn = txn.where(F.col("trans_day").isin(days))
+    elif day is not None:
         txn = txn.where(F.col("trans_day") == date_lit(as_date(day)))
     else:
         if start is not None:
@@ -141,7 +182,7 @@ def day_report(wh: Warehouse, day: _dt.date | str | None, terminal_join: str = "
 
 
 @contextmanager
-def cached_operations(wh: Warehouse, day=None, start=None, end=None):
+def cached_operations(wh: Warehouse, day=None, start=None, end=None, days=None):
     """Yields the operations and their hot groups for one report.
 
     The rules read the operations three times (R1+R2 join, R3, R4).  Without
@@ -152,7 +193,7 @@ def cached_operations(wh: Warehouse, day=None, start=None, end=None):
     lost ones are recomputed from the parquet files, and all are released
     after the report."""
     # an operation without a card or a time is no finding of any rule
-    ops = operations(wh, day, start, end).where("trans_date IS NOT NULL AND card_num IS NOT NULL")
+    ops = operations(wh, day, start, end, days).where("trans_date IS NOT NULL AND card_num IS NOT NULL")
     hot = find_hot_groups(ops, "card_num", "trans_date")
     if not hot.hashes:
         ops = ops.repartition("card_num")
@@ -173,9 +214,26 @@ def run_day(wh: Warehouse, day: _dt.date | str, feeds: FeedFolder | None = None,
         load_feeds(wh, d, feeds, as_of, key_policy, history_mode, archive)
     with cached_operations(wh, day=d) as (ops, hot):
         write_day(wh, day_report(wh, d, terminal_join, transactions=ops, hot=hot), d, report_dt)
+    if d in wh.ledger.pending_days():
+        wh.ledger.mark_reported([d])
     return read_report(wh, d)
 
 
+def report_touched(wh: Warehouse, terminal_join: str = "as_of", report_dt=None, days_per_job: int = 31) -> list[_dt.date]:
+    """Report every day that a load wrote to and no report covers yet: the
+    days of late operations, and those of a run that died.  Only their
+    partitions are rewritten.  Returns the days."""
+    wh.ensure_tables()
+    days = wh.ledger.pending_days()
+    for at in range(0, len(days), days_per_job):
+        own = days[at:at + days_per_job]
+        with cached_operations(wh, days=own) as (ops, hot):
+            write_days(wh, day_report(wh, None, terminal_join, transactions=ops, hot=hot),
+                       wh.spark.createDataFrame([(d,) for d in own], "event_day date"), report_dt)
+        wh.ledger.mark_reported(own)
+    return days
+
+
 def run_range(wh: Warehouse, start: _dt.date | str, end: _dt.date | str, terminal_join: str = "as_of",
               report_dt=None, days_per_job: int = 31) -> DataFrame:
     """Rules for every day of ``[start, end]`` (no feed loading), in jobs of
@@ -196,4 +254,5 @@ def run_range(wh: Warehouse, start: _dt.date | str, end: _dt.date | str, termina
         with cached_operations(wh, start=own[0], end=own[-1]) as (ops, hot):
             write_days(wh, day_report(wh, None, terminal_join, own[0], own[-1], transactions=ops, hot=hot),
                        wh.spark.createDataFrame([(d,) for d in own], "event_day date"), report_dt)
+        wh.ledger.mark_reported([d for d in wh.ledger.pending_days() if own[0] <= d <= own[-1]])
     return read_report(wh).where(F.col("event_day").between(lo, hi))

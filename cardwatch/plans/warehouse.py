@@ -13,7 +13,9 @@ Layout under ``root`` (all parquet, explicit schemas on read):
   states it wrote), appended as one file after the version's data.  Readers
   follow the log alone, so a half-written version is never seen and a rerun
   writes it anew.
-* ``report/event_day=YYYY-MM-DD/`` the fraud report (see ``report.py``).
+* ``report/event_day=YYYY-MM-DD/`` the fraud report (see ``report.py``);
+* ``load_ledger/``, ``transactions_keys/`` what was loaded (see ``ledger.py``);
+* ``rejects/feed=.../file=.../`` malformed feed lines as they stood.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -32,6 +33,7 @@ from cardwatch import schemas
 from cardwatch.functions.expressions import day_of, open_end, ts_ntz
 from cardwatch.operators import history as H
 from cardwatch.operators.keys import guard_unique, insert_if_absent
+from cardwatch.plans.ledger import KeyLedger, LoadLedger
 from cardwatch.sources.feeds import transactions_from_feed
 from cardwatch.sources.files import exists, names, remove
 
@@ -44,6 +46,8 @@ TABLES: dict[str, tuple[StructType, list[str]]] = {
     "report": (schemas.REPORT, ["event_day"]),
 }
 HISTORY = "terminals_hist"
+KEYS, LEDGER, REJECTS = "transactions_keys", "load_ledger", "rejects"
+REJECTS_SCHEMA = "line string, reason string, fields_found int, fields_expected int, feed string, file string"
 
 # SQL view names, as users of the reference's tables know them.
 SQL_VIEW_NAMES = {
@@ -96,20 +100,19 @@ class Warehouse:
     def ensure_tables(self) -> None:
         """Create every table that does not exist yet (empty, typed)."""
         for name, (schema, parts) in TABLES.items():
-            if not self._exists(name):
+            if not exists(self.spark, self.path(name)):
                 w = self.spark.createDataFrame([], schema).write.mode("overwrite")
                 (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
         if not exists(self.spark, self.path(HISTORY_LOG)):
             self.spark.createDataFrame([], HISTORY_LOG_SCHEMA).write.mode("append").parquet(self.path(HISTORY_LOG))
 
-    def _exists(self, name: str) -> bool:
-        try:
-            self.spark.read.schema(TABLES[name][0]).parquet(self.path(name))
-            return True
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-                return False
-            raise
+    @property
+    def ledger(self) -> LoadLedger:
+        return LoadLedger(self.spark, self.path(LEDGER))
+
+    @property
+    def key_ledger(self) -> KeyLedger:
+        return KeyLedger(self.spark, self.path(KEYS))
 
     def register_views(self, prefix: str = "") -> None:
         """Expose every table (and the current history) to ``spark.sql`` as
@@ -122,12 +125,8 @@ class Warehouse:
         """A warehouse table; an empty typed frame if it was never written
         (tables also appear on their first write)."""
         schema, _ = TABLES[name]
-        try:
-            df = self.spark.read.schema(schema).parquet(self.path(name))
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-                raise
-            df = self.spark.createDataFrame([], schema)
+        df = (self.spark.read.schema(schema).parquet(self.path(name)) if exists(self.spark, self.path(name))
+              else self.spark.createDataFrame([], schema))
         if name == "report":
             df = df.where(~F.coalesce(F.col("placeholder"), F.lit(False))).drop("placeholder")
         return df
@@ -211,45 +210,70 @@ class Warehouse:
          .write.mode("append").parquet(self.path(HISTORY_LOG)))
 
     # -- loads -----------------------------------------------------------------
-    def append_transactions(self, feed: DataFrame, key_policy: str = "fail", key_scope: str = "all") -> dict[str, int]:
+    def append_transactions(self, feed: DataFrame, key_policy: str = "fail", key_scope: str = "ledger") -> dict:
         """T2 + K1: rename feed columns, type them, guard ``trans_id`` against
         the batch and the loaded fact, append into day partitions.
 
         Returns counts of the rows written and of the values among them that
-        could not be read: ``rows``, ``bad_times``, ``bad_amounts`` (taken
-        while writing; such values are NULL, their rows are kept).
-
-        ``key_scope='all'`` checks the whole fact, as a primary key does; it
-        reads the ``trans_id`` column of every day.  ``'same_days'`` checks
-        only the day partitions the batch writes to: the semi join on
-        ``trans_day`` lets dynamic partition pruning skip every other day, so
-        its cost follows the batch and not the fact."""
-        flags = [c for c in ("bad_time", "bad_amount") if c in feed.columns]
+        could not be read, ``rows``, ``bad_times``, ``bad_amounts`` and
+        ``wide_amounts`` (taken while writing; such values are NULL, their rows
+        are kept), and ``days``, the days of the batch.
+
+        ``key_scope='ledger'`` checks the key ledger: the whole fact's keys, of
+        which only the folders are read that the batch's keys fall into.
+        ``'all'`` checks the ``trans_id`` column of every day, ``'same_days'``
+        the day partitions the batch writes to: the semi join on ``trans_day``
+        lets dynamic partition pruning skip every other day."""
+        flags = [c for c in ("bad_time", "bad_amount", "wide_amount") if c in feed.columns]
         facts = transactions_from_feed(feed, *flags).withColumn("trans_day", day_of("trans_date"))
         facts = conform(facts, StructType([f for f in facts.schema.fields if f.name in flags] + schemas.TRANSACTIONS.fields))
-        # the guard and the write read the batch several times; its text is parsed once
+        # the guard and the writes read the batch several times; its text is parsed once
         facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
-        target = self.table("transactions").select("trans_id", "trans_day")
-        if key_scope == "same_days":
-            # Null-safe: rows with an unparsable time sit in the NULL day partition.
-            days = facts.select(F.col("trans_day").alias("_day")).distinct()
-            target = target.join(days, target["trans_day"].eqNullSafe(days["_day"]), "left_semi")
-        elif key_scope != "all":
-            raise ValueError(f"unknown key_scope {key_scope!r}")
+        ledger, loaded = self.key_ledger, self.table("transactions").select("trans_id", "trans_day")
         seen = Observation()
         counted = [F.count(F.lit(1)).alias("rows")] + [F.count_if(f).alias(f"{f}s") for f in flags]
         try:
+            days = [r.trans_day for r in facts.select("trans_day").distinct().collect()]  # a row a day
+            ledger.repair(loaded)
+            if key_scope == "ledger":
+                target = ledger.keys(facts)
+            elif key_scope == "same_days":
+                # Null-safe: rows with an unparsable time sit in the NULL day partition.
+                own = facts.select(F.col("trans_day").alias("_day")).distinct()
+                target = loaded.join(own, loaded["trans_day"].eqNullSafe(own["_day"]), "left_semi")
+            elif key_scope == "all":
+                target = loaded
+            else:
+                raise ValueError(f"unknown key_scope {key_scope!r}")
+            guarded = guard_unique(facts, target.select("trans_id"), ["trans_id"], key_policy)
+            addition = ledger.begin(days)
             # a day's rows lie together before they are written; large days are split, small ones merged
-            (guard_unique(facts, target.select("trans_id"), ["trans_id"], key_policy)
-             .observe(seen, *counted).drop(*flags).hint("rebalance", "trans_day")
+            (guarded.observe(seen, *counted).drop(*flags).hint("rebalance", "trans_day")
              .write.mode("append").partitionBy("trans_day").parquet(self.path("transactions")))
+            ledger.add(facts)
+            ledger.end(addition)
         finally:
             facts.unpersist()
         try:
             found = seen.get
         except Py4JJavaError:  # nothing to write: the optimizer dropped the plan and its counters
             found = {"rows": 0}
-        return {"bad_times": 0, "bad_amounts": 0, **found}
+        return {"bad_times": 0, "bad_amounts": 0, "wide_amounts": 0, **found, "days": sorted(d for d in days if d is not None)}
+
+    def keep_rejects(self, feed: str, file: str, rejected: DataFrame) -> int:
+        """Write a file's malformed lines to the quarantine (a repeated load
+        replaces them); returns how many."""
+        n = rejected.count()
+        if n:
+            (rejected.select("line", "reason", "fields_found", "fields_expected", F.lit(feed).alias("feed"), F.lit(file).alias("file"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feed", "file").parquet(self.path(REJECTS)))
+        return n
+
+    def rejects(self) -> DataFrame:
+        """The quarantine: malformed lines with their feed, file and reason."""
+        if not exists(self.spark, self.path(REJECTS)):
+            return self.spark.createDataFrame([], REJECTS_SCHEMA)
+        return self.spark.read.schema(REJECTS_SCHEMA).parquet(self.path(REJECTS))
 
     def load_blacklist(self, feed: DataFrame, null_keys: str = "reference") -> None:
         """L1: append feed documents not yet listed (``NOT IN`` semantics)."""
@@ -296,6 +320,26 @@ class Warehouse:
         self._write_version(applied, current + 1, log[-1].base if log else 1, as_of)
         return current + 1
 
+    def load_terminal_series(self, snapshots: DataFrame, times: list[_dt.datetime], at: str = "as_of",
+                             mode: str = "reference", null_safe: bool = False) -> int:
+        """L10 for a backlog: the snapshots of all ``times`` (ascending) in one
+        plan and one version (see :func:`history.scd2_apply_series`)."""
+        log = self.history_log()
+        times = [self._moment(t) for t in times]
+        if not times:
+            return log[-1].version if log else 0
+        if log and log[-1].as_of is not None and times[0] < log[-1].as_of:
+            raise SnapshotOrderError(f"snapshot of {times[0]} after one of {log[-1].as_of}")
+        version = log[-1].version + 1 if log else 1
+        if mode == "clean" and not log:  # as in load_terminals
+            start = self._moment("1900-01-01 00:00:00")
+            snapshots = snapshots.withColumn(at, F.when(ts_ntz(F.col(at)) == ts_ntz(times[0]), ts_ntz(start)).otherwise(F.col(at)))
+            times = [start, *times[1:]]
+        applied = H.scd2_apply_series(conform(self.open_history(), schemas.TERMINALS_HIST), snapshots, times, at,
+                                      mode=mode, null_safe=null_safe)
+        self._write_version(applied, version, log[-1].base if log else 1, times[-1])
+        return version
+
     def _moment(self, as_of) -> _dt.datetime:
         if isinstance(as_of, _dt.datetime):
             return as_of

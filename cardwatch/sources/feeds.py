@@ -8,6 +8,10 @@ failing a 100 TB job; the loads count such values.  Columns are bound by the
 names in the header, whatever their order.  The feed day is taken from the
 file name through the ``_metadata`` column, which lets one read cover a whole
 backfill folder.
+
+A line with more or fewer fields than its header is malformed: no field of it
+is bound, the readers leave it out and :func:`rejected_lines` returns it as it
+stands, so accepted and rejected rows add up to the lines of the file.
 """
 
 from __future__ import annotations
@@ -59,20 +63,55 @@ def header_schema(spark: SparkSession, path: str, schema: StructType) -> StructT
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+REJECTED = "_rejected"
+
+
+def _read_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All lines of delimited feeds: the header's columns as text and, of a
+    malformed line, the line itself in ``_rejected``."""
+    found = header_schema(spark, path, schema)
+    # enforceSchema=false: of several files, one with another header fails
+    return (spark.read.schema(StructType([*found.fields, StructField(REJECTED, StringType(), True)])).options(**CSV_OPTIONS)
+            .option("columnNameOfCorruptRecord", REJECTED).option("enforceSchema", False).csv(path))
+
+
+def _malformed(raw: DataFrame) -> Column:
+    """Whether a line is malformed, in a form that the reader neither takes as
+    a filter of its own (it would test the column before filling it) nor as a
+    scan of that column alone (which it refuses): the length of all columns is
+    never below that of this one."""
+    line = F.length(F.concat_ws("", REJECTED))
+    return (line > 0) & (F.length(F.concat_ws("", *[F.col(c) for c in raw.columns])) >= line)
+
+
 def _read_text(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
     if fmt == "csv":
-        found = header_schema(spark, path, schema)
-        # enforceSchema=false: of several files, one with another header fails
-        raw = spark.read.schema(found).options(**CSV_OPTIONS).option("enforceSchema", False).csv(path)
-        have = set(found.fieldNames())
-        return raw.select(*[(F.col(f.name) if f.name in have else F.lit(None).cast("string")).alias(f.name)
-                            for f in schema.fields], *_feed_metadata())
+        raw = _read_lines(spark, path, schema)
+        have = [c for c in raw.columns if c != REJECTED]
+        whole = raw.where(~_malformed(raw))
+        return whole.select(*[(F.col(f.name) if f.name in have else F.lit(None).cast("string")).alias(f.name)
+                              for f in schema.fields], *_feed_metadata())
     if fmt == "parquet":
         raw = spark.read.parquet(path)
         return raw.select(*[F.col(f.name).cast("string").alias(f.name) for f in schema.fields])
     raise ValueError(f"unsupported feed format {fmt!r}")
 
 
+def rejected_lines(spark: SparkSession, path: str, schema: StructType, fmt: str | None = None) -> DataFrame:
+    """The malformed lines of a feed: ``file``, ``line``, ``reason``, and
+    ``fields_found`` of ``fields_expected`` (separators inside quotes do not
+    count).  A parquet feed has none."""
+    if _fmt(path, fmt) != "csv":
+        return spark.createDataFrame([], "file string, line string, reason string, fields_found int, fields_expected int")
+    raw = _read_lines(spark, path, schema)
+    expected = len(raw.columns) - 1
+    found = F.size(F.split(F.regexp_replace(REJECTED, '"[^"]*"', ""), CSV_SEPARATOR))
+    reason = F.when(found > expected, "surplus fields").when(found < expected, "missing fields").otherwise("malformed")
+    return (raw.where(_malformed(raw))
+            .select(F.col("_metadata.file_name").alias("file"), F.col(REJECTED).alias("line"), reason.alias("reason"),
+                    found.alias("fields_found"), F.lit(expected).alias("fields_expected")))
+
+
 def _fmt(path: str, fmt: str | None) -> str:
     if fmt:
         return fmt
@@ -97,9 +136,9 @@ def feed_day_of(path: str) -> _dt.date | None:
 
 
 def parse_amount(text: str | Column) -> Column:
-    """Amount text -> decimal(38,18), wide enough for any amount and all its
-    digits; a comma decimal separator is accepted and unparsable text becomes
-    NULL."""
+    """Amount text -> decimal(38,18): all digits of amounts below 10^20, with
+    at most 18 decimals; a comma decimal separator is accepted and unparsable
+    text becomes NULL (as do larger amounts, see :func:`too_wide`)."""
     c = F.col(text) if isinstance(text, str) else text
     return F.translate(F.trim(c), ",", ".").try_cast("decimal(38,18)")
 
@@ -110,6 +149,12 @@ def unparsed(text: str | Column, parsed: Column) -> Column:
     return (F.trim(F.coalesce(c, F.lit(""))) != "") & parsed.isNull()
 
 
+def too_wide(text: str | Column, parsed: Column) -> Column:
+    """True where a number stands that the column cannot hold."""
+    c = F.col(text) if isinstance(text, str) else text
+    return parsed.isNull() & F.coalesce(F.trim(c).rlike(r"^[+-]?[0-9]+([.,][0-9]*)?$"), F.lit(False))
+
+
 def parse_time(text: str | Column, fmt: str = FEED_TIME_FORMAT) -> Column:
     c = F.col(text) if isinstance(text, str) else text
     return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
@@ -122,7 +167,8 @@ def parse_date(text: str | Column, fmt: str = FEED_DATE_FORMAT) -> Column:
 
 def read_transactions_feed(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Transactions feed with typed columns, ``feed_day`` and the
-    flags ``bad_time`` and ``bad_amount`` (text that could not be read)."""
+    flags ``bad_time``, ``bad_amount`` (text that could not be read) and
+    ``wide_amount`` (a number beyond the column's digits)."""
     raw = _read_text(spark, path, schemas.TRANSACTIONS_FEED, _fmt(path, fmt))
     return typed_transactions(raw, *([FEED_DAY] if FEED_DAY in raw.columns else []))
 
@@ -130,13 +176,15 @@ def read_transactions_feed(spark: SparkSession, path: str, fmt: str | None = Non
 def typed_transactions(raw: DataFrame, *further: str) -> DataFrame:
     """The transactions feed's text columns as typed ones."""
     when, amount = parse_time("transaction_date"), parse_amount("amount")
+    wide = too_wide("amount", amount)
     return raw.select(
-        F.trim("transaction_id").alias("transaction_id"),
+        "transaction_id",
         when.alias("transaction_date"),
         amount.alias("amount"),
         "card_num", "oper_type", "oper_result", "terminal", *further,
         unparsed("transaction_date", when).alias("bad_time"),
-        unparsed("amount", amount).alias("bad_amount"),
+        (unparsed("amount", amount) & ~wide).alias("bad_amount"),
+        wide.alias("wide_amount"),
     )
 
 

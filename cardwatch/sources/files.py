@@ -3,6 +3,9 @@ store Spark reads (and nothing but file names passes the driver)."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -36,3 +39,30 @@ def move(spark: SparkSession, path: str, folder: str, suffix: str = "") -> None:
 def remove(spark: SparkSession, folder: str) -> None:
     fs, p = _at(spark, folder)
     fs.delete(p, True)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files of a folder."""
+    fs, p = _at(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def write_text(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """A small text file (a header, say) through Hadoop's file system."""
+    fs, p = _at(spark, path)
+    out = fs.create(p, True)
+    out.write("".join(f"{line}\n" for line in lines).encode("utf-8"))
+    out.close()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which all executors share.
+    A local session without that setting gets a temporary folder; a cluster
+    session must name one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='cardwatch-')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

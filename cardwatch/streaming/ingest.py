@@ -7,7 +7,8 @@ header name and a header-only file keeps its meaning.  A loaded file moves to
 ``archive_dir`` as soon as its load is committed, the last one too.
 
 Progress lives in ``checkpoint`` on the shared file system, so a restarted
-driver continues where it stopped, and every load is safe to replay:
+driver continues where it stopped.  Each file is loaded through the load
+ledger, which knows a file that is loaded, and every load is safe to replay:
 
 * transactions: T2 + K1 with the ``skip`` policy drops rows already loaded;
 * blacklist: insert-if-absent (L1) adds nothing the second time;
@@ -28,15 +29,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cardwatch.plans.daily import ARCHIVED, day_start
+from cardwatch.plans.daily import ARCHIVED, load_feed
 from cardwatch.plans.warehouse import Warehouse
-from cardwatch.sources.feeds import (
-    feed_day_of,
-    feed_present,
-    read_blacklist_feed,
-    read_terminal_snapshot,
-    read_transactions_feed,
-)
+from cardwatch.sources.feeds import feed_day_of, feed_present
 from cardwatch.sources.files import move
 
 # Feed file patterns picked up by the streams.
@@ -82,7 +77,7 @@ def ingest_transactions(wh: Warehouse, feed_dir: str, checkpoint: str, archive_d
     """Start the transactions ingest; with ``available_now`` it stops after
     the backlog."""
     def load(path: str) -> None:
-        wh.append_transactions(read_transactions_feed(wh.spark, path, "csv"), key_policy)
+        load_feed(wh, "transactions", path, feed_day_of(path), key_policy=key_policy, fmt="csv")
 
     return _ingest(wh, feed_files(wh.spark, feed_dir, pattern), load, checkpoint, archive_dir, available_now,
                    processing_time)
@@ -95,7 +90,7 @@ def ingest_blacklist(wh: Warehouse, feed_dir: str, checkpoint: str, archive_dir:
     daily run would (a passport repeated inside one file is kept twice; one
     repeated on a later day is not)."""
     return _ingest(wh, feed_files(wh.spark, feed_dir, pattern),
-                   lambda path: wh.load_blacklist(read_blacklist_feed(wh.spark, path, "csv")), checkpoint,
+                   lambda path: load_feed(wh, "blacklist", path, feed_day_of(path), fmt="csv"), checkpoint,
                    archive_dir, available_now, processing_time)
 
 
@@ -109,8 +104,7 @@ def ingest_terminals(wh: Warehouse, feed_dir: str, checkpoint: str, archive_dir:
         day = feed_day_of(path)
         if as_of is None and day is None:
             raise ValueError(f"no day in the name of {path}")
-        wh.load_terminals(read_terminal_snapshot(wh.spark, path, "csv"),
-                          as_of if as_of is not None else day_start(day), mode=mode)
+        load_feed(wh, "terminals", path, day, as_of=as_of, history_mode=mode, fmt="csv")
 
     return _ingest(wh, feed_files(wh.spark, feed_dir, pattern), load, checkpoint, archive_dir, available_now,
                    processing_time)

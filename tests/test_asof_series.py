@@ -1,0 +1,97 @@
+"""As-of lookup, one-second splits and snapshot series against plain versions."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import HIST_SCHEMA, SNAP_SCHEMA
+from cardwatch.operators import history as H
+from cardwatch.operators.asof import as_of_lookup
+from cardwatch.operators.sequences import previous_rows
+from cardwatch.plans import daily
+from cardwatch.plans.warehouse import Warehouse
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def test_lookup_equals_the_range_join(spark):
+    r = random.Random(3)
+    versions = []
+    for t in range(12):
+        for _ in range(r.randint(0, 5)):  # overlaps, gaps, ends before starts
+            start = T0 + dt.timedelta(hours=r.randint(0, 96))
+            versions.append((f"t{t}", r.choice("ABC"), start, start + dt.timedelta(hours=r.randint(-2, 60))))
+    versions += [("t1", "N", None, T0), (None, "N", T0, T0 + dt.timedelta(days=9)), ("t2", "Z", dt.datetime(1900, 1, 1), dt.datetime(2999, 12, 31, 23, 59, 59))]
+    hist = spark.createDataFrame(versions, "terminal_id string, city string, effective_from timestamp_ntz, effective_to timestamp_ntz")
+    events = [(i, "t0" if r.random() < 0.4 else f"t{r.randint(0, 14)}", T0 + dt.timedelta(hours=r.randint(0, 100), microseconds=r.choice([0, 0, 1])))
+              for i in range(600)]
+    ops = spark.createDataFrame(events, "id int, terminal string, ts timestamp_ntz")
+    want = sorted((i, c, s) for i, t, ts in events for k, c, s, e in versions if k == t and s is not None and s <= ts <= e)
+    for hot_rows in (10 ** 6, 20):
+        got = as_of_lookup(ops, hist, "terminal", "ts", "terminal_id", "effective_from", "effective_to", ["city", "effective_from"], hot_rows, deal=5)
+        assert got.columns == ["id", "terminal", "ts", "city", "effective_from"]
+        assert sorted((x.id, x.city, x.effective_from) for x in got.collect()) == want
+
+
+def test_a_second_with_most_rows_is_split_and_stitched(spark):
+    r = random.Random(5)
+    second = dt.datetime(2024, 1, 1, 9, 0, 0)
+    rows = [("hot", second if r.random() < 0.6 else second + dt.timedelta(microseconds=r.randint(0, 2_500_000)), f"{i:05d}", i) for i in range(4000)]
+    rows += [("cold", second, f"c{i}", i) for i in range(20)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, tie string, v int")
+    lags = {"p1": ("v", 1), "p3": ("v", 3)}
+    plain = sorted(map(tuple, previous_rows(df, "key", "ts", lags, ("tie",)).collect()), key=str)
+    split = previous_rows(df, "key", "ts", lags, ("tie",), hot_rows=500)
+    assert sorted(map(tuple, split.collect()), key=str) == plain
+    from cardwatch.operators.sequences import _mark_ranges, with_buckets
+    marked = _mark_ranges(with_buckets(df, ["key"], "ts", 500), ["key", "_seq_day"], "ts", ("tie",), 500)
+    largest = marked.groupBy("key", "_seq_bucket", "_seq_range").count().agg(F.max("count")).first()[0]
+    assert largest < 500 and marked.count() == len(rows)
+
+
+def _random_series(seed, nulls):
+    r = random.Random(seed)
+    values = ["a", "b", None] if nulls else ["a", "b"]
+    history = [(f"k{i}", "POS", r.choice(values), "x", dt.datetime(2023, 1, 1), dt.datetime(2999, 12, 31, 23, 59, 59), False) for i in range(8)]
+    history += [("k1", "POS", "old", "x", dt.datetime(2022, 1, 1), dt.datetime(2022, 12, 31, 23, 59, 59), False),
+                ("gone", "POS", "q", "x", dt.datetime(2023, 1, 1), dt.datetime(2999, 12, 31, 23, 59, 59), True)]
+    times = [dt.datetime(2024, 1, 1) + dt.timedelta(days=2 * i) for i in range(6)]
+    rows = [(f"k{i}" if i < 12 else "gone", r.choice(["POS", "ATM"]) if r.random() < 0.2 else "POS", r.choice(values), r.choice(values), t)
+            for n, t in enumerate(times) for i in range(13) if n != 3 and r.random() < 0.6]
+    return history, times, rows
+
+
+@pytest.mark.parametrize("mode,null_safe,nulls", [("reference", False, True), ("clean", True, True), ("clean", False, False)])
+def test_series_equals_repeated_snapshots(spark, mode, null_safe, nulls):
+    history, times, rows = _random_series(11, nulls)
+    at = spark.createDataFrame(history, HIST_SCHEMA)
+    snaps = spark.createDataFrame(rows, SNAP_SCHEMA + ", as_of timestamp_ntz")
+    got = H.scd2_apply_series(at, snaps, times, mode=mode, null_safe=null_safe)
+    for t in times:
+        at = spark.createDataFrame(H.scd2_apply(at, snaps.where(F.col("as_of") == F.lit(t)).drop("as_of"), t, mode=mode, null_keys="ignore",
+                                                null_safe=null_safe).collect(), HIST_SCHEMA)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, at.collect()), key=str)
+    assert got.count() > len(history) + 5
+
+
+def test_a_backlog_of_snapshot_files_is_one_version(spark, scratch):
+    import os
+    os.makedirs(f"{scratch}/feeds")
+    head = "terminal_id;terminal_type;terminal_city;terminal_address\n"
+    for day, body in (("01", "T1;POS;M;a\nT2;POS;N;b\n"), ("02", "T1;POS;K;a\n"), ("03", ""), ("04", "T1;POS;K;a\n")):
+        with open(f"{scratch}/feeds/terminals_{day}032021.csv", "w") as f:
+            f.write(head + body)
+    days = [dt.date(2021, 3, d) for d in range(1, 6)]
+    results = []
+    for mode in ("clean", "reference"):
+        one, each = Warehouse(spark, f"{scratch}/one-{mode}"), Warehouse(spark, f"{scratch}/each-{mode}")
+        for wh in (one, each):
+            wh.ensure_tables()
+        assert daily.load_terminal_backlog(one, days, daily.FeedFolder(f"{scratch}/feeds"), mode) == 1
+        for d in days:
+            daily.load_feeds(each, d, daily.FeedFolder(f"{scratch}/feeds"), history_mode=mode)
+        results.append(sorted(map(tuple, one.history().collect()), key=str))
+        assert results[-1] == sorted(map(tuple, each.history().collect()), key=str)
+    assert results[0] != results[1]

@@ -81,9 +81,13 @@ def test_run_day_loads_reports_and_reruns_idempotently(spark, scratch):
     assert wh.table("transactions").count() == 4
     assert wh.table("blacklist").count() == 1
     assert wh.history_version() == 1 and wh.history().count() == 2
-    # Rerun of the day: feeds already loaded -> K1 fails under 'fail' ...
+    # Rerun of the day: the feeds are recognised and nothing is loaded again ...
+    assert daily.run_day(wh, "01032021", daily.FeedFolder(folder)).count() == 5
+    assert wh.table("transactions").count() == 4
+    # ... but other content with a known id fails under 'fail' ...
+    _write(f"{folder}/transactions_02032021.txt", open(f"{folder}/transactions_01032021.txt").read() + "99;2021-03-02 09:00:00;1;C;P;SUCCESS;T\n")
     with pytest.raises(DuplicateKeyError):
-        daily.run_day(wh, "01032021", daily.FeedFolder(folder))
+        daily.run_day(wh, "02032021", daily.FeedFolder(folder))
     # ... and without feeds the report partition is replaced, not appended.
     again = daily.run_day(wh, "2021-03-01", None, report_dt="2021-03-03 00:00:00")
     assert again.count() == 5
@@ -97,7 +101,7 @@ def test_absent_and_empty_snapshot(spark, scratch):
     _write(f"{folder}/terminals_01032021.csv", "terminal_id;terminal_type;terminal_city;terminal_address\nT1;POS;M;a\n")
     daily.load_feeds(wh, dt.date(2021, 3, 1), daily.FeedFolder(folder), as_of="2021-03-01 00:00:00")
     loaded = daily.load_feeds(wh, dt.date(2021, 3, 2), daily.FeedFolder(folder), as_of="2021-03-02 00:00:00")
-    assert loaded["terminals"] is False and wh.history_version() == 1
+    assert loaded["terminals"] is None and wh.history_version() == 1
     _write(f"{folder}/terminals_03032021.csv", "terminal_id;terminal_type;terminal_city;terminal_address\n")
     daily.load_feeds(wh, dt.date(2021, 3, 3), daily.FeedFolder(folder), as_of="2021-03-03 00:00:00")
     open_rows = [r for r in wh.history().collect() if r.effective_to.year == 2999]

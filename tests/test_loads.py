@@ -33,7 +33,7 @@ def test_amounts_are_neither_capped_nor_rounded(spark, scratch):
     wh = Warehouse(spark, f"{scratch}/wh")
     wh.ensure_tables()
     counts = wh.append_transactions(feeds.read_transactions_feed(spark, path))
-    assert counts == {"rows": 6, "bad_times": 1, "bad_amounts": 1}  # an empty amount is no unreadable one
+    assert counts == {"rows": 6, "bad_times": 1, "bad_amounts": 1, "wide_amounts": 0, "days": [dt.date(2021, 3, 1)]}  # an empty amount is no unreadable one
     amounts = {r.trans_id: r.amt for r in wh.table("transactions").collect()}
     assert amounts["1"] == Decimal("123456789.10") and amounts["2"] == Decimal("100.999")
     assert amounts["3"] == -5 and amounts["4"] is None and amounts["5"] is None
