@@ -305,5 +305,28 @@ SQL: dict[str, str] = {
 }
 
 
+# Queries that go through files (the same rows by plain SQL).
+_WHOLE = "trans_id % 83 <> 0 AND trans_id % 79 <> 0"
+SQL.update({
+    "feed_transactions": f"SELECT * FROM ({SQL['parse_feed_lines']}) WHERE {_WHOLE.replace('trans_id', 'CAST(transaction_id AS BIGINT)')}",
+    "feed_rejects": f"""SELECT trans_id, CASE WHEN trans_id % 83 = 0 THEN 'surplus fields' ELSE 'missing fields' END AS reason,
+        CASE WHEN trans_id % 83 = 0 THEN 9 ELSE 4 END AS fields_found, 7 AS fields_expected FROM txn WHERE NOT ({_WHOLE})""",
+    "feed_blacklist": """SELECT passport_num, CAST(NULL AS VARCHAR) AS entry_dt FROM blacklist
+        UNION ALL SELECT passport_num, CAST(entry_dt AS VARCHAR) FROM blacklist_feed
+        WHERE passport_num NOT IN (SELECT passport_num FROM blacklist)""",
+    "feed_terminals": "SELECT CAST(terminal_id AS VARCHAR) AS terminal_id, * EXCLUDE (terminal_id) FROM (" + SQL["scd2_apply"] + ")",
+    "terminal_backlog": SQL["scd2_apply_series"].replace("SELECT terminal_id, CASE WHEN terminal_id % 2", "SELECT CAST(terminal_id AS VARCHAR) AS terminal_id, CASE WHEN terminal_id % 2")
+    .replace("SELECT terminal_id, terminal_type, terminal_city", "SELECT CAST(terminal_id AS VARCHAR), terminal_type, terminal_city"),
+    "seed_clients": """SELECT client_id, last_name, first_name, patronymic, passport_num,
+        CAST(passport_valid_to AS VARCHAR) AS passport_valid_to, phone FROM clients""",
+    "table_defaults": """SELECT CAST(terminal_id AS VARCHAR) AS terminal_id, terminal_type, terminal_city, terminal_address,
+        TIMESTAMP '2999-12-31 23:59:59' AS effective_to, false AS deleted_flg, true AS started FROM snap""",
+    "touched_days": "SELECT DISTINCT CAST(CAST(trans_date AS DATE) AS VARCHAR) AS touched FROM txn",
+    "warehouse_report": "SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS report_dt FROM (" + SQL["fraud_report"].replace(
+        "FROM txn t", "FROM (SELECT * REPLACE (date_trunc('second', trans_date) AS trans_date, CAST(trans_id AS VARCHAR) AS trans_id) FROM txn) t") + ")",
+    "unique_keys_ledger": SQL["unique_keys_guarded"],
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: FIXTURE + v for k, v in SQL.items()}

@@ -20,6 +20,7 @@ from cardwatch.operators import history as H
 from cardwatch.operators import keys as K
 from cardwatch.operators import rules as R
 from cardwatch.operators.chain import ownership_chain
+from cardwatch.plans.flows import FLOWS
 from cardwatch.schemas import TRANSACTIONS_FEED
 from cardwatch.sources.driver_tables import REPORT_DAY, SERIES_TIMES, SNAPSHOT_AS_OF, DriverTables
 from cardwatch.sources.feeds import CSV_SEPARATOR, transactions_from_feed, typed_transactions
@@ -298,4 +299,5 @@ QUERIES: dict[str, Query] = {
     "scd2_apply": q_scd2_apply,
     "duplicate_keys": q_duplicate_keys,
     "orphans": q_orphans,
+    **FLOWS,
 }
