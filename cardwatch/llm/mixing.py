@@ -11,16 +11,24 @@ each level is one window over the tree's nodes, top down, in whole tokens
 (shares are rounded down).
 
 A leaf with budget b and n tokens gives ``b / n`` whole epochs and a token
-prefix of the next one.  Each epoch has its own seeded order of documents.
-The prefix is found without sorting a leaf: order keys are cut into buckets,
+prefix of the next one: the longest whose tokens stay within b.  What the
+document after it would have overrun is not lost: at the end of each node the
+unspent tokens of its children go to the one with room for them whose documents
+are shortest on average (siblings first, then, level by level, the ancestors'
+other children; if none has room for all, to the one with the most), whose
+prefix grows.
+So the mix misses its total by less than one document, and a leaf falls short
+of its budget by less than its next document.
+
+Each epoch has its own seeded order of documents.  The prefix is found without sorting a leaf: order keys are cut into buckets,
 the bucket sums say which single bucket holds the end of the prefix, and only
 that bucket is summed row by row.  The selection itself is then a comparison
 with one threshold per leaf, so no text is shuffled.
 
 Defined cases: NULL text has no tokens; NULL tree columns form their own
 node; unlisted nodes weigh ``default_weight``; a weight of 0 takes nothing;
-rows with the same id stand at the same place of every epoch and are selected
-together; a document that does not fit whole ends the prefix; a leaf without
+a document's place depends on its id and text, so only rows that repeat both
+stand at the same place of every epoch and are selected together; a leaf without
 tokens selects nothing; an empty table gives an empty result; input columns
 keep their values.
 """
@@ -35,7 +43,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import WORD_PATTERN, all_but, fresh, text_of, written
+from cardwatch.llm.common import WORD_PATTERN, all_but, fresh, quoted, text_of, written
 
 #: More leaves than this are joined by shuffle instead of broadcast.
 MAX_BROADCAST_LEAVES = 100_000
@@ -62,9 +70,14 @@ def token_count(text: str | Column) -> Column:
     return F.regexp_count(text_of(text), F.lit(WORD_PATTERN)).cast("long")
 
 
-def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
+def identity(doc_id: Column, text: str | Column) -> Column:
+    """What tells a row from others: its id and a digest of its text."""
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(text_of(text).cast("binary")))
+
+
+def order_key(seed: int, epoch: Column, ident: Column) -> Column:
     """Place of a document in an epoch: the first 60 bits of an MD5."""
-    named = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    named = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), ident)
     return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long")
 
 
@@ -77,7 +90,7 @@ def _weight(mix: Mixture, level: str) -> Column:
 
 def leaf_budgets(leaf_tokens: DataFrame, mix: Mixture) -> DataFrame:
     """Budgets of the leaves.  ``leaf_tokens``: the level columns (no NULLs),
-    ``tokens``, ``docs``; adds ``budget``."""
+    ``tokens``, ``docs``; adds ``cap`` (what the leaf can give) and ``budget``."""
     levels = list(mix.levels)
     taken = reduce(and_, [_weight(mix, level) > 0 for level in levels])
     nodes = leaf_tokens.withColumn("_cap", F.when(taken, F.col("tokens") * mix.max_epochs).otherwise(F.lit(0)))
@@ -102,24 +115,20 @@ def leaf_budgets(leaf_tokens: DataFrame, mix: Mixture) -> DataFrame:
                     .withColumn("_share", F.when(F.col("_full"), F.col("_c"))
                                 .otherwise(F.expr("_w * _rest div greatest(_open, 1)"))))
         nodes = nodes.drop("_budget").join(children.select(*path, F.col("_share").alias("_budget")), path)
-    return nodes.withColumnRenamed("_budget", "budget").drop("_cap")
+    return nodes.withColumnRenamed("_budget", "budget").withColumnRenamed("_cap", "cap")
 
 
-def leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
-    """Per leaf: ``epochs`` (whole ones) and ``threshold`` (largest order key
-    of the next epoch's prefix, -1 for none).  ``docs``: the level columns
-    (no NULLs), ``doc_id``, ``tokens``."""
+def _prefixes(docs: DataFrame, leaves: DataFrame, mix: Mixture) -> DataFrame:
+    """``leaves`` with ``epochs`` (whole ones), ``threshold`` (largest order key
+    of the next epoch's prefix, -1 for none) and ``selected`` tokens."""
     levels = list(mix.levels)
-    totals = docs.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
-    leaves = (leaf_budgets(totals, mix).where("tokens > 0")
-              .withColumn("epochs", F.expr("budget div tokens"))
-              .withColumn("rest", F.expr("budget % tokens"))
+    leaves = (leaves.withColumn("epochs", F.expr("budget div tokens")).withColumn("rest", F.expr("budget % tokens"))
               # a power of two of equally wide buckets
               .withColumn("width", F.expr(
                   f"{1 << 60} div shiftleft(1L, cast(ceil(log2(docs div {mix.rows_per_bucket} + 1)) as int))")))
     leaves = written(leaves, "mix-leaves")
     placed = (docs.join(bounded(leaves.where("rest > 0").select(*levels, "epochs", "rest", "width")), levels)
-              .withColumn("key", order_key(mix.seed, F.col("epochs") + 1, F.col("doc_id")))
+              .withColumn("key", order_key(mix.seed, F.col("epochs") + 1, F.col("ident")))
               .withColumn("bucket", F.expr("key div width")))
     sums = placed.groupBy(*levels, "rest", "bucket").agg(F.sum("tokens").alias("n"))
     running = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -130,15 +139,47 @@ def leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
     ends = written(ends, "mix-ends")
     inside = placed.join(bounded(ends), levels).where(F.col("bucket") == F.col("last"))
     by_key = Window.partitionBy(*levels).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    fits = (inside.withColumn("upto", F.col("before") + F.sum("tokens").over(by_key))
-            .where(F.col("upto") <= F.col("rest")).groupBy(*levels).agg(F.max("key").alias("inner")))
+    fits = (inside.withColumn("upto", F.col("before") + F.sum("tokens").over(by_key)).where(F.col("upto") <= F.col("rest"))
+            .groupBy(*levels).agg(F.max("key").alias("inner"), F.max("upto").alias("taken")))
     # with no key inside the last bucket, the prefix ends below that bucket
     below = F.col("last") * F.col("width") - 1
-    plan = (leaves.join(ends, levels, "left").join(fits, levels, "left")
-            .select(*levels, "tokens", "budget", "epochs",
-                    F.when(F.col("rest") == 0, F.lit(-1).cast("long"))
-                    .otherwise(F.coalesce(F.col("inner"), below)).alias("threshold")))
-    return written(plan, "mix-plan")
+    some = F.col("rest") > 0
+    found = (leaves.join(ends, levels, "left").join(fits, levels, "left")
+             .withColumn("threshold", F.when(some, F.coalesce(F.col("inner"), below)).otherwise(F.lit(-1).cast("long")))
+             .withColumn("selected", F.expr("epochs * tokens") + F.when(some, F.coalesce("taken", "before")).otherwise(F.lit(0))))
+    return written(found.drop("rest", "width", "last", "before", "inner", "taken"), "mix-prefixes")
+
+
+def leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
+    """Per leaf: ``planned`` and ``selected`` tokens, ``epochs`` (whole ones)
+    and ``threshold`` (largest order key of the next epoch's prefix, -1 for
+    none).  ``docs``: the level columns (no NULLs), ``ident``, ``tokens``."""
+    levels = list(mix.levels)
+    totals = docs.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
+    leaves = leaf_budgets(totals, mix).where("tokens > 0").withColumn("planned", F.col("budget"))
+    plan = _prefixes(docs, leaves, mix).withColumn("unspent", F.col("budget") - F.col("selected"))
+    for depth in reversed(range(len(levels))):
+        plan = _pass_on(docs, plan, levels[:depth], mix)
+    return plan
+
+
+def _pass_on(docs: DataFrame, plan: DataFrame, above: list[str], mix: Mixture) -> DataFrame:
+    """What the leaves below each node ``above`` left unspent goes to one of
+    them, which keeps what its next document would overrun."""
+    parent = Window.partitionBy(*above) if above else Window.partitionBy(F.lit(1))
+    room = F.col("cap") - F.col("selected")
+    pooled = (plan.withColumn("pool", F.sum("unspent").over(parent))
+              .withColumn("fits", room >= F.col("pool"))
+              .withColumn("takes", F.row_number().over(parent.orderBy(
+                  F.col("fits").desc(), F.when(F.col("fits"), F.col("tokens") / F.col("docs")).otherwise(0.0), room.desc(), *mix.levels)) == 1)
+              .withColumn("unspent", F.when(F.col("takes"), F.col("pool")).otherwise(F.lit(0).cast("long")))
+              .withColumn("budget", F.when(F.col("takes"), F.least(F.col("selected") + F.col("pool"), F.col("cap"))).otherwise(F.col("selected"))))
+    pooled = written(pooled.drop("pool", "fits"), "mix-pooled")
+    grows = F.col("takes") & (F.col("budget") > F.col("selected"))
+    columns = [c for c in plan.columns if c not in ("epochs", "threshold", "selected")]
+    grown = _prefixes(docs, pooled.where(grows).select(*columns, F.col("selected").alias("had")), mix)
+    grown = grown.withColumn("unspent", F.col("unspent") + F.col("had") - F.col("selected"))
+    return written(pooled.where(~grows).select(*plan.columns).unionByName(grown.select(*plan.columns)), "mix-plan")
 
 
 def bounded(leaves: DataFrame) -> DataFrame:
@@ -152,7 +193,7 @@ def node_of(col: str | Column) -> Column:
 
 
 def select_epochs(docs: DataFrame, plan: DataFrame, tree: Sequence[Column], mix: Mixture, id_col: str = "doc_id",
-                  epoch_col: str = "epoch") -> DataFrame:
+                  text_col: str = "text", epoch_col: str = "epoch") -> DataFrame:
     """The documents of every selected epoch: columns of ``docs`` and ``epoch``."""
     names = [fresh(docs, f"_mix_{level}") for level in mix.levels]
     epochs, threshold = fresh(docs, "_mix_epochs"), fresh(docs, "_mix_threshold")
@@ -161,7 +202,7 @@ def select_epochs(docs: DataFrame, plan: DataFrame, tree: Sequence[Column], mix:
     keep = all_but(docs, epoch_col)
     marked = docs.select("*", *[c.alias(n) for c, n in zip(tree, names)]).join(bounded(small), names)
     times = F.col(epochs) + F.when(
-        order_key(mix.seed, F.col(epochs) + 1, F.col(id_col)) <= F.col(threshold), 1).otherwise(0)
+        order_key(mix.seed, F.col(epochs) + 1, identity(F.col(id_col), quoted(text_col))) <= F.col(threshold), 1).otherwise(0)
     epoch = fresh(marked, "_mix_epoch")
     return (marked.withColumn(epoch, times).where(F.col(epoch) > 0)
             .withColumn(epoch, F.explode(F.sequence(F.lit(1).cast("long"), F.col(epoch))))
@@ -172,9 +213,9 @@ def mix_documents(docs: DataFrame, tree: Sequence[Column], mix: Mixture, id_col:
                   text_col: str = "text", epoch_col: str = "epoch") -> DataFrame:
     """The selected documents, a row per document and epoch."""
     nodes = [node_of(c) for c in tree]
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), token_count(text_col).alias("tokens"),
+    rows = written(docs.select(identity(F.col(id_col), text_col).alias("ident"), token_count(text_col).alias("tokens"),
                                *[c.alias(lv) for c, lv in zip(nodes, mix.levels)]), "mix-docs")
-    return select_epochs(docs, leaf_plan(rows, mix), nodes, mix, id_col, epoch_col)
+    return select_epochs(docs, leaf_plan(rows, mix), nodes, mix, id_col, text_col, epoch_col)
 
 
 # -- the registered query and the pipeline's stage ------------------------

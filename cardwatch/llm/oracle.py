@@ -58,33 +58,60 @@ def _share_level(path: list[str], above: list[str], budgets: str) -> str:
                         FROM leaves GROUP BY {keys}) c {join}))"""
 
 
+def _passed_on(step: int, above: list[str]) -> str:
+    """Budgets after the unspent tokens below each node went to one leaf, and
+    what that leaf selects with them."""
+    parent = f"PARTITION BY {', '.join(above)}" if above else ""
+    return f"""
+pooled{step} AS (
+  SELECT *, CASE WHEN row_number() OVER ({parent} ORDER BY cap - selected >= whole DESC, CASE WHEN cap - selected >= whole
+              THEN tokens / docs ELSE 0 END, cap - selected DESC, domain, lang, source) = 1 THEN whole ELSE 0 END AS pool
+  FROM (SELECT domain, lang, source, tokens, docs, cap, selected, sum(unspent) OVER ({parent}) AS whole FROM state{step})),
+budgets{step} AS (SELECT *, least(selected + pool, cap) AS budget FROM pooled{step}),
+state{step + 1} AS (
+  SELECT b.domain, b.lang, b.source, b.tokens, b.docs, b.cap, b.budget, s.selected, b.selected + b.pool - s.selected AS unspent
+  FROM budgets{step} b JOIN ({_spent(f'budgets{step}')}) s USING (domain, lang, source))"""
+
+
+def _spent(budgets: str) -> str:
+    """Tokens that each leaf selects: its longest prefix within the budget."""
+    return f"""SELECT b.domain, b.lang, b.source, CAST(b.budget // b.tokens * b.tokens + coalesce(max(r.upto) FILTER (
+        WHERE r.epoch = b.budget // b.tokens + 1 AND r.upto <= b.budget % b.tokens), 0) AS BIGINT) AS selected
+      FROM {budgets} b JOIN running r USING (domain, lang, source) GROUP BY b.domain, b.lang, b.source, b.budget, b.tokens"""
+
+
 def _mixing() -> str:
     m = MIXTURE
     levels = list(m.levels)
-    key = f"CAST('0x' || substr(md5(concat_ws(':', '{m.seed}', CAST(epochs + 1 AS VARCHAR), coalesce(CAST(doc_id AS VARCHAR), ''))), 1, 15) AS BIGINT)"
+    key = f"CAST('0x' || substr(md5(concat_ws(':', '{m.seed}', CAST(epoch AS VARCHAR), ident)), 1, 15) AS BIGINT)"
     return f"""
 WITH docs AS (
   SELECT doc_id, text, lang AS raw_lang, source AS raw_source,
+         coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) AS ident,
          CASE WHEN regexp_matches(coalesce(source, ''), '[0-9]{{1,9}}$')
               THEN 'd' || CAST(CAST(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS BIGINT) % 4 AS VARCHAR)
               ELSE 'other' END AS domain,
          coalesce(lang, '\\N') AS lang, coalesce(source, '\\N') AS source,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens
   FROM documents),
-leaves AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM docs GROUP BY ALL),
+leaves AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS docs FROM docs GROUP BY ALL),
 total AS (SELECT least(CAST(sum(tokens) AS BIGINT) * {m.share_num} // {m.share_den},
                        CAST(sum(tokens) AS BIGINT) * {m.max_epochs}) AS budget FROM leaves),
 by_domain AS ({_share_level(levels[:1], [], 'total')}),
 by_lang AS ({_share_level(levels[:2], levels[:1], 'by_domain')}),
 by_source AS ({_share_level(levels, levels[:2], 'by_lang')}),
-plan AS (SELECT l.*, CAST(b.budget // l.tokens AS BIGINT) AS epochs, CAST(b.budget % l.tokens AS BIGINT) AS rest
-         FROM leaves l JOIN by_source b USING (domain, lang, source) WHERE l.tokens > 0),
-placed AS (SELECT d.*, p.epochs, p.rest, {key} AS key FROM docs d JOIN plan p USING (domain, lang, source)),
-running AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key
-                                        RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM placed),
-chosen AS (SELECT *, epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS times FROM running)
-SELECT doc_id, domain, raw_lang AS lang, raw_source AS source, tokens, CAST(epoch AS BIGINT) AS epoch
-FROM (SELECT *, unnest(range(1, times + 1)) AS epoch FROM chosen)
+placed AS (SELECT d.*, e.epoch, {key} AS key FROM docs d CROSS JOIN range(1, {m.max_epochs + 2}) e(epoch)),
+running AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY domain, lang, source, epoch ORDER BY key
+                           RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS upto FROM placed),
+planned AS (SELECT domain, lang, source, l.tokens, l.docs, l.tokens * {m.max_epochs} AS cap, CAST(b.budget AS BIGINT) AS budget
+            FROM leaves l JOIN by_source b USING (domain, lang, source) WHERE l.tokens > 0),
+state0 AS (SELECT p.*, s.selected, p.budget - s.selected AS unspent
+           FROM planned p JOIN ({_spent('planned')}) s USING (domain, lang, source)),
+{",".join(_passed_on(k, levels[:len(levels) - 1 - k]) for k in range(len(levels)))},
+plan AS (SELECT *, selected // tokens AS epochs, selected % tokens AS rest FROM state{len(levels)})
+SELECT doc_id, domain, raw_lang AS lang, raw_source AS source, r.tokens, CAST(epoch AS BIGINT) AS epoch
+FROM running r JOIN plan p USING (domain, lang, source)
+WHERE epoch <= p.epochs OR (epoch = p.epochs + 1 AND p.rest > 0 AND upto <= p.rest)
 """
 
 

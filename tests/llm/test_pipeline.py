@@ -44,7 +44,7 @@ def test_every_stage_equals_brute_force(spark, sf, steps):
     from test_decontaminate import brute
     dirty = {d for d, _ in brute([(r.doc_id, r.text) for r in single.collect()], items)}
     assert set(_by_id(clean)) == stay - dirty
-    want = brute_mix([(r.doc_id, _leaf(f"d{int(r.source[3:]) % 4}", r.lang, r.source), len(r.text.split())) for r in
+    want = brute_mix([(r.doc_id, _leaf(f"d{int(r.source[3:]) % 4}", r.lang, r.source), r.text) for r in
                       clean.collect()], mixing.MIXTURE)
     assert sorted((str(r.doc_id) for r in mixed.collect())) == sorted(str(d) for d, _ in want)
     out = sharded.collect()
