@@ -11,15 +11,17 @@ One inserted letter is a surplus of one, a deleted one a deficit of one, a
 replaced one both (or neither, inside one group).  A depth-first search
 therefore starts with a budget of one surplus and one deficit and follows, at
 each level, the word's own count, one more, or one less.  The words of the
-leaves it reaches are verified letter by letter.
+leaves it reaches are verified letter by letter.  A pair is looked for from one
+side only: the shorter word, else the one whose first different count is the
+smaller, so the deficit is spent only after the surplus.
 
 *Shards*: the trie is cut below its first levels, as few as leave at most
 ``SHARD_WORDS`` words in the largest subtree; each subtree is one shard.  A
 word searches the subtrees its budget reaches, with what is left of the budget.
 Rows lie sorted by shard, a shard's own words first: a task holds one subtree
 at a time and streams the searches through it, however many there are.  In a
-leaf, words lie by their first and by their last half, of which one edit leaves
-one as it is, so no leaf is compared word by word.
+leaf, words (all of one length) lie by their first and by their last half, of
+which one edit leaves one as it is, so no leaf is compared word by word.
 
 *Forms*: of the near words with the largest count (ties: the smallest word)
 the count must be at least twice the word's own; so forms have no cycles, and
@@ -47,7 +49,7 @@ SLIP, SHORTEST, LEAST = 97, 5, 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 GROUPS = 12
-SHARD_WORDS = 2_000
+SHARD_WORDS = 20_000
 
 
 def slipped(doc_id: Column, run: Column) -> Column:
@@ -83,45 +85,70 @@ def one_edit(a: str, b: str) -> bool:
     return a[at + (len(a) >= len(b)):] == b[at + (len(b) >= len(a)):]
 
 
+#: What a search has spent of its budget.
+NOTHING, SURPLUS, BOTH = 0, 1, 2
+
+
 class Trie:
     """The words of one subtree by their counts from ``depth`` on."""
 
     def __init__(self, depth: int, groups: int = GROUPS):
         self.depth, self.groups, self.root = depth, groups, {}
+        self.group = _Group(groups)
+        self.letters = [chr(g) for g in range(depth, groups)]
+
+    def _rest(self, word: str) -> list[int]:
+        return list(map(word.translate(self.group).count, self.letters))
 
     def add(self, word: str, n: int) -> None:
         node = self.root
-        for count in path_of(word, self.groups)[self.depth:]:
+        for count in self._rest(word):
             node = node.setdefault(count, {})
         half = len(word) // 2
-        node.setdefault((True, len(word), word[:half]), []).append((word, n))
-        node.setdefault((False, len(word), word[half:]), []).append((word, n))
-
-    def near(self, word: str, surplus: int = 1, deficit: int = 1) -> list[tuple[str, int]]:
-        """Words one edit away, with what is left of the budget: counts of a
-        found word may exceed the word's own by ``surplus`` in all, and fall
-        short by ``deficit``."""
-        path = path_of(word, self.groups)
-        found, stack = [], [(self.root, self.depth, surplus, deficit)]
+        node.setdefault("<" + word[:half], []).append((word, n))
+        node.setdefault(">" + word[half:], []).append((word, n))
+
+    def near(self, word: str, spent: int = NOTHING) -> list[tuple[str, int]]:
+        """Words one edit away that this side looks for, with what the search
+        has ``spent`` on the way to this subtree."""
+        path, found, stack = self._rest(word), [], [(self.root, 0, spent)]
+        levels = len(path)
         while stack:
-            node, level, more, less = stack.pop()
-            if level == self.groups:
-                found += self._leaf(node, word)
-                continue
-            for count, s, d in ((path[level], more, less), (path[level] + 1, more - 1, less),
-                                (path[level] - 1, more, less - 1)):
-                if s >= 0 and d >= 0 and count in node:
-                    stack.append((node[count], level + 1, s, d))
+            node, level, spent = stack.pop()
+            while node is not None:
+                if level == levels:
+                    found += self._leaf(node, word, spent)
+                    break
+                count = path[level]
+                level += 1
+                if spent == NOTHING:
+                    if count + 1 in node:
+                        stack.append((node[count + 1], level, SURPLUS))
+                elif spent == SURPLUS and count and count - 1 in node:
+                    stack.append((node[count - 1], level, BOTH))
+                node = node.get(count)
         return found
 
     @staticmethod
-    def _leaf(node: dict, word: str) -> list[tuple[str, int]]:
-        met = set()
-        for length in (len(word) - 1, len(word), len(word) + 1):
-            half = length // 2
-            met.update(node.get((True, length, word[:half]), ()))
-            met.update(node.get((False, length, word[len(word) - (length - half):]), ()))
-        return [(w, n) for w, n in met if one_edit(w, word)]
+    def _leaf(node: dict, word: str, spent: int) -> list[tuple[str, int]]:
+        length = len(word) + (spent == SURPLUS)
+        half = length // 2
+        met = [*node.get("<" + word[:half], ()), *node.get(">" + word[len(word) - (length - half):], ())]
+        if not met:
+            return met
+        # equal paths: the smaller word looks for the larger
+        return [(w, n) for w, n in set(met) if one_edit(w, word) and (spent != NOTHING or w > word)]
+
+
+class _Group(dict):
+    """For ``str.translate``: the group of each letter, as a character."""
+
+    def __init__(self, groups: int):
+        self.groups = groups
+
+    def __missing__(self, letter: int) -> str:
+        self[letter] = chr(letter % self.groups)
+        return self[letter]
 
 
 def _paths(groups: int):
@@ -133,25 +160,19 @@ def _paths(groups: int):
 
 def _visits(depth: int):
     """For each word its own shard (role 0), and every shard it searches (role
-    1) with the budget left there."""
+    1) with what it has spent by then."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for word, n, path in zip(b["word"], b["n"], b["path"]):
                 own = path[:depth].tolist()
-                rows.append((_name(own), 0, word, n, 0, 0))
-                rows.append((_name(own), 1, word, n, 1, 1))
+                rows.append((_name(own), 0, word, n, NOTHING))
+                rows.append((_name(own), 1, word, n, NOTHING))
                 for i in range(depth):
                     up = own[:i] + [own[i] + 1] + own[i + 1:]
-                    rows.append((_name(up), 1, word, n, 0, 1))
-                    if not own[i]:
-                        continue
-                    down = own[:i] + [own[i] - 1] + own[i + 1:]
-                    rows.append((_name(down), 1, word, n, 1, 0))
-                    for j in range(depth):
-                        if j != i:
-                            rows.append((_name(down[:j] + [down[j] + 1] + down[j + 1:]), 1, word, n, 0, 0))
-            yield pd.DataFrame(rows, columns=["shard", "role", "word", "n", "surplus", "deficit"])
+                    rows.append((_name(up), 1, word, n, SURPLUS))
+                    rows += [(_name(up[:j] + [up[j] - 1] + up[j + 1:]), 1, word, n, BOTH) for j in range(i + 1, depth) if up[j]]
+            yield pd.DataFrame(rows, columns=["shard", "role", "word", "n", "spent"])
     return run
 
 
@@ -164,13 +185,14 @@ def _search(depth: int, groups: int):
         shard, trie = None, None
         for b in batches:
             found = []
-            for at, role, word, n, surplus, deficit in b.itertuples(index=False):
+            for at, role, word, n, spent in zip(*[b[c].tolist() for c in ("shard", "role", "word", "n", "spent")]):
                 if at != shard:
                     shard, trie = at, Trie(depth, groups)
                 if role == 0:
                     trie.add(word, n)
-                else:
-                    found += [(word, other, m) for other, m in trie.near(word, surplus, deficit)]
+                elif trie.root:
+                    for other, m in trie.near(word, spent):
+                        found += [(word, other, m), (other, word, n)]
             yield pd.DataFrame(found, columns=["word", "other", "other_n"])
     return run
 
@@ -183,7 +205,7 @@ def near_words(words: DataFrame, groups: int = GROUPS, shard_words: int = SHARD_
     sizes = (at.groupBy("depth", F.expr("slice(path, 1, depth)").alias("top")).count()
              .groupBy("depth").agg(F.max("count").alias("most")).collect())  # one row a level
     depth = min((r.depth for r in sizes if r.most <= shard_words), default=groups)
-    visits = placed.mapInPandas(_visits(depth), "shard string, role int, word string, n long, surplus int, deficit int")
+    visits = placed.mapInPandas(_visits(depth), "shard string, role int, word string, n long, spent int")
     ordered = visits.repartition("shard").sortWithinPartitions("shard", "role")
     return ordered.mapInPandas(_search(depth, groups), "word string, other string, other_n long")
 

@@ -89,10 +89,9 @@ def test_trie_finds_all_words_one_edit_away(words):
     trie = M.Trie(0, 4)
     for w in words:
         trie.add(w, 1)
-    for w in words:
-        found = [x for x, _ in trie.near(w)]
-        assert len(found) == len(set(found))
-        assert set(found) == {x for x in words if plain_distance(x, w) == 1}
+    found = [(w, x) for w in words for x, _ in trie.near(w)]
+    assert len(found) == len({frozenset(p) for p in found})  # each pair from one side
+    assert {*found, *[(x, w) for w, x in found]} == {(w, x) for w in words for x in words if plain_distance(x, w) == 1}
 
 
 def test_chains_ties_and_long_words(spark):
