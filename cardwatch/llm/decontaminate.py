@@ -18,16 +18,21 @@ its last sentence) and its answer (the last sentence) must each have at least
 must occur as they stand.  With ``whole_items`` (as the registered query and
 the pipeline have it) an item is also found when its whole text, undivided, has
 at least ``OVERLAP`` of its five-word shingles in the document, so an edit in
-a short last sentence does not hide it.  Candidates then do not depend on the
-score, nor on the item lying in one passage: a text of n shingles, of which
-``needed`` must occur, has one of any ``n - needed + 1`` in the document, so
-that many of the rarest shingles of the whole item and of its longer part are
-looked up in the whole document (prefix filter).  Without ``whole_items`` an
-item must reach the threshold in one passage.
-
-Items are processed in blocks of ``MAX_BLOCK_ITEMS``, so what is broadcast is
-bounded however many there are; document frequencies cover all items, so the
-scores do not depend on the blocks.
+a short last sentence does not hide it; and the terms of a document of several
+passages are one more query, by ``WHOLE_THRESHOLD``, so that an item need not lie
+in one passage.
+
+The thresholds are lower than the share of its weight that an item at the
+overlap keeps, unless nearly all its weight lies in the words it has lost: a
+recall that is measured (see README), not proved.  ``exhaustive`` adds what
+no score can miss, outside the registered query: of a text with n shingles,
+``needed`` of which must occur, one of any ``n - needed + 1`` occurs, so that many
+of the rarest of each item are looked up in the whole document.
+
+Items that repeat id and text stand once with their number.  They are
+processed in blocks of about ``MAX_BLOCK_ITEMS`` and ``MAX_BLOCK_BYTES``, so what
+is broadcast is bounded however many there are; document frequencies cover all
+items, so the scores do not depend on the blocks.
 
 Defined cases: NULL and empty texts match nothing, as documents or as items;
 items repeated in the benchmark are reported each; repeated documents are
@@ -54,11 +59,11 @@ from cardwatch.llm.common import quoted, python_workers, written
 WORD = re.compile(r"[^\W_]+")
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
 SHINGLE, OVERLAP = 5, 0.8
-THRESHOLD = 0.5
+THRESHOLD, WHOLE_THRESHOLD = 0.5, 0.7
 K1, B = 1.2, 0.75
 BLOCK = 32
 COMMON = 0.4
-MAX_BLOCK_ITEMS = 20_000
+MAX_BLOCK_ITEMS, MAX_BLOCK_BYTES = 20_000, 32 << 20
 
 
 def words_of(text: str | None) -> list[str]:
@@ -97,6 +102,7 @@ class ItemIndex:
     parts: list[tuple[set, set]]
     wholes: list[set]
     span: int  # words of the longest item
+    copies: list[int] = field(default_factory=list)  # rows of the benchmark that each item stands for
     postings: dict[str, tuple[list[int], list[float], list[float]]] = field(default_factory=dict)
     ceiling: dict[str, float] = field(default_factory=dict)
     frequent: list[dict[str, float]] = field(default_factory=list)
@@ -107,15 +113,15 @@ class ItemIndex:
     widths: list[int] = field(default_factory=list)  # of the shingles looked up
 
     @classmethod
-    def build(cls, items: list[tuple[int, str]], frequency: dict[str, int], n_items: int,
+    def build(cls, items: list[tuple], frequency: dict[str, int], n_items: int,
               mean_length: float) -> ItemIndex:
-        counted = [(i, text, Counter(words_of(text))) for i, text in items]
+        counted = [(i, text, Counter(words_of(text)), *n) for i, text, *n in items]
         counted = [c for c in counted if c[2]]
-        wholes = [shingles(words_of(text)) for _, text, _ in counted]
+        wholes = [shingles(words_of(text)) for _, text, *_ in counted]
         index = cls([c[0] for c in counted], [tuple(map(shingles, question_answer(c[1]))) for c in counted], wholes,
-                    max((sum(c[2].values()) for c in counted), default=0))
+                    max((sum(c[2].values()) for c in counted), default=0), [c[3] if len(c) > 3 else 1 for c in counted])
         lists = defaultdict(list)
-        for number, (_, _, tf) in enumerate(counted):
+        for number, (_, _, tf, *_) in enumerate(counted):
             length = K1 * (1 - B + B * sum(tf.values()) / mean_length)
             impact = {t: log(1 + (n_items - frequency[t] + 0.5) / (frequency[t] + 0.5)) * n * (K1 + 1) / (n + length)
                       for t, n in tf.items()}
@@ -209,13 +215,16 @@ def passages(words: list[str], span: int) -> Iterator[list[str]]:
         yield words[at:at + 2 * step]
 
 
-def matches(text: str | None, index: ItemIndex, threshold: float = THRESHOLD,
-            overlap: float = OVERLAP) -> list[tuple[int, float, float, float]]:
+def matches(text: str | None, index: ItemIndex, threshold: float = THRESHOLD, overlap: float = OVERLAP,
+            whole_items: bool = False) -> list[tuple[int, float, float, float]]:
     """(item, score, question overlap, answer overlap) of the verified items."""
     words = words_of(text)
+    queries = [(set(passage), threshold) for passage in passages(words, index.span)]
+    if whole_items and len(queries) > 1:
+        queries.append((set(words), max(threshold, WHOLE_THRESHOLD)))
     best: dict[int, float] = {}
-    for passage in passages(words, index.span):
-        for number, score in index.search(set(passage), threshold).items():
+    for terms, least in queries:
+        for number, score in index.search(terms, least).items():
             best[number] = max(best.get(number, 0.0), score)
     near: set[int] = set()
     for width in index.widths:
@@ -233,13 +242,13 @@ def matches(text: str | None, index: ItemIndex, threshold: float = THRESHOLD,
     verified = {}
     for number in sorted(best.keys() | near):
         shares = [share(part) if part else 1.0 for part in index.parts[number]]
-        if min(shares) >= overlap or index.widths and share(index.wholes[number]) >= overlap:
+        if min(shares) >= overlap or whole_items and share(index.wholes[number]) >= overlap:
             verified[number] = shares
     lost = verified.keys() - best.keys()
     for passage in map(set, passages(words, index.span)) if lost else ():
         for number in lost:
             best[number] = max(best.get(number, 0.0), index.score(number, passage))
-    return [(index.ids[number], best[number], *shares) for number, shares in verified.items()]
+    return [(index.ids[number], best[number], *shares) for number, shares in verified.items() for _ in range(index.copies[number])]
 
 
 def _item_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,11 +267,13 @@ def item_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     whole = stats.where(F.col("term").isNull()).first()
     if whole is None or not whole.n:
         return
-    blocks = -(-items.count() // block_items)
+    items = written(items.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("copies")), "bench-items")
+    n_items, n_bytes = items.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    blocks = max(-(-n_items // block_items), -(-(n_bytes or 0) // MAX_BLOCK_BYTES), 1)
     for k in range(blocks):
-        # a hash decides the block; blocks hold block_items rows on average
+        # a hash decides the block of an item; blocks are of one size on average
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        rows = sorted(((r.item_id, r.text) for r in own.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+        rows = sorted((tuple(r) for r in own.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
         terms = own.mapInPandas(_item_terms, "term string, n long, words long").select("term").distinct()
         frequency = {r.term: r.n for r in stats.join(terms, "term", "left_semi").collect()}
         yield ItemIndex.build(rows, frequency, whole.n, whole.words / whole.n)
@@ -270,7 +281,7 @@ def item_indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD, overlap: float = OVERLAP,
-                 block_items: int = MAX_BLOCK_ITEMS, whole_items: bool = False) -> DataFrame:
+                 block_items: int = MAX_BLOCK_ITEMS, whole_items: bool = False, exhaustive: bool = False) -> DataFrame:
     """One row per document and test item that it contains: ``doc_id``,
     ``item_id``, ``score``, ``question_overlap``, ``answer_overlap``."""
     spark = docs.sparkSession
@@ -279,39 +290,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     out = None
     for index in item_indexes(benchmark, block_items=block_items):
-        if whole_items:
+        if exhaustive:
             index.look_up(overlap)
-        part = rows.mapInPandas(_matcher(spark.sparkContext.broadcast(index), threshold, overlap), schema)
+        part = rows.mapInPandas(_matcher(spark.sparkContext.broadcast(index), threshold, overlap, whole_items), schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def _matcher(index, threshold: float, overlap: float):
+def _matcher(index, threshold: float, overlap: float, whole_items: bool):
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(d, *m) for d, text in zip(b["doc_id"], b["text"]) for m in matches(text, index.value, threshold, overlap)]
+            rows = [(d, *m) for d, text in zip(b["doc_id"], b["text"]) for m in matches(text, index.value, threshold, overlap, whole_items)]
             out = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
             yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
     return match
 
 
-def _flagger(index, threshold: float, overlap: float):
+def _flagger(index, threshold: float, overlap: float, whole_items: bool):
     @F.pandas_udf("boolean")
     def flag(texts: pd.Series) -> pd.Series:
-        return pd.Series([bool(matches(t, index.value, threshold, overlap)) for t in texts], dtype="bool")
+        return pd.Series([bool(matches(t, index.value, threshold, overlap, whole_items)) for t in texts], dtype="bool")
     return flag
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
                       overlap: float = OVERLAP, block_items: int = MAX_BLOCK_ITEMS,
-                      whole_items: bool = False) -> DataFrame:
+                      whole_items: bool = False, exhaustive: bool = False) -> DataFrame:
     """The documents that contain no test item: a filter, nothing is shuffled."""
     python_workers(docs.sparkSession)
     clean = docs
     for index in item_indexes(benchmark, block_items=block_items):
-        if whole_items:
+        if exhaustive:
             index.look_up(overlap)
-        flag = _flagger(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap)
+        flag = _flagger(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap, whole_items)
         clean = clean.where(~flag(quoted(text_col)))
     return clean
 

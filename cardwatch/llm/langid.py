@@ -6,18 +6,20 @@
 * Document frequencies cover every row that may be learnt from: each task
   sends its sums, Spark adds them up, ``DIMS`` numbers reach the driver.
 * Training: follow-the-regularised-leader (proximal, per-coordinate rates)
-  with elastic-net penalties, over a bounded sample of about
-  ``SAMPLE_PER_CLASS`` rows per language, drawn by a hash of the id at a rate
-  set from each language's full count.  The bound is a parameter; with fewer
-  rows all are used.
+  with elastic-net penalties, over a bounded sample of at most
+  ``SAMPLE_PER_CLASS`` rows per language: those whose hash of id, text and row
+  number is smallest, so rows that share an id or a text are drawn one by one.
+  The bound is a parameter; with fewer rows all are used.
 * Calibration: one temperature, chosen on a fifth of the sample that training
   did not see, by log loss.
 
 Defined cases: NULL text, or text without a letter, is ``und`` with score 0;
 rows without a language teach nothing; with no row to learn from every
 prediction is ``und``; with one language it is always predicted; an empty
-table gives an empty result; repeated rows get equal results; further columns
-are ignored.
+table gives an empty result; repeated rows get equal results; of equal
+probabilities the first language by name is predicted; long texts are read
+whole, in pieces; more than ``MAX_LANGUAGES`` languages are an error (most
+likely a wrong column); further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.llm.common import held_out, python_workers
@@ -159,11 +161,16 @@ def best_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def _sample(rows: DataFrame, per_class: int) -> DataFrame:
-    """About ``per_class`` rows of each language, by a hash of the id."""
+    """``per_class`` rows of each language (all, if fewer): the smallest by a
+    hash of the whole row and its number.  Twice as many pass a first
+    threshold, set from the language's count, so the ranking is bounded."""
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    rate = F.least(F.lit(1.0), F.lit(float(per_class)) / F.col("n"))
-    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return rows.join(F.broadcast(counts.limit(MAX_LANGUAGES)), "lang").where(place < rate)
+    rate = F.least(F.lit(1.0), F.lit(2.0 * per_class) / F.col("n"))
+    numbered = rows.withColumn("_place", F.xxhash64("doc_id", "text", F.monotonically_increasing_id()))
+    passed = (numbered.join(F.broadcast(counts.limit(MAX_LANGUAGES)), "lang")
+              .where(F.pmod("_place", F.lit(1 << 40)) / F.lit(float(1 << 40)) < rate))
+    ranked = Window.partitionBy("lang").orderBy(F.pmod("_place", F.lit(1 << 40)), "_place")
+    return passed.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= per_class).drop("_rank", "_place", "n")
 
 
 #: Languages beyond this many most likely mean a wrong column.

@@ -16,7 +16,8 @@ to its boundaries and validates what it finds:
 The first four are the base kinds; each equals a leftmost, non-overlapping
 pattern scan whose failing matches are dropped without a retry.
 
-Defined cases: NULL text is empty; offsets are code points, ends exclusive; an
+Defined cases: NULL text is empty; long texts are scanned whole; spans of
+different kinds may overlap, and equal starts keep the order of the kinds; offsets are code points, ends exclusive; an
 empty table gives an empty result; repeated rows give repeated results; further
 columns are kept, except those named like an output, which are replaced.
 """
@@ -48,7 +49,8 @@ _CARD_REST = re.compile(r"(?:[\x20-]?[0-9])+")
 _PHONE_REST = re.compile(r"[\x20().0-9-]+")
 _LOGIN = re.compile(r"[A-Za-z0-9._%+-]+:[^\s/@]+@[A-Za-z0-9.-]+")
 _ACCOUNT = re.compile(r"(?:\s+(?:no\.?|number|nr\.?|n°))?\s*[:#]?\s*([0-9]{6,17})(?![0-9A-Za-z])", re.I)
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{1,4}){3,8}")
+_IBAN_CUE = re.compile("IBAN|iban|Iban")
 
 
 @lru_cache(maxsize=1)
@@ -134,11 +136,19 @@ def _account(text: str, at: int, floor: int):
 
 
 def _iban(text: str, at: int, floor: int):
-    m = _IBAN.search(text, at + 4, at + 64)
-    if not m:
-        return None
-    code = m[0].replace(" ", "")
-    return m.start(), m.end(), int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+    """The first account after the cue, before the next one: of what starts
+    like one, the longest stretch that ends at a word's end and passes mod 97."""
+    following = _IBAN_CUE.search(text, at + 4)
+    stop, start = following.start() if following else len(text), at + 4
+    while m := _IBAN.search(text, start, stop):
+        for end in range(m.end(), m.start() + 14, -1):
+            if text[end - 1] == " " or text[end:end + 1].isalnum():
+                continue
+            code = text[m.start():end].replace(" ", "")
+            if 15 <= len(code) <= 34 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
+                return m.start(), end, True
+        start = m.start() + 2
+    return None
 
 
 _PARSERS = {"email": _email, "ip": _ip, "card": _card, "phone": _phone, "login": _login, "iban": _iban,

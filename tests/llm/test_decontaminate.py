@@ -152,15 +152,16 @@ def test_one_changed_word_in_the_last_sentence_hides_no_item(spark):
         assert {r.doc_id for r in kept.collect()} == {x[0] for x in docs} - {p[0] for p in want}
 
 
-def test_whole_items_need_no_score():
+def test_exhaustive_look_up_needs_no_score():
     # the words that every item has weigh next to nothing: the document has 84% of the item, but no score of 0.5
     said = " ".join("abcdefghijklmnopqrstuvwxyz" * 2)
     items = [(i, f"{said}. only{i} rare{i} words{i} here{i} today{i}") for i in range(30)]
     index, df, lengths = build(items)
     docs = [(0, "so " + said + " and no more")]
     assert max(plain_scores(items, df, lengths, set(D.words_of(docs[0][1]))).values()) < D.THRESHOLD
-    index.look_up(D.OVERLAP)
-    got = D.matches(docs[0][1], index)
+    assert D.matches(docs[0][1], index, whole_items=True) == []
+    index.look_up(D.OVERLAP)  # exhaustive
+    got = D.matches(docs[0][1], index, whole_items=True)
     assert [(0, m[0]) for m in sorted(got)] == sorted(brute_whole(docs, items)) and got
     scores = plain_scores(items, df, lengths, set(D.words_of(docs[0][1])))
     assert all(abs(m[1] - scores[m[0]]) < 1e-9 for m in got)
@@ -183,3 +184,22 @@ def test_scattered_items_are_found(spark):
     assert sorted(((r.doc_id, r.item_id) for r in D.op7_decontaminate(d, b).collect()), key=str) == want
     kept = D.drop_contaminated(d, b, whole_items=True)
     assert {r.doc_id for r in kept.collect()} == {x[0] for x in docs} - {p[0] for p in want}
+
+
+def test_the_result_comes_from_the_search(spark, sf, monkeypatch):
+    docs, items = ([tuple(r) for r in spark.read.parquet(f"{sf}/{n}.parquet").select(c, "text").collect()]
+                   for n, c in (("documents", "doc_id"), ("benchmark", "item_id")))
+    index, _, _ = build(items)
+    want = {(d, i) for d, i in brute_whole(docs, items)}
+    got = {(d, m[0]) for d, t in docs for m in D.matches(t, index, whole_items=True)}
+    assert got <= want and len(got) >= 0.9 * len(want) > 0
+    monkeypatch.setattr(D.ItemIndex, "search", lambda *_: {})
+    assert not any(D.matches(t, index, whole_items=True) for _, t in docs)
+
+
+def test_repeated_items_are_one_index_entry(spark):
+    items = [(1, "The quick brown fox jumps over the lazy dog. It ran home.")] * 500 + [(2, "unheard of")]
+    index = next(D.item_indexes(spark.createDataFrame(items, ITEMS)))
+    assert sorted(zip(index.ids, index.copies)) == [(1, 500), (2, 1)]
+    docs = spark.createDataFrame([(7, "so the quick brown fox jumps over the lazy dog it ran home")], "doc_id long, text string")
+    assert D.contaminated(docs, spark.createDataFrame(items, ITEMS)).count() == 500

@@ -62,7 +62,17 @@ def test_frequencies_cover_every_row_and_the_sample_is_bounded(spark, sf):
         df += plain_counts(t) > 0 if len(t) < 2000 else L.gram_counts(t) > 0
     assert np.allclose(L.inverse_frequencies(docs.repartition(7)), np.log((1 + len(texts)) / (1 + df)) + 1)
     many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("en").alias("lang"))
-    assert 800 < L._sample(many, 1000).count() < 1200
+    assert L._sample(many, 1000).count() == 1000
+
+
+def test_rows_sharing_an_id_are_sampled_one_by_one(spark):
+    words = {"en": "the house and this water with that", "de": "das haus und dieses wasser mit jenem"}
+    for shared in (7, 8):
+        docs = spark.range(6000).select(F.lit(shared).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, words["en"]).otherwise(
+            words["de"]).alias("text"), F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"))
+        assert {r.lang: r["count"] for r in L._sample(docs, 1000).groupBy("lang").count().collect()} == {"en": 1000, "de": 1000}
+    model = L.fit(docs, 50)
+    assert [model.predict(t)[0] for t in words.values()] == ["en", "de"]
 
 
 def test_ftrl_is_sparse_and_temperature_calibrates():

@@ -62,6 +62,12 @@ def test_added_kinds():
         ("login", "ftp://bob:pw1@host.example"), ("email", "pw1@host.example")]
     assert kinds("IBAN: GB82 WEST 1234 5698 7654 32.") == [("iban", "GB82 WEST 1234 5698 7654 32")]
     assert kinds("IBAN: GB83 WEST 1234 5698 7654 32.") == []
+    # an upper-case word after it, a far cue, a failed one before it, and the next cue's own
+    assert kinds("IBAN: ES91 2100 0418 4502 0005 1332 BIC CAIXESBB") == [("iban", "ES91 2100 0418 4502 0005 1332")]
+    far = "IBAN of the account that was named in the letter of last week and again in the one before: GB82WEST12345698765432"
+    assert kinds(far) == [("iban", "GB82WEST12345698765432")]
+    assert kinds("IBAN GB83 WEST 1234 5698 7654 32, or GB82 WEST 1234 5698 7654 32") == [("iban", "GB82 WEST 1234 5698 7654 32")]
+    assert kinds("IBAN: none. iban: NO93 8601 1117 947 x") == [("iban", "NO93 8601 1117 947")]
     assert kinds("Account No: 00123456, please") == [("account", "00123456")]
     assert kinds("accountable for 123456789 things, an accounting 123456") == []
 
