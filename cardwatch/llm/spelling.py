@@ -49,7 +49,7 @@ SLIP, SHORTEST, LEAST = 97, 5, 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 GROUPS = 12
-SHARD_WORDS = 20_000
+SHARD_WORDS = 60_000
 
 
 def slipped(doc_id: Column, run: Column) -> Column:
