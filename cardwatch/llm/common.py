@@ -102,9 +102,10 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def python_workers(spark: SparkSession) -> None:
+def python_workers(spark: SparkSession, rows: int = 256) -> None:
     """What operators with Python code need: the package on the executors and
-    Arrow batches bounded in rows and bytes, so that long texts fit."""
+    Arrow batches bounded in rows (few for texts, more for narrow rows) and
+    bytes, so that long texts fit."""
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))

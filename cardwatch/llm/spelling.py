@@ -226,7 +226,7 @@ def roots(forms: DataFrame) -> DataFrame:
 def spelling_forms(words: DataFrame, groups: int = GROUPS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``word``, ``form``, ``root``, ``n``, ``n_near``, ``form_n`` for ``words``
     (``word``, ``n``)."""
-    python_workers(words.sparkSession)
+    python_workers(words.sparkSession, rows=10_000)
     words = written(words.select("word", "n"), "spelling-words")
     near = (near_words(words, groups, shard_words).groupBy("word")
             .agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), "other")).alias("best")))
