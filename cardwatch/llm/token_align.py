@@ -22,7 +22,8 @@ neighbouring ends.
 Neither tokenizer merges across a space between two other characters (A cuts
 words before it; no piece of B goes on after a word into a space, which is
 checked).  So texts are cut there, and a worker encodes and aligns each
-different stretch once.  Where that does not hold, whole texts are encoded.
+different stretch once, the new stretches of a batch in one row of tokens.
+Where that does not hold, whole texts are encoded.
 
 Defined cases: NULL and empty texts, and texts that a tokenizer does not give
 back byte for byte (a literal U+2581), have zeros and an empty digest; strings
@@ -39,7 +40,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -53,6 +54,8 @@ from cardwatch.llm.common import python_workers, written
 HEAVY = 1 << 16
 #: Stretches that a worker remembers at a time, and the longest remembered.
 KNOWN_STRETCHES, LONGEST_KNOWN = 300_000, 100
+#: New stretches that A encodes in one text.
+JOINED = 500
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 _ROWS = ("row long, doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -111,7 +114,11 @@ class Aligner:
     def __init__(self, pair: TokenizerPair):
         self.pair = pair
         self.a, self.b = pair.libraries()
-        self.same_as = pair.identity.tolist()
+        self.a_len, self.b_len = (np.array([len(x) for x in of], dtype=np.int64) for of in (pair.a_bytes, pair.b_bytes))
+        # how an id is written: A's inside and at the end of its part, B's also at the end of a stretch
+        self.written = [f"{i}{end}" for i in range(len(pair.a_bytes)) for end in ",|"]
+        self.b_first = len(self.written)
+        self.written += [f"{i}{end}" for i in range(len(pair.b_bytes)) for end in ",;\n"]
         # two generations: what is used again outlives what is met once
         self.known: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
@@ -134,41 +141,55 @@ class Aligner:
         return out
 
     def _encode(self, stretches: list[str]) -> list[tuple | None]:
-        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)]
-        b_ids = self.b.encode(stretches, num_threads=1)
-        return [self._groups(" " + s, x, y) for s, x, y in zip(stretches, a_ids, b_ids)]
-
-    def _groups(self, said: str, a_ids: list[int], b_ids: list[int]) -> tuple | None:
-        """Groups and links of one stretch; None if its bytes differ."""
-        a_parts, b_parts = [self.pair.a_bytes[i] for i in a_ids], [self.pair.b_bytes[i] for i in b_ids]
-        whole = said.encode("utf-8", "surrogatepass")
-        if b"".join(b_parts) != whole or b"".join(a_parts) != whole:
+        """Per stretch (n_a, n_b, groups, links as bytes); None if its bytes differ."""
+        said = [" " + s for s in stretches]
+        whole = [s.encode("utf-8", "surrogatepass") for s in said]
+        b_ids, b_bytes = self.b.encode(stretches, num_threads=1), self.pair.b_bytes
+        kept = [i for i, ids in enumerate(b_ids) if b"".join([b_bytes[x] for x in ids]) == whole[i]]
+        # stretches that begin and end with a word's character may follow one another in one text
+        alone = [not self.pair.cuts_at_spaces or not s or s[0].isspace() or s[-1].isspace() for s in stretches]
+        kept.sort(key=alone.__getitem__)
+        a_ids = self._in_a_row([said[i] for i in kept], [whole[i] for i in kept], sum(not alone[i] for i in kept))
+        if a_ids is None:
+            each = [e.ids for e in self.a.encode_batch_fast([said[i] for i in kept], add_special_tokens=False)]
+            right = [b"".join([self.pair.a_bytes[x] for x in ids]) == whole[i] for i, ids in zip(kept, each)]
+            kept, each = [i for i, r in zip(kept, right) if r], [ids for ids, r in zip(each, right) if r]
+            a_ids = np.fromiter(chain.from_iterable(each), dtype=np.int64)
+        out: list[tuple | None] = [None] * len(stretches)
+        if kept:
+            for i, found in zip(kept, self._links(a_ids, [b_ids[i] for i in kept], [len(whole[i]) for i in kept])):
+                out[i] = found
+        return out
+
+    def _in_a_row(self, said: list[str], whole: list[bytes], joined: int) -> np.ndarray | None:
+        """A's ids of all stretches, the first ``joined`` of them encoded many
+        at a time; None if bytes differ or a token reaches over a stretch's end."""
+        texts = ["".join(said[k:min(k + JOINED, joined)]) for k in range(0, joined, JOINED)] + said[joined:]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)),
+                          dtype=np.int64)
+        if b"".join(map(self.pair.a_bytes.__getitem__, ids.tolist())) != b"".join(whole):
             return None
-        same_as, same, pairs, groups = self.same_as, [], [], []
-        if a_parts == b_parts:  # one to one throughout
-            for x, y in zip(a_ids, b_ids):
-                if same_as[x] == y:
-                    same.append(x)
-                else:
-                    pairs.append(x << 32 | y)
-            return len(a_ids), len(a_ids), len(a_ids), ";".join([f"{x}|{y}" for x, y in zip(a_ids, b_ids)]), same, pairs
-        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
-        i = j = first_a = first_b = 0
-        while i < len(a_ids):
-            x, y, a_end, b_end = a_ids[i], b_ids[j], a_ends[i], b_ends[j]
-            if same_as[x] == y:
-                same.append(x)
-            else:
-                pairs.append(x << 32 | y)
-            if a_end < b_end:
-                i += 1
-            elif b_end < a_end:
-                j += 1
-            else:
-                i, j = i + 1, j + 1
-                groups.append(f"{str(a_ids[first_a:i])[1:-1]}|{str(b_ids[first_b:j])[1:-1]}")
-                first_a, first_b = i, j
-        return len(a_ids), len(b_ids), len(groups), ";".join(groups).replace(" ", ""), same, pairs
+        ends, stops = np.cumsum(self.a_len[ids]), np.cumsum([len(w) for w in whole])
+        return ids if not len(ids) or (ends[np.searchsorted(ends, stops)] == stops).all() else None
+
+    def _links(self, a_ids: np.ndarray, b_lists: list[list[int]], lengths: list[int]) -> Iterator[tuple]:
+        """Groups and links of stretches that lie in a row; both sides end
+        tokens where a stretch ends, so no group reaches over that."""
+        b_ids = np.fromiter(chain.from_iterable(b_lists), dtype=np.int64)
+        a_ends, b_ends, stops = np.cumsum(self.a_len[a_ids]), np.cumsum(self.b_len[b_ids]), np.cumsum(lengths)
+        ends = np.unique(np.concatenate([a_ends, b_ends]))
+        i, j = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        links = (a_ids[i] << 32 | b_ids[j]).tobytes()
+        shared = ends[(a_ends[i] == ends) & (b_ends[j] == ends)]
+        a_group, b_group = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
+        a_last, b_last = a_ends == shared[a_group], b_ends == shared[b_group]
+        b_stop = b_ends == stops[np.searchsorted(stops, b_ends)]
+        tokens = np.concatenate([a_ids * 2 + a_last, self.b_first + b_ids * 3 + b_last + b_stop])
+        order = np.argsort(np.concatenate([a_group * 2, b_group * 2 + 1]), kind="stable")
+        groups = "".join(map(self.written.__getitem__, tokens[order].tolist())).split("\n")
+        n_a = np.diff(np.searchsorted(a_ends, stops) + 1, prepend=0).tolist()
+        upto = ((np.searchsorted(ends, stops) + 1) * 8).tolist()
+        return zip(n_a, map(len, b_lists), groups, (links[x:y] for x, y in zip([0, *upto], upto)))
 
     def _whole(self, text: str, parts: list[str]) -> tuple | None:
         if not text:
@@ -178,11 +199,13 @@ class Aligner:
             found = self._encode([text]) if len(parts) > 1 else found
             if found[0] is None:
                 return None
-        n_a, n_b, n_groups, groups, same, pairs = zip(*found)
-        same, same_n = np.unique(np.fromiter(chain.from_iterable(same), dtype=np.int64), return_counts=True)
-        pairs, pair_n = np.unique(np.fromiter(chain.from_iterable(pairs), dtype=np.int64), return_counts=True)
+        n_a, n_b, groups, links = zip(*found)
+        n_a, n_b, links = sum(n_a), sum(n_b), np.frombuffer(b"".join(links), dtype=np.int64)
         digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-        return sum(n_a), sum(n_b), sum(n_groups), digest, same, same_n, pairs, pair_n
+        pairs, n = np.unique(links, return_counts=True)
+        a = pairs >> 32
+        same = self.pair.identity[a] == pairs & 0xFFFFFFFF
+        return n_a, n_b, n_a + n_b - len(links), digest, a[same], n[same], pairs[~same], n[~same]
 
 
 def _aligned(pair):
