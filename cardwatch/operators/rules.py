@@ -79,7 +79,7 @@ def bad_document_union(clients: DataFrame, blacklist: DataFrame, day: _dt.date |
     return expired_documents(clients, day).unionByName(listed_documents(clients, blacklist)).distinct()
 
 
-_SUSPECT_COLUMNS = ["card_num", "passport_num", "fio", "phone", "event_type", "_cutoff"]
+SUSPECT_COLUMNS = ["card_num", "passport_num", "fio", "phone", "event_type", "_cutoff"]
 
 
 def _document_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame, blacklist: DataFrame,
@@ -103,7 +103,7 @@ def _document_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame
     bad = exp.unionByName(listed)
     if not clients_unique:
         bad = bad.distinct()
-    return cards_of_clients(bad, accounts, cards).select(*_SUSPECT_COLUMNS)
+    return cards_of_clients(bad, accounts, cards).select(*SUSPECT_COLUMNS)
 
 
 def _contract_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame, day: DayLike) -> DataFrame:
@@ -115,10 +115,10 @@ def _contract_suspects(clients: DataFrame, accounts: DataFrame, cards: DataFrame
     owners = cards_of_clients(owner_columns(clients), acc, cards)
     return (owners.select("*", F.lit(TAG_OVERDUE_ACCOUNT).alias("event_type"),
                           F.col("account_valid_to").alias("_cutoff"))
-            .select(*_SUSPECT_COLUMNS))
+            .select(*SUSPECT_COLUMNS))
 
 
-def _ops_on_suspect_cards(transactions: DataFrame, suspects: DataFrame, day: DayLike) -> DataFrame:
+def ops_on_suspect_cards(transactions: DataFrame, suspects: DataFrame, day: DayLike) -> DataFrame:
     """Successful operations of ``day`` on suspect cards, after the cutoff."""
     joined = _successful(transactions, day).join(suspects, "card_num").where(
         F.col("_cutoff").isNull() | (day_of("trans_date") > F.col("_cutoff")))
@@ -134,7 +134,7 @@ def bad_document_ops(transactions: DataFrame, clients: DataFrame, accounts: Data
     listed ones), extended to cards, and joined to the operations once, so
     the fact side is read and shuffled a single time."""
     suspects = _document_suspects(clients, accounts, cards, blacklist, day, clients_unique)
-    return _ops_on_suspect_cards(transactions, suspects, day)
+    return ops_on_suspect_cards(transactions, suspects, day)
 
 
 # -- R2: operations under a lapsed contract ----------------------------------
@@ -143,7 +143,7 @@ def lapsed_contract_ops(transactions: DataFrame, clients: DataFrame, accounts: D
                         cards: DataFrame, day: DayLike = None) -> DataFrame:
     """R2: successful operations of ``day`` on an account whose contract
     ended before that day."""
-    return _ops_on_suspect_cards(transactions, _contract_suspects(clients, accounts, cards, day), day)
+    return ops_on_suspect_cards(transactions, _contract_suspects(clients, accounts, cards, day), day)
 
 
 def document_and_contract_ops(transactions: DataFrame, clients: DataFrame, accounts: DataFrame,
@@ -154,7 +154,7 @@ def document_and_contract_ops(transactions: DataFrame, clients: DataFrame, accou
     the fact side for both rules a single time."""
     suspects = (_document_suspects(clients, accounts, cards, blacklist, day, clients_unique)
                 .unionByName(_contract_suspects(clients, accounts, cards, day)))
-    return _ops_on_suspect_cards(transactions, suspects, day)
+    return ops_on_suspect_cards(transactions, suspects, day)
 
 
 # An operation without a time or a card is in no sequence: it can be neither a

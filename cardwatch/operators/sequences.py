@@ -91,6 +91,11 @@ def find_hot_groups(df: DataFrame, key: str | Sequence[str], ts: str, hot_rows:
     return HotGroups(tuple(t["item"] for t in top or [] if t["count"] > hot_rows))
 
 
+def in_hot_group(hot: HotGroups, key: str, ts: str) -> Column:
+    """Whether a row lies in one of the hot (key, day) groups."""
+    return _group_hash([key, day_of(ts)]).isin(*hot.hashes) if hot.hashes else F.lit(False)
+
+
 def _mark_hot(d: DataFrame, group: Sequence[str], hot: HotGroups, ts: str, hot_bucket: _dt.timedelta) -> DataFrame:
     is_hot = _group_hash(group).isin(*hot.hashes) if hot.hashes else F.lit(False)
     w_us = max(_us(hot_bucket), 1)

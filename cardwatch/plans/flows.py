@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cardwatch import schemas
 from cardwatch.operators import keys as K
 from cardwatch.plans import daily
+from cardwatch.plans.by_card import CardTables
 from cardwatch.plans.catalog import Catalog
 from cardwatch.plans.ledger import KeyLedger
 from cardwatch.plans.report import read_report
@@ -122,15 +123,50 @@ def _warehouse(spark: SparkSession) -> Warehouse:
     return wh
 
 
-def _loaded(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """A warehouse that has loaded and archived the driver's operations as one
-    feed, with its dimensions."""
-    t, wh, folder = DriverTables(spark, sf_dir), _warehouse(spark), new_folder(spark, "feeds")
+def _dimensions(t: DriverTables, wh: Warehouse) -> None:
     wh.load_dimension("clients", t.clients(), "client_id")
     wh.load_dimension("accounts", t.accounts(), "account_num")
     wh.load_dimension("cards", t.cards(), "card_num")
     wh.load_blacklist(t.blacklist())
     wh.replace_history(t.terminal_history())
+
+
+def _card_tables(spark: SparkSession, sf_dir: str) -> CardTables:
+    """The driver's operations in tables bucketed by card, the fullest (card,
+    day) groups in the table of hot ones."""
+    t, wh = DriverTables(spark, sf_dir), _warehouse(spark)
+    _dimensions(t, wh)
+    wh.append_transactions(t.transactions_feed())
+    tables = CardTables(wh, int(spark.conf.get("spark.sql.shuffle.partitions")), f"cardwatch_{new_folder(spark, 'x')[-12:]}", hot_rows=2)
+    tables.create_tables()
+    tables.refresh()
+    return tables
+
+
+def q_owners_by_card(spark, sf_dir):
+    """C1 for every card, from the bucketed table."""
+    owners = _card_tables(spark, sf_dir).owners()
+    return owners.select(*[F.col(c).cast("long").alias(c) for c in ("card_num", "client_id")], "passport_num", "fio", "phone",
+                         *[F.col(c).cast("string").alias(c) for c in ("passport_valid_to", "account_valid_to")])
+
+
+def q_bad_document_ops_by_card(spark, sf_dir):
+    return _card_tables(spark, sf_dir).bad_document_ops()
+
+
+def q_lapsed_contract_ops_by_card(spark, sf_dir):
+    return _card_tables(spark, sf_dir).lapsed_contract_ops()
+
+
+def q_fraud_report_by_card(spark, sf_dir):
+    return _card_tables(spark, sf_dir).report()
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse that has loaded and archived the driver's operations as one
+    feed, with its dimensions."""
+    t, wh, folder = DriverTables(spark, sf_dir), _warehouse(spark), new_folder(spark, "feeds")
+    _dimensions(t, wh)
     feed, day = daily.FeedFolder(folder), _dt.date(2024, 1, 1)
     names = schemas.TRANSACTIONS_FEED.fieldNames()
     lines = _lines(t.transactions_feed(), "transaction_id", F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss"),
@@ -174,4 +210,8 @@ FLOWS = {
     "touched_days": q_touched_days,
     "warehouse_report": q_warehouse_report,
     "unique_keys_ledger": q_unique_keys_ledger,
+    "owners_by_card": q_owners_by_card,
+    "bad_document_ops_by_card": q_bad_document_ops_by_card,
+    "lapsed_contract_ops_by_card": q_lapsed_contract_ops_by_card,
+    "fraud_report_by_card": q_fraud_report_by_card,
 }

@@ -325,6 +325,12 @@ SQL.update({
     "warehouse_report": "SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS report_dt FROM (" + SQL["fraud_report"].replace(
         "FROM txn t", "FROM (SELECT * REPLACE (date_trunc('second', trans_date) AS trans_date, CAST(trans_id AS VARCHAR) AS trans_id) FROM txn) t") + ")",
     "unique_keys_ledger": SQL["unique_keys_guarded"],
+    "owners_by_card": """SELECT card_num, client_id, passport_num, fio, phone, CAST(passport_valid_to AS VARCHAR) AS passport_valid_to,
+        CAST(account_valid_to AS VARCHAR) AS account_valid_to FROM owners""",
+    "bad_document_ops_by_card": SQL["bad_document_ops"],
+    "lapsed_contract_ops_by_card": SQL["lapsed_contract_ops"],
+    "fraud_report_by_card": SQL["fraud_report"].replace(
+        "FROM txn t", "FROM (SELECT * REPLACE (CAST(trans_id AS VARCHAR) AS trans_id) FROM txn) t"),
 })
 
 

@@ -1,0 +1,163 @@
+"""Tables bucketed by card: the rules' results on them, their plans, and
+builds that died or went stale."""
+
+import datetime as dt
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardwatch.operators import rules as R
+from cardwatch.operators.sequences import find_hot_groups
+from cardwatch.plans import by_card as B
+from cardwatch.plans.warehouse import Warehouse
+from plan_report import plan_text
+
+FEED = "transaction_id string, transaction_date timestamp_ntz, amount decimal(20,2), card_num string, oper_type string, oper_result string, terminal string"
+D1, D2 = dt.date(2021, 3, 1), dt.date(2021, 3, 2)
+
+
+def _feed(spark, rows):
+    return spark.createDataFrame(rows, FEED)
+
+
+def _rows(day, start, n, hot_share=2):
+    """Operations on nine cards; every ``hot_share``-th on card C1; some
+    without a card or a time."""
+    out = []
+    for i in range(start, start + n):
+        card = None if i % 31 == 0 else "C1" if i % hot_share == 0 else f"C{i % 9}"
+        when = None if i % 37 == 0 else dt.datetime.combine(day, dt.time(10, i % 60, i % 7))
+        from decimal import Decimal
+        out.append((f"{i}", when, Decimal(1000 - i % 50), card, "P", "SUCCESS" if i % 4 == 0 else "REJECT", f"T{i % 3}"))
+    return out
+
+
+@pytest.fixture
+def tables(spark, scratch):
+    wh = Warehouse(spark, f"{scratch}/wh")
+    wh.ensure_tables()
+    lapsed = {1: dt.date(2020, 1, 1), 4: D1, 5: None}
+    wh.load_dimension("clients", spark.createDataFrame(
+        [(f"K{i}", "L", "F", "P", f"DOC{i}", dt.date(2020 + i % 3, 1, 1) if i % 4 else None, f"+{i}") for i in range(9)],
+        "client_id string, last_name string, first_name string, patronymic string, passport_num string, passport_valid_to date, phone string"), "client_id")
+    wh.load_dimension("accounts", spark.createDataFrame(
+        [(f"A{i}", lapsed.get(i, dt.date(2099, 1, 1)), f"K{i}") for i in range(9)], "account_num string, valid_to date, client string"), "account_num")
+    wh.load_dimension("cards", spark.createDataFrame([(f"C{i}", f"A{i}") for i in range(9)], "card_num string, account_num string"), "card_num")
+    wh.load_blacklist(spark.createDataFrame([("DOC1", D1), ("DOC7", D1), (None, D1)], "passport_num string, entry_dt date"))
+    wh.replace_history(spark.createDataFrame(
+        [(f"T{i}", "ATM", f"City{i}", "x", dt.datetime(2020, 1, 1), dt.datetime(2999, 12, 31, 23, 59, 59), False) for i in range(3)],
+        "terminal_id string, terminal_type string, terminal_city string, terminal_address string, effective_from timestamp_ntz, "
+        "effective_to timestamp_ntz, deleted_flg boolean"))
+    wh.append_transactions(_feed(spark, _rows(D1, 0, 120) + _rows(D2, 200, 90, hot_share=100)))
+    own = B.CardTables(wh, 4, f"by_card_{uuid.uuid4().hex[:8]}", hot_rows=30)
+    own.create_tables()
+    return own
+
+
+def same(got, want):
+    rows = lambda df: sorted(map(str, df.select(*sorted(want.columns)).collect()))
+    assert rows(got) == rows(want)
+    return len(rows(want))
+
+
+def expected(wh, rule):
+    """The rule over every day of the fact (an operation without a time is on no day)."""
+    t = wh.table
+    ops, dims = t("transactions").where("trans_date IS NOT NULL"), [t("clients"), t("accounts"), t("cards")]
+    if rule == "R1":
+        return R.bad_document_ops(ops, *dims, t("blacklist"))
+    if rule == "R2":
+        return R.lapsed_contract_ops(ops, *dims)
+    return R.fraud_report(ops, wh.history(), *dims, t("blacklist"))
+
+
+def agrees(tables):
+    assert same(tables.bad_document_ops(), expected(tables.wh, "R1")) > 0
+    assert same(tables.lapsed_contract_ops(), expected(tables.wh, "R2")) > 0
+    assert same(tables.report(), expected(tables.wh, "R5")) > 0
+
+
+def test_rules_equal_those_on_the_fact(tables):
+    assert tables.refresh() == [D1, D2]
+    # C1's day is hot and lies whole in the table without buckets; no row is in both
+    assert {(r.card_num, r.d) for r in tables.hot_operations().select("card_num", F.to_date("trans_date").alias("d")).distinct().collect()} == {("C1", D1)}
+    assert tables.operations().where(f"card_num = 'C1' AND to_date(trans_date) = DATE '{D1}'").isEmpty()
+    placed = tables.wh.table("transactions").where("card_num IS NOT NULL AND trans_date IS NOT NULL").count()
+    assert tables.operations().count() + tables.hot_operations().count() == placed
+    agrees(tables)
+    same(tables.lapsed_contract_ops(max_broadcast_rows=0), expected(tables.wh, "R2"))
+    one_day = tables.report([D2])
+    same(one_day, expected(tables.wh, "R5").where(F.to_date("event_dt") == F.lit(D2)))
+
+
+def test_a_bucketed_card_day_is_read_by_the_rules_as_it_lies(tables, spark):
+    """Neither side of R2 moves; of R1 and R5 the fact does not."""
+    tables.refresh()
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        cold = R.ops_on_suspect_cards(tables.operations(), tables._contract_suspects(), None)
+        assert "SortMergeJoin" in plan_text(cold) and "Exchange" not in plan_text(cold)
+        cold = R.ops_on_suspect_cards(tables.operations(), tables._document_suspects(), None)
+        assert not re.search(r"Exchange[^\n]*\n[^\n]*(Project|Filter)[^\n]*trans_date", plan_text(cold))
+        guess = plan_text(R.amount_guessing_findings(tables.operations(), hot=find_hot_groups(tables.operations(), "card_num", "trans_date", 10**9)))
+        assert "Window" in guess and "Exchange" not in guess
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_only_changed_days_are_built_again(tables, spark):
+    tables.refresh()
+    assert tables.stale_days() == [] and tables.refresh() == []
+    tables.wh.append_transactions(_feed(spark, _rows(D1, 1000, 40)))
+    assert tables.stale_days() == [D1] and tables.refresh() == [D1]
+    agrees(tables)
+    gone = tables.remove_old_builds()
+    assert gone and all(f"part={D1}." in n for n in gone) and tables.remove_old_builds() == []
+    agrees(tables)
+
+
+def test_new_owners_are_seen_after_a_refresh(tables, spark):
+    tables.refresh()
+    tables.wh.load_dimension("accounts", spark.createDataFrame(
+        [("A77", dt.date(2020, 1, 1), "K2")], "account_num string, valid_to date, client string"), "account_num")
+    tables.wh.load_dimension("cards", spark.createDataFrame([("C77", "A77")], "card_num string, account_num string"), "card_num")
+    assert tables.refresh() == []
+    assert tables.owners().where("card_num = 'C77'").count() == 1
+    assert tables.owners().count() == tables.wh.table("cards").count()
+
+
+def _fails(*_a, **_k):
+    raise RuntimeError("the driver died")
+
+
+def test_a_build_that_died_is_never_seen(tables, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(B.CardTables, "_publish", _fails)
+        with pytest.raises(RuntimeError):
+            tables._build_days([D1, D2])
+    assert tables.operations().isEmpty() and tables.stale_days() == [D1, D2]
+    assert tables.refresh() == [D1, D2]
+    agrees(tables)
+    assert any(f"part={D1}.1" in n for n in tables.remove_old_builds())
+    agrees(tables)
+
+
+def test_tables_are_attached_by_another_catalog(tables):
+    tables.refresh()
+    again = B.CardTables(tables.wh, 4, f"{tables.database}_again", hot_rows=30)
+    again.create_tables()
+    assert again.refresh() == []
+    agrees(again)
+
+
+def test_an_empty_warehouse(spark, scratch):
+    tables = B.CardTables(Warehouse(spark, f"{scratch}/empty"), 4, f"by_card_{uuid.uuid4().hex[:8]}")
+    tables.create_tables()
+    assert tables.refresh() == []
+    assert tables.report().isEmpty() and tables.lapsed_contract_ops().isEmpty()
