@@ -118,36 +118,34 @@ def leaf_budgets(leaf_tokens: DataFrame, mix: Mixture) -> DataFrame:
     return nodes.withColumnRenamed("_budget", "budget").withColumnRenamed("_cap", "cap")
 
 
-def _prefixes(docs: DataFrame, leaves: DataFrame, mix: Mixture) -> DataFrame:
+def _prefixes(docs: DataFrame, leaves: DataFrame, mix: Mixture, small: bool) -> DataFrame:
     """``leaves`` with ``epochs`` (whole ones), ``threshold`` (largest order key
-    of the next epoch's prefix, -1 for none) and ``selected`` tokens."""
-    levels = list(mix.levels)
+    of the next epoch's prefix, -1 for none) and ``selected`` tokens.  ``small``:
+    the leaves may be broadcast.  ``leaves`` is used twice, so it is best read
+    from a table."""
+    levels, hinted = list(mix.levels), F.broadcast if small else (lambda df: df)
     leaves = (leaves.withColumn("epochs", F.expr("budget div tokens")).withColumn("rest", F.expr("budget % tokens"))
               # a power of two of equally wide buckets
               .withColumn("width", F.expr(
                   f"{1 << 60} div shiftleft(1L, cast(ceil(log2(docs div {mix.rows_per_bucket} + 1)) as int))")))
-    leaves = written(leaves, "mix-leaves")
-    placed = (docs.join(bounded(leaves.where("rest > 0").select(*levels, "epochs", "rest", "width")), levels)
+    placed = (docs.join(hinted(leaves.where("rest > 0").select(*levels, "epochs", "rest", "width")), levels)
               .withColumn("key", order_key(mix.seed, F.col("epochs") + 1, F.col("ident")))
               .withColumn("bucket", F.expr("key div width")))
     sums = placed.groupBy(*levels, "rest", "bucket").agg(F.sum("tokens").alias("n"))
     running = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # the bucket in which the prefix ends: the first whose running sum exceeds the rest
+    # the bucket in which the prefix ends: the first whose running sum exceeds the rest (there is one, as a leaf has more tokens)
     ends = (sums.withColumn("upto", F.sum("n").over(running)).where(F.col("upto") > F.col("rest"))
             .groupBy(*levels).agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before")), "bucket").alias("e"))
             .select(*levels, F.col("e.bucket").alias("last"), F.col("e.before").alias("before")))
-    ends = written(ends, "mix-ends")
-    inside = placed.join(bounded(ends), levels).where(F.col("bucket") == F.col("last"))
+    inside = placed.join(hinted(ends), levels).where(F.col("bucket") == F.col("last"))
     by_key = Window.partitionBy(*levels).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    fits = (inside.withColumn("upto", F.col("before") + F.sum("tokens").over(by_key)).where(F.col("upto") <= F.col("rest"))
-            .groupBy(*levels).agg(F.max("key").alias("inner"), F.max("upto").alias("taken")))
+    fits = F.col("upto") <= F.col("rest")
     # with no key inside the last bucket, the prefix ends below that bucket
-    below = F.col("last") * F.col("width") - 1
-    some = F.col("rest") > 0
-    found = (leaves.join(ends, levels, "left").join(fits, levels, "left")
-             .withColumn("threshold", F.when(some, F.coalesce(F.col("inner"), below)).otherwise(F.lit(-1).cast("long")))
-             .withColumn("selected", F.expr("epochs * tokens") + F.when(some, F.coalesce("taken", "before")).otherwise(F.lit(0))))
-    return written(found.drop("rest", "width", "last", "before", "inner", "taken"), "mix-prefixes")
+    found = (inside.withColumn("upto", F.col("before") + F.sum("tokens").over(by_key)).groupBy(*levels)
+             .agg(F.coalesce(F.max(F.when(fits, F.col("key"))), F.max(F.expr("last * width - 1"))).alias("threshold"),
+                  F.coalesce(F.max(F.when(fits, F.col("upto"))), F.max("before")).alias("taken")))
+    return (leaves.join(found, levels, "left").withColumn("threshold", F.coalesce("threshold", F.lit(-1).cast("long")))
+            .withColumn("selected", F.expr("epochs * tokens") + F.coalesce("taken", F.lit(0))).drop("rest", "width", "taken"))
 
 
 def leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
@@ -156,14 +154,16 @@ def leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
     none).  ``docs``: the level columns (no NULLs), ``ident``, ``tokens``."""
     levels = list(mix.levels)
     totals = docs.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
-    leaves = leaf_budgets(totals, mix).where("tokens > 0").withColumn("planned", F.col("budget"))
-    plan = _prefixes(docs, leaves, mix).withColumn("unspent", F.col("budget") - F.col("selected"))
+    leaves = leaf_budgets(written(totals, "mix-totals"), mix).where("tokens > 0").withColumn("planned", F.col("budget"))
+    leaves = written(leaves, "mix-leaves")
+    small = leaves.count() <= MAX_BROADCAST_LEAVES
+    plan = _prefixes(docs, leaves, mix, small).withColumn("unspent", F.col("budget") - F.col("selected"))
     for depth in reversed(range(len(levels))):
-        plan = _pass_on(docs, plan, levels[:depth], mix)
-    return plan
+        plan = _pass_on(docs, plan, levels[:depth], mix, small)
+    return written(plan, "mix-plan")
 
 
-def _pass_on(docs: DataFrame, plan: DataFrame, above: list[str], mix: Mixture) -> DataFrame:
+def _pass_on(docs: DataFrame, plan: DataFrame, above: list[str], mix: Mixture, small: bool) -> DataFrame:
     """What the leaves below each node ``above`` left unspent goes to one of
     them, which keeps what its next document would overrun."""
     parent = Window.partitionBy(*above) if above else Window.partitionBy(F.lit(1))
@@ -177,9 +177,9 @@ def _pass_on(docs: DataFrame, plan: DataFrame, above: list[str], mix: Mixture) -
     pooled = written(pooled.drop("pool", "fits"), "mix-pooled")
     grows = F.col("takes") & (F.col("budget") > F.col("selected"))
     columns = [c for c in plan.columns if c not in ("epochs", "threshold", "selected")]
-    grown = _prefixes(docs, pooled.where(grows).select(*columns, F.col("selected").alias("had")), mix)
+    grown = _prefixes(docs, pooled.where(grows).select(*columns, F.col("selected").alias("had")), mix, small)
     grown = grown.withColumn("unspent", F.col("unspent") + F.col("had") - F.col("selected"))
-    return written(pooled.where(~grows).select(*plan.columns).unionByName(grown.select(*plan.columns)), "mix-plan")
+    return pooled.where(~grows).select(*plan.columns).unionByName(grown.select(*plan.columns))
 
 
 def bounded(leaves: DataFrame) -> DataFrame:
