@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -118,3 +119,40 @@ def test_a_third_of_all_rows_alike(spark):
     out = M.op12_repeats(spark.range(1500).select(F.col("id").alias("doc_id"), text.alias("text")))
     assert out.where("n_removed = n_bytes AND n_spans = 1").count() == 500
     assert out.where("n_removed = 0").count() == 1000
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(max_size=300), max_size=8))
+def test_texts_cut_together_have_the_cells_of_each(texts):
+    number, anchor, place, first, last = M.cells_of_all(texts, 20, 5)
+    start = np.cumsum([0, *map(len, texts)])[number]
+    assert list(zip(number.tolist(), anchor.tolist(), (place - start).tolist(), (first - start).tolist(), (last - start).tolist())) \
+        == [(i, *c) for i, t in enumerate(texts) for c in M.cells(t, 20, 5)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.text("ab", max_size=40).map(str.encode), max_size=4), min_size=1, max_size=3), st.integers(1, 20))
+def test_arrays_are_scanned_in_the_order_of_their_bytes(parts, length):
+    arrays, data = [], []
+    for part in parts:
+        arrays.append(M.suffix_array(part, length) + len(data) * M._OFFSETS)
+        data += part
+
+    def windows(codes):
+        return [data[c // M._OFFSETS][c % M._OFFSETS:][:length] for c in codes.tolist()]
+    for codes in arrays:
+        assert windows(codes) == sorted(windows(codes))
+    codes, met = M.merge_scan(data, arrays, length)
+    n, first = Counter(windows(codes)), set(windows(arrays[0]))
+    assert windows(codes) == sorted(w for a in arrays for w in windows(a))
+    assert met.tolist() == [n[w] > 1 and w in first for w in windows(codes)]
+
+
+def test_levels_are_stored_small(spark):
+    family, r = M.IndexFamily(spark), random.Random(3)
+    rows = [(0, b"c%d" % i, r.randbytes(1400)) for i in range(100)]
+    family.add(spark.createDataFrame(rows, "bucket int, ctx binary, data binary"))
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in family.levels[0].inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    stored = sum(g.column(i).total_compressed_size for g in groups for i in range(g.num_columns) if g.column(i).path_in_schema == "suffixes")
+    assert 0 < stored < 4 * 100 * 1001  # 8 bytes a window as they are
